@@ -1,0 +1,15 @@
+"""Broadcast only behind a checked size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """Hint a broadcast when ``df`` provably has at most ``max_rows`` rows.
+
+    The check reads at most ``max_rows + 1`` rows; a larger side is left to
+    the planner (sort-merge join, or AQE's runtime broadcast by size).
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
