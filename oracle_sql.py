@@ -40,24 +40,24 @@ def _with(body: str) -> str:
     return f"WITH {CTES}\n{body}"
 
 
-def _summary(num_cte: str, num: str, num_prefix: str, ratio_prefix: str, avg: str,
+def _summary(tag: str, num_cte: str, num: str, num_prefix: str, ratio_prefix: str, avg: str,
              ratio_expr: str, zero_as_one: bool) -> str:
     np_expr = f"CASE WHEN coalesce(x.{num}, 0) = 0 THEN 1 ELSE x.{num} END" if zero_as_one \
         else f"coalesce(x.{num}, 0)"
     return f""",
-num AS ({num_cte}),
-m AS (
+{tag}_num AS ({num_cte}),
+{tag}_m AS (
   SELECT coalesce(x.CURR_CAREUNIT, n.CURR_CAREUNIT) AS u,
          coalesce(x.TIME_BLOCK_12HR, n.TIME_BLOCK_12HR) AS b12,
          coalesce(x.TIME_BLOCK_4HR, n.TIME_BLOCK_4HR) AS b4,
          {np_expr} AS cnt, coalesce(n.nn, 0) AS nn
-  FROM num x FULL JOIN nur n ON x.CURR_CAREUNIT = n.CURR_CAREUNIT
+  FROM {tag}_num x FULL JOIN nur n ON x.CURR_CAREUNIT = n.CURR_CAREUNIT
    AND x.TIME_BLOCK_12HR = n.TIME_BLOCK_12HR AND x.TIME_BLOCK_4HR = n.TIME_BLOCK_4HR),
-r AS (SELECT *, {ratio_expr} AS ratio FROM m),
-r2 AS (SELECT *, CASE WHEN avg(ratio) OVER (PARTITION BY u) = 0 THEN NULL
+{tag}_r AS (SELECT *, {ratio_expr} AS ratio FROM {tag}_m),
+{tag}_r2 AS (SELECT *, CASE WHEN avg(ratio) OVER (PARTITION BY u) = 0 THEN NULL
                       ELSE ratio / avg(ratio) OVER (PARTITION BY u) END AS norm,
-              row_number() OVER (PARTITION BY u, b12 ORDER BY b4) AS pos FROM r),
-s AS (
+              row_number() OVER (PARTITION BY u, b12 ORDER BY b4) AS pos FROM {tag}_r),
+{tag}_s AS (
   SELECT u AS CURR_CAREUNIT, b12 AS TIME_BLOCK_12HR, count(*) AS present,
     CAST(coalesce(max(CASE WHEN pos = 1 THEN cnt END), 0) AS BIGINT) AS {num_prefix}_1,
     CAST(coalesce(max(CASE WHEN pos = 2 THEN cnt END), 0) AS BIGINT) AS {num_prefix}_2,
@@ -71,31 +71,31 @@ s AS (
     CASE WHEN count(*) >= 1 THEN max(CASE WHEN pos = 1 THEN norm END) ELSE 0.0 END AS UNIT_NORM_RATIO_4HR_1,
     CASE WHEN count(*) >= 2 THEN max(CASE WHEN pos = 2 THEN norm END) ELSE 0.0 END AS UNIT_NORM_RATIO_4HR_2,
     CASE WHEN count(*) >= 3 THEN max(CASE WHEN pos = 3 THEN norm END) ELSE 0.0 END AS UNIT_NORM_RATIO_4HR_3
-  FROM r2 GROUP BY u, b12)
-SELECT * EXCLUDE (present),
+  FROM {tag}_r2 GROUP BY u, b12),
+{tag} AS (SELECT * EXCLUDE (present),
   ({ratio_prefix}_1 + {ratio_prefix}_2 + {ratio_prefix}_3) / 3.0 AS {avg},
   (coalesce(UNIT_NORM_RATIO_4HR_1, 0) + coalesce(UNIT_NORM_RATIO_4HR_2, 0) + coalesce(UNIT_NORM_RATIO_4HR_3, 0))
    / NULLIF((UNIT_NORM_RATIO_4HR_1 IS NOT NULL)::INT + (UNIT_NORM_RATIO_4HR_2 IS NOT NULL)::INT
             + (UNIT_NORM_RATIO_4HR_3 IS NOT NULL)::INT, 0) AS AVG_UNIT_NORM_RATIO
-FROM s"""
+FROM {tag}_s)"""
 
 
-def _discharge_ratio_sql() -> str:
+def _o5_ctes() -> str:
     num = """SELECT CURR_CAREUNIT, TIME_BLOCK_12HR, TIME_BLOCK_4HR, count(*) AS nd FROM (
     SELECT *, min(CASE WHEN TIME_BLOCK_4HR >= DISCHARGE_DATE THEN TIME_BLOCK_4HR END)
       OVER (PARTITION BY SUBJECT_ID, HADM_ID, TIME_BLOCK_12HR) AS dtb FROM pexp) q
     WHERE TIME_BLOCK_4HR = dtb AND CURR_CAREUNIT IS NOT NULL GROUP BY ALL"""
-    return _with(_summary(num, "nd", "DISCHARGE_4HR", "DISCHARGE_NURSE_RATIO_4HR",
+    return _summary("o5", num, "nd", "DISCHARGE_4HR", "DISCHARGE_NURSE_RATIO_4HR",
                           "AVG_DISCHARGE_TO_NURSE_RATIO",
-                          "CASE WHEN nn = 0 THEN 0.0 ELSE cnt::DOUBLE / nn END", False))
+                          "CASE WHEN nn = 0 THEN 0.0 ELSE cnt::DOUBLE / nn END", False)
 
 
-def _patient_ratio_sql() -> str:
+def _o6_ctes() -> str:
     num = """SELECT CURR_CAREUNIT, TIME_BLOCK_12HR, TIME_BLOCK_4HR, count(*) AS np FROM pexp
     WHERE TIME_BLOCK_4HR >= ADMISSION_DATE AND TIME_BLOCK_4HR < DISCHARGE_DATE
       AND CURR_CAREUNIT IS NOT NULL GROUP BY ALL"""
-    return _with(_summary(num, "np", "PATIENTS_4HR", "NURSE_TO_PATIENT_RATIO_4HR",
-                          "AVG_NURSE_TO_PATIENT_RATIO", "nn::DOUBLE / cnt", True))
+    return _summary("o6", num, "np", "PATIENTS_4HR", "NURSE_TO_PATIENT_RATIO_4HR",
+                          "AVG_NURSE_TO_PATIENT_RATIO", "nn::DOUBLE / cnt", True)
 
 
 def _latest_cte(prefix: str, label: str) -> str:
@@ -132,18 +132,47 @@ o9_{prefix} AS (
 
 
 LATEST = _latest_cte("VIEW", "view") + "," + _latest_cte("ERROR", "error")
+RATIOS = _o5_ctes() + _o6_ctes()
 
 
 def _with_latest(body: str) -> str:
     return f"WITH {CTES},{LATEST}\n{body}"
 
 
+def _with_all(body: str) -> str:
+    return f"WITH {CTES},{LATEST}{RATIOS}\n{body}"
+
+
+OBS = """
+obs AS (
+  SELECT b.SUBJECT_ID, b.HADM_ID, b.CURR_CAREUNIT, b.TIME_BLOCK_12HR,
+    d.AVG_DISCHARGE_TO_NURSE_RATIO, d.AVG_UNIT_NORM_RATIO AS DISCHARGE_UNIT_NORM_RATIO,
+    p.AVG_NURSE_TO_PATIENT_RATIO, p.AVG_UNIT_NORM_RATIO AS PATIENT_UNIT_NORM_RATIO,
+    v.VIEW_VAL, v.VIEW_UNIT, e.ERROR_VAL, e.ERROR_UNIT
+  FROM (SELECT DISTINCT SUBJECT_ID, HADM_ID, CURR_CAREUNIT, TIME_BLOCK_12HR FROM pexp) b
+  LEFT JOIN o5 d ON b.CURR_CAREUNIT = d.CURR_CAREUNIT AND b.TIME_BLOCK_12HR = d.TIME_BLOCK_12HR
+  LEFT JOIN o6 p ON b.CURR_CAREUNIT = p.CURR_CAREUNIT AND b.TIME_BLOCK_12HR = p.TIME_BLOCK_12HR
+  LEFT JOIN o8_VIEW v ON b.SUBJECT_ID = v.SUBJECT_ID AND b.HADM_ID = v.HADM_ID
+   AND b.TIME_BLOCK_12HR = v.TIME_BLOCK_12HR
+  LEFT JOIN o8_ERROR e ON b.SUBJECT_ID = e.SUBJECT_ID AND b.HADM_ID = e.HADM_ID
+   AND b.TIME_BLOCK_12HR = e.TIME_BLOCK_12HR)"""
+
+LAST_UNIT = """,
+last_unit AS (
+  SELECT l.SUBJECT_ID, l.HADM_ID, l.CURR_CAREUNIT, l.TIME_BLOCK_12HR,
+         v.VIEW_VAL, v.VIEW_UNIT, e.ERROR_VAL, e.ERROR_UNIT
+  FROM (SELECT SUBJECT_ID, HADM_ID, arg_max(CURR_CAREUNIT, TIME_BLOCK_12HR) AS CURR_CAREUNIT,
+               max(TIME_BLOCK_12HR) AS TIME_BLOCK_12HR FROM pexp GROUP BY ALL) l
+  LEFT JOIN o9_VIEW v ON l.SUBJECT_ID = v.SUBJECT_ID
+  LEFT JOIN o9_ERROR e ON l.SUBJECT_ID = e.SUBJECT_ID)"""
+
+
 SQL: dict[str, str] = {
     "event_stays": _with("SELECT * FROM stays"),
     "expand_stays": _with("SELECT * FROM pexp"),
     "expand_staff": _with("SELECT * FROM nexp"),
-    "event_staff_ratio": _discharge_ratio_sql(),
-    "staff_subject_ratio": _patient_ratio_sql(),
+    "event_staff_ratio": _with(_o5_ctes() + "\nSELECT * FROM o5"),
+    "staff_subject_ratio": _with(_o6_ctes() + "\nSELECT * FROM o6"),
     "labs_subset": _with("SELECT * FROM labsub"),
     "latest_lab_view": _with_latest(
         "SELECT SUBJECT_ID, HADM_ID, TIME_BLOCK_12HR, VIEW_VAL, VIEW_UNIT FROM o8_VIEW"),
@@ -154,6 +183,20 @@ SQL: dict[str, str] = {
     "staff_block_counts": _with(
         "SELECT CURR_CAREUNIT, TIME_BLOCK_12HR, count(CGID) AS NURSE_COUNT FROM nexp "
         "WHERE CURR_CAREUNIT IS NOT NULL GROUP BY ALL"),
+    "observations": _with_all("," + OBS + "\nSELECT * FROM obs"),
+    "last_unit_labs": _with_latest(LAST_UNIT + "\nSELECT * FROM last_unit"),
+    "tested_counts_by_unit": _with_latest(
+        LAST_UNIT + "\nSELECT CURR_CAREUNIT, count(SUBJECT_ID) AS PATIENT_COUNT, "
+        "count(VIEW_VAL) AS View_Count, count(ERROR_VAL) AS Error_Count FROM last_unit "
+        "WHERE CURR_CAREUNIT IS NOT NULL GROUP BY ALL"),
+    "subject_lookup": _with_latest(LAST_UNIT + "\nSELECT * FROM last_unit WHERE SUBJECT_ID = 42"),
+    "unit_labels": _with_latest(
+        "SELECT count(DISTINCT VIEW_UNIT) AS DISTINCT_UNITS, count(VIEW_VAL) AS N_VALUES, "
+        "count(VIEW_UNIT) AS N_UNITS FROM o9_VIEW"),
+    "head_rows": _with_all("," + OBS + "\nSELECT * FROM obs ORDER BY SUBJECT_ID, HADM_ID, "
+                           "TIME_BLOCK_12HR LIMIT 5"),
+    "slice_rows": _with(_o5_ctes() + "\nSELECT * FROM o5 ORDER BY CURR_CAREUNIT, TIME_BLOCK_12HR "
+                        "LIMIT 6 OFFSET 10"),
     "subject_block_counts": _with(
         "SELECT CURR_CAREUNIT, TIME_BLOCK_12HR, count(SUBJECT_ID) AS SUBJECT_COUNT FROM pexp "
         "WHERE CURR_CAREUNIT IS NOT NULL GROUP BY ALL"),
@@ -166,6 +209,9 @@ _RATIO6 = ("NURSE_TO_PATIENT_RATIO_4HR_1", "NURSE_TO_PATIENT_RATIO_4HR_2", "NURS
            "UNIT_NORM_RATIO_4HR_1", "UNIT_NORM_RATIO_4HR_2", "UNIT_NORM_RATIO_4HR_3",
            "AVG_NURSE_TO_PATIENT_RATIO", "AVG_UNIT_NORM_RATIO")
 
+_OBS = ("AVG_DISCHARGE_TO_NURSE_RATIO", "DISCHARGE_UNIT_NORM_RATIO", "AVG_NURSE_TO_PATIENT_RATIO",
+        "PATIENT_UNIT_NORM_RATIO", "VIEW_VAL", "ERROR_VAL")
+
 # Double columns per query: both sides round them to 6 places before hashing.
 DOUBLES: dict[str, tuple[str, ...]] = {
     "labs_subset": ("VALUENUM",),
@@ -175,6 +221,11 @@ DOUBLES: dict[str, tuple[str, ...]] = {
     "latest_lab_error": ("ERROR_VAL",),
     "latest_per_subject_view": ("VIEW_VAL",),
     "latest_per_subject_error": ("ERROR_VAL",),
+    "observations": _OBS,
+    "head_rows": _OBS,
+    "slice_rows": _RATIO5,
+    "last_unit_labs": ("VIEW_VAL", "ERROR_VAL"),
+    "subject_lookup": ("VIEW_VAL", "ERROR_VAL"),
 }
 
 

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wardflow.config import EVENTS_GRID, GridSpec
 from wardflow.operators import labs as L, observations as O, ratios as R, summaries as S
-from wardflow.operators import timeblocks as tb
+from wardflow.operators import ordering as T, timeblocks as tb
+from pyspark.sql import functions as F
 from wardflow.sources import events_view as ev
 from wardflow.sources.tables import Tables
 
@@ -74,3 +75,20 @@ class EventsStudy:
     def tested_counts_by_unit(self) -> DataFrame:
         return S.tested_counts_by_unit(self.last_unit_labs(),
                                        {f"{p}_VAL": f"{p.title()}_Count" for p, _ in TESTS})
+
+    def subject_lookup(self, subject_id: int) -> DataFrame:
+        """one subject's last units and latest tests (filter reaches the scans)."""
+        return self.last_unit_labs().where(F.col("SUBJECT_ID") == subject_id)
+
+    def unit_labels(self, prefix: str = "VIEW") -> DataFrame:
+        """distinct units and non-null counts of the per-subject latest test."""
+        d = self.latest_per_subject(prefix)
+        return d.agg(F.count_distinct(f"{prefix}_UNIT").alias("DISTINCT_UNITS"),
+                     F.count(f"{prefix}_VAL").alias("N_VALUES"),
+                     F.count(f"{prefix}_UNIT").alias("N_UNITS"))
+
+    def head_rows(self, n: int = 5) -> DataFrame:
+        return T.head_rows(self.observations(), ["SUBJECT_ID", "HADM_ID", "TIME_BLOCK_12HR"], n)
+
+    def slice_rows(self, start: int = 10, stop: int = 16) -> DataFrame:
+        return T.slice_rows(self.discharge_ratio(), ["CURR_CAREUNIT", "TIME_BLOCK_12HR"], start, stop)

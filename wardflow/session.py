@@ -16,6 +16,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     b = (SparkSession.builder.appName(app)
          .master(master or f"local[{cpus}]")
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.ansi.enabled", "true")
          .config("spark.sql.adaptive.enabled", "true")
