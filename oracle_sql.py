@@ -8,7 +8,7 @@ closed forms used by the Spark plans rather than repeating them.
 from __future__ import annotations
 
 from wardflow.config import EVENTS_GRID as G
-from wardflow.sources import events_view as ev
+from wardflow.sources import events_view as ev, retail_view as rv
 
 END = f"TIMESTAMP '{G.end_sql}'"
 SUB = f"to_microseconds({G.sub_us})"
@@ -167,7 +167,18 @@ last_unit AS (
   LEFT JOIN o9_ERROR e ON l.SUBJECT_ID = e.SUBJECT_ID)"""
 
 
+def _retail(body: str) -> str:
+    return f"WITH {rv.ORACLE_CTES}\n{body}"
+
+
 SQL: dict[str, str] = {
+    "cohort_select": _retail("SELECT * FROM cohort"),
+    "latest_end_per_stay": _retail("SELECT * FROM discharges"),
+    "required_lab_semi": _retail("SELECT * FROM tested"),
+    "cohort_subject_count": _retail(
+        "SELECT CAST(count(DISTINCT SUBJECT_ID) + max(CASE WHEN SUBJECT_ID IS NULL THEN 1 ELSE 0 END) "
+        "AS BIGINT) AS N_SUBJECTS FROM cohort"),
+    "staff_assignments": _retail("SELECT * FROM staff_assign"),
     "event_stays": _with("SELECT * FROM stays"),
     "expand_stays": _with("SELECT * FROM pexp"),
     "expand_staff": _with("SELECT * FROM nexp"),
