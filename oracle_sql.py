@@ -167,11 +167,72 @@ last_unit AS (
   LEFT JOIN o9_ERROR e ON l.SUBJECT_ID = e.SUBJECT_ID)"""
 
 
+def _profile_nulls() -> str:
+    from wardflow.sources.schemas import TABLE_DDL, column_names
+    parts = []
+    for t, ddl in TABLE_DDL.items():
+        for c, typ in zip(column_names(ddl), [x.strip().split()[1] for x in _split(ddl)]):
+            miss = f"{c} IS NULL OR isnan({c})" if typ in ("DOUBLE", "FLOAT") else f"{c} IS NULL"
+            parts.append(f"SELECT '{t}' AS TABLE_NAME, '{c}' AS COLUMN_NAME, "
+                         f"CAST(count(*) FILTER (WHERE {miss}) AS BIGINT) AS NULL_COUNT FROM {t}")
+    return "SELECT * FROM (\n" + "\nUNION ALL\n".join(parts) + "\n) q WHERE NULL_COUNT > 0"
+
+
+def _split(ddl: str) -> list[str]:
+    out, depth, cur = [], 0, ""
+    for ch in ddl:
+        depth += ch == "<"
+        depth -= ch == ">"
+        if ch == "," and depth == 0:
+            out.append(cur)
+            cur = ""
+        else:
+            cur += ch
+    return out + [cur]
+
+
+def _profile_duplicates() -> str:
+    from wardflow.plans.profiling import KEYS
+    from wardflow.sources.schemas import TABLES
+    parts = [f"SELECT '{t}' AS TABLE_NAME, CAST(count(*) AS BIGINT) AS ROW_COUNT, "
+             f"CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {t})) AS BIGINT) AS DUPLICATE_ROWS, "
+             f"'{','.join(KEYS[t]) if t in KEYS else 'None'}' AS PRIMARY_KEYS FROM {t}" for t in TABLES]
+    return "\nUNION ALL\n".join(parts)
+
+
+def _key_uniqueness() -> str:
+    from wardflow.plans.profiling import KEYS
+    parts = []
+    for t, k in KEYS.items():
+        ks = ", ".join(k)
+        nul = " OR ".join(f"{c} IS NULL" for c in k)
+        parts.append(f"SELECT '{t}' AS TABLE_NAME, '{','.join(k)}' AS KEY_COLUMNS, "
+                     f"CAST(sum(n) AS BIGINT) AS ROW_COUNT, CAST(count(*) AS BIGINT) AS DISTINCT_KEYS, "
+                     f"CAST(count(*) FILTER (WHERE n > 1) AS BIGINT) AS DUPLICATED_KEYS, "
+                     f"CAST(coalesce(sum(n) FILTER (WHERE {nul}), 0) AS BIGINT) AS NULL_KEY_ROWS "
+                     f"FROM (SELECT {ks}, count(*) AS n FROM {t} GROUP BY {ks}) q")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _orphan_keys() -> str:
+    from wardflow.plans.profiling import FOREIGN_KEYS
+    parts = [f"SELECT '{c}' AS CHILD_TABLE, '{cc}' AS CHILD_COLUMN, '{p}' AS PARENT_TABLE, "
+             f"'{pc}' AS PARENT_COLUMN, CAST(count(*) AS BIGINT) AS CHILD_ROWS, "
+             f"CAST(count(*) FILTER (WHERE {cc} IS NOT NULL AND {cc} NOT IN (SELECT {pc} FROM {p} "
+             f"WHERE {pc} IS NOT NULL)) AS BIGINT) AS ORPHAN_ROWS FROM {c}"
+             for c, cc, p, pc in FOREIGN_KEYS]
+    return "\nUNION ALL\n".join(parts)
+
+
 def _retail(body: str) -> str:
     return f"WITH {rv.ORACLE_CTES}\n{body}"
 
 
 SQL: dict[str, str] = {
+    "profile_nulls": _profile_nulls(),
+    "profile_duplicates": _profile_duplicates(),
+    "key_uniqueness": _key_uniqueness(),
+    "orphan_keys": _orphan_keys(),
     "cohort_select": _retail("SELECT * FROM cohort"),
     "latest_end_per_stay": _retail("SELECT * FROM discharges"),
     "required_lab_semi": _retail("SELECT * FROM tested"),
