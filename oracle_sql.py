@@ -224,11 +224,83 @@ def _orphan_keys() -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+def _clean(src: str, keys: list[str], y: str) -> str:
+    cond = " AND ".join([f"{k} IS NOT NULL" for k in keys] + [f"{y} IS NOT NULL", f"NOT isnan({y})"])
+    ks = "".join(f"{k}, " for k in keys)
+    return f"SELECT {ks}CAST({y} AS DOUBLE) AS y FROM {src} WHERE {cond}"
+
+
+def _scatter(src: str, keys: list[str], y: str) -> str:
+    return f"SELECT * RENAME (y AS Y) FROM ({_clean(src, keys, y)}) q"
+
+
+def _stats(src: str, keys: list[str], y: str) -> str:
+    ks = ", ".join(keys)
+    return (f"SELECT {ks}, avg(y) AS MEAN, count(y) AS N, stddev_samp(y) AS STDDEV "
+            f"FROM ({_clean(src, keys, y)}) d GROUP BY {ks}")
+
+
+def _box(src: str, keys: list[str], y: str) -> str:
+    ks = ", ".join(keys)
+    inside = "y >= Q1 - 1.5 * (Q3 - Q1) AND y <= Q3 + 1.5 * (Q3 - Q1)"
+    return f"""SELECT {ks}, Q1, MEDIAN, Q3, min(y) FILTER (WHERE {inside}) AS WHISKER_LOW,
+  max(y) FILTER (WHERE {inside}) AS WHISKER_HIGH, count(*) FILTER (WHERE NOT ({inside})) AS OUTLIERS,
+  count(*) AS N
+FROM ({_clean(src, keys, y)}) d JOIN (
+  SELECT {ks}, quantile_cont(y, 0.25) AS Q1, quantile_cont(y, 0.5) AS MEDIAN, quantile_cont(y, 0.75) AS Q3
+  FROM ({_clean(src, keys, y)}) d0 GROUP BY {ks}) q USING ({ks})
+GROUP BY {ks}, Q1, MEDIAN, Q3"""
+
+
+def _hist(src: str, keys: list[str], y: str, bins: int) -> str:
+    ks = "".join(f"{k}, " for k in keys)
+    gb = f"GROUP BY {', '.join(keys)}" if keys else ""
+    using = f"USING ({', '.join(keys)})" if keys else "ON TRUE"
+    return f"""SELECT {"".join(f"st.{k}, " for k in keys)}CAST(b.i AS INTEGER) AS BIN,
+  lo + b.i * ((hi - lo) / {float(bins)}) AS BIN_START, lo + (b.i + 1) * ((hi - lo) / {float(bins)}) AS BIN_END,
+  CAST(coalesce(c.n, 0) AS BIGINT) AS COUNT
+FROM (SELECT {ks}CASE WHEN min(y) = max(y) THEN min(y) - 0.5 ELSE min(y) END AS lo,
+             CASE WHEN min(y) = max(y) THEN max(y) + 0.5 ELSE max(y) END AS hi
+      FROM ({_clean(src, keys, y)}) d {gb}) st
+CROSS JOIN range({bins}) b(i)
+LEFT JOIN (
+  SELECT {"".join(f"d.{k}, " for k in keys)}LEAST(CAST(floor((y - lo) / ((hi - lo) / {float(bins)})) AS INTEGER), {bins - 1}) AS BIN,
+         count(*) AS n
+  FROM ({_clean(src, keys, y)}) d JOIN (
+    SELECT {ks}CASE WHEN min(y) = max(y) THEN min(y) - 0.5 ELSE min(y) END AS lo,
+           CASE WHEN min(y) = max(y) THEN max(y) + 0.5 ELSE max(y) END AS hi
+    FROM ({_clean(src, keys, y)}) d1 {gb}) s2 {using}
+  GROUP BY ALL) c ON c.BIN = b.i {"".join(f" AND c.{k} = st.{k}" for k in keys)}"""
+
+
+def _density(src: str, y: str, gridsize: int = 200, cut: float = 3.0) -> str:
+    return f"""SELECT CAST(p.i AS INTEGER) AS POINT, a + p.i * step AS X,
+  sum(exp(-0.5 * ((a + p.i * step - y) / bw) * ((a + p.i * step - y) / bw))) * ({1.0 / (2 * 3.141592653589793) ** 0.5!r} / (n * bw)) AS DENSITY
+FROM ({_clean(src, [], y)}) d,
+  (SELECT *, lo - {cut} * bw AS a, (hi - lo + {2 * cut} * bw) / {float(gridsize - 1)} AS step FROM (
+     SELECT *, pow(CAST(n AS DOUBLE), -0.2) * sd AS bw FROM (
+       SELECT min(y) AS lo, max(y) AS hi, count(*) AS n, stddev_samp(y) AS sd
+       FROM ({_clean(src, [], y)}) d0) s0 WHERE n > 1 AND sd > 0) s1) st,
+  range({gridsize}) p(i)
+GROUP BY p.i, a, step, n, bw"""
+
+
 def _retail(body: str) -> str:
     return f"WITH {rv.ORACLE_CTES}\n{body}"
 
 
+U, B = "CURR_CAREUNIT", "TIME_BLOCK_12HR"
 SQL: dict[str, str] = {
+    "chart_scatter": _with(_o5_ctes() + "\n" + _scatter("o5", [B, U], "AVG_DISCHARGE_TO_NURSE_RATIO")),
+    "chart_box": _with(_o6_ctes() + "\n" + _box("o6", [U], "AVG_NURSE_TO_PATIENT_RATIO")),
+    "chart_bar": _with_latest(LAST_UNIT + "\n" + _stats("last_unit", [U], "VIEW_VAL")),
+    "chart_line": _with_all("," + OBS + "\n" + _stats("obs", [B, U], "VIEW_VAL")),
+    "chart_hist": _with_latest("\n" + _hist("o9_VIEW", [], "VIEW_VAL", 50)),
+    "chart_density": _with_latest("\n" + _density("o9_VIEW", "VIEW_VAL")),
+    "chart_facet_scatter": _with(_o6_ctes() + "\n" + _scatter("o6", [U, B], "AVG_NURSE_TO_PATIENT_RATIO")),
+    "chart_facet_line": _with_all("," + OBS + "\n" + _stats("obs", [U, B], "ERROR_VAL")),
+    "chart_facet_box": _with_all("," + OBS + "\n" + _box("obs", [U, B], "VIEW_VAL")),
+    "chart_facet_hist": _with_all("," + OBS + "\n" + _hist("obs", [U], "VIEW_VAL", 30)),
     "profile_nulls": _profile_nulls(),
     "profile_duplicates": _profile_duplicates(),
     "key_uniqueness": _key_uniqueness(),
@@ -298,6 +370,16 @@ DOUBLES: dict[str, tuple[str, ...]] = {
     "slice_rows": _RATIO5,
     "last_unit_labs": ("VIEW_VAL", "ERROR_VAL"),
     "subject_lookup": ("VIEW_VAL", "ERROR_VAL"),
+    "chart_scatter": ("Y",),
+    "chart_facet_scatter": ("Y",),
+    "chart_box": ("Q1", "MEDIAN", "Q3", "WHISKER_LOW", "WHISKER_HIGH"),
+    "chart_facet_box": ("Q1", "MEDIAN", "Q3", "WHISKER_LOW", "WHISKER_HIGH"),
+    "chart_bar": ("MEAN", "STDDEV"),
+    "chart_line": ("MEAN", "STDDEV"),
+    "chart_facet_line": ("MEAN", "STDDEV"),
+    "chart_hist": ("BIN_START", "BIN_END"),
+    "chart_facet_hist": ("BIN_START", "BIN_END"),
+    "chart_density": ("X", "DENSITY"),
 }
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wardflow.config import EVENTS_GRID, GridSpec
 from wardflow.operators import labs as L, observations as O, ratios as R, summaries as S
-from wardflow.operators import ordering as T, timeblocks as tb
+from wardflow.operators import chartdata as V, ordering as T, timeblocks as tb
 from pyspark.sql import functions as F
 from wardflow.sources import events_view as ev
 from wardflow.sources.tables import Tables
@@ -92,3 +92,38 @@ class EventsStudy:
 
     def slice_rows(self, start: int = 10, stop: int = 16) -> DataFrame:
         return T.slice_rows(self.discharge_ratio(), ["CURR_CAREUNIT", "TIME_BLOCK_12HR"], start, stop)
+
+    # --- chart-ready aggregates (V1-V6) ---
+
+    def chart_scatter(self) -> DataFrame:
+        return V.scatter_points(self.discharge_ratio(), "TIME_BLOCK_12HR", "AVG_DISCHARGE_TO_NURSE_RATIO",
+                                hue="CURR_CAREUNIT")
+
+    def chart_box(self) -> DataFrame:
+        return V.box_stats(self.patient_ratio(), "CURR_CAREUNIT", "AVG_NURSE_TO_PATIENT_RATIO",
+                           hue="CURR_CAREUNIT")
+
+    def chart_bar(self) -> DataFrame:
+        return V.group_stats(self.last_unit_labs(), "CURR_CAREUNIT", "VIEW_VAL", hue="CURR_CAREUNIT")
+
+    def chart_line(self) -> DataFrame:
+        return V.group_stats(self.observations(), "TIME_BLOCK_12HR", "VIEW_VAL", hue="CURR_CAREUNIT")
+
+    def chart_hist(self) -> DataFrame:
+        return V.histogram(self.latest_per_subject("VIEW"), "VIEW_VAL", 50)
+
+    def chart_density(self) -> DataFrame:
+        return V.density(self.latest_per_subject("VIEW"), "VIEW_VAL")
+
+    def chart_facet_scatter(self) -> DataFrame:
+        return V.scatter_points(self.patient_ratio(), "TIME_BLOCK_12HR", "AVG_NURSE_TO_PATIENT_RATIO",
+                                facet="CURR_CAREUNIT")
+
+    def chart_facet_line(self) -> DataFrame:
+        return V.group_stats(self.observations(), "TIME_BLOCK_12HR", "ERROR_VAL", facet="CURR_CAREUNIT")
+
+    def chart_facet_box(self) -> DataFrame:
+        return V.box_stats(self.observations(), "TIME_BLOCK_12HR", "VIEW_VAL", facet="CURR_CAREUNIT")
+
+    def chart_facet_hist(self) -> DataFrame:
+        return V.histogram(self.observations(), "VIEW_VAL", 30, by=["CURR_CAREUNIT"])
