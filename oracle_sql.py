@@ -318,6 +318,14 @@ SQL: dict[str, str] = {
     "event_staff_ratio": _with(_o5_ctes() + "\nSELECT * FROM o5"),
     "staff_subject_ratio": _with(_o6_ctes() + "\nSELECT * FROM o6"),
     "labs_subset": _with("SELECT * FROM labsub"),
+    "csv_roundtrip": _with(_o5_ctes() + "\nSELECT * FROM o5"),
+    "stage_metrics": _with(
+        _o5_ctes() + _o6_ctes() +
+        "\nSELECT 'expanded_patients' AS STAGE, CAST(count(*) AS BIGINT) AS ROW_COUNT FROM pexp "
+        "UNION ALL SELECT 'expanded_nurses', count(*) FROM nexp "
+        "UNION ALL SELECT 'discharge_ratio', count(*) FROM o5 "
+        "UNION ALL SELECT 'patient_ratio', count(*) FROM o6 "
+        "UNION ALL SELECT 'labs_subset', count(*) FROM labsub"),
     "latest_lab_view": _with_latest(
         "SELECT SUBJECT_ID, HADM_ID, TIME_BLOCK_12HR, VIEW_VAL, VIEW_UNIT FROM o8_VIEW"),
     "latest_lab_error": _with_latest(
@@ -370,6 +378,7 @@ DOUBLES: dict[str, tuple[str, ...]] = {
     "slice_rows": _RATIO5,
     "last_unit_labs": ("VIEW_VAL", "ERROR_VAL"),
     "subject_lookup": ("VIEW_VAL", "ERROR_VAL"),
+    "csv_roundtrip": _RATIO5,
     "chart_scatter": ("Y",),
     "chart_facet_scatter": ("Y",),
     "chart_box": ("Q1", "MEDIAN", "Q3", "WHISKER_LOW", "WHISKER_HIGH"),

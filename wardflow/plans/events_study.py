@@ -1,4 +1,4 @@
-"""The study on the driver's events table: every stage as a lazy DataFrame."""
+"""The study on the driver's events table."""
 
 from __future__ import annotations
 
@@ -7,9 +7,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from wardflow.config import EVENTS_GRID, GridSpec
-from wardflow.operators import labs as L, observations as O, ratios as R, summaries as S
-from wardflow.operators import chartdata as V, ordering as T, timeblocks as tb
-from pyspark.sql import functions as F
+from wardflow.plans.study import Study
 from wardflow.sources import events_view as ev
 from wardflow.sources.tables import Tables
 
@@ -17,8 +15,8 @@ from wardflow.sources.tables import Tables
 TESTS = (("VIEW", "view"), ("ERROR", "error"))
 
 
-class EventsStudy:
-    """Lazily built stages of the study over one scale-factor folder."""
+class EventsStudy(Study):
+    tests = TESTS
 
     def __init__(self, spark: SparkSession, sf_dir: str, grid: GridSpec = EVENTS_GRID):
         self.t = Tables(spark, sf_dir)
@@ -35,95 +33,3 @@ class EventsStudy:
     @cached_property
     def labs(self) -> DataFrame:
         return ev.labs(self.t)
-
-    def expanded_stays(self) -> DataFrame:
-        return tb.expand_stays(self.stays, self.grid)
-
-    def expanded_staff(self) -> DataFrame:
-        return tb.expand_staff(self.staff, self.grid)
-
-    def discharge_ratio(self) -> DataFrame:
-        return R.discharge_to_nurse_ratio(self.stays, self.staff, self.grid)
-
-    def patient_ratio(self) -> DataFrame:
-        return R.nurse_to_patient_ratio(self.stays, self.staff, self.grid)
-
-    def lab_subset(self) -> DataFrame:
-        return L.subset_labs(self.stays, self.labs, tuple(n for _, n in TESTS))
-
-    def latest_lab(self, prefix: str) -> DataFrame:
-        name = dict(TESTS)[prefix]
-        return L.latest_lab(self.stays, self.lab_subset(), self.grid, name, prefix)
-
-    def latest_per_subject(self, prefix: str) -> DataFrame:
-        name = dict(TESTS)[prefix]
-        return L.latest_per_subject(self.stays, self.lab_subset(), self.grid, name, prefix)
-
-    def observations(self) -> DataFrame:
-        return O.observations(self.stays, self.staff, self.labs, self.grid, TESTS)
-
-    def staff_block_counts(self) -> DataFrame:
-        return S.staff_block_counts(self.staff, self.grid)
-
-    def subject_block_counts(self) -> DataFrame:
-        return S.subject_block_counts(self.stays, self.grid)
-
-    def last_unit_labs(self) -> DataFrame:
-        latest = {p: self.latest_per_subject(p) for p, _ in TESTS}
-        return S.last_unit_with_labs(self.stays, self.grid, latest)
-
-    def tested_counts_by_unit(self) -> DataFrame:
-        return S.tested_counts_by_unit(self.last_unit_labs(),
-                                       {f"{p}_VAL": f"{p.title()}_Count" for p, _ in TESTS})
-
-    def subject_lookup(self, subject_id: int) -> DataFrame:
-        """one subject's last units and latest tests (filter reaches the scans)."""
-        return self.last_unit_labs().where(F.col("SUBJECT_ID") == subject_id)
-
-    def unit_labels(self, prefix: str = "VIEW") -> DataFrame:
-        """distinct units and non-null counts of the per-subject latest test."""
-        d = self.latest_per_subject(prefix)
-        return d.agg(F.count_distinct(f"{prefix}_UNIT").alias("DISTINCT_UNITS"),
-                     F.count(f"{prefix}_VAL").alias("N_VALUES"),
-                     F.count(f"{prefix}_UNIT").alias("N_UNITS"))
-
-    def head_rows(self, n: int = 5) -> DataFrame:
-        return T.head_rows(self.observations(), ["SUBJECT_ID", "HADM_ID", "TIME_BLOCK_12HR"], n)
-
-    def slice_rows(self, start: int = 10, stop: int = 16) -> DataFrame:
-        return T.slice_rows(self.discharge_ratio(), ["CURR_CAREUNIT", "TIME_BLOCK_12HR"], start, stop)
-
-    # --- chart-ready aggregates (V1-V6) ---
-
-    def chart_scatter(self) -> DataFrame:
-        return V.scatter_points(self.discharge_ratio(), "TIME_BLOCK_12HR", "AVG_DISCHARGE_TO_NURSE_RATIO",
-                                hue="CURR_CAREUNIT")
-
-    def chart_box(self) -> DataFrame:
-        return V.box_stats(self.patient_ratio(), "CURR_CAREUNIT", "AVG_NURSE_TO_PATIENT_RATIO",
-                           hue="CURR_CAREUNIT")
-
-    def chart_bar(self) -> DataFrame:
-        return V.group_stats(self.last_unit_labs(), "CURR_CAREUNIT", "VIEW_VAL", hue="CURR_CAREUNIT")
-
-    def chart_line(self) -> DataFrame:
-        return V.group_stats(self.observations(), "TIME_BLOCK_12HR", "VIEW_VAL", hue="CURR_CAREUNIT")
-
-    def chart_hist(self) -> DataFrame:
-        return V.histogram(self.latest_per_subject("VIEW"), "VIEW_VAL", 50)
-
-    def chart_density(self) -> DataFrame:
-        return V.density(self.latest_per_subject("VIEW"), "VIEW_VAL")
-
-    def chart_facet_scatter(self) -> DataFrame:
-        return V.scatter_points(self.patient_ratio(), "TIME_BLOCK_12HR", "AVG_NURSE_TO_PATIENT_RATIO",
-                                facet="CURR_CAREUNIT")
-
-    def chart_facet_line(self) -> DataFrame:
-        return V.group_stats(self.observations(), "TIME_BLOCK_12HR", "ERROR_VAL", facet="CURR_CAREUNIT")
-
-    def chart_facet_box(self) -> DataFrame:
-        return V.box_stats(self.observations(), "TIME_BLOCK_12HR", "VIEW_VAL", facet="CURR_CAREUNIT")
-
-    def chart_facet_hist(self) -> DataFrame:
-        return V.histogram(self.observations(), "VIEW_VAL", 30, by=["CURR_CAREUNIT"])

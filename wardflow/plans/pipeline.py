@@ -1,0 +1,49 @@
+"""The whole cohort pipeline — every stage written, with row counts.
+
+Shared inputs (stays, shifts, attributed labs) are written once to the
+cluster's shared folder and re-read, so each later stage starts from files
+rather than re-running the event scan, and a lost executor costs only its
+own tasks.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+
+from wardflow.plans.events_study import TESTS, EventsStudy
+from wardflow.plans.metrics import metrics_frame, write_observed
+from wardflow.session import shared_dir
+from wardflow.sources.sinks import materialise
+
+
+def materialised_study(spark: SparkSession, sf_dir: str) -> EventsStudy:
+    study = EventsStudy(spark, sf_dir)
+    base = shared_dir(spark, "wardflow-stage")
+    study.__dict__["stays"] = materialise(spark, study.stays, f"{base}/stays")
+    study.__dict__["staff"] = materialise(spark, study.staff, f"{base}/staff")
+    study.__dict__["labs"] = materialise(spark, study.labs, f"{base}/labs")
+    return study
+
+
+def stages(study: EventsStudy) -> dict:
+    out = {
+        "expanded_patients": study.expanded_stays(),
+        "expanded_nurses": study.expanded_staff(),
+        "discharge_ratio": study.discharge_ratio(),
+        "patient_ratio": study.patient_ratio(),
+        "labs_subset": study.lab_subset(),
+    }
+    for p, _ in TESTS:
+        out[f"lab_results_{p.lower()}"] = study.latest_lab(p)
+    for p, _ in TESTS:
+        out[f"latest_{p.lower()}"] = study.latest_per_subject(p)
+    out["observations"] = study.observations()
+    return out
+
+
+def run(spark: SparkSession, sf_dir: str, out_dir: str | None = None, fmt: str = "csv"):
+    """Run every stage; returns (output folder, (STAGE, ROW_COUNT) DataFrame)."""
+    out_dir = out_dir or shared_dir(spark, "wardflow-output")
+    study = materialised_study(spark, sf_dir)
+    counts = {name: write_observed(df, name, f"{out_dir}/{name}", fmt) for name, df in stages(study).items()}
+    return out_dir, metrics_frame(spark, counts)
