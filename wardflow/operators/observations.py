@@ -38,7 +38,10 @@ def observations(cohort: DataFrame, staff: DataFrame, labs: DataFrame, grid: Gri
         F.col("AVG_UNIT_NORM_RATIO").alias("PATIENT_UNIT_NORM_RATIO"))
     out = base.join(o5, [C.UNIT, C.B12], "left").join(o6, [C.UNIT, C.B12], "left")
     subset = L.subset_labs(cohort, labs, tuple(name for _, name in tests), lab_dictionary)
+    cols = [C.SUBJECT_ID, C.HADM_ID, C.UNIT, C.B12, "AVG_DISCHARGE_TO_NURSE_RATIO",
+            "DISCHARGE_UNIT_NORM_RATIO", "AVG_NURSE_TO_PATIENT_RATIO", "PATIENT_UNIT_NORM_RATIO"]
     for prefix, name in tests:
         out = out.join(L.latest_lab(cohort, subset, grid, name, prefix),
                        [C.SUBJECT_ID, C.HADM_ID, C.B12], "left")
-    return out
+        cols += [f"{prefix}_VAL", f"{prefix}_UNIT"]
+    return out.select(*cols)
