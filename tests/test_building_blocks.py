@@ -62,3 +62,27 @@ def test_events_stays_discharge_is_next_purchase(spark):
         if r["event_type"] == "signup":
             later = [p for p in buys.get(r["user_id"], []) if p > r["ts"]]
             assert stays[r["event_id"]] == (min(later) if later else None)
+
+
+def test_episode_scan_matches_brute_force(spark):
+    from wardflow.functions.scan import episode_scan
+    rnd = random.Random(11)
+    t0 = datetime(2024, 1, 1)
+    rows = []
+    for i in range(800):
+        key = 0 if rnd.random() < 0.35 else rnd.randint(1, 6)           # one hot key
+        ts = t0 + timedelta(minutes=rnd.randint(0, 60 * 30))            # ties, many buckets
+        rows.append((key, i, ts, rnd.choice([0, 1, 1, 2, 2])))         # 0 end, 1 start, 2 other
+    df = spark.createDataFrame(rows, "k BIGINT, id BIGINT, ts TIMESTAMP_NTZ, kind INT")
+    got = episode_scan(df, "k", "ts", [F.col("kind"), F.col("id")], F.col("kind") == 0,
+                       F.col("kind") == 1, bucket_us=3_600_000_000)
+    got = {r["id"]: (r["S"], r["S_open"], r["NEXT_END"]) for r in got.collect()}
+    for k in {r[0] for r in rows}:
+        seq = sorted((r for r in rows if r[0] == k), key=lambda r: (r[2], r[3], r[1]))
+        s = s_open = 0
+        for i, r in enumerate(seq):
+            s += r[3] == 1
+            if r[3] == 0:
+                s_open = s
+            nxt = next((q[2] for q in seq[i + 1:] if q[3] == 0), None)
+            assert got[r[1]] == (s, s_open, nxt), r

@@ -22,9 +22,13 @@ class EventsStudy(Study):
         self.t = Tables(spark, sf_dir)
         self.grid = grid
 
+    @cached_property
+    def ordered(self) -> DataFrame:
+        return ev.ordered_events(self.t)
+
     @cached_property
     def stays(self) -> DataFrame:
-        return ev.stays(self.t)
+        return ev.stays(self.t, self.ordered)
 
     @cached_property
     def staff(self) -> DataFrame:
@@ -32,4 +36,4 @@ class EventsStudy(Study):
 
     @cached_property
     def labs(self) -> DataFrame:
-        return ev.labs(self.t)
+        return ev.labs(self.t, self.ordered)

@@ -10,10 +10,9 @@
   unit of measure = label = event type.
 
 Stays and lab attribution come from one ordered pass over the user's
-signup, purchase and lab events (``running_counts``): with P = purchases so
-far and S = signups so far, a signup is discharged by purchase number P+1,
-and a lab lies in exactly the stays numbered (S at purchase P, S] when a
-purchase P+1 exists.  Everything is
+signup, purchase and lab events (``episode_scan``): a signup's discharge is
+the next purchase in the order, and a lab lies in exactly the stays
+numbered (S at the last purchase, S] when a next purchase exists.  Everything is
 an equi-join on unique keys; no pairs are built and filtered.
 """
 
@@ -22,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from wardflow import config as C
-from wardflow.functions.scan import running_counts, HOUR_US
+from wardflow.functions.scan import HOUR_US, episode_scan
 from wardflow.functions.timegrid import add_micros
 from wardflow.sources.tables import Tables
 
@@ -40,7 +39,13 @@ def _segments(t: Tables) -> DataFrame:
                                 F.col("c_mktsegment").alias(C.UNIT))
 
 
-def _ordered(t: Tables, bucket_us: int = HOUR_US) -> DataFrame:
+def ordered_events(t: Tables, bucket_us: int = HOUR_US) -> DataFrame:
+    """Signup, purchase and lab events with their episode quantities (``episode_scan``).
+
+    At equal times purchases sort first, then signups, then labs, so a
+    purchase never discharges a signup of the same instant and a lab at a
+    discharge instant falls outside that stay.
+    """
     ev = (t["events"]
           .where(F.col("event_type").isin(STAY_EVENT, END_EVENT, *LAB_EVENTS))
           .select("user_id", "event_id", "ts", "event_type", "value"))
@@ -48,27 +53,16 @@ def _ordered(t: Tables, bucket_us: int = HOUR_US) -> DataFrame:
             .when(F.col("event_type") == STAY_EVENT, _KIND_STAY)
             .otherwise(_KIND_LAB))
     ev = ev.withColumn("_kind", kind)
-    return running_counts(
-        ev, "user_id", "ts", [F.col("_kind"), F.col("event_id")],
-        {"P": F.col("_kind") == _KIND_END, "S": F.col("_kind") == _KIND_STAY},
-        bucket_us)
+    return episode_scan(ev, "user_id", "ts", [F.col("_kind"), F.col("event_id")],
+                        F.col("_kind") == _KIND_END, F.col("_kind") == _KIND_STAY, bucket_us)
 
 
-def stays(t: Tables, bucket_us: int = HOUR_US) -> DataFrame:
+def stays(t: Tables, ordered: DataFrame | None = None) -> DataFrame:
     """Cohort-shaped stays: SUBJECT_ID, HADM_ID, CURR_CAREUNIT, ADMISSION_DATE, DISCHARGE_DATE."""
-    o = _ordered(t, bucket_us)
-    return _stays_from(o, t)
-
-
-def _stays_from(o: DataFrame, t: Tables) -> DataFrame:
-    ends = o.where(F.col("_kind") == _KIND_END).select(
-        "user_id", F.col("P").alias("_closes"), F.col("ts").alias(C.DISCHARGE))
-    signups = o.where(F.col("_kind") == _KIND_STAY).select(
-        "user_id", "event_id", "ts", (F.col("P") + 1).alias("_closes"))
-    s = (signups.join(ends, ["user_id", "_closes"], "left")
-         .join(_segments(t), "user_id", "left"))
+    o = ordered if ordered is not None else ordered_events(t)
+    s = o.where(F.col("_kind") == _KIND_STAY).join(_segments(t), "user_id", "left")
     return s.select(F.col("user_id").alias(C.SUBJECT_ID), F.col("event_id").alias(C.HADM_ID),
-                    C.UNIT, F.col("ts").alias(C.ADMIT), C.DISCHARGE)
+                    C.UNIT, F.col("ts").alias(C.ADMIT), F.col("NEXT_END").alias(C.DISCHARGE))
 
 
 def staff(t: Tables) -> DataFrame:
@@ -81,19 +75,18 @@ def staff(t: Tables) -> DataFrame:
                     F.col("ts").alias(C.START), add_micros(F.col("ts"), secs * 1_000_000).alias(C.END))
 
 
-def labs(t: Tables, bucket_us: int = HOUR_US) -> DataFrame:
-    """LABS-shaped rows with LABEL: one row per (lab event, stay containing it)."""
-    o = _ordered(t, bucket_us)
-    ends = o.where(F.col("_kind") == _KIND_END)
-    opens = ends.select("user_id", F.col("P"), F.col("S").alias("_s_lo"))
-    closes = ends.select("user_id", (F.col("P") - 1).alias("P"))
-    lab = (o.where(F.col("_kind") == _KIND_LAB)
-           .join(closes, ["user_id", "P"], "left_semi")          # the episode has a discharge
-           .join(opens, ["user_id", "P"], "left")
-           .withColumn("_s_lo", F.coalesce("_s_lo", F.lit(0).cast("bigint")))
-           .where(F.col("S") > F.col("_s_lo")))
+def labs(t: Tables, ordered: DataFrame | None = None) -> DataFrame:
+    """LABS-shaped rows with LABEL: one row per (lab event, stay containing it).
+
+    The stays containing a lab are the signups numbered (S_open, S] — those
+    since the last purchase — provided a later purchase discharges them.
+    The explode emits exactly the output pairs; the join is on a unique key.
+    """
+    o = ordered if ordered is not None else ordered_events(t)
+    lab = o.where((F.col("_kind") == _KIND_LAB) & F.col("NEXT_END").isNotNull()
+                  & (F.col("S") > F.col("S_open")))
     lab = lab.select("user_id", "event_id", "ts", "event_type", "value",
-                     F.explode(F.sequence(F.col("_s_lo") + 1, F.col("S"))).alias("_rank"))
+                     F.explode(F.sequence(F.col("S_open") + 1, F.col("S"))).alias("_rank"))
     signup_rank = o.where(F.col("_kind") == _KIND_STAY).select(
         "user_id", F.col("S").alias("_rank"), F.col("event_id").alias(C.HADM_ID))
     out = lab.join(signup_rank, ["user_id", "_rank"], "inner")
