@@ -40,7 +40,7 @@ def test_coverage_counts_match_brute_force(spark):
         f = rnd.randint(0, 50)
         rows.append((rnd.choice("ab"), f, f + rnd.randint(0, 12)))
     df = spark.createDataFrame(rows, "u STRING, f BIGINT, l BIGINT")
-    got = {(r["u"], r["slot"]): r["n"] for r in coverage_counts(df, "u", F.col("f"), F.col("l")).collect()}
+    got = {(r["u"], r["slot"]): r["n"] for r in coverage_counts(df, "u", "f", "l").collect()}
     want = {}
     for u, f, l in rows:
         for s in range(f, l + 1):

@@ -5,23 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
-def ratio_or_zero(num: Column, den: Column) -> Column:
+def ratio_or_zero_sql(num: str, den: str) -> str:
     """``num / den`` with division by zero giving 0 (reference: inf -> 0)."""
-    return F.coalesce(F.try_divide(num.cast("double"), den.cast("double")), F.lit(0.0))
+    return f"coalesce(try_divide(CAST({num} AS DOUBLE), CAST({den} AS DOUBLE)), 0D)"
 
 
-def ratio_or_null(num: Column, den: Column) -> Column:
+def ratio_or_null_sql(num: str, den: str) -> str:
     """``num / den``; NULL stands for the NaN of 0/0."""
-    return F.try_divide(num.cast("double"), den.cast("double"))
+    return f"try_divide(CAST({num} AS DOUBLE), CAST({den} AS DOUBLE))"
 
 
-def mean_skip_null(*cols: Column) -> Column:
+def mean_skip_null_sql(*cols: str) -> str:
     """Row-wise mean of the non-null values; NULL if all are null."""
-    total = None
-    count = None
-    for c in cols:
-        v = F.coalesce(c, F.lit(0.0))
-        n = F.when(c.isNull(), 0).otherwise(1)
-        total = v if total is None else total + v
-        count = n if count is None else count + n
-    return F.try_divide(total, count.cast("double"))
+    total = " + ".join(f"coalesce({c}, 0D)" for c in cols)
+    count = " + ".join(f"CASE WHEN {c} IS NULL THEN 0 ELSE 1 END" for c in cols)
+    return f"try_divide({total}, CAST({count} AS DOUBLE))"
+
+
+def ratio_or_zero(num: str, den: str) -> Column:
+    return F.expr(ratio_or_zero_sql(num, den))
+
+
+def ratio_or_null(num: str, den: str) -> Column:
+    return F.expr(ratio_or_null_sql(num, den))
+
+
+def mean_skip_null(*cols: str) -> Column:
+    return F.expr(mean_skip_null_sql(*cols))

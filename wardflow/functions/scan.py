@@ -22,7 +22,7 @@ def running_counts(df: DataFrame, key: str, ts: str, order: list[Column],
     whose flag is 1, per ``key`` in ``(ts, *order)`` order."""
     bk = "_bucket"
     flag_cols = {f"_f_{n}": c.cast("bigint") for n, c in flags.items()}
-    base = df.withColumn(bk, bucket_of(F.col(ts), bucket_us)).withColumns(flag_cols)
+    base = df.withColumn(bk, bucket_of(ts, bucket_us)).withColumns(flag_cols)
     inner = (Window.partitionBy(key, bk).orderBy(F.col(ts), *order)
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = base.withColumns({f"_l_{n}": F.sum(f"_f_{n}").over(inner) for n in flags})
@@ -49,7 +49,7 @@ def episode_scan(df: DataFrame, key: str, ts: str, order: list[Column], is_end:
     the start of the partition, so each window is a single linear pass.
     """
     bk = "_bucket"
-    base = (df.withColumn(bk, bucket_of(F.col(ts), bucket_us))
+    base = (df.withColumn(bk, bucket_of(ts, bucket_us))
             .withColumn("_e", is_end.cast("int")).withColumn("_s", is_start.cast("bigint")))
     asc = Window.partitionBy(key, bk).orderBy(F.col(ts), *order)
     desc = Window.partitionBy(key, bk).orderBy(F.col(ts).desc(), *[o.desc() for o in order])

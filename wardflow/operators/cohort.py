@@ -42,13 +42,13 @@ def select_cohort(diagnoses: DataFrame, icd_dictionary: DataFrame, transfers: Da
     admits = (transfers.where((F.col("EVENTTYPE") == spec.admit_event)
                               & (F.col("INTIME") >= F.lit(spec.month_start).cast("timestamp_ntz"))
                               & (F.col("INTIME") < F.lit(spec.month_end).cast("timestamp_ntz")))
-              .select(C.SUBJECT_ID, C.HADM_ID, C.UNIT, truncate_to_second(F.col("INTIME")).alias(C.ADMIT)))
+              .select(C.SUBJECT_ID, C.HADM_ID, C.UNIT, truncate_to_second("INTIME").alias(C.ADMIT)))
     out = (d.join(admits, [C.SUBJECT_ID, C.HADM_ID], "inner")
            .join(latest_discharge(transfers, spec), [C.SUBJECT_ID, C.HADM_ID], "left")
            .join(tested_admissions(labs, spec.required_lab_pattern, lab_dictionary),
                  [C.SUBJECT_ID, C.HADM_ID], "left_semi")
            .select(C.SUBJECT_ID, C.HADM_ID, C.ICD9_CODE, C.ICD_DESCRIPTION, C.UNIT, C.ADMIT,
-                   truncate_to_second(F.col(C.DISCHARGE)).alias(C.DISCHARGE))
+                   truncate_to_second(C.DISCHARGE).alias(C.DISCHARGE))
            .distinct())
     return out.orderBy(C.SUBJECT_ID, C.ADMIT) if ordered else out
 
@@ -73,5 +73,5 @@ def staff_assignments(transfers: DataFrame, team: DataFrame, caregivers: DataFra
     units = transfers.where(F.col(C.HADM_ID).isNotNull()).select(C.HADM_ID, C.UNIT).distinct()
     j = units.join(tm, C.HADM_ID, "inner")
     return j.select(C.UNIT, C.HADM_ID, C.CGID, C.LABEL,
-                    truncate_to_second(F.col(C.START)).alias(C.START),
-                    truncate_to_second(F.col(C.END)).alias(C.END)).distinct()
+                    truncate_to_second(C.START).alias(C.START),
+                    truncate_to_second(C.END).alias(C.END)).distinct()

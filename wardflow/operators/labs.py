@@ -43,8 +43,7 @@ def subset_labs(cohort: DataFrame, labs: DataFrame, patterns=("Troponin", "BNP")
 def stay_blocks(cohort: DataFrame, grid: GridSpec) -> DataFrame:
     """Distinct (SUBJECT_ID, HADM_ID, block index) of the expansion, with the admit time."""
     r = with_block_range(cohort, C.ADMIT, C.DISCHARGE, grid)
-    r = r.select(C.SUBJECT_ID, C.HADM_ID, C.ADMIT,
-                 F.explode(F.sequence(F.col(_FIRST), F.col(_LAST))).alias("_k"))
+    r = r.select(C.SUBJECT_ID, C.HADM_ID, C.ADMIT, F.expr(f"explode(sequence({_FIRST}, {_LAST}))").alias("_k"))
     return r.groupBy(C.SUBJECT_ID, C.HADM_ID, "_k").agg(F.max(C.ADMIT).alias(C.ADMIT))
 
 
@@ -54,7 +53,7 @@ def _latest_lab_with_admit(cohort: DataFrame, lab_subset: DataFrame, grid: GridS
     tests = lab_subset.where(regex_contains_ci(F.col(C.LABEL), test_name))
     order = F.struct(C.CHARTTIME, C.ITEMID, C.VALUENUM, C.VALUEUOM)
     # last non-null value and unit per (stay, block), each column on its own
-    per_block = (tests.withColumn("_k", slot_of(F.col(C.CHARTTIME), grid, grid.block_us))
+    per_block = (tests.withColumn("_k", slot_of(C.CHARTTIME, grid, grid.block_us))
                  .groupBy(C.SUBJECT_ID, C.HADM_ID, "_k")
                  .agg(F.max_by(C.VALUENUM, F.when(F.col(C.VALUENUM).isNotNull(), order)).alias(val),
                       F.max_by(C.VALUEUOM, F.when(F.col(C.VALUEUOM).isNotNull(), order)).alias(unit)))
@@ -63,7 +62,7 @@ def _latest_lab_with_admit(cohort: DataFrame, lab_subset: DataFrame, grid: GridS
     # forward fill along the stay's blocks (at most grid-size rows per stay)
     w = (Window.partitionBy(C.SUBJECT_ID, C.HADM_ID).orderBy("_k")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return j.select(C.SUBJECT_ID, C.HADM_ID, slot_start(F.col("_k"), grid, grid.block_us).alias(C.B12),
+    return j.select(C.SUBJECT_ID, C.HADM_ID, slot_start("_k", grid, grid.block_us).alias(C.B12),
                     F.last(val, ignorenulls=True).over(w).alias(val),
                     F.last(unit, ignorenulls=True).over(w).alias(unit), C.ADMIT)
 

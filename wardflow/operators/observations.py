@@ -15,9 +15,8 @@ def admission_blocks(cohort: DataFrame, grid: GridSpec) -> DataFrame:
     """Distinct (SUBJECT_ID, HADM_ID, CURR_CAREUNIT, TIME_BLOCK_12HR) of the expansion."""
     r = with_block_range(cohort, C.ADMIT, C.DISCHARGE, grid)
     r = r.select(C.SUBJECT_ID, C.HADM_ID, C.UNIT,
-                 F.explode(F.sequence(F.col(_FIRST), F.col(_LAST))).alias("_k")).distinct()
-    return r.select(C.SUBJECT_ID, C.HADM_ID, C.UNIT,
-                    slot_start(F.col("_k"), grid, grid.block_us).alias(C.B12))
+                 F.expr(f"explode(sequence({_FIRST}, {_LAST}))").alias("_k")).distinct()
+    return r.select(C.SUBJECT_ID, C.HADM_ID, C.UNIT, slot_start("_k", grid, grid.block_us).alias(C.B12))
 
 
 def observations(cohort: DataFrame, staff: DataFrame, labs: DataFrame, grid: GridSpec,

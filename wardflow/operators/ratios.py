@@ -8,12 +8,12 @@ positional pivot run on a table whose size is independent of the data.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from wardflow import config as C
 from wardflow.config import GridSpec
-from wardflow.functions.arith import mean_skip_null, ratio_or_null, ratio_or_zero
-from wardflow.functions.timegrid import slot_start
+from wardflow.functions.arith import mean_skip_null_sql, ratio_or_null_sql, ratio_or_zero_sql
+from wardflow.functions.timegrid import slot_start_sql
 from wardflow.operators import timeblocks as tb
 
 
@@ -25,72 +25,62 @@ def _staff_per_sub(staff: DataFrame, grid: GridSpec) -> DataFrame:
     """
     spb = grid.subs_per_block
     blocks = tb.shift_block_coverage(staff, grid)
-    return blocks.select(C.UNIT, F.explode(F.sequence(F.col("slot") * spb,
-                                                      F.col("slot") * spb + (spb - 1))).alias("slot"),
-                         F.col("n"))
+    return blocks.select(C.UNIT, F.expr(f"explode(sequence(slot * {spb}L, slot * {spb}L + {spb - 1}L))")
+                         .alias("slot"), "n")
 
 
 def unit_block_ratio(num: DataFrame, staff: DataFrame, grid: GridSpec, *, num_name: str,
-                     ratio_name: str, ratio_fn, num_zero_as=None,
-                     num_prefix: str, staff_prefix: str = "NURSES_4HR",
-                     ratio_prefix: str, avg_name: str) -> DataFrame:
-    """Shared plan of O5 and O6 over (unit, slot, n) count tables."""
+                     ratio_sql: str, num_zero_as=None, num_prefix: str,
+                     staff_prefix: str = "NURSES_4HR", ratio_prefix: str, avg_name: str) -> DataFrame:
+    """Shared plan of O5 and O6 over (unit, slot, n) count tables.
+
+    ``ratio_sql`` is an expression over ``{num_name}`` and ``num_nurses``.
+    """
     spb = grid.subs_per_block
-    merged = (num.select(C.UNIT, "slot", F.col("n").alias(num_name))
-              .join(staff.select(C.UNIT, "slot", F.col("n").alias("num_nurses")),
-                    [C.UNIT, "slot"], "full")
-              .fillna(0, subset=[num_name, "num_nurses"]))
+    n = F.coalesce(F.col(num_name), F.lit(0))
     if num_zero_as is not None:
-        merged = merged.withColumn(num_name, F.when(F.col(num_name) == 0, F.lit(num_zero_as))
-                                   .otherwise(F.col(num_name)))
-    merged = merged.withColumn("ratio", ratio_fn(F.col(num_name), F.col("num_nurses")))
+        n = F.when(n == 0, F.lit(num_zero_as)).otherwise(n)
+    merged = (num.select(C.UNIT, "slot", F.col("n").alias(num_name))
+              .join(staff.select(C.UNIT, "slot", F.col("n").alias("num_nurses")), [C.UNIT, "slot"], "full")
+              .select(C.UNIT, "slot", n.alias(num_name),
+                      F.coalesce(F.col("num_nurses"), F.lit(0)).alias("num_nurses")))
+    merged = merged.withColumn("ratio", F.expr(ratio_sql))
     unit_mean = merged.groupBy(C.UNIT).agg(F.avg("ratio").alias("_unit_mean"))
-    merged = (merged.join(unit_mean, C.UNIT)
-              .withColumn("norm", ratio_or_null(F.col("ratio"), F.col("_unit_mean")))
-              .withColumn("block", F.floor(F.col("slot") / spb).cast("bigint")))
-    pos = F.row_number().over(Window.partitionBy(C.UNIT, "block").orderBy("slot"))
-    merged = merged.withColumn("pos", pos)
-
-    def at(k: int, c: str) -> Column:
-        return F.max(F.when(F.col("pos") == k, F.col(c)))
-
-    aggs = [F.count(F.lit(1)).alias("_present")]
-    for k in range(1, spb + 1):
-        aggs += [at(k, num_name).alias(f"_n{k}"), at(k, "num_nurses").alias(f"_s{k}"),
-                 at(k, "ratio").alias(f"_r{k}"), at(k, "norm").alias(f"_u{k}")]
-    g = merged.groupBy(C.UNIT, "block").agg(*aggs)
-    cols = [C.UNIT, slot_start(F.col("block"), grid, grid.block_us).alias(C.B12)]
-    present = F.col("_present")
-    for k in range(1, spb + 1):
-        cols.append(F.coalesce(F.col(f"_n{k}"), F.lit(0)).cast("bigint").alias(f"{num_prefix}_{k}"))
-    for k in range(1, spb + 1):
-        cols.append(F.coalesce(F.col(f"_s{k}"), F.lit(0)).cast("bigint").alias(f"{staff_prefix}_{k}"))
-    for k in range(1, spb + 1):
-        cols.append(F.coalesce(F.col(f"_r{k}"), F.lit(0.0)).alias(f"{ratio_prefix}_{k}"))
+    merged = merged.join(unit_mean, C.UNIT).selectExpr(
+        C.UNIT, "slot", num_name, "num_nurses", "ratio",
+        f"{ratio_or_null_sql('ratio', '_unit_mean')} AS norm", f"slot div {spb}L AS block",
+        "row_number() OVER (PARTITION BY CURR_CAREUNIT, slot div %dL ORDER BY slot) AS pos" % spb)
+    aggs = ["count(1) AS _present"]
     for k in range(1, spb + 1):
-        # a missing slot is 0; a present slot keeps its (possibly NULL = NaN) norm
-        cols.append(F.when(present >= k, F.col(f"_u{k}")).otherwise(F.lit(0.0))
-                    .alias(f"UNIT_NORM_RATIO_4HR_{k}"))
-    out = g.select(*cols)
-    ratios = [F.col(f"{ratio_prefix}_{k}") for k in range(1, spb + 1)]
-    norms = [F.col(f"UNIT_NORM_RATIO_4HR_{k}") for k in range(1, spb + 1)]
-    return out.withColumns({avg_name: mean_skip_null(*ratios),
-                            "AVG_UNIT_NORM_RATIO": mean_skip_null(*norms)})
+        for src, dst in ((num_name, "n"), ("num_nurses", "s"), ("ratio", "r"), ("norm", "u")):
+            aggs.append(f"max(CASE WHEN pos = {k} THEN {src} END) AS _{dst}{k}")
+    g = merged.groupBy(C.UNIT, "block").agg(*[F.expr(a) for a in aggs])
+    ks = range(1, spb + 1)
+    cols = [C.UNIT, f"{slot_start_sql('block', grid, grid.block_us)} AS {C.B12}"]
+    cols += [f"CAST(coalesce(_n{k}, 0) AS BIGINT) AS {num_prefix}_{k}" for k in ks]
+    cols += [f"CAST(coalesce(_s{k}, 0) AS BIGINT) AS {staff_prefix}_{k}" for k in ks]
+    cols += [f"coalesce(_r{k}, 0D) AS {ratio_prefix}_{k}" for k in ks]
+    # a missing slot is 0; a present slot keeps its (possibly NULL = NaN) norm
+    cols += [f"CASE WHEN _present >= {k} THEN _u{k} ELSE 0D END AS UNIT_NORM_RATIO_4HR_{k}" for k in ks]
+    out = g.selectExpr(*cols)
+    return out.selectExpr(
+        "*", f"{mean_skip_null_sql(*[f'{ratio_prefix}_{k}' for k in ks])} AS {avg_name}",
+        f"{mean_skip_null_sql(*[f'UNIT_NORM_RATIO_4HR_{k}' for k in ks])} AS AVG_UNIT_NORM_RATIO")
 
 
 def discharge_to_nurse_ratio(cohort: DataFrame, staff: DataFrame, grid: GridSpec) -> DataFrame:
     """O5 from the cohort stays and the staff shifts (both unexpanded)."""
     return unit_block_ratio(
         tb.discharge_slots(cohort, grid), _staff_per_sub(staff, grid), grid,
-        num_name="num_discharged", ratio_name="DISCHARGE_NURSE_RATIO",
-        ratio_fn=lambda d, n: ratio_or_zero(d, n), num_prefix="DISCHARGE_4HR",
-        ratio_prefix="DISCHARGE_NURSE_RATIO_4HR", avg_name="AVG_DISCHARGE_TO_NURSE_RATIO")
+        num_name="num_discharged", ratio_sql=ratio_or_zero_sql("num_discharged", "num_nurses"),
+        num_prefix="DISCHARGE_4HR", ratio_prefix="DISCHARGE_NURSE_RATIO_4HR",
+        avg_name="AVG_DISCHARGE_TO_NURSE_RATIO")
 
 
 def nurse_to_patient_ratio(cohort: DataFrame, staff: DataFrame, grid: GridSpec) -> DataFrame:
     """Nurses per patient present; a count of 0 patients reads as 1."""
     return unit_block_ratio(
         tb.stay_sub_coverage(cohort, grid), _staff_per_sub(staff, grid), grid,
-        num_name="num_patients", ratio_name="nurse_to_patient_ratio",
-        ratio_fn=lambda p, n: ratio_or_zero(n, p), num_zero_as=1, num_prefix="PATIENTS_4HR",
-        ratio_prefix="NURSE_TO_PATIENT_RATIO_4HR", avg_name="AVG_NURSE_TO_PATIENT_RATIO")
+        num_name="num_patients", ratio_sql=ratio_or_zero_sql("num_nurses", "num_patients"), num_zero_as=1,
+        num_prefix="PATIENTS_4HR", ratio_prefix="NURSE_TO_PATIENT_RATIO_4HR",
+        avg_name="AVG_NURSE_TO_PATIENT_RATIO")

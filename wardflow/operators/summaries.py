@@ -15,14 +15,14 @@ def staff_block_counts(staff: DataFrame, grid: GridSpec) -> DataFrame:
     """Non-null CGID count of the expanded staff rows per unit and block
     (each shift contributes one row per sub-block)."""
     cov = tb.shift_block_coverage(staff.where(F.col(C.CGID).isNotNull()), grid)
-    return cov.select(C.UNIT, slot_start(F.col("slot"), grid, grid.block_us).alias(C.B12),
+    return cov.select(C.UNIT, slot_start("slot", grid, grid.block_us).alias(C.B12),
                       (F.col("n") * grid.subs_per_block).cast("bigint").alias("NURSE_COUNT"))
 
 
 def subject_block_counts(cohort: DataFrame, grid: GridSpec) -> DataFrame:
     """Non-null SUBJECT_ID count of the expanded patient rows per unit and block."""
     cov = tb.stay_block_coverage(cohort.where(F.col(C.SUBJECT_ID).isNotNull()), grid)
-    return cov.select(C.UNIT, slot_start(F.col("slot"), grid, grid.block_us).alias(C.B12),
+    return cov.select(C.UNIT, slot_start("slot", grid, grid.block_us).alias(C.B12),
                       (F.col("n") * grid.subs_per_block).cast("bigint").alias("SUBJECT_COUNT"))
 
 
@@ -32,7 +32,7 @@ def last_unit_with_labs(cohort: DataFrame, grid: GridSpec, latest: dict[str, Dat
     last = r.groupBy(C.SUBJECT_ID, C.HADM_ID).agg(
         F.max_by(C.UNIT, F.col(_LAST)).alias(C.UNIT), F.max(_LAST).alias("_k"))
     out = last.select(C.SUBJECT_ID, C.HADM_ID, C.UNIT,
-                      slot_start(F.col("_k"), grid, grid.block_us).alias(C.B12))
+                      slot_start("_k", grid, grid.block_us).alias(C.B12))
     for df in latest.values():
         out = out.join(df, C.SUBJECT_ID, "left")
     return out

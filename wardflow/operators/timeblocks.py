@@ -8,47 +8,52 @@ closed-form (no theta join against the grid); the expansion is one bounded
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from wardflow import config as C
 from wardflow.config import GridSpec
-from wardflow.functions.timegrid import block_range, last_slot_before, ntz, slot_start
+from wardflow.functions.timegrid import block_range_sql, filled_end_sql, last_slot_before_sql, slot_start_sql
 
 _FIRST, _LAST = "_first_block", "_last_block"
 
 
+def add_block_range(df: DataFrame, start: str, end: str, grid: GridSpec) -> DataFrame:
+    """Add the first/last block index of each interval (no rows dropped)."""
+    if _FIRST in df.columns:
+        return df
+    first, last = block_range_sql(start, end, grid)
+    return df.withColumns({_FIRST: F.expr(first), _LAST: F.expr(last)})
+
+
 def with_block_range(df: DataFrame, start: str, end: str, grid: GridSpec) -> DataFrame:
-    """Add first/last block indexes and keep intervals crossing a grid point."""
-    first, last = block_range(F.col(start), F.col(end), grid)
-    return df.withColumns({_FIRST: first, _LAST: last}).where(F.col(_FIRST) <= F.col(_LAST))
+    """Block indexes, keeping only intervals that cross a grid point."""
+    return add_block_range(df, start, end, grid).where(F.col(_FIRST) <= F.col(_LAST))
 
 
-def _explode_subs(df: DataFrame, grid: GridSpec) -> tuple[DataFrame, Column, Column]:
+def _sub_rows(df: DataFrame, grid: GridSpec, keep: list[str]) -> DataFrame:
     spb = grid.subs_per_block
-    j = F.explode(F.sequence(F.col(_FIRST) * spb, F.col(_LAST) * spb + (spb - 1)))
-    df = df.withColumn("_sub", j)
-    b12 = slot_start(F.floor(F.col("_sub") / spb).cast("bigint"), grid, grid.block_us).alias(C.B12)
-    b4 = slot_start(F.col("_sub"), grid, grid.sub_us).alias(C.B4)
-    return df, b12, b4
+    df = df.select(*keep, F.expr(f"explode(sequence({_FIRST} * {spb}L, {_LAST} * {spb}L + {spb - 1}L))")
+                   .alias("_sub"))
+    return df.withColumns({C.B12: F.expr(slot_start_sql(f"_sub div {spb}L", grid, grid.block_us)),
+                           C.B4: F.expr(slot_start_sql("_sub", grid, grid.sub_us))})
 
 
 def expand_stays(cohort: DataFrame, grid: GridSpec) -> DataFrame:
     """Expanded patients: SUBJECT_ID, HADM_ID, CURR_CAREUNIT, TIME_BLOCK_12HR,
     TIME_BLOCK_4HR, ADMISSION_DATE, DISCHARGE_DATE (open end filled)."""
-    df = with_block_range(cohort, C.ADMIT, C.DISCHARGE, grid)
-    df, b12, b4 = _explode_subs(df, grid)
-    filled = F.coalesce(F.col(C.DISCHARGE), ntz(grid.end_sql)).alias(C.DISCHARGE)
-    return df.select(C.SUBJECT_ID, C.HADM_ID, C.UNIT, b12, b4, C.ADMIT, filled)
+    df = _sub_rows(with_block_range(cohort, C.ADMIT, C.DISCHARGE, grid), grid,
+                   [C.SUBJECT_ID, C.HADM_ID, C.UNIT, C.ADMIT, C.DISCHARGE])
+    return df.select(C.SUBJECT_ID, C.HADM_ID, C.UNIT, C.B12, C.B4, C.ADMIT,
+                     F.expr(filled_end_sql(C.DISCHARGE, grid)).alias(C.DISCHARGE))
 
 
 def expand_staff(staff: DataFrame, grid: GridSpec) -> DataFrame:
     """Expanded staff: CGID, CURR_CAREUNIT, TIME_BLOCK_12HR, TIME_BLOCK_4HR."""
-    df = with_block_range(staff, C.START, C.END, grid)
-    df, b12, b4 = _explode_subs(df, grid)
-    return df.select(C.CGID, C.UNIT, b12, b4)
+    df = _sub_rows(with_block_range(staff, C.START, C.END, grid), grid, [C.CGID, C.UNIT])
+    return df.select(C.CGID, C.UNIT, C.B12, C.B4)
 
 
-def coverage_counts(intervals: DataFrame, key: str, first: Column, last: Column) -> DataFrame:
+def coverage_counts(intervals: DataFrame, key: str, first: str, last: str) -> DataFrame:
     """Number of intervals covering each slot, per ``key``: (key, slot, n), n > 0.
 
     Each interval becomes two delta events (+1 at ``first``, -1 after
@@ -57,16 +62,20 @@ def coverage_counts(intervals: DataFrame, key: str, first: Column, last: Column)
     constant segment is expanded once.  Work is linear in the intervals, not
     in the interval lengths, and no key is ever held whole by one task.
     """
-    ev = intervals.select(key, F.explode(F.array(
-        F.struct(first.alias("slot"), F.lit(1).cast("bigint").alias("d")),
-        F.struct((last + 1).alias("slot"), F.lit(-1).cast("bigint").alias("d")))).alias("e"))
+    ev = intervals.select(key, F.expr(
+        f"explode(array(named_struct('slot', {first}, 'd', 1L), named_struct('slot', ({last}) + 1L, 'd', -1L)))"
+    ).alias("e"))
     deltas = ev.groupBy(key, F.col("e.slot").alias("slot")).agg(F.sum("e.d").alias("d"))
     w = Window.partitionBy(key).orderBy("slot")
     seg = deltas.select(key, "slot",
                         F.sum("d").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("n"),
                         F.lead("slot").over(w).alias("next"))
-    seg = seg.where((F.col("n") > 0) & F.col("next").isNotNull())
-    return seg.select(key, F.explode(F.sequence("slot", F.col("next") - 1)).alias("slot"), "n")
+    return seg.where("n > 0 AND next IS NOT NULL").select(
+        key, F.expr("explode(sequence(slot, next - 1L))").alias("slot"), "n")
+
+
+def _known_unit(df: DataFrame, start: str, end: str, grid: GridSpec) -> DataFrame:
+    return with_block_range(df, start, end, grid).where(F.col(C.UNIT).isNotNull())
 
 
 def stay_sub_coverage(cohort: DataFrame, grid: GridSpec) -> DataFrame:
@@ -77,21 +86,18 @@ def stay_sub_coverage(cohort: DataFrame, grid: GridSpec) -> DataFrame:
     discharge.  Null units are dropped (pandas groupby rule).
     """
     spb = grid.subs_per_block
-    df = with_block_range(cohort.where(F.col(C.UNIT).isNotNull()), C.ADMIT, C.DISCHARGE, grid)
-    filled = F.coalesce(F.col(C.DISCHARGE), ntz(grid.end_sql))
-    last_sub = F.least(F.col(_LAST) * spb + (spb - 1), last_slot_before(filled, grid, grid.sub_us))
-    return coverage_counts(df, C.UNIT, F.col(_FIRST) * spb, last_sub)
+    last_sub = (f"least({_LAST} * {spb}L + {spb - 1}L, "
+                f"{last_slot_before_sql(filled_end_sql(C.DISCHARGE, grid), grid, grid.sub_us)})")
+    return coverage_counts(_known_unit(cohort, C.ADMIT, C.DISCHARGE, grid), C.UNIT, f"{_FIRST} * {spb}L", last_sub)
 
 
 def shift_block_coverage(staff: DataFrame, grid: GridSpec) -> DataFrame:
     """Shifts present per (unit, block) — each counts once per block."""
-    df = with_block_range(staff.where(F.col(C.UNIT).isNotNull()), C.START, C.END, grid)
-    return coverage_counts(df, C.UNIT, F.col(_FIRST), F.col(_LAST))
+    return coverage_counts(_known_unit(staff, C.START, C.END, grid), C.UNIT, _FIRST, _LAST)
 
 
 def stay_block_coverage(cohort: DataFrame, grid: GridSpec) -> DataFrame:
-    df = with_block_range(cohort.where(F.col(C.UNIT).isNotNull()), C.ADMIT, C.DISCHARGE, grid)
-    return coverage_counts(df, C.UNIT, F.col(_FIRST), F.col(_LAST))
+    return coverage_counts(_known_unit(cohort, C.ADMIT, C.DISCHARGE, grid), C.UNIT, _FIRST, _LAST)
 
 
 def discharge_slots(cohort: DataFrame, grid: GridSpec) -> DataFrame:
@@ -103,10 +109,7 @@ def discharge_slots(cohort: DataFrame, grid: GridSpec) -> DataFrame:
     discharge <= b + 1 sub, 2 if <= b + 2 subs, ...; sub-block 0 never.
     """
     spb = grid.subs_per_block
-    df = with_block_range(cohort.where(F.col(C.UNIT).isNotNull()), C.ADMIT, C.DISCHARGE, grid)
-    filled = F.coalesce(F.col(C.DISCHARGE), ntz(grid.end_sql))
-    # first sub-block index whose start is >= discharge
-    first_sub_at = last_slot_before(filled, grid, grid.sub_us) + 1
-    df = df.where(first_sub_at <= F.col(_LAST) * spb + (spb - 1))
-    return (df.groupBy(C.UNIT, first_sub_at.alias("slot"))
-            .agg(F.count(F.lit(1)).alias("n")))
+    first_sub_at = f"({last_slot_before_sql(filled_end_sql(C.DISCHARGE, grid), grid, grid.sub_us)} + 1L)"
+    df = _known_unit(cohort, C.ADMIT, C.DISCHARGE, grid).select(C.UNIT, F.expr(first_sub_at).alias("slot"), _LAST)
+    df = df.where(f"slot <= {_LAST} * {spb}L + {spb - 1}L")
+    return df.groupBy(C.UNIT, "slot").agg(F.count(F.lit(1)).alias("n"))

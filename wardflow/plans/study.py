@@ -7,8 +7,12 @@ tables and for the views onto the driver's tables.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, functions as F
 
+from wardflow import config as C
+
 from wardflow.config import GridSpec
 from wardflow.operators import chartdata as V, labs as L, observations as O, ordering as T
 from wardflow.operators import ratios as R, summaries as S, timeblocks as tb
@@ -22,43 +26,52 @@ class Study:
     staff: DataFrame
     labs: DataFrame
 
+    @cached_property
+    def cohort(self) -> DataFrame:
+        """Stays with their block range, computed once and shared by all stages."""
+        return tb.add_block_range(self.stays, C.ADMIT, C.DISCHARGE, self.grid)
+
+    @cached_property
+    def shifts(self) -> DataFrame:
+        return tb.add_block_range(self.staff, C.START, C.END, self.grid)
+
     # --- O4-O9 ---
 
     def expanded_stays(self) -> DataFrame:
-        return tb.expand_stays(self.stays, self.grid)
+        return tb.expand_stays(self.cohort, self.grid)
 
     def expanded_staff(self) -> DataFrame:
-        return tb.expand_staff(self.staff, self.grid)
+        return tb.expand_staff(self.shifts, self.grid)
 
     def discharge_ratio(self) -> DataFrame:
-        return R.discharge_to_nurse_ratio(self.stays, self.staff, self.grid)
+        return R.discharge_to_nurse_ratio(self.cohort, self.shifts, self.grid)
 
     def patient_ratio(self) -> DataFrame:
-        return R.nurse_to_patient_ratio(self.stays, self.staff, self.grid)
+        return R.nurse_to_patient_ratio(self.cohort, self.shifts, self.grid)
 
     def lab_subset(self) -> DataFrame:
-        return L.subset_labs(self.stays, self.labs, tuple(n for _, n in self.tests), self.lab_dictionary)
+        return L.subset_labs(self.cohort, self.labs, tuple(n for _, n in self.tests), self.lab_dictionary)
 
     def latest_lab(self, prefix: str) -> DataFrame:
-        return L.latest_lab(self.stays, self.lab_subset(), self.grid, dict(self.tests)[prefix], prefix)
+        return L.latest_lab(self.cohort, self.lab_subset(), self.grid, dict(self.tests)[prefix], prefix)
 
     def latest_per_subject(self, prefix: str) -> DataFrame:
-        return L.latest_per_subject(self.stays, self.lab_subset(), self.grid, dict(self.tests)[prefix], prefix)
+        return L.latest_per_subject(self.cohort, self.lab_subset(), self.grid, dict(self.tests)[prefix], prefix)
 
     # --- O11-O15 ---
 
     def observations(self) -> DataFrame:
-        return O.observations(self.stays, self.staff, self.labs, self.grid, self.tests, self.lab_dictionary)
+        return O.observations(self.cohort, self.shifts, self.labs, self.grid, self.tests, self.lab_dictionary)
 
     def staff_block_counts(self) -> DataFrame:
-        return S.staff_block_counts(self.staff, self.grid)
+        return S.staff_block_counts(self.shifts, self.grid)
 
     def subject_block_counts(self) -> DataFrame:
-        return S.subject_block_counts(self.stays, self.grid)
+        return S.subject_block_counts(self.cohort, self.grid)
 
     def last_unit_labs(self) -> DataFrame:
         latest = {p: self.latest_per_subject(p) for p, _ in self.tests}
-        return S.last_unit_with_labs(self.stays, self.grid, latest)
+        return S.last_unit_with_labs(self.cohort, self.grid, latest)
 
     def tested_counts_by_unit(self) -> DataFrame:
         return S.tested_counts_by_unit(self.last_unit_labs(),
@@ -141,7 +154,7 @@ class Study:
         """Write the discharge ratio as CSV to a fresh shared folder, twice, read it back."""
         from wardflow.session import shared_dir
         from wardflow.sources.sinks import read_stage, write_stage
-        spark = self.stays.sparkSession
+        spark = self.cohort.sparkSession
         df = self.discharge_ratio()
         path = shared_dir(spark, "wardflow-csv")
         write_stage(df, path, "csv")

@@ -69,10 +69,10 @@ def staff(t: Tables) -> DataFrame:
     """Staff-shaped shifts: CURR_CAREUNIT, HADM_ID (NULL), CGID, LABEL, STARTTIME, ENDTIME."""
     c = t["events"].where(F.col("event_type") == SHIFT_EVENT)
     c = c.join(_segments(t), "user_id", "left")
-    secs = F.round(F.col("value") * 3600).cast("bigint")
     return c.select(C.UNIT, F.lit(None).cast("bigint").alias(C.HADM_ID),
                     F.col("user_id").alias(C.CGID), F.col("event_type").alias(C.LABEL),
-                    F.col("ts").alias(C.START), add_micros(F.col("ts"), secs * 1_000_000).alias(C.END))
+                    F.col("ts").alias(C.START),
+                    add_micros("ts", "CAST(round(value * 3600) AS BIGINT) * 1000000L").alias(C.END))
 
 
 def labs(t: Tables, ordered: DataFrame | None = None) -> DataFrame:

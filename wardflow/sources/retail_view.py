@@ -64,7 +64,7 @@ def labs(t: Tables) -> DataFrame:
 def treatment_team(t: Tables) -> DataFrame:
     return t["lineitem"].select(F.col("l_orderkey").alias(C.HADM_ID), F.col("l_suppkey").alias(C.CGID),
                                 F.col("l_shipdate").alias(C.START),
-                                add_micros(F.col("l_shipdate"), DAY_US).alias(C.END))
+                                add_micros("l_shipdate", f"{DAY_US}L").alias(C.END))
 
 
 def caregivers(t: Tables) -> DataFrame:
