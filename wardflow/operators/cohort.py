@@ -43,10 +43,15 @@ def select_cohort(diagnoses: DataFrame, icd_dictionary: DataFrame, transfers: Da
                               & (F.col("INTIME") >= F.lit(spec.month_start).cast("timestamp_ntz"))
                               & (F.col("INTIME") < F.lit(spec.month_end).cast("timestamp_ntz")))
               .select(C.SUBJECT_ID, C.HADM_ID, C.UNIT, truncate_to_second("INTIME").alias(C.ADMIT)))
-    out = (d.join(admits, [C.SUBJECT_ID, C.HADM_ID], "inner")
-           .join(latest_discharge(transfers, spec), [C.SUBJECT_ID, C.HADM_ID], "left")
-           .join(tested_admissions(labs, spec.required_lab_pattern, lab_dictionary),
-                 [C.SUBJECT_ID, C.HADM_ID], "left_semi")
+    cand = d.join(admits, [C.SUBJECT_ID, C.HADM_ID], "inner")
+    # Restrict the two large inputs to the candidate admissions before they
+    # are aggregated (the key set is small; AQE broadcasts it by measured size).
+    keys = cand.select(C.SUBJECT_ID, C.HADM_ID).distinct()
+    ends = latest_discharge(transfers.join(keys, [C.SUBJECT_ID, C.HADM_ID], "left_semi"), spec)
+    tested = tested_admissions(labs.join(keys, [C.SUBJECT_ID, C.HADM_ID], "left_semi"),
+                               spec.required_lab_pattern, lab_dictionary)
+    out = (cand.join(ends, [C.SUBJECT_ID, C.HADM_ID], "left")
+           .join(tested, [C.SUBJECT_ID, C.HADM_ID], "left_semi")
            .select(C.SUBJECT_ID, C.HADM_ID, C.ICD9_CODE, C.ICD_DESCRIPTION, C.UNIT, C.ADMIT,
                    truncate_to_second(C.DISCHARGE).alias(C.DISCHARGE))
            .distinct())

@@ -1,0 +1,5 @@
+"""Streaming: the reference has no streaming operators (no sources, watermarks,
+windows over unbounded input or state), so nothing is built here.  Every
+operator is a batch DataFrame plan; run them on a micro-batch with
+``foreachBatch`` if the inputs arrive as streams.
+"""
