@@ -86,3 +86,20 @@ def test_episode_scan_matches_brute_force(spark):
                 s_open = s
             nxt = next((q[2] for q in seq[i + 1:] if q[3] == 0), None)
             assert got[r[1]] == (s, s_open, nxt), r
+
+
+def test_exact_quantiles_match_percentile(spark):
+    from wardflow.operators.chartdata import exact_quantiles
+    rnd = random.Random(2)
+    rows = [("hot" if rnd.random() < 0.5 else rnd.choice("abc"), float(rnd.choice([rnd.randint(0, 40), 7])))
+            for _ in range(2000)]
+    df = spark.createDataFrame(rows, "g STRING, y DOUBLE")
+    probs = [0.25, 0.5, 0.75, 0.9]
+    got = {r["g"]: [r[f"Q{i}"] for i in range(4)] for r in exact_quantiles(df, ["g"], "y", probs, buckets=8).collect()}
+    want = {r["g"]: r["p"] for r in df.groupBy("g").agg(F.percentile("y", probs).alias("p")).collect()}
+    assert got.keys() == want.keys()
+    for g in got:
+        assert [round(v, 9) for v in got[g]] == [round(v, 9) for v in want[g]], g
+    single = exact_quantiles(df, [], "y", probs, buckets=16).collect()[0]
+    allp = df.agg(F.percentile("y", probs).alias("p")).collect()[0]["p"]
+    assert [round(single[f"Q{i}"], 9) for i in range(4)] == [round(v, 9) for v in allp]

@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
+
+from wardflow.session import cut_lineage
 
 _ONE = "_one"
 
@@ -55,13 +57,64 @@ def group_stats(df: DataFrame, x: str, y: str, hue: str | None = None, facet: st
         F.avg(v).alias("MEAN"), F.count(v).alias("N"), F.stddev_samp(v).alias("STDDEV"))
 
 
+def exact_quantiles(d: DataFrame, keys: list[str], y: str, probs: list[float],
+                    buckets: int = 64, accuracy: int = 2_000) -> DataFrame:
+    """Exact linear-interpolation quantiles per group, without holding a group in one task.
+
+    Values are counted per (group, value) with map-side partial aggregation;
+    an approximate-quantile sketch (bounded memory) cuts each group's values
+    into ``buckets`` ordered ranges; prefix counts over the buckets locate the
+    ranks needed, and only those few buckets are ranked exactly.  The result
+    equals Spark's ``percentile``: (hi - pos) * v[lo] + (pos - lo) * v[hi]
+    with pos = p * (n - 1).  Returns keys + ``Q0``, ``Q1``, ... columns.
+    """
+    vc = d.groupBy(*keys, y).agg(F.count(F.lit(1)).alias("_c"))
+    cuts = [i / buckets for i in range(1, buckets)]
+    bounds = d.groupBy(*keys).agg(F.percentile_approx(y, cuts, accuracy).alias("_bounds"),
+                                  F.count(F.lit(1)).alias("_n"))
+    vb = _join_on(vc, bounds, keys).withColumn(
+        "_b", F.expr(f"size(filter(_bounds, b -> b < `{y}`))"))
+    per_bucket = vb.groupBy(*keys, "_b", "_n").agg(F.sum("_c").alias("_bn"))
+    w = Window.partitionBy(*keys).orderBy("_b") if keys else Window.partitionBy("_n").orderBy("_b")
+    per_bucket = per_bucket.withColumn(
+        "_start", F.coalesce(F.sum("_bn").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    # target ranks per group: floor and ceil of p * (n - 1)
+    targets = ", ".join(f"named_struct('q', {i}, 'r', CAST(floor({p!r} * (_n - 1)) AS BIGINT)), "
+                        f"named_struct('q', {i}, 'r', CAST(ceil({p!r} * (_n - 1)) AS BIGINT))"
+                        for i, p in enumerate(probs))
+    hit = per_bucket.select(*keys, "_b", "_start", F.expr(
+        f"explode(filter(array({targets}), t -> t.r >= _start AND t.r < _start + _bn))").alias("_t"))
+    hit = hit.select(*keys, "_b", "_start", F.col("_t.q").alias("_q"), F.col("_t.r").alias("_r"))
+    cand = vb.join(hit.select(*keys, "_b").distinct(), keys + ["_b"], "left_semi")
+    wb = Window.partitionBy(*keys, "_b").orderBy(y)
+    cand = cand.withColumn("_before", F.coalesce(F.sum("_c").over(wb.rowsBetween(Window.unboundedPreceding, -1)),
+                                                 F.lit(0)))
+    picked = (cand.join(hit, keys + ["_b"], "inner")
+              .where((F.col("_r") - F.col("_start") >= F.col("_before"))
+                     & (F.col("_r") - F.col("_start") < F.col("_before") + F.col("_c")))
+              .select(*keys, "_q", "_r", F.col(y).alias("_v"), "_n"))
+    out = picked.groupBy(*keys, "_n").agg(*[
+        F.struct(F.min(F.when(F.col("_q") == i, F.col("_r"))).alias("lo"),
+                 F.max(F.when(F.col("_q") == i, F.col("_r"))).alias("hi"),
+                 F.min_by("_v", F.when(F.col("_q") == i, F.col("_r"))).alias("vlo"),
+                 F.max_by("_v", F.when(F.col("_q") == i, F.col("_r"))).alias("vhi")).alias(f"_s{i}")
+        for i in range(len(probs))])
+    cols = []
+    for i, p in enumerate(probs):
+        pos = f"({p!r} * (_n - 1))"
+        cols.append(F.expr(f"CASE WHEN _s{i}.lo = _s{i}.hi THEN _s{i}.vlo ELSE "
+                           f"(_s{i}.hi - {pos}) * _s{i}.vlo + ({pos} - _s{i}.lo) * _s{i}.vhi END").alias(f"Q{i}"))
+    return out.select(*keys, *cols)
+
+
 def box_stats(df: DataFrame, x: str, y: str, hue: str | None = None, facet: str | None = None) -> DataFrame:
-    """V2: quartiles (linear interpolation), whiskers at the extreme points
-    within 1.5 IQR, and the outlier count, per (facet, x, hue)."""
+    """V2: quartiles (exact, linear interpolation), whiskers at the extreme
+    points within 1.5 IQR, and the outlier count, per (facet, x, hue)."""
     keys = _keys(facet, x, hue)
-    d = _clean(df, keys, y).select(*keys, F.col(y).cast("double").alias("_y"))
-    q = d.groupBy(*keys).agg(F.percentile("_y", [0.25, 0.5, 0.75]).alias("_q"))
-    q = q.select(*keys, F.col("_q")[0].alias("Q1"), F.col("_q")[1].alias("MEDIAN"), F.col("_q")[2].alias("Q3"))
+    # the values feed four branches (counts, sketch, exact ranks, whiskers)
+    d = cut_lineage(_clean(df, keys, y).select(*keys, F.col(y).cast("double").alias("_y")))
+    q = exact_quantiles(d, keys, "_y", [0.25, 0.5, 0.75])
+    q = q.select(*keys, F.col("Q0").alias("Q1"), F.col("Q1").alias("MEDIAN"), F.col("Q2").alias("Q3"))
     j = _join_on(d, q, keys)
     lo = F.col("Q1") - 1.5 * (F.col("Q3") - F.col("Q1"))
     hi = F.col("Q3") + 1.5 * (F.col("Q3") - F.col("Q1"))

@@ -102,11 +102,13 @@ def orphan_keys(tables: dict[str, DataFrame], foreign_keys: list[tuple[str, str,
     """Child rows whose non-null key has no parent row (anti join)."""
     parts = []
     for child, ccol, parent, pcol in foreign_keys:
-        c = tables[child].select(F.col(ccol).alias("_k"))
-        p = tables[parent].select(F.col(pcol).alias("_k"))
-        orphans = (c.where(F.col("_k").isNotNull()).join(p.distinct(), "_k", "left_anti")
-                   .select(F.lit(0).alias("_c"), F.lit(1).alias("_o")))
-        both = c.select(F.lit(1).alias("_c"), F.lit(0).alias("_o")).unionByName(orphans)
+        # child keys are counted first (map-side partial aggregation), so a hot
+        # key reaches the anti join as one row, whatever its multiplicity
+        keys = tables[child].groupBy(F.col(ccol).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+        parents = tables[parent].select(F.col(pcol).alias("_k")).distinct()
+        orphans = (keys.where(F.col("_k").isNotNull()).join(parents, "_k", "left_anti")
+                   .select(F.lit(0).cast("bigint").alias("_c"), F.col("_n").alias("_o")))
+        both = keys.select(F.col("_n").alias("_c"), F.lit(0).cast("bigint").alias("_o")).unionByName(orphans)
         parts.append(both.agg(
             F.lit(child).alias("CHILD_TABLE"), F.lit(ccol).alias("CHILD_COLUMN"),
             F.lit(parent).alias("PARENT_TABLE"), F.lit(pcol).alias("PARENT_COLUMN"),

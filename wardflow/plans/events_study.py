@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wardflow.config import EVENTS_GRID, GridSpec
 from wardflow.plans.study import Study
+from wardflow.session import cut_lineage
 from wardflow.sources import events_view as ev
 from wardflow.sources.tables import Tables
 
@@ -16,24 +17,35 @@ TESTS = (("VIEW", "view"), ("ERROR", "error"))
 
 
 class EventsStudy(Study):
+    """Stages over one scale-factor folder.
+
+    With ``cut=True`` the shared inputs (ordered events, stays, shifts,
+    attributed labs) are checkpointed to the shared checkpoint folder when
+    first used, so plans that read them in several branches compute them once.
+    """
+
     tests = TESTS
 
-    def __init__(self, spark: SparkSession, sf_dir: str, grid: GridSpec = EVENTS_GRID):
+    def __init__(self, spark: SparkSession, sf_dir: str, grid: GridSpec = EVENTS_GRID, cut: bool = False):
         self.t = Tables(spark, sf_dir)
         self.grid = grid
+        self.cut = cut
+
+    def _maybe_cut(self, df: DataFrame) -> DataFrame:
+        return cut_lineage(df) if self.cut else df
 
     @cached_property
     def ordered(self) -> DataFrame:
-        return ev.ordered_events(self.t)
+        return self._maybe_cut(ev.ordered_events(self.t))
 
     @cached_property
     def stays(self) -> DataFrame:
-        return ev.stays(self.t, self.ordered)
+        return self._maybe_cut(ev.stays(self.t, self.ordered))
 
     @cached_property
     def staff(self) -> DataFrame:
-        return ev.staff(self.t)
+        return self._maybe_cut(ev.staff(self.t))
 
     @cached_property
     def labs(self) -> DataFrame:
-        return ev.labs(self.t, self.ordered)
+        return self._maybe_cut(ev.labs(self.t, self.ordered))

@@ -45,3 +45,15 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         sc.setCheckpointDir(base)
         base = sc.getCheckpointDir() or base
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def cut_lineage(df):
+    """Reliable checkpoint into the shared ``spark.checkpoint.dir`` (eager).
+
+    Used where one intermediate feeds several branches of a plan; the files
+    survive executor loss, unlike a local checkpoint.
+    """
+    spark = df.sparkSession
+    if not spark.sparkContext.getCheckpointDir():
+        shared_dir(spark, "wardflow-ckpt")  # sets a folder in local mode, raises on a cluster
+    return df.checkpoint(eager=True)
