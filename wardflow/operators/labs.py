@@ -47,43 +47,59 @@ def stay_blocks(cohort: DataFrame, grid: GridSpec) -> DataFrame:
     return r.groupBy(C.SUBJECT_ID, C.HADM_ID, "_k").agg(F.max(C.ADMIT).alias(C.ADMIT))
 
 
-def _latest_lab_with_admit(cohort: DataFrame, lab_subset: DataFrame, grid: GridSpec,
-                           test_name: str, prefix: str) -> DataFrame:
-    val, unit = f"{prefix}_VAL", f"{prefix}_UNIT"
-    tests = lab_subset.where(regex_contains_ci(F.col(C.LABEL), test_name))
+def _latest_labs_with_admit(cohort: DataFrame, lab_subset: DataFrame, grid: GridSpec,
+                            tests: tuple[tuple[str, str], ...]) -> DataFrame:
+    """Latest value and unit of every test per admission block, in one pass:
+    one aggregate per (stay, block) with a filtered ``max_by`` per test and
+    column, then one forward-fill window per stay (at most grid-size rows)."""
+    match = {prefix: regex_contains_ci(F.col(C.LABEL), name) for prefix, name in tests}
+    any_test = F.lit(False)
+    for m in match.values():
+        any_test = any_test | m
     order = F.struct(C.CHARTTIME, C.ITEMID, C.VALUENUM, C.VALUEUOM)
-    # last non-null value and unit per (stay, block), each column on its own
-    per_block = (tests.withColumn("_k", slot_of(C.CHARTTIME, grid, grid.block_us))
-                 .groupBy(C.SUBJECT_ID, C.HADM_ID, "_k")
-                 .agg(F.max_by(C.VALUENUM, F.when(F.col(C.VALUENUM).isNotNull(), order)).alias(val),
-                      F.max_by(C.VALUEUOM, F.when(F.col(C.VALUEUOM).isNotNull(), order)).alias(unit)))
-    blocks = stay_blocks(cohort, grid)
-    j = blocks.join(per_block, [C.SUBJECT_ID, C.HADM_ID, "_k"], "left")
-    # forward fill along the stay's blocks (at most grid-size rows per stay)
+    aggs = []
+    for prefix, m in match.items():
+        # last non-null value and unit per (stay, block), each column on its own
+        aggs.append(F.max_by(C.VALUENUM, F.when(m & F.col(C.VALUENUM).isNotNull(), order)).alias(f"{prefix}_VAL"))
+        aggs.append(F.max_by(C.VALUEUOM, F.when(m & F.col(C.VALUEUOM).isNotNull(), order)).alias(f"{prefix}_UNIT"))
+    per_block = (lab_subset.where(any_test).withColumn("_k", slot_of(C.CHARTTIME, grid, grid.block_us))
+                 .groupBy(C.SUBJECT_ID, C.HADM_ID, "_k").agg(*aggs))
+    j = stay_blocks(cohort, grid).join(per_block, [C.SUBJECT_ID, C.HADM_ID, "_k"], "left")
     w = (Window.partitionBy(C.SUBJECT_ID, C.HADM_ID).orderBy("_k")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return j.select(C.SUBJECT_ID, C.HADM_ID, slot_start("_k", grid, grid.block_us).alias(C.B12),
-                    F.last(val, ignorenulls=True).over(w).alias(val),
-                    F.last(unit, ignorenulls=True).over(w).alias(unit), C.ADMIT)
+    filled = [F.last(f"{p}_{c}", ignorenulls=True).over(w).alias(f"{p}_{c}") for p, _ in tests for c in ("VAL", "UNIT")]
+    return j.select(C.SUBJECT_ID, C.HADM_ID, slot_start("_k", grid, grid.block_us).alias(C.B12), *filled, C.ADMIT)
+
+
+def latest_labs(cohort: DataFrame, lab_subset: DataFrame, grid: GridSpec,
+                tests: tuple[tuple[str, str], ...]) -> DataFrame:
+    """O8 for several tests at once: SUBJECT_ID, HADM_ID, TIME_BLOCK_12HR, <P>_VAL, <P>_UNIT ..."""
+    return _latest_labs_with_admit(cohort, lab_subset, grid, tests).drop(C.ADMIT)
 
 
 def latest_lab(cohort: DataFrame, lab_subset: DataFrame, grid: GridSpec,
                test_name: str, prefix: str) -> DataFrame:
     """For each admission block, the latest value and unit seen up to the
     block's end, counting tests from the stay's first block on."""
-    return _latest_lab_with_admit(cohort, lab_subset, grid, test_name, prefix).drop(C.ADMIT)
+    return latest_labs(cohort, lab_subset, grid, ((prefix, test_name),))
 
 
 def latest_per_subject(cohort: DataFrame, lab_subset: DataFrame, grid: GridSpec,
                        test_name: str, prefix: str) -> DataFrame:
-    """Value at the last block of each subject's latest admission.
+    """Value at the last block of each subject's latest admission."""
+    return latest_per_subject_all(cohort, lab_subset, grid, ((prefix, test_name),))
+
+
+def latest_per_subject_all(cohort: DataFrame, lab_subset: DataFrame, grid: GridSpec,
+                           tests: tuple[tuple[str, str], ...]) -> DataFrame:
+    """O9 for several tests: one row per subject with every test's value and unit.
 
     One aggregate per subject (partial aggregation map-side, so a subject
     with very many stays is not sent whole to one task); ties on the admit
     time go to the larger admission id.
     """
-    val, unit = f"{prefix}_VAL", f"{prefix}_UNIT"
-    per_block = _latest_lab_with_admit(cohort, lab_subset, grid, test_name, prefix)
-    pick = F.max_by(F.struct(val, unit), F.struct(C.ADMIT, C.HADM_ID, C.B12)).alias("_p")
+    names = [f"{p}_{c}" for p, _ in tests for c in ("VAL", "UNIT")]
+    per_block = _latest_labs_with_admit(cohort, lab_subset, grid, tests)
+    pick = F.max_by(F.struct(*names), F.struct(C.ADMIT, C.HADM_ID, C.B12)).alias("_p")
     g = per_block.groupBy(C.SUBJECT_ID).agg(pick)
-    return g.select(C.SUBJECT_ID, F.col(f"_p.{val}").alias(val), F.col(f"_p.{unit}").alias(unit))
+    return g.select(C.SUBJECT_ID, *[F.col(f"_p.{n}").alias(n) for n in names])

@@ -39,8 +39,6 @@ def observations(cohort: DataFrame, staff: DataFrame, labs: DataFrame, grid: Gri
     subset = L.subset_labs(cohort, labs, tuple(name for _, name in tests), lab_dictionary)
     cols = [C.SUBJECT_ID, C.HADM_ID, C.UNIT, C.B12, "AVG_DISCHARGE_TO_NURSE_RATIO",
             "DISCHARGE_UNIT_NORM_RATIO", "AVG_NURSE_TO_PATIENT_RATIO", "PATIENT_UNIT_NORM_RATIO"]
-    for prefix, name in tests:
-        out = out.join(L.latest_lab(cohort, subset, grid, name, prefix),
-                       [C.SUBJECT_ID, C.HADM_ID, C.B12], "left")
-        cols += [f"{prefix}_VAL", f"{prefix}_UNIT"]
+    out = out.join(L.latest_labs(cohort, subset, grid, tuple(tests)), [C.SUBJECT_ID, C.HADM_ID, C.B12], "left")
+    cols += [f"{prefix}_{c}" for prefix, _ in tests for c in ("VAL", "UNIT")]
     return out.select(*cols)

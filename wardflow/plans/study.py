@@ -70,8 +70,8 @@ class Study:
         return S.subject_block_counts(self.cohort, self.grid)
 
     def last_unit_labs(self) -> DataFrame:
-        latest = {p: self.latest_per_subject(p) for p, _ in self.tests}
-        return S.last_unit_with_labs(self.cohort, self.grid, latest)
+        latest = L.latest_per_subject_all(self.cohort, self.lab_subset(), self.grid, tuple(self.tests))
+        return S.last_unit_with_labs(self.cohort, self.grid, {"tests": latest})
 
     def tested_counts_by_unit(self) -> DataFrame:
         return S.tested_counts_by_unit(self.last_unit_labs(),
