@@ -319,6 +319,17 @@ SQL: dict[str, str] = {
     "staff_subject_ratio": _with(_o6_ctes() + "\nSELECT * FROM o6"),
     "labs_subset": _with("SELECT * FROM labsub"),
     "csv_roundtrip": _with(_o5_ctes() + "\nSELECT * FROM o5"),
+    "pipeline_metrics": _with_all("," + OBS +
+        "\nSELECT 'expanded_patients' AS STAGE, CAST(count(*) AS BIGINT) AS ROW_COUNT FROM pexp "
+        "UNION ALL SELECT 'expanded_nurses', count(*) FROM nexp "
+        "UNION ALL SELECT 'discharge_ratio', count(*) FROM o5 "
+        "UNION ALL SELECT 'patient_ratio', count(*) FROM o6 "
+        "UNION ALL SELECT 'labs_subset', count(*) FROM labsub "
+        "UNION ALL SELECT 'lab_results_view', count(*) FROM o8_VIEW "
+        "UNION ALL SELECT 'lab_results_error', count(*) FROM o8_ERROR "
+        "UNION ALL SELECT 'latest_view', count(*) FROM o9_VIEW "
+        "UNION ALL SELECT 'latest_error', count(*) FROM o9_ERROR "
+        "UNION ALL SELECT 'observations', count(*) FROM obs"),
     "stage_metrics": _with(
         _o5_ctes() + _o6_ctes() +
         "\nSELECT 'expanded_patients' AS STAGE, CAST(count(*) AS BIGINT) AS ROW_COUNT FROM pexp "

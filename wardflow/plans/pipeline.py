@@ -17,8 +17,10 @@ from wardflow.sources.sinks import materialise
 
 
 def materialised_study(spark: SparkSession, sf_dir: str) -> EventsStudy:
+    """Study whose shared inputs are written once to the shared folder and re-read."""
     study = EventsStudy(spark, sf_dir)
     base = shared_dir(spark, "wardflow-stage")
+    study.__dict__["ordered"] = materialise(spark, study.ordered, f"{base}/ordered")
     study.__dict__["stays"] = materialise(spark, study.stays, f"{base}/stays")
     study.__dict__["staff"] = materialise(spark, study.staff, f"{base}/staff")
     study.__dict__["labs"] = materialise(spark, study.labs, f"{base}/labs")
