@@ -103,3 +103,15 @@ def test_exact_quantiles_match_percentile(spark):
     single = exact_quantiles(df, [], "y", probs, buckets=16).collect()[0]
     allp = df.agg(F.percentile("y", probs).alias("p")).collect()[0]["p"]
     assert [round(single[f"Q{i}"], 9) for i in range(4)] == [round(v, 9) for v in allp]
+
+
+def test_duplicate_report_exact(spark):
+    from wardflow.operators.profile import duplicate_report
+    a = spark.createDataFrame([(1, "x", 0.0, [1.0]), (1, "x", -0.0, [1.0]), (1, "x", float("nan"), None),
+                               (1, "x", float("nan"), None), (2, None, 1.5, [2.0]), (2, None, 1.5, [2.0]),
+                               (2, None, 1.5, [2.0]), (3, "y", 1.0, [float("nan")])],
+                              "k INT, s STRING, v DOUBLE, arr ARRAY<FLOAT>")
+    b = spark.createDataFrame([(i,) for i in range(50)], "i BIGINT")
+    got = {r["TABLE_NAME"]: (r["ROW_COUNT"], r["DUPLICATE_ROWS"]) for r in duplicate_report({"a": a, "b": b}).collect()}
+    assert got["b"] == (50, 0)
+    assert got["a"] == (8, 8 - a.distinct().count())

@@ -8,18 +8,21 @@ for the (rare) hash groups holding more than one row.
 from __future__ import annotations
 
 from functools import reduce
+import uuid
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, FloatType
 
 _FLOATS = (DoubleType, FloatType)
 
 
-def _is_missing(df: DataFrame, name: str) -> Column:
-    c = F.col(f"`{name}`")
-    if isinstance(df.schema[name].dataType, _FLOATS):
-        return c.isNull() | F.isnan(c)
-    return c.isNull()
+def _is_float(t) -> bool:
+    return isinstance(t, _FLOATS)
+
+
+def _missing_sql(name: str, t) -> str:
+    c = f"`{name}`"
+    return f"({c} IS NULL OR isnan({c}))" if _is_float(t) else f"{c} IS NULL"
 
 
 def null_counts(name: str, df: DataFrame) -> DataFrame:
@@ -28,59 +31,113 @@ def null_counts(name: str, df: DataFrame) -> DataFrame:
     All columns are counted in one aggregate, then unpivoted; None and NaN
     both count as missing (pandas ``isnull``).
     """
-    cols = df.columns
-    agg = df.agg(*[F.sum(_is_missing(df, c).cast("bigint")).alias(f"c{i}") for i, c in enumerate(cols)])
-    pairs = ", ".join(f"'{c}', c{i}" for i, c in enumerate(cols))
-    long = agg.selectExpr(f"stack({len(cols)}, {pairs}) AS (COLUMN_NAME, NULL_COUNT)")
-    return (long.where(F.col("NULL_COUNT") > 0)
-            .select(F.lit(name).alias("TABLE_NAME"), "COLUMN_NAME",
-                    F.col("NULL_COUNT").cast("bigint").alias("NULL_COUNT")))
+    fields = df.schema.fields
+    agg = df.agg(*[F.expr(f"CAST(count_if({_missing_sql(f.name, f.dataType)}) AS BIGINT) AS c{i}")
+                   for i, f in enumerate(fields)])
+    pairs = ", ".join(f"'{f.name}', c{i}" for i, f in enumerate(fields))
+    long = agg.selectExpr(f"stack({len(fields)}, {pairs}) AS (COLUMN_NAME, NULL_COUNT)")
+    return long.where("NULL_COUNT > 0").selectExpr(f"'{name}' AS TABLE_NAME", "COLUMN_NAME", "NULL_COUNT")
 
 
-def _normalised(df: DataFrame, name: str) -> Column:
-    """Column with -0.0 and NaN variants collapsed, as grouping compares them."""
-    c = F.col(f"`{name}`")
-    t = df.schema[name].dataType
+def _normalised_sql(name: str, t) -> str:
+    """Column text with -0.0 and NaN variants collapsed, as grouping compares them."""
+    c = f"`{name}`"
 
-    def norm(x: Column) -> Column:
-        return F.when(F.isnan(x), F.lit(float("nan"))).when(x == 0, F.lit(0.0)).otherwise(x.cast("double"))
+    def norm(x: str) -> str:
+        return f"CASE WHEN isnan({x}) THEN double('NaN') WHEN {x} = 0 THEN 0D ELSE CAST({x} AS DOUBLE) END"
 
-    if isinstance(t, _FLOATS):
+    if _is_float(t):
         return norm(c)
-    if isinstance(t, ArrayType) and isinstance(t.elementType, _FLOATS):
-        return F.transform(c, norm)
+    if isinstance(t, ArrayType) and _is_float(t.elementType):
+        return f"transform({c}, x -> {norm('x')})"
     return c
 
 
+def _views(tables: dict[str, DataFrame]) -> dict[str, str]:
+    """Register each table under a unique temp-view name for one SQL statement."""
+    tag = uuid.uuid4().hex[:8]
+    names = {}
+    for n, df in tables.items():
+        names[n] = f"wf_{tag}_{n}"
+        df.createOrReplaceTempView(names[n])
+    return names
+
+
+def _run_sql(spark, sql: str, views: dict[str, str]) -> DataFrame:
+    """Analyse the statement, then drop the helper views (the plan keeps them resolved)."""
+    df = spark.sql(sql)
+    df.schema  # forces analysis while the views exist
+    for v in views.values():
+        spark.catalog.dropTempView(v)
+    return df
+
+
+def duplicate_report(tables: dict[str, DataFrame]) -> DataFrame:
+    """P2 for many tables: (TABLE_NAME, ROW_COUNT, DUPLICATE_ROWS), one SQL statement.
+
+    Every table contributes two row hashes to one union, aggregated once
+    (one shuffle of 12 bytes per row for all tables).  Only hash groups with
+    more than one row are compared on full rows, table by table; with no
+    candidates AQE skips that work.  Floats are normalised (-0.0, NaN) the
+    way grouping compares them, so the hash agrees with DISTINCT.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    views = _views(tables)
+    hashed, exact, names = [], [], []
+    for n, df in tables.items():
+        cols = ", ".join(_normalised_sql(f.name, f.dataType) for f in df.schema.fields)
+        group = ", ".join(f"`{f.name}`" for f in df.schema.fields)
+        hashed.append(f"SELECT '{n}' AS TABLE_NAME, xxhash64({cols}) AS _h1, hash({cols}) AS _h2 FROM {views[n]}")
+        exact.append(
+            f"SELECT '{n}' AS TABLE_NAME, CAST(coalesce(sum(_n - 1), 0) AS BIGINT) AS DUPLICATE_ROWS FROM ("
+            f"SELECT count(1) AS _n FROM {views[n]} t LEFT SEMI JOIN "
+            f"(SELECT _h1, _h2 FROM cand WHERE TABLE_NAME = '{n}') c "
+            f"ON xxhash64({cols}) = c._h1 AND hash({cols}) = c._h2 GROUP BY {group}) q")
+        names.append(f"('{n}')")
+    u = "\n  UNION ALL "
+    sql = f"""WITH hashed AS ({u.join(hashed)}),
+groups AS (SELECT TABLE_NAME, _h1, _h2, count(1) AS _n FROM hashed GROUP BY TABLE_NAME, _h1, _h2),
+row_counts AS (SELECT TABLE_NAME, CAST(sum(_n) AS BIGINT) AS ROW_COUNT FROM groups GROUP BY TABLE_NAME),
+cand AS (SELECT * FROM groups WHERE _n > 1),
+exact AS ({u.join(exact)})
+SELECT n.TABLE_NAME, CAST(coalesce(r.ROW_COUNT, 0) AS BIGINT) AS ROW_COUNT,
+       CAST(coalesce(e.DUPLICATE_ROWS, 0) AS BIGINT) AS DUPLICATE_ROWS
+FROM (VALUES {", ".join(names)}) AS n(TABLE_NAME)
+LEFT JOIN row_counts r ON r.TABLE_NAME = n.TABLE_NAME LEFT JOIN exact e ON e.TABLE_NAME = n.TABLE_NAME"""
+    return _run_sql(spark, sql, views)
+
+
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """One row (ROW_COUNT, DUPLICATE_ROWS) — rows minus distinct rows."""
-    cols = [_normalised(df, c) for c in df.columns]
-    h = df.select(F.xxhash64(*cols).alias("_h1"), F.hash(*cols).alias("_h2"))
-    groups = h.groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n"))
-    totals = groups.select(F.col("_n").alias("ROW_COUNT"), F.lit(0).cast("bigint").alias("DUPLICATE_ROWS"))
-    cand = groups.where(F.col("_n") > 1).select("_h1", "_h2")
-    rows = df.select(*df.columns, F.xxhash64(*cols).alias("_h1"), F.hash(*cols).alias("_h2"))
-    exact = (rows.join(cand, ["_h1", "_h2"], "left_semi")
-             .groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
-             .select(F.lit(0).cast("bigint").alias("ROW_COUNT"), (F.col("_n") - 1).alias("DUPLICATE_ROWS")))
-    both = totals.unionByName(exact)
-    return both.agg(F.coalesce(F.sum("ROW_COUNT"), F.lit(0)).cast("bigint").alias("ROW_COUNT"),
-                    F.coalesce(F.sum("DUPLICATE_ROWS"), F.lit(0)).cast("bigint").alias("DUPLICATE_ROWS"))
+    return duplicate_report({"t": df}).select("ROW_COUNT", "DUPLICATE_ROWS")
 
 
 def profile_nulls(tables: dict[str, DataFrame]) -> DataFrame:
-    """O1/P3 (nulls part): long table over all tables; empty schemas are skipped."""
-    parts = [null_counts(n, df) for n, df in tables.items() if df.columns]
-    return reduce(DataFrame.unionByName, parts)
+    """O1/P3 (nulls part): long table over all tables, one SQL statement; empty schemas are skipped."""
+    tables = {n: df for n, df in tables.items() if df.columns}
+    spark = next(iter(tables.values())).sparkSession
+    views = _views(tables)
+    parts = []
+    for n, df in tables.items():
+        fields = df.schema.fields
+        counts = ", ".join(f"CAST(count_if({_missing_sql(f.name, f.dataType)}) AS BIGINT) AS c{i}"
+                           for i, f in enumerate(fields))
+        pairs = ", ".join(f"'{f.name}', c{i}" for i, f in enumerate(fields))
+        parts.append(f"SELECT '{n}' AS TABLE_NAME, stack({len(fields)}, {pairs}) AS (COLUMN_NAME, NULL_COUNT) "
+                     f"FROM (SELECT {counts} FROM {views[n]}) a")
+    body = "\nUNION ALL ".join(parts)
+    return _run_sql(spark, f"SELECT * FROM ({body}) q WHERE NULL_COUNT > 0", views)
 
 
 def profile_duplicates(tables: dict[str, DataFrame], keys: dict[str, list[str]] | None = None) -> DataFrame:
     """Per table, rows, duplicate rows and the declared key ('None' if none)."""
     keys = keys or {}
-    parts = [duplicate_rows(df).select(F.lit(n).alias("TABLE_NAME"), "ROW_COUNT", "DUPLICATE_ROWS",
-                                       F.lit(",".join(keys[n]) if keys.get(n) else "None").alias("PRIMARY_KEYS"))
-             for n, df in tables.items() if df.columns]
-    return reduce(DataFrame.unionByName, parts)
+    tables = {n: df for n, df in tables.items() if df.columns}
+    declared = F.lit("None")
+    for n, k in keys.items():
+        if k:
+            declared = F.when(F.col("TABLE_NAME") == n, F.lit(",".join(k))).otherwise(declared)
+    return duplicate_report(tables).withColumn("PRIMARY_KEYS", declared)
 
 
 def key_uniqueness(tables: dict[str, DataFrame], keys: dict[str, list[str]]) -> DataFrame:
