@@ -166,3 +166,16 @@ def test_profile(spark):
     d = P.profile_duplicates(t).collect()
     assert len(d) == 7 and all(r["DUPLICATE_ROWS"] == 0 for r in d)
     assert all(r["PRIMARY_KEYS"] == "None" for r in d)
+
+
+def test_pipeline_writes_every_stage(spark):
+    from wardflow.plans.pipeline import run_study
+    from wardflow.sources.sinks import read_stage
+    out_dir, metrics = run_study(ClinicalStudy(tables(spark)), spark)
+    got = {r["STAGE"]: r["ROW_COUNT"] for r in metrics.collect()}
+    assert got == {"expanded_patients": 51, "expanded_nurses": 36, "discharge_ratio": 7, "patient_ratio": 13,
+                   "labs_subset": 12, "lab_results_troponin": 13, "lab_results_bnp": 13,
+                   "latest_troponin": 4, "latest_bnp": 4, "observations": 13}
+    back = read_stage(spark, f"{out_dir}/latest_troponin", "SUBJECT_ID BIGINT, TROPONIN_VAL DOUBLE, "
+                      "TROPONIN_UNIT STRING", "csv")
+    assert {r["SUBJECT_ID"]: r["TROPONIN_VAL"] for r in back.collect()}[1] == 0.04

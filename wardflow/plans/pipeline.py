@@ -2,32 +2,34 @@
 
 Shared inputs (stays, shifts, attributed labs) are written once to the
 cluster's shared folder and re-read, so each later stage starts from files
-rather than re-running the event scan, and a lost executor costs only its
-own tasks.
+rather than re-running the upstream plan, and a lost executor costs only its
+own tasks.  Row counts are gathered with ``observe`` during each write.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-from wardflow.plans.events_study import TESTS, EventsStudy
+from wardflow.plans.events_study import EventsStudy
 from wardflow.plans.metrics import metrics_frame, write_observed
+from wardflow.plans.study import Study
 from wardflow.session import shared_dir
 from wardflow.sources.sinks import materialise
 
+_SHARED = ("ordered", "stays", "staff", "labs")
 
-def materialised_study(spark: SparkSession, sf_dir: str) -> EventsStudy:
-    """Study whose shared inputs are written once to the shared folder and re-read."""
-    study = EventsStudy(spark, sf_dir)
+
+def materialise_inputs(study: Study, spark: SparkSession) -> Study:
+    """Write the study's shared inputs once to the shared folder and re-read them."""
     base = shared_dir(spark, "wardflow-stage")
-    study.__dict__["ordered"] = materialise(spark, study.ordered, f"{base}/ordered")
-    study.__dict__["stays"] = materialise(spark, study.stays, f"{base}/stays")
-    study.__dict__["staff"] = materialise(spark, study.staff, f"{base}/staff")
-    study.__dict__["labs"] = materialise(spark, study.labs, f"{base}/labs")
+    for name in _SHARED:
+        if hasattr(type(study), name):
+            study.__dict__[name] = materialise(spark, getattr(study, name), f"{base}/{name}")
     return study
 
 
-def stages(study: EventsStudy) -> dict:
+def stages(study: Study) -> dict[str, DataFrame]:
+    """The stages the reference writes, in order, plus the observation table."""
     out = {
         "expanded_patients": study.expanded_stays(),
         "expanded_nurses": study.expanded_staff(),
@@ -35,17 +37,22 @@ def stages(study: EventsStudy) -> dict:
         "patient_ratio": study.patient_ratio(),
         "labs_subset": study.lab_subset(),
     }
-    for p, _ in TESTS:
+    for p, _ in study.tests:
         out[f"lab_results_{p.lower()}"] = study.latest_lab(p)
-    for p, _ in TESTS:
+    for p, _ in study.tests:
         out[f"latest_{p.lower()}"] = study.latest_per_subject(p)
     out["observations"] = study.observations()
     return out
 
 
-def run(spark: SparkSession, sf_dir: str, out_dir: str | None = None, fmt: str = "csv"):
-    """Run every stage; returns (output folder, (STAGE, ROW_COUNT) DataFrame)."""
+def run_study(study: Study, spark: SparkSession, out_dir: str | None = None, fmt: str = "csv"):
+    """Run every stage of ``study``; returns (output folder, (STAGE, ROW_COUNT) DataFrame)."""
     out_dir = out_dir or shared_dir(spark, "wardflow-output")
-    study = materialised_study(spark, sf_dir)
+    materialise_inputs(study, spark)
     counts = {name: write_observed(df, name, f"{out_dir}/{name}", fmt) for name, df in stages(study).items()}
     return out_dir, metrics_frame(spark, counts)
+
+
+def run(spark: SparkSession, sf_dir: str, out_dir: str | None = None, fmt: str = "csv"):
+    """The pipeline over the driver's events table."""
+    return run_study(EventsStudy(spark, sf_dir), spark, out_dir, fmt)
