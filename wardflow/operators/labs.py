@@ -98,8 +98,18 @@ def latest_per_subject_all(cohort: DataFrame, lab_subset: DataFrame, grid: GridS
     with very many stays is not sent whole to one task); ties on the admit
     time go to the larger admission id.
     """
+    return pick_latest_per_subject(_latest_labs_with_admit(cohort, lab_subset, grid, tests), tests)
+
+
+def pick_latest_per_subject(per_block: DataFrame, tests: tuple[tuple[str, str], ...]) -> DataFrame:
+    """O9 from per-block latest values that carry ADMISSION_DATE."""
     names = [f"{p}_{c}" for p, _ in tests for c in ("VAL", "UNIT")]
-    per_block = _latest_labs_with_admit(cohort, lab_subset, grid, tests)
     pick = F.max_by(F.struct(*names), F.struct(C.ADMIT, C.HADM_ID, C.B12)).alias("_p")
     g = per_block.groupBy(C.SUBJECT_ID).agg(pick)
     return g.select(C.SUBJECT_ID, *[F.col(f"_p.{n}").alias(n) for n in names])
+
+
+def latest_labs_with_admit(cohort: DataFrame, lab_subset: DataFrame, grid: GridSpec,
+                           tests: tuple[tuple[str, str], ...]) -> DataFrame:
+    """O8 for several tests, keeping ADMISSION_DATE (input of O9)."""
+    return _latest_labs_with_admit(cohort, lab_subset, grid, tests)

@@ -19,6 +19,20 @@ def admission_blocks(cohort: DataFrame, grid: GridSpec) -> DataFrame:
     return r.select(C.SUBJECT_ID, C.HADM_ID, C.UNIT, slot_start("_k", grid, grid.block_us).alias(C.B12))
 
 
+def assemble(base: DataFrame, o5: DataFrame, o6: DataFrame, latest: DataFrame,
+             tests=(("TROPONIN", "Troponin"), ("BNP", "BNP"))) -> DataFrame:
+    """Join the admission blocks with both ratio summaries and the latest tests."""
+    d = o5.select(C.UNIT, C.B12, "AVG_DISCHARGE_TO_NURSE_RATIO",
+                  F.col("AVG_UNIT_NORM_RATIO").alias("DISCHARGE_UNIT_NORM_RATIO"))
+    p = o6.select(C.UNIT, C.B12, "AVG_NURSE_TO_PATIENT_RATIO",
+                  F.col("AVG_UNIT_NORM_RATIO").alias("PATIENT_UNIT_NORM_RATIO"))
+    labs = [f"{prefix}_{c}" for prefix, _ in tests for c in ("VAL", "UNIT")]
+    out = (base.join(d, [C.UNIT, C.B12], "left").join(p, [C.UNIT, C.B12], "left")
+           .join(latest.select(C.SUBJECT_ID, C.HADM_ID, C.B12, *labs), [C.SUBJECT_ID, C.HADM_ID, C.B12], "left"))
+    return out.select(C.SUBJECT_ID, C.HADM_ID, C.UNIT, C.B12, "AVG_DISCHARGE_TO_NURSE_RATIO",
+                      "DISCHARGE_UNIT_NORM_RATIO", "AVG_NURSE_TO_PATIENT_RATIO", "PATIENT_UNIT_NORM_RATIO", *labs)
+
+
 def observations(cohort: DataFrame, staff: DataFrame, labs: DataFrame, grid: GridSpec,
                  tests=(("TROPONIN", "Troponin"), ("BNP", "BNP")),
                  lab_dictionary: DataFrame | None = None) -> DataFrame:
@@ -28,17 +42,7 @@ def observations(cohort: DataFrame, staff: DataFrame, labs: DataFrame, grid: Gri
     broadcasts them by their measured size.  A null unit keeps the row with
     null ratios.
     """
-    base = admission_blocks(cohort, grid)
-    o5 = R.discharge_to_nurse_ratio(cohort, staff, grid).select(
-        C.UNIT, C.B12, "AVG_DISCHARGE_TO_NURSE_RATIO",
-        F.col("AVG_UNIT_NORM_RATIO").alias("DISCHARGE_UNIT_NORM_RATIO"))
-    o6 = R.nurse_to_patient_ratio(cohort, staff, grid).select(
-        C.UNIT, C.B12, "AVG_NURSE_TO_PATIENT_RATIO",
-        F.col("AVG_UNIT_NORM_RATIO").alias("PATIENT_UNIT_NORM_RATIO"))
-    out = base.join(o5, [C.UNIT, C.B12], "left").join(o6, [C.UNIT, C.B12], "left")
     subset = L.subset_labs(cohort, labs, tuple(name for _, name in tests), lab_dictionary)
-    cols = [C.SUBJECT_ID, C.HADM_ID, C.UNIT, C.B12, "AVG_DISCHARGE_TO_NURSE_RATIO",
-            "DISCHARGE_UNIT_NORM_RATIO", "AVG_NURSE_TO_PATIENT_RATIO", "PATIENT_UNIT_NORM_RATIO"]
-    out = out.join(L.latest_labs(cohort, subset, grid, tuple(tests)), [C.SUBJECT_ID, C.HADM_ID, C.B12], "left")
-    cols += [f"{prefix}_{c}" for prefix, _ in tests for c in ("VAL", "UNIT")]
-    return out.select(*cols)
+    return assemble(admission_blocks(cohort, grid), R.discharge_to_nurse_ratio(cohort, staff, grid),
+                    R.nurse_to_patient_ratio(cohort, staff, grid),
+                    L.latest_labs(cohort, subset, grid, tuple(tests)), tests)

@@ -8,6 +8,8 @@ own tasks.  Row counts are gathered with ``observe`` during each write.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 from wardflow.plans.events_study import EventsStudy
@@ -28,28 +30,50 @@ def materialise_inputs(study: Study, spark: SparkSession) -> Study:
     return study
 
 
-def stages(study: Study) -> dict[str, DataFrame]:
-    """The stages the reference writes, in order, plus the observation table."""
-    out = {
-        "expanded_patients": study.expanded_stays(),
-        "expanded_nurses": study.expanded_staff(),
-        "discharge_ratio": study.discharge_ratio(),
-        "patient_ratio": study.patient_ratio(),
-        "labs_subset": study.lab_subset(),
-    }
-    for p, _ in study.tests:
-        out[f"lab_results_{p.lower()}"] = study.latest_lab(p)
-    for p, _ in study.tests:
-        out[f"latest_{p.lower()}"] = study.latest_per_subject(p)
-    out["observations"] = study.observations()
+def stages(study: Study, spark: SparkSession | None = None) -> dict[str, DataFrame]:
+    """The stages the reference writes, in order, plus the observation table.
+
+    With a session, the tables later stages build on (both ratio summaries,
+    the lab subset and the all-test block values) are materialised once, and
+    the later stages are assembled from them.
+    """
+    from wardflow.operators import labs as L, observations as O
+
+    keep = (lambda df, name: materialise(spark, df, f"{base}/{name}")) if spark else (lambda df, name: df)
+    base = shared_dir(spark, "wardflow-stage") if spark else None
+    tests = tuple(study.tests)
+    o5 = keep(study.discharge_ratio(), "o5")
+    o6 = keep(study.patient_ratio(), "o6")
+    subset = keep(study.lab_subset(), "labs_subset")
+    per_block = keep(L.latest_labs_with_admit(study.cohort, subset, study.grid, tests), "o8")
+    out = {"expanded_patients": study.expanded_stays(), "expanded_nurses": study.expanded_staff(),
+           "discharge_ratio": o5, "patient_ratio": o6, "labs_subset": subset}
+    for p, _ in tests:
+        out[f"lab_results_{p.lower()}"] = per_block.select("SUBJECT_ID", "HADM_ID", "TIME_BLOCK_12HR",
+                                                           f"{p}_VAL", f"{p}_UNIT")
+    latest = L.pick_latest_per_subject(per_block, tests)
+    for p, _ in tests:
+        out[f"latest_{p.lower()}"] = latest.select("SUBJECT_ID", f"{p}_VAL", f"{p}_UNIT")
+    out["observations"] = O.assemble(O.admission_blocks(study.cohort, study.grid), o5, o6, per_block, tests)
     return out
 
 
-def run_study(study: Study, spark: SparkSession, out_dir: str | None = None, fmt: str = "csv"):
-    """Run every stage of ``study``; returns (output folder, (STAGE, ROW_COUNT) DataFrame)."""
+def run_study(study: Study, spark: SparkSession, out_dir: str | None = None, fmt: str = "csv",
+              parallel: int = 4):
+    """Run every stage of ``study``; returns (output folder, (STAGE, ROW_COUNT) DataFrame).
+
+    The stages only read the materialised inputs, so their writes are
+    independent Spark jobs; up to ``parallel`` are submitted at once (Spark
+    schedules concurrent jobs from several threads), which fills executors
+    that a single small stage would leave idle.
+    """
     out_dir = out_dir or shared_dir(spark, "wardflow-output")
     materialise_inputs(study, spark)
-    counts = {name: write_observed(df, name, f"{out_dir}/{name}", fmt) for name, df in stages(study).items()}
+    todo = stages(study, spark)
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        futures = {name: pool.submit(write_observed, df, name, f"{out_dir}/{name}", fmt)
+                   for name, df in todo.items()}
+        counts = {name: f.result() for name, f in futures.items()}
     return out_dir, metrics_frame(spark, counts)
 
 
