@@ -35,9 +35,12 @@ def _clean(df: DataFrame, keys: list[str], y: str | None) -> DataFrame:
 
 
 def _join_on(df: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
+    """Attach per-group parameters.  Without group keys the parameters are one
+    global-aggregate row — a proven bound — so that side is broadcast (a
+    shuffle on a constant key would put every row in one partition)."""
     if keys:
         return df.join(stats, keys, "inner")
-    return df.withColumn(_ONE, F.lit(1)).join(stats.withColumn(_ONE, F.lit(1)), _ONE, "inner").drop(_ONE)
+    return df.withColumn(_ONE, F.lit(1)).join(F.broadcast(stats.withColumn(_ONE, F.lit(1))), _ONE, "inner").drop(_ONE)
 
 
 def scatter_points(df: DataFrame, x: str, y: str, hue: str | None = None, facet: str | None = None,
