@@ -64,6 +64,10 @@ def main():
             bad += 1
             continue
         same_cols = sorted(s.columns) == sorted(o.columns)
+        if same_cols and os.environ.get("SHOW_TYPES"):
+            diff = {c: (str(s[c].dtype), str(o[c].dtype)) for c in s.columns if str(s[c].dtype) != str(o[c].dtype)}
+            if diff:
+                print(f"  dtype differences in {n}: {diff}")
         hs, ho = (_hash(_norm(s)), _hash(_norm(o))) if same_cols else ("-", "-")
         ok = same_cols and len(s) == len(o) and hs == ho
         bad += not ok

@@ -14,8 +14,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from wardflow.session import cut_lineage
 
-_ONE = "_one"
-
 
 def _keys(*cols) -> list[str]:
     out = []
@@ -36,11 +34,12 @@ def _clean(df: DataFrame, keys: list[str], y: str | None) -> DataFrame:
 
 def _join_on(df: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
     """Attach per-group parameters.  Without group keys the parameters are one
-    global-aggregate row — a proven bound — so that side is broadcast (a
-    shuffle on a constant key would put every row in one partition)."""
+    global-aggregate row: it is read as a scalar subquery (evaluated once,
+    no join), never joined on a constant key."""
     if keys:
         return df.join(stats, keys, "inner")
-    return df.withColumn(_ONE, F.lit(1)).join(F.broadcast(stats.withColumn(_ONE, F.lit(1))), _ONE, "inner").drop(_ONE)
+    packed = stats.select(F.struct(*stats.columns).alias("_s")).scalar()
+    return df.select("*", *[packed[c].alias(c) for c in stats.columns])
 
 
 def scatter_points(df: DataFrame, x: str, y: str, hue: str | None = None, facet: str | None = None,
