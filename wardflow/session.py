@@ -48,12 +48,15 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df):
-    """Reliable checkpoint into the shared ``spark.checkpoint.dir`` (eager).
+    """Cut lineage through a Parquet table written under the shared
+    ``spark.checkpoint.dir`` (read back with the same schema).
 
-    Used where one intermediate feeds several branches of a plan; the files
-    survive executor loss, unlike a local checkpoint.
+    Used where one intermediate feeds several branches of a plan.  The plan
+    is computed once (an eager ``checkpoint()`` computes it for its count job
+    and again for the checkpoint files), and the files survive executor loss,
+    unlike a local checkpoint.
     """
     spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        shared_dir(spark, "wardflow-ckpt")  # sets a folder in local mode, raises on a cluster
-    return df.checkpoint(eager=True)
+    path = shared_dir(spark, "wardflow-cut")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
