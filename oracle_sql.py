@@ -319,7 +319,7 @@ SQL: dict[str, str] = {
     "staff_subject_ratio": _with(_o6_ctes() + "\nSELECT * FROM o6"),
     "labs_subset": _with("SELECT * FROM labsub"),
     "csv_roundtrip": _with(_o5_ctes() + "\nSELECT * FROM o5"),
-    "pipeline_metrics": _with_all("," + OBS +
+    "cohort_run_metrics": _with_all("," + OBS +
         "\nSELECT 'expanded_patients' AS STAGE, CAST(count(*) AS BIGINT) AS ROW_COUNT FROM pexp "
         "UNION ALL SELECT 'expanded_nurses', count(*) FROM nexp "
         "UNION ALL SELECT 'discharge_ratio', count(*) FROM o5 "

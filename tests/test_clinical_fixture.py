@@ -168,8 +168,8 @@ def test_profile(spark):
     assert all(r["PRIMARY_KEYS"] == "None" for r in d)
 
 
-def test_pipeline_writes_every_stage(spark):
-    from wardflow.plans.pipeline import run_study
+def test_cohort_run_writes_every_stage(spark):
+    from wardflow.plans.cohort_run import run_study
     from wardflow.sources.sinks import read_stage
     out_dir, metrics = run_study(ClinicalStudy(tables(spark)), spark)
     got = {r["STAGE"]: r["ROW_COUNT"] for r in metrics.collect()}

@@ -1 +1 @@
-"""Assembled plans: the cohort pipeline (O10) and stage metrics."""
+"""Assembled plans: the whole cohort run (O10) and stage metrics."""

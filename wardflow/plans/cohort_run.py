@@ -1,4 +1,4 @@
-"""The whole cohort pipeline — every stage written, with row counts.
+"""The whole cohort run — every stage written, with row counts.
 
 Shared inputs (stays, shifts, attributed labs) are written once to the
 cluster's shared folder and re-read, so each later stage starts from files
@@ -78,5 +78,5 @@ def run_study(study: Study, spark: SparkSession, out_dir: str | None = None, fmt
 
 
 def run(spark: SparkSession, sf_dir: str, out_dir: str | None = None, fmt: str = "csv"):
-    """The pipeline over the driver's events table."""
+    """The whole run over the driver's events table."""
     return run_study(EventsStudy(spark, sf_dir), spark, out_dir, fmt)
