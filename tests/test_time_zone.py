@@ -21,3 +21,15 @@ def test_results_independent_of_session_time_zone(spark):
             assert _rows(E.queries()[n](spark, SF)) == base[n], n
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_results_independent_of_ansi_mode(spark):
+    names = ["event_staff_ratio", "staff_subject_ratio", "chart_hist", "profile_duplicates"]
+    base = {n: _rows(E.queries()[n](spark, SF)) for n in names}
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        spark.conf.set("spark.sql.ansi.enabled", "false")
+        for n in names:
+            assert _rows(E.queries()[n](spark, SF)) == base[n], n
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
