@@ -179,3 +179,18 @@ def test_cohort_run_writes_every_stage(spark):
     back = read_stage(spark, f"{out_dir}/latest_troponin", "SUBJECT_ID BIGINT, TROPONIN_VAL DOUBLE, "
                       "TROPONIN_UNIT STRING", "csv")
     assert {r["SUBJECT_ID"]: r["TROPONIN_VAL"] for r in back.collect()}[1] == 0.04
+
+
+def test_clock_slots_and_distinct_counts(study):
+    from wardflow.operators import ratios as R
+    d = {(r["CURR_CAREUNIT"], r["TIME_BLOCK_12HR"]): r
+         for r in R.discharge_to_nurse_ratio(study.cohort, study.shifts, study.grid, slot_mode="clock").collect()}
+    r = d[("CCU", ts("06-04 00:00"))]   # the only present row is 04:00: clock slot 2
+    assert (r["DISCHARGE_4HR_1"], r["DISCHARGE_4HR_2"], r["DISCHARGE_4HR_3"]) == (0, 2, 0)
+    assert r["UNIT_NORM_RATIO_4HR_1"] == 0 and r["UNIT_NORM_RATIO_4HR_2"] is None
+    u = {(r["CURR_CAREUNIT"], r["TIME_BLOCK_12HR"]): r
+         for r in R.discharge_to_nurse_ratio(study.cohort, study.shifts, study.grid, count_mode="distinct").collect()}
+    assert u[("CCU", ts("06-04 00:00"))]["DISCHARGE_4HR_1"] == 1   # stay 101 once, not once per code
+    p = {(r["CURR_CAREUNIT"], r["TIME_BLOCK_12HR"]): r
+         for r in R.nurse_to_patient_ratio(study.cohort, study.shifts, study.grid, count_mode="distinct").collect()}
+    assert p[("CCU", ts("06-03 00:00"))]["PATIENTS_4HR_1"] == 1
