@@ -115,3 +115,13 @@ def test_duplicate_report_exact(spark):
     got = {r["TABLE_NAME"]: (r["ROW_COUNT"], r["DUPLICATE_ROWS"]) for r in duplicate_report({"a": a, "b": b}).collect()}
     assert got["b"] == (50, 0)
     assert got["a"] == (8, 8 - a.distinct().count())
+
+
+def test_csv_stage_keeps_microseconds(spark):
+    from wardflow.session import shared_dir
+    from wardflow.sources.sinks import read_stage, write_stage
+    df = spark.createDataFrame([(1, datetime(2024, 1, 1, 3, 4, 5, 123456), None)],
+                               "k BIGINT, t TIMESTAMP_NTZ, v DOUBLE")
+    path = shared_dir(spark, "csv-test")
+    write_stage(df, path, "csv")
+    assert read_stage(spark, path, df.schema, "csv").collect() == df.collect()
