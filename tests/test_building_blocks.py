@@ -74,8 +74,7 @@ def test_episode_scan_matches_brute_force(spark):
         ts = t0 + timedelta(minutes=rnd.randint(0, 60 * 30))            # ties, many buckets
         rows.append((key, i, ts, rnd.choice([0, 1, 1, 2, 2])))         # 0 end, 1 start, 2 other
     df = spark.createDataFrame(rows, "k BIGINT, id BIGINT, ts TIMESTAMP_NTZ, kind INT")
-    got = episode_scan(df, "k", "ts", [F.col("kind"), F.col("id")], F.col("kind") == 0,
-                       F.col("kind") == 1, bucket_us=3_600_000_000)
+    got = episode_scan(df, "k", "ts", ["kind", "id"], "kind = 0", "kind = 1", bucket_us=3_600_000_000)
     got = {r["id"]: (r["S"], r["S_open"], r["NEXT_END"]) for r in got.collect()}
     for k in {r[0] for r in rows}:
         seq = sorted((r for r in rows if r[0] == k), key=lambda r: (r[2], r[3], r[1]))

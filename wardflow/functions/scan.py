@@ -35,44 +35,44 @@ def running_counts(df: DataFrame, key: str, ts: str, order: list[Column],
     return out.select(*df.columns, *[(F.col(f"_l_{n}") + F.col(f"_c_{n}")).alias(n) for n in flags])
 
 
-def episode_scan(df: DataFrame, key: str, ts: str, order: list[Column], is_end: Column,
-                 is_start: Column, bucket_us: int = HOUR_US) -> DataFrame:
+def episode_scan(df: DataFrame, key: str, ts: str, order: list[str], is_end: str,
+                 is_start: str, bucket_us: int = HOUR_US) -> DataFrame:
     """One ordered pass per ``key`` that yields, for every row:
 
     * ``S``       — starts so far (inclusive running count),
     * ``S_open``  — value of ``S`` at the latest end event at or before the row (0 if none),
     * ``NEXT_END`` — time of the first end event after the row in the order (NULL if none).
 
-    Like ``running_counts`` it works in two levels: windows inside each
-    (key, time bucket), and windows over the per-bucket summaries of a key
-    (at most one row per bucket), joined back once.  Frames only grow from
-    the start of the partition, so each window is a single linear pass.
+    ``order`` names the tie-break columns after ``ts``; ``is_end`` / ``is_start``
+    are SQL predicates.  Like ``running_counts`` it works in two levels:
+    windows inside each (key, time bucket), and windows over the per-bucket
+    summaries of a key (at most one row per bucket), joined back once.
+    Frames only grow from the start of the partition, so each window is a
+    single linear pass.
     """
     bk = "_bucket"
-    base = (df.withColumn(bk, bucket_of(ts, bucket_us))
-            .withColumn("_e", is_end.cast("int")).withColumn("_s", is_start.cast("bigint")))
-    asc = Window.partitionBy(key, bk).orderBy(F.col(ts), *order)
-    desc = Window.partitionBy(key, bk).orderBy(F.col(ts).desc(), *[o.desc() for o in order])
-    grow = (Window.unboundedPreceding, Window.currentRow)
-    local = (base
-             .withColumn("_ls", F.sum("_s").over(asc.rowsBetween(*grow)))
-             .withColumn("_lo", F.max(F.when(F.col("_e") == 1, F.col("_ls"))).over(asc.rowsBetween(*grow)))
-             .withColumn("_ln", F.min(F.when(F.col("_e") == 1, F.col(ts)))
-                         .over(desc.rowsBetween(Window.unboundedPreceding, -1))))
+    asc = ", ".join([f"`{ts}`"] + [f"`{o}`" for o in order])
+    desc = ", ".join([f"`{ts}` DESC"] + [f"`{o}` DESC" for o in order])
+    part = f"PARTITION BY `{key}`, {bk}"
+    grow = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    base = df.select("*", bucket_of(ts, bucket_us).alias(bk),
+                     F.expr(f"CAST({is_end} AS INT) AS _e"), F.expr(f"CAST({is_start} AS BIGINT) AS _s"))
+    local = base.selectExpr(
+        "*", f"sum(_s) OVER ({part} ORDER BY {asc} {grow}) AS _ls",
+        f"min(CASE WHEN _e = 1 THEN `{ts}` END) OVER ({part} ORDER BY {desc} "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS _ln")
+    local = local.selectExpr("*", f"max(CASE WHEN _e = 1 THEN _ls END) OVER ({part} ORDER BY {asc} {grow}) AS _lo")
     summary = local.groupBy(key, bk).agg(
-        F.sum("_s").alias("_ts"), F.min(F.when(F.col("_e") == 1, F.col(ts))).alias("_te"),
-        F.max(F.when(F.col("_e") == 1, F.col("_ls"))).alias("_tl"))
-    kb = Window.partitionBy(key).orderBy(bk)
-    kbd = Window.partitionBy(key).orderBy(F.col(bk).desc())
-    before = (Window.unboundedPreceding, -1)
-    carried = (summary
-               .withColumn("_cs", F.coalesce(F.sum("_ts").over(kb.rowsBetween(*before)), F.lit(0)))
-               .withColumn("_co", F.max(F.col("_cs") + F.col("_tl")).over(kb.rowsBetween(*before)))
-               .withColumn("_cn", F.min("_te").over(kbd.rowsBetween(*before)))
-               .select(key, bk, "_cs", "_co", "_cn"))
+        F.expr("sum(_s) AS _ts"), F.expr(f"min(CASE WHEN _e = 1 THEN `{ts}` END) AS _te"),
+        F.expr("max(CASE WHEN _e = 1 THEN _ls END) AS _tl"))
+    before = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    carried = summary.selectExpr(
+        f"`{key}`", bk, "_te", "_tl",
+        f"coalesce(sum(_ts) OVER (PARTITION BY `{key}` ORDER BY {bk} {before}), 0) AS _cs",
+        f"min(_te) OVER (PARTITION BY `{key}` ORDER BY {bk} DESC {before}) AS _cn")
+    carried = carried.selectExpr(
+        f"`{key}`", bk, "_cs", "_cn", f"max(_cs + _tl) OVER (PARTITION BY `{key}` ORDER BY {bk} {before}) AS _co")
     out = local.join(carried, [key, bk], "inner")
-    return out.select(
-        *df.columns,
-        (F.col("_cs") + F.col("_ls")).alias("S"),
-        F.coalesce(F.col("_cs") + F.col("_lo"), F.col("_co"), F.lit(0)).cast("bigint").alias("S_open"),
-        F.coalesce(F.col("_ln"), F.col("_cn")).alias("NEXT_END"))
+    return out.select(*[f"`{c}`" for c in df.columns], F.expr("_cs + _ls AS S"),
+                      F.expr("CAST(coalesce(_cs + _lo, _co, 0) AS BIGINT) AS S_open"),
+                      F.expr("coalesce(_ln, _cn) AS NEXT_END"))

@@ -53,8 +53,8 @@ def ordered_events(t: Tables, bucket_us: int = HOUR_US) -> DataFrame:
             .when(F.col("event_type") == STAY_EVENT, _KIND_STAY)
             .otherwise(_KIND_LAB))
     ev = ev.withColumn("_kind", kind)
-    return episode_scan(ev, "user_id", "ts", [F.col("_kind"), F.col("event_id")],
-                        F.col("_kind") == _KIND_END, F.col("_kind") == _KIND_STAY, bucket_us)
+    return episode_scan(ev, "user_id", "ts", ["_kind", "event_id"],
+                        f"_kind = {_KIND_END}", f"_kind = {_KIND_STAY}", bucket_us)
 
 
 def stays(t: Tables, ordered: DataFrame | None = None) -> DataFrame:
