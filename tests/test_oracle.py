@@ -20,7 +20,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(set(E.oracle_sql()) & set(E.study_queries())))
 def test_query_matches_oracle(spark, con, name):
     s = E.queries()[name](spark, SF).toPandas()
     o = con.execute(E.oracle_sql()[name]).df()
@@ -30,7 +30,7 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(E.study_queries()) <= set(E.oracle_sql())
 
 
 def test_entry_smoke(spark):

@@ -11,7 +11,7 @@ EAGER = {"cohort_run_metrics", "csv_roundtrip"}  # these write files while build
 
 def test_no_nested_loop_cartesian_or_python_in_plans(spark):
     bad = {}
-    for name, q in E.queries().items():
+    for name, q in E.study_queries().items():
         if name in EAGER:
             continue
         plan = q(spark, SF)._jdf.queryExecution().executedPlan().toString()
