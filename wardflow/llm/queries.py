@@ -10,6 +10,7 @@ from wardflow.llm.bpe import op9_byte_bpe
 from wardflow.llm.chat import OP10_SQL, op10_format_chats
 from wardflow.llm.common import ship_package
 from wardflow.llm.exact import OP3_SQL, op3_exact_dedup
+from wardflow.llm.near import op6_near_dedup
 from wardflow.llm.packing import op4_pack_documents
 from wardflow.llm.quality import op7_compression_rules
 from wardflow.llm.repair import op1_grammar_ids
@@ -27,7 +28,7 @@ def _query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 
 QUERIES = {f.__name__: _query(f) for f in (
     op1_grammar_ids, op2_importance_resampling, op3_exact_dedup, op4_pack_documents,
-    op7_compression_rules, op8_temporal_url_lists, op9_byte_bpe, op10_format_chats,
+    op6_near_dedup, op7_compression_rules, op8_temporal_url_lists, op9_byte_bpe, op10_format_chats,
 )}
 
 SQL: dict[str, str] = {
