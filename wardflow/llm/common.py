@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from wardflow.session import shared_dir
 from wardflow.sources.tables import read_table
@@ -74,7 +75,7 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
 
 
 def map_rows(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]],
-             schema: str) -> DataFrame:
+             schema: str | StructType) -> DataFrame:
     """Map each slice of ``df`` in Python; ``make`` builds the function once per task."""
     def run(batches):
         step = make()

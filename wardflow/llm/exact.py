@@ -200,19 +200,34 @@ def text_classes(docs: DataFrame, budget: int = 96 << 20) -> DataFrame:
         F.expr(f"nullif(doc_id, {_NO_ID}L)").alias("keep_id"), F.col("members").alias("group_size"))
 
 
+_CLASS = ["n_bytes", "h", "text_sha256"]
+
+
+def _with_class(docs: DataFrame, *cols) -> DataFrame:
+    """``cols`` of ``docs`` with the columns that name a text's class."""
+    return docs.select(*cols, F.expr(f"{normalised()} AS norm")).select(
+        *[c for c in cols], F.expr("cast(octet_length(norm) AS bigint)").alias("n_bytes"),
+        F.xxhash64("norm").alias("h"), F.sha2("norm", 256).alias("text_sha256"))
+
+
 def exact_duplicates(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256.
 
     Null texts are empty and equal to blank ones.  Of rows that repeat the
     owner's doc_id with an equal text all are kept: they are the same document.
     """
-    member = docs.select("doc_id", F.expr(f"{normalised()} AS norm")).select(
-        "doc_id", F.expr("cast(octet_length(norm) AS bigint)").alias("n_bytes"), F.xxhash64("norm").alias("h"),
-        F.sha2("norm", 256).alias("text_sha256"))
-    return (member.join(text_classes(docs), ["n_bytes", "h", "text_sha256"])
+    return (_with_class(docs, "doc_id").join(text_classes(docs), _CLASS)
             .select("doc_id", "keep_id", "group_size", F.expr("doc_id <=> keep_id").alias("kept"), "text_sha256"))
 
 
+def keep_owners(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text and any other columns) that own their text, unchanged."""
+    rows = _with_class(docs.select("doc_id", "text", F.struct("*").alias("row")), "doc_id", "row")
+    owners = text_classes(docs).select(*_CLASS, F.col("keep_id"))
+    same = [rows[c] == owners[c] for c in _CLASS] + [rows.doc_id.eqNullSafe(owners.keep_id)]
+    return rows.join(owners, same, "left_semi").select("row.*")
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the document kept for its text."""
     return exact_duplicates(documents(spark, sf_dir))

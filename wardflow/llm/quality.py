@@ -76,6 +76,32 @@ def _ranks_of(one: np.ndarray, width: int) -> np.ndarray:
     return rank
 
 
+def _judge(bands: Bands):
+    """The rules as a function of one row's doc_id and text."""
+    squeeze = zstandard.ZstdCompressor(level=bands.level).compress
+
+    def ratio(raw: bytes) -> float:
+        return len(raw) / len(squeeze(raw))
+
+    def judge(doc, text):
+        text = text or ""
+        raw = text.encode()
+        words = raw.split()
+        n = len(words)
+        lines = [x for x in text.split("\n") if x.strip(BLANKS)]
+        repeated = repeat_words(words)
+        base = n < 10 or 100 * repeated > 20 * n
+        whole = ratio(raw) if raw else 0.0
+        chunks = [raw[i:i + bands.chunk] for i in range(0, len(raw), bands.chunk)]
+        ratios = [ratio(c) for c in chunks]
+        out = sum(bands.outside(len(c), r) for c, r in zip(chunks, ratios))
+        band = not raw or bands.outside(len(raw), whole) or out > bands.chunk_share * len(chunks)
+        return (doc, n, len(text) - sum(map(text.count, BLANKS)), sum(map(text.count, SYMBOLS)),
+                len(lines) - len(set(lines)), repeated, base, whole, max(ratios, default=0.0), band,
+                not base and not band)
+    return judge
+
+
 def apply_rules(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
     """Measure every whole text of ``docs`` (doc_id, text) and judge it: one row per row.
 
@@ -86,27 +112,7 @@ def apply_rules(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
     names = [c.strip().split()[0] for c in RULE_DDL.split(",")]
 
     def make():
-        squeeze = zstandard.ZstdCompressor(level=bands.level).compress
-
-        def ratio(raw: bytes) -> float:
-            return len(raw) / len(squeeze(raw))
-
-        def judge(doc, text):
-            text = text or ""
-            raw = text.encode()
-            words = raw.split()
-            n = len(words)
-            lines = [x for x in text.split("\n") if x.strip(BLANKS)]
-            repeated = repeat_words(words)
-            base = n < 10 or 100 * repeated > 20 * n
-            whole = ratio(raw) if raw else 0.0
-            chunks = [raw[i:i + bands.chunk] for i in range(0, len(raw), bands.chunk)]
-            ratios = [ratio(c) for c in chunks]
-            out = sum(bands.outside(len(c), r) for c, r in zip(chunks, ratios))
-            band = not raw or bands.outside(len(raw), whole) or out > bands.chunk_share * len(chunks)
-            return (doc, n, len(text) - sum(map(text.count, BLANKS)), sum(map(text.count, SYMBOLS)),
-                    len(lines) - len(set(lines)), repeated, base, whole, max(ratios, default=0.0), band,
-                    not base and not band)
+        judge = _judge(bands)
 
         def step(rows: pa.RecordBatch) -> pa.RecordBatch:
             out = [judge(d, t) for d, t in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist())]
@@ -115,6 +121,16 @@ def apply_rules(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
     return map_rows(docs.select("doc_id", "text"), make, RULE_DDL)
 
 
+def passing(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
+    """The rows of ``docs`` (text and any other columns) that ``apply_rules`` keeps, unchanged."""
+    at = docs.columns.index("text")
+
+    def make():
+        judge = _judge(bands)
+        return lambda rows: rows.filter(pa.array([judge(None, t)[-1] for t in rows.column(at).to_pylist()], pa.bool_()))
+    return map_rows(docs, make, docs.schema)
+
+
 _TYPES = [pa.int64()] * 6 + [pa.bool_(), pa.float64(), pa.float64(), pa.bool_(), pa.bool_()]
 
 
