@@ -7,23 +7,26 @@ closed forms used by the Spark plans rather than repeating them.
 
 from __future__ import annotations
 
-from wardflow.config import EVENTS_GRID as G
+from wardflow.config import EVENTS_GRID as G, JUNE_2000
 from wardflow.sources import events_view as ev, retail_view as rv
 
-END = f"TIMESTAMP '{G.end_sql}'"
-SUB = f"to_microseconds({G.sub_us})"
+SUB = f"to_microseconds({G.sub_us})"  # sub-blocks of both grids
 
-CTES = ev.oracle_ctes(G) + f""",
+
+def _stages(inputs: str, grid, patterns: tuple[str, str]) -> str:
+    """Inputs (stays, staff, labs, grid, subs) and the expanded rows and test subset built from them."""
+    end = f"TIMESTAMP '{grid.end_sql}'"
+    return inputs + f""",
 pexp AS (
   SELECT s.SUBJECT_ID, s.HADM_ID, s.CURR_CAREUNIT, g.B12 AS TIME_BLOCK_12HR,
-         g.B12 + to_microseconds(k * {G.sub_us}) AS TIME_BLOCK_4HR, s.ADMISSION_DATE,
-         coalesce(s.DISCHARGE_DATE, {END}) AS DISCHARGE_DATE
-  FROM stays s JOIN grid g ON s.ADMISSION_DATE <= g.B12 AND g.B12 < coalesce(s.DISCHARGE_DATE, {END})
+         g.B12 + to_microseconds(k * {grid.sub_us}) AS TIME_BLOCK_4HR, s.ADMISSION_DATE,
+         coalesce(s.DISCHARGE_DATE, {end}) AS DISCHARGE_DATE
+  FROM stays s JOIN grid g ON s.ADMISSION_DATE <= g.B12 AND g.B12 < coalesce(s.DISCHARGE_DATE, {end})
   CROSS JOIN subs),
 nexp AS (
   SELECT n.CGID, n.CURR_CAREUNIT, g.B12 AS TIME_BLOCK_12HR,
-         g.B12 + to_microseconds(k * {G.sub_us}) AS TIME_BLOCK_4HR
-  FROM staff n JOIN grid g ON n.STARTTIME <= g.B12 AND g.B12 < coalesce(n.ENDTIME, {END})
+         g.B12 + to_microseconds(k * {grid.sub_us}) AS TIME_BLOCK_4HR
+  FROM staff n JOIN grid g ON n.STARTTIME <= g.B12 AND g.B12 < coalesce(n.ENDTIME, {end})
   CROSS JOIN subs),
 nur AS (
   SELECT CURR_CAREUNIT, TIME_BLOCK_12HR, TIME_BLOCK_4HR, count(*) AS nn FROM nexp
@@ -32,10 +35,15 @@ labsub AS (
   SELECT l.SUBJECT_ID, l.HADM_ID, l.ITEMID, l.CHARTTIME, l.VALUENUM, l.VALUEUOM, l.LABEL,
          s.ADMISSION_DATE, s.DISCHARGE_DATE
   FROM labs l JOIN stays s ON l.SUBJECT_ID = s.SUBJECT_ID AND l.HADM_ID = s.HADM_ID
-  WHERE (l.LABEL ILIKE '%view%' OR l.LABEL ILIKE '%error%')
+  WHERE (l.LABEL ILIKE '%{patterns[0]}%' OR l.LABEL ILIKE '%{patterns[1]}%')
     AND l.CHARTTIME >= s.ADMISSION_DATE AND l.CHARTTIME < s.DISCHARGE_DATE)"""
 
 
+CTES = _stages(ev.oracle_ctes(G), G, ("view", "error"))
+GAPPY = _stages(ev.gappy_oracle_ctes(G), G, ("view", "error"))
+RETAIL = _stages(f"{rv.ORACLE_INPUTS},\n{ev.grid_ctes(JUNE_2000)}", JUNE_2000, ("R", "A"))
+
+
 def _with(body: str) -> str:
     return f"WITH {CTES}\n{body}"
 
@@ -108,8 +116,8 @@ j_{prefix} AS (
    AND t.CHARTTIME >= p.TIME_BLOCK_4HR AND t.CHARTTIME < p.TIME_BLOCK_4HR + {SUB}),
 l4_{prefix} AS (
   SELECT SUBJECT_ID, HADM_ID, TIME_BLOCK_4HR,
-    arg_max(VALUENUM, (CHARTTIME, ITEMID)) FILTER (WHERE VALUENUM IS NOT NULL) AS v,
-    arg_max(VALUEUOM, (CHARTTIME, ITEMID)) FILTER (WHERE VALUEUOM IS NOT NULL) AS un
+    arg_max(VALUENUM, (CHARTTIME, ITEMID, VALUENUM)) FILTER (WHERE VALUENUM IS NOT NULL) AS v,
+    arg_max(VALUEUOM, (CHARTTIME, ITEMID, coalesce(VALUENUM, -1e308), VALUEUOM)) FILTER (WHERE VALUEUOM IS NOT NULL) AS un
   FROM j_{prefix} GROUP BY ALL),
 ff_{prefix} AS (
   SELECT p.SUBJECT_ID, p.HADM_ID, p.TIME_BLOCK_12HR, p.TIME_BLOCK_4HR, p.ADMISSION_DATE,
@@ -143,20 +151,24 @@ def _with_all(body: str) -> str:
     return f"WITH {CTES},{LATEST}{RATIOS}\n{body}"
 
 
-OBS = """
+def _obs(p1: str, p2: str) -> str:
+    return f"""
 obs AS (
   SELECT b.SUBJECT_ID, b.HADM_ID, b.CURR_CAREUNIT, b.TIME_BLOCK_12HR,
     d.AVG_DISCHARGE_TO_NURSE_RATIO, d.AVG_UNIT_NORM_RATIO AS DISCHARGE_UNIT_NORM_RATIO,
     p.AVG_NURSE_TO_PATIENT_RATIO, p.AVG_UNIT_NORM_RATIO AS PATIENT_UNIT_NORM_RATIO,
-    v.VIEW_VAL, v.VIEW_UNIT, e.ERROR_VAL, e.ERROR_UNIT
+    v.{p1}_VAL, v.{p1}_UNIT, e.{p2}_VAL, e.{p2}_UNIT
   FROM (SELECT DISTINCT SUBJECT_ID, HADM_ID, CURR_CAREUNIT, TIME_BLOCK_12HR FROM pexp) b
   LEFT JOIN o5 d ON b.CURR_CAREUNIT = d.CURR_CAREUNIT AND b.TIME_BLOCK_12HR = d.TIME_BLOCK_12HR
   LEFT JOIN o6 p ON b.CURR_CAREUNIT = p.CURR_CAREUNIT AND b.TIME_BLOCK_12HR = p.TIME_BLOCK_12HR
-  LEFT JOIN o8_VIEW v ON b.SUBJECT_ID = v.SUBJECT_ID AND b.HADM_ID = v.HADM_ID
+  LEFT JOIN o8_{p1} v ON b.SUBJECT_ID = v.SUBJECT_ID AND b.HADM_ID = v.HADM_ID
    AND b.TIME_BLOCK_12HR = v.TIME_BLOCK_12HR
-  LEFT JOIN o8_ERROR e ON b.SUBJECT_ID = e.SUBJECT_ID AND b.HADM_ID = e.HADM_ID
+  LEFT JOIN o8_{p2} e ON b.SUBJECT_ID = e.SUBJECT_ID AND b.HADM_ID = e.HADM_ID
    AND b.TIME_BLOCK_12HR = e.TIME_BLOCK_12HR)"""
 
+
+OBS = _obs("VIEW", "ERROR")
+
 LAST_UNIT = """,
 last_unit AS (
   SELECT l.SUBJECT_ID, l.HADM_ID, l.CURR_CAREUNIT, l.TIME_BLOCK_12HR,
@@ -192,11 +204,13 @@ def _split(ddl: str) -> list[str]:
 
 
 def _profile_duplicates() -> str:
-    from wardflow.plans.profiling import KEYS
+    from wardflow.plans.profiling import FOREIGN_KEYS, KEYS
     from wardflow.sources.schemas import TABLES
+    refs = {t: ", ".join(f"{c} -> {p}.{pc}" for ch, c, p, pc in FOREIGN_KEYS if ch == t) or "None" for t in TABLES}
     parts = [f"SELECT '{t}' AS TABLE_NAME, CAST(count(*) AS BIGINT) AS ROW_COUNT, "
              f"CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {t})) AS BIGINT) AS DUPLICATE_ROWS, "
-             f"'{','.join(KEYS[t]) if t in KEYS else 'None'}' AS PRIMARY_KEYS FROM {t}" for t in TABLES]
+             f"'{','.join(KEYS[t]) if t in KEYS else 'None'}' AS PRIMARY_KEYS, '{refs[t]}' AS FOREIGN_KEYS FROM {t}"
+             for t in TABLES]
     return "\nUNION ALL\n".join(parts)
 
 
@@ -207,7 +221,7 @@ def _key_uniqueness() -> str:
         ks = ", ".join(k)
         nul = " OR ".join(f"{c} IS NULL" for c in k)
         parts.append(f"SELECT '{t}' AS TABLE_NAME, '{','.join(k)}' AS KEY_COLUMNS, "
-                     f"CAST(sum(n) AS BIGINT) AS ROW_COUNT, CAST(count(*) AS BIGINT) AS DISTINCT_KEYS, "
+                     f"CAST(coalesce(sum(n), 0) AS BIGINT) AS ROW_COUNT, CAST(count(*) AS BIGINT) AS DISTINCT_KEYS, "
                      f"CAST(count(*) FILTER (WHERE n > 1) AS BIGINT) AS DUPLICATED_KEYS, "
                      f"CAST(coalesce(sum(n) FILTER (WHERE {nul}), 0) AS BIGINT) AS NULL_KEY_ROWS "
                      f"FROM (SELECT {ks}, count(*) AS n FROM {t} GROUP BY {ks}) q")
@@ -273,22 +287,41 @@ LEFT JOIN (
   GROUP BY ALL) c ON c.BIN = b.i {"".join(f" AND c.{k} = st.{k}" for k in keys)}"""
 
 
-def _density(src: str, y: str, gridsize: int = 200, cut: float = 3.0) -> str:
-    return f"""SELECT CAST(p.i AS INTEGER) AS POINT, a + p.i * step AS X,
+def _density(src: str, y: str, gridsize: int = 200, cut: float = 3.0, by: str = "") -> str:
+    key, group = (f"{by}, ", f"GROUP BY {by}") if by else ("", "")
+    d = f"({_clean(src, [by] if by else [], y)})"
+    join = f"USING ({by})" if by else "ON TRUE"
+    return f"""SELECT {key}CAST(p.i AS INTEGER) AS POINT, a + p.i * step AS X,
   sum(exp(-0.5 * ((a + p.i * step - y) / bw) * ((a + p.i * step - y) / bw))) * ({1.0 / (2 * 3.141592653589793) ** 0.5!r} / (n * bw)) AS DENSITY
-FROM ({_clean(src, [], y)}) d,
+FROM {d} d JOIN
   (SELECT *, lo - {cut} * bw AS a, (hi - lo + {2 * cut} * bw) / {float(gridsize - 1)} AS step FROM (
      SELECT *, pow(CAST(n AS DOUBLE), -0.2) * sd AS bw FROM (
-       SELECT min(y) AS lo, max(y) AS hi, count(*) AS n, stddev_samp(y) AS sd
-       FROM ({_clean(src, [], y)}) d0) s0 WHERE n > 1 AND sd > 0) s1) st,
-  range({gridsize}) p(i)
-GROUP BY p.i, a, step, n, bw"""
+       SELECT {key}min(y) AS lo, max(y) AS hi, count(*) AS n, stddev_samp(y) AS sd
+       FROM {d} d0 {group}) s0 WHERE n > 1 AND sd > 0) s1) st {join}, range({gridsize}) p(i)
+GROUP BY {key}p.i, a, step, n, bw"""
 
 
 def _retail(body: str) -> str:
     return f"WITH {rv.ORACLE_CTES}\n{body}"
 
 
+def _retail_latest(body: str) -> str:
+    return f"WITH {RETAIL},{_latest_cte('RETURNED', 'R')},{_latest_cte('ACCEPTED', 'A')}{RATIOS},{_obs('RETURNED', 'ACCEPTED')}\n{body}"
+
+
+def _gappy(body: str) -> str:
+    return f"WITH {GAPPY},{LATEST}{RATIOS},{OBS}\n{body}"
+
+
+def _gappy_nulls() -> str:
+    inputs = {"stays": "SUBJECT_ID HADM_ID CURR_CAREUNIT ADMISSION_DATE DISCHARGE_DATE",
+              "staff": "CURR_CAREUNIT CGID LABEL STARTTIME ENDTIME",
+              "labs": "SUBJECT_ID HADM_ID ITEMID CHARTTIME VALUENUM VALUEUOM LABEL"}
+    parts = [f"SELECT '{t}' AS TABLE_NAME, '{c}' AS COLUMN_NAME, count(*) - count({c}) AS NULL_COUNT FROM {t}"
+             for t, cols in inputs.items() for c in cols.split()]
+    return f"WITH {GAPPY}\nSELECT * FROM ({' UNION ALL '.join(parts)}) q WHERE NULL_COUNT > 0"
+
+
 U, B = "CURR_CAREUNIT", "TIME_BLOCK_12HR"
 SQL: dict[str, str] = {
     "chart_scatter": _with(_o5_ctes() + "\n" + _scatter("o5", [B, U], "AVG_DISCHARGE_TO_NURSE_RATIO")),
@@ -301,17 +334,24 @@ SQL: dict[str, str] = {
     "chart_facet_line": _with_all("," + OBS + "\n" + _stats("obs", [U, B], "ERROR_VAL")),
     "chart_facet_box": _with_all("," + OBS + "\n" + _box("obs", [U, B], "VIEW_VAL")),
     "chart_facet_hist": _with_all("," + OBS + "\n" + _hist("obs", [U], "VIEW_VAL", 30)),
+    "chart_facet_density": _with_all("," + OBS + "\n" + _density("obs", "VIEW_VAL", by=U)),
+    "retail_observations": _retail_latest("SELECT * FROM obs"),
+    "retail_event_staff_ratio": _retail_latest("SELECT * FROM o5"),
+    "retail_staff_subject_ratio": _retail_latest("SELECT * FROM o6"),
+    "retail_labs_subset": _retail_latest("SELECT * FROM labsub"),
+    "gappy_observations": _gappy("SELECT * FROM obs"),
+    "gappy_null_report": _gappy_nulls(),
     "profile_nulls": _profile_nulls(),
     "profile_duplicates": _profile_duplicates(),
     "key_uniqueness": _key_uniqueness(),
     "orphan_keys": _orphan_keys(),
     "cohort_select": _retail("SELECT * FROM cohort"),
-    "latest_end_per_stay": _retail("SELECT * FROM discharges"),
-    "required_lab_semi": _retail("SELECT * FROM tested"),
+    "latest_end_per_stay": _retail("SELECT * FROM leave"),
+    "required_lab_semi": _retail("SELECT * FROM with_r"),
     "cohort_subject_count": _retail(
-        "SELECT CAST(count(DISTINCT SUBJECT_ID) + max(CASE WHEN SUBJECT_ID IS NULL THEN 1 ELSE 0 END) "
+        "SELECT CAST(count(DISTINCT SUBJECT_ID) + coalesce(max(CASE WHEN SUBJECT_ID IS NULL THEN 1 ELSE 0 END), 0) "
         "AS BIGINT) AS N_SUBJECTS FROM cohort"),
-    "staff_assignments": _retail("SELECT * FROM staff_assign"),
+    "staff_assignments": _retail("SELECT * FROM staff_rows"),
     "event_stays": _with("SELECT * FROM stays"),
     "expand_stays": _with("SELECT * FROM pexp"),
     "expand_staff": _with("SELECT * FROM nexp"),
@@ -333,6 +373,7 @@ SQL: dict[str, str] = {
     "stage_metrics": _with(
         _o5_ctes() + _o6_ctes() +
         "\nSELECT 'expanded_patients' AS STAGE, CAST(count(*) AS BIGINT) AS ROW_COUNT FROM pexp "
+        "UNION ALL SELECT 'cohort', count(*) FROM stays UNION ALL SELECT 'staff_assignments', count(*) FROM staff "
         "UNION ALL SELECT 'expanded_nurses', count(*) FROM nexp "
         "UNION ALL SELECT 'discharge_ratio', count(*) FROM o5 "
         "UNION ALL SELECT 'patient_ratio', count(*) FROM o6 "
@@ -354,8 +395,7 @@ SQL: dict[str, str] = {
         "WHERE CURR_CAREUNIT IS NOT NULL GROUP BY ALL"),
     "subject_lookup": _with_latest(LAST_UNIT + "\nSELECT * FROM last_unit WHERE SUBJECT_ID = 42"),
     "unit_labels": _with_latest(
-        "SELECT count(DISTINCT VIEW_UNIT) AS DISTINCT_UNITS, count(VIEW_VAL) AS N_VALUES, "
-        "count(VIEW_UNIT) AS N_UNITS FROM o9_VIEW"),
+        "SELECT VIEW_UNIT AS UNIT_LABEL, count(*) AS N_SUBJECTS, count(VIEW_VAL) AS N_VALUES FROM o9_VIEW GROUP BY ALL"),
     "head_rows": _with_all("," + OBS + "\nSELECT * FROM obs ORDER BY SUBJECT_ID, HADM_ID, "
                            "TIME_BLOCK_12HR LIMIT 5"),
     "slice_rows": _with(_o5_ctes() + "\nSELECT * FROM o5 ORDER BY CURR_CAREUNIT, TIME_BLOCK_12HR "
@@ -400,6 +440,12 @@ DOUBLES: dict[str, tuple[str, ...]] = {
     "chart_hist": ("BIN_START", "BIN_END"),
     "chart_facet_hist": ("BIN_START", "BIN_END"),
     "chart_density": ("X", "DENSITY"),
+    "chart_facet_density": ("X", "DENSITY"),
+    "retail_observations": _OBS[:4] + ("RETURNED_VAL", "ACCEPTED_VAL"),
+    "retail_event_staff_ratio": _RATIO5,
+    "retail_staff_subject_ratio": _RATIO6,
+    "retail_labs_subset": ("VALUENUM",),
+    "gappy_observations": _OBS,
 }
 
 

@@ -7,32 +7,9 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from wardflow.functions.scan import running_counts
 from wardflow.operators.timeblocks import coverage_counts
 
 
-def test_running_counts_match_brute_force(spark):
-    rnd = random.Random(3)
-    t0 = datetime(2024, 1, 1)
-    rows = []
-    for i in range(600):
-        key = 0 if rnd.random() < 0.4 else rnd.randint(1, 5)          # one hot key
-        ts = t0 + timedelta(minutes=rnd.randint(0, 60 * 24 * 3))       # ties included
-        rows.append((key, i, ts, rnd.randint(0, 2)))
-    df = spark.createDataFrame(rows, "k BIGINT, id BIGINT, ts TIMESTAMP_NTZ, kind INT")
-    got = running_counts(df, "k", "ts", [F.col("kind"), F.col("id")],
-                         {"A": F.col("kind") == 0, "B": F.col("kind") == 1},
-                         bucket_us=2 * 3_600_000_000)
-    got = {r["id"]: (r["A"], r["B"]) for r in got.collect()}
-    for k in {r[0] for r in rows}:
-        seq = sorted((r for r in rows if r[0] == k), key=lambda r: (r[2], r[3], r[1]))
-        a = b = 0
-        for r in seq:
-            a += r[3] == 0
-            b += r[3] == 1
-            assert got[r[1]] == (a, b)
-
-
 def test_coverage_counts_match_brute_force(spark):
     rnd = random.Random(5)
     rows = []

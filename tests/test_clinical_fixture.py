@@ -152,7 +152,7 @@ def test_last_unit_and_counts(study):
     assert set(lu) == {101, 102, 301, 501, 801}
     assert lu[101]["CURR_CAREUNIT"] == "CCU" and lu[101]["TROPONIN_VAL"] == 0.04
     assert lu[501]["CURR_CAREUNIT"] is None and lu[501]["TROPONIN_VAL"] == 2.5
-    c = {r["CURR_CAREUNIT"]: (r["PATIENT_COUNT"], r["Troponin_Count"], r["Bnp_Count"])
+    c = {r["CURR_CAREUNIT"]: (r["PATIENT_COUNT"], r["Troponin_Count"], r["BNP_Count"])
          for r in study.tested_counts_by_unit().collect()}
     assert c == {"CCU": (2, 2, 0), "MICU": (1, 0, 0), "SICU": (1, 0, 0)}
 

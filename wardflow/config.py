@@ -89,7 +89,6 @@ class CohortSpec:
 
 @dataclass(frozen=True)
 class LabSpec:
-    """Lab patterns: the subset keeps any of ``patterns``; one test per prefix."""
+    """Tests to follow: column prefix -> pattern of the test's label."""
 
-    patterns: tuple[str, ...] = ("Troponin", "BNP")
     tests: dict = field(default_factory=lambda: {"TROPONIN": "Troponin", "BNP": "BNP"})

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
-
 
 def ratio_or_zero_sql(num: str, den: str) -> str:
     """``num / den`` with division by zero giving 0 (reference: inf -> 0)."""
@@ -20,15 +18,3 @@ def mean_skip_null_sql(*cols: str) -> str:
     total = " + ".join(f"coalesce({c}, 0D)" for c in cols)
     count = " + ".join(f"CASE WHEN {c} IS NULL THEN 0 ELSE 1 END" for c in cols)
     return f"try_divide({total}, CAST({count} AS DOUBLE))"
-
-
-def ratio_or_zero(num: str, den: str) -> Column:
-    return F.expr(ratio_or_zero_sql(num, den))
-
-
-def ratio_or_null(num: str, den: str) -> Column:
-    return F.expr(ratio_or_null_sql(num, den))
-
-
-def mean_skip_null(*cols: str) -> Column:
-    return F.expr(mean_skip_null_sql(*cols))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, functions as F
 
 
@@ -17,10 +15,6 @@ def regex_contains_ci(col: Column, pattern: str) -> Column:
     return F.coalesce(col.rlike("(?i)" + pattern), F.lit(False))
 
 
-def literal_contains_ci(col: Column, text: str) -> Column:
-    return regex_contains_ci(col, re.escape(text))
-
-
 def code_filter(col: Column, prefixes, equals) -> Column:
     """``code LIKE 'p%' OR ... OR code = 'e' OR ...`` (prefixes case-insensitive)."""
     cond = F.lit(False)

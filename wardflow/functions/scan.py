@@ -1,4 +1,4 @@
-"""Running counts per key, computed in two levels so a hot key is split.
+"""Ordered scans per key, computed in two levels so a hot key is split.
 
 A plain window ``partitionBy(key).orderBy(ts)`` sends every row of a key to
 one task.  Here rows are first grouped by ``(key, time bucket)``: a window
@@ -9,32 +9,13 @@ span, not by the data) gives the count carried in from earlier buckets.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from wardflow.functions.timegrid import bucket_of
 
 HOUR_US = 3_600_000_000
 
 
-def running_counts(df: DataFrame, key: str, ts: str, order: list[Column],
-                   flags: dict[str, Column], bucket_us: int = HOUR_US) -> DataFrame:
-    """Add, for each name in ``flags``, the inclusive running count of rows
-    whose flag is 1, per ``key`` in ``(ts, *order)`` order."""
-    bk = "_bucket"
-    flag_cols = {f"_f_{n}": c.cast("bigint") for n, c in flags.items()}
-    base = df.withColumn(bk, bucket_of(ts, bucket_us)).withColumns(flag_cols)
-    inner = (Window.partitionBy(key, bk).orderBy(F.col(ts), *order)
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = base.withColumns({f"_l_{n}": F.sum(f"_f_{n}").over(inner) for n in flags})
-    totals = base.groupBy(key, bk).agg(*[F.sum(f"_f_{n}").alias(f"_t_{n}") for n in flags])
-    before = (Window.partitionBy(key).orderBy(bk)
-              .rowsBetween(Window.unboundedPreceding, -1))
-    carried = totals.select(key, bk, *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0))
-                                     .alias(f"_c_{n}") for n in flags])
-    out = local.join(carried, [key, bk], "inner")
-    return out.select(*df.columns, *[(F.col(f"_l_{n}") + F.col(f"_c_{n}")).alias(n) for n in flags])
-
-
 def episode_scan(df: DataFrame, key: str, ts: str, order: list[str], is_end: str,
                  is_start: str, bucket_us: int = HOUR_US) -> DataFrame:
     """One ordered pass per ``key`` that yields, for every row:
@@ -44,7 +25,7 @@ def episode_scan(df: DataFrame, key: str, ts: str, order: list[str], is_end: str
     * ``NEXT_END`` — time of the first end event after the row in the order (NULL if none).
 
     ``order`` names the tie-break columns after ``ts``; ``is_end`` / ``is_start``
-    are SQL predicates.  Like ``running_counts`` it works in two levels:
+    are SQL predicates.  It works in two levels:
     windows inside each (key, time bucket), and windows over the per-bucket
     summaries of a key (at most one row per bucket), joined back once.
     Frames only grow from the start of the partition, so each window is a

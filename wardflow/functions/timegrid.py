@@ -68,9 +68,11 @@ def filled_end_sql(end: str, grid: GridSpec) -> str:
 def block_range_sql(start: str, end: str, grid: GridSpec) -> tuple[str, str]:
     """(first, last) block index with ``start <= block < coalesce(end, grid.end)``.
 
-    Clamped to the grid; the caller keeps rows with ``first <= last``.
+    Clamped to the grid; the caller keeps rows with ``first <= last``.  A null
+    start has no block (``greatest`` alone would skip the null).
     """
-    first = f"greatest({first_slot_at_or_after_sql(start, grid, grid.block_us)}, 0L)"
+    first = (f"if({_c(start)} IS NULL, CAST(NULL AS BIGINT), "
+             f"greatest({first_slot_at_or_after_sql(start, grid, grid.block_us)}, 0L))")
     last = f"least({last_slot_before_sql(filled_end_sql(end, grid), grid, grid.block_us)}, {grid.n_blocks - 1}L)"
     return first, last
 

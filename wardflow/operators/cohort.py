@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, functions as F
 from wardflow import config as C
 from wardflow.config import CohortSpec
 from wardflow.functions.match import code_filter, contains_ci
-from wardflow.functions.sizing import broadcast_if_small
 from wardflow.functions.timegrid import truncate_to_second
 from wardflow.operators.labs import label_labs
 
@@ -36,20 +35,24 @@ def select_cohort(diagnoses: DataFrame, icd_dictionary: DataFrame, transfers: Da
     reference.  The month test is a half-open range on the raw time so it
     reaches the scan; the required-test join is a semi join.
     """
-    d = diagnoses.where(code_filter(F.col(C.ICD9_CODE), spec.code_prefixes, spec.code_equals))
     titles = icd_dictionary.select(C.ICD9_CODE, F.col("LONG_TITLE").alias(C.ICD_DESCRIPTION))
-    d = d.select(C.SUBJECT_ID, C.HADM_ID, C.ICD9_CODE).join(titles, C.ICD9_CODE, "left")
     admits = (transfers.where((F.col("EVENTTYPE") == spec.admit_event)
                               & (F.col("INTIME") >= F.lit(spec.month_start).cast("timestamp_ntz"))
                               & (F.col("INTIME") < F.lit(spec.month_end).cast("timestamp_ntz")))
               .select(C.SUBJECT_ID, C.HADM_ID, C.UNIT, truncate_to_second("INTIME").alias(C.ADMIT)))
+    # The month's admissions restrict every other input first.  The semi join
+    # is on the admission alone, so it moves below joins that attach the
+    # subject and reaches the large tables before they are shuffled.
+    month = admits.select(C.HADM_ID).distinct()
+
+    def in_month(df: DataFrame) -> DataFrame:
+        return df.join(month, C.HADM_ID, "left_semi")
+
+    d = in_month(diagnoses.where(code_filter(F.col(C.ICD9_CODE), spec.code_prefixes, spec.code_equals)))
+    d = d.select(C.SUBJECT_ID, C.HADM_ID, C.ICD9_CODE).join(titles, C.ICD9_CODE, "left")
     cand = d.join(admits, [C.SUBJECT_ID, C.HADM_ID], "inner")
-    # Restrict the two large inputs to the candidate admissions before they
-    # are aggregated (the key set is small; AQE broadcasts it by measured size).
-    keys = cand.select(C.SUBJECT_ID, C.HADM_ID).distinct()
-    ends = latest_discharge(transfers.join(keys, [C.SUBJECT_ID, C.HADM_ID], "left_semi"), spec)
-    tested = tested_admissions(labs.join(keys, [C.SUBJECT_ID, C.HADM_ID], "left_semi"),
-                               spec.required_lab_pattern, lab_dictionary)
+    ends = latest_discharge(in_month(transfers), spec)
+    tested = tested_admissions(in_month(labs), spec.required_lab_pattern, lab_dictionary)
     out = (cand.join(ends, [C.SUBJECT_ID, C.HADM_ID], "left")
            .join(tested, [C.SUBJECT_ID, C.HADM_ID], "left_semi")
            .select(C.SUBJECT_ID, C.HADM_ID, C.ICD9_CODE, C.ICD_DESCRIPTION, C.UNIT, C.ADMIT,
@@ -60,9 +63,8 @@ def select_cohort(diagnoses: DataFrame, icd_dictionary: DataFrame, transfers: Da
 
 def cohort_subject_count(cohort: DataFrame) -> DataFrame:
     """Distinct subjects, a null subject counting as one value (pandas ``unique``)."""
-    return cohort.agg((F.count_distinct(C.SUBJECT_ID)
-                       + F.max(F.col(C.SUBJECT_ID).isNull().cast("int"))).cast("bigint")
-                      .alias("N_SUBJECTS"))
+    any_null = F.coalesce(F.max(F.col(C.SUBJECT_ID).isNull().cast("int")), F.lit(0))
+    return cohort.agg((F.count_distinct(C.SUBJECT_ID) + any_null).cast("bigint").alias("N_SUBJECTS"))
 
 
 def staff_assignments(transfers: DataFrame, team: DataFrame, caregivers: DataFrame,
@@ -74,7 +76,7 @@ def staff_assignments(transfers: DataFrame, team: DataFrame, caregivers: DataFra
     join emits each output pair once instead of once per transfer row.
     """
     cg = caregivers.where(contains_ci(F.col(C.LABEL), spec.staff_label_pattern)).select(C.CGID, C.LABEL)
-    tm = team.select(C.HADM_ID, C.CGID, C.START, C.END).join(broadcast_if_small(cg), C.CGID, "inner")
+    tm = team.select(C.HADM_ID, C.CGID, C.START, C.END).join(cg, C.CGID, "inner")
     units = transfers.where(F.col(C.HADM_ID).isNotNull()).select(C.HADM_ID, C.UNIT).distinct()
     j = units.join(tm, C.HADM_ID, "inner")
     return j.select(C.UNIT, C.HADM_ID, C.CGID, C.LABEL,

@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 from wardflow import config as C
 from wardflow.config import GridSpec
 from wardflow.functions.match import contains_ci, regex_contains_ci
-from wardflow.functions.sizing import broadcast_if_small
 from wardflow.functions.timegrid import slot_of, slot_start
 from wardflow.operators.timeblocks import _FIRST, _LAST, with_block_range
 
@@ -18,8 +17,7 @@ def label_labs(labs: DataFrame, dictionary: DataFrame | None = None) -> DataFram
     """Attach LABEL from the lab dictionary (J5) unless the rows carry one."""
     if dictionary is None:
         return labs
-    d = broadcast_if_small(dictionary.select(C.ITEMID, C.LABEL))
-    return labs.join(d, C.ITEMID, "inner")
+    return labs.join(dictionary.select(C.ITEMID, C.LABEL), C.ITEMID, "inner")
 
 
 def subset_labs(cohort: DataFrame, labs: DataFrame, patterns=("Troponin", "BNP"),
@@ -29,12 +27,14 @@ def subset_labs(cohort: DataFrame, labs: DataFrame, patterns=("Troponin", "BNP")
 
     The equi-join on (subject, admission) replaces the reference's chunked
     ``IN`` lists; Spark may add a runtime bloom filter on the large side.
+    A NaN value is a missing one, as in pandas: it leaves here as NULL.
     """
     lab = label_labs(labs, dictionary)
     cond = F.lit(False)
     for p in patterns:
         cond = cond | contains_ci(F.col(C.LABEL), p)
-    lab = lab.where(cond).select(*LAB_COLUMNS)
+    lab = lab.where(cond).select(*LAB_COLUMNS).withColumn(
+        C.VALUENUM, F.when(~F.isnan(C.VALUENUM), F.col(C.VALUENUM)))
     stays = cohort.select(C.SUBJECT_ID, C.HADM_ID, C.ADMIT, C.DISCHARGE)
     j = lab.join(stays, [C.SUBJECT_ID, C.HADM_ID], "inner")
     return j.where((F.col(C.CHARTTIME) >= F.col(C.ADMIT)) & (F.col(C.CHARTTIME) < F.col(C.DISCHARGE)))

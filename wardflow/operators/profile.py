@@ -1,8 +1,8 @@
 """Table profiling — null counts, duplicate rows, key checks.
 
-Each table is read once per report.  Duplicate detection is exact but
-shuffles only two 64-bit row hashes per row; full rows are compared only
-for the (rare) hash groups holding more than one row.
+Duplicate detection is exact but shuffles two row hashes per row; tables
+with hash groups of more than one row are read a second time, and only those rows are
+compared in full.
 """
 
 from __future__ import annotations
@@ -10,9 +10,11 @@ from __future__ import annotations
 from functools import reduce
 import uuid
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, FloatType
 
+from wardflow.session import cut_lineage
+
 _FLOATS = (DoubleType, FloatType)
 
 
@@ -25,20 +27,6 @@ def _missing_sql(name: str, t) -> str:
     return f"({c} IS NULL OR isnan({c}))" if _is_float(t) else f"{c} IS NULL"
 
 
-def null_counts(name: str, df: DataFrame) -> DataFrame:
-    """(TABLE_NAME, COLUMN_NAME, NULL_COUNT) for columns with missing values.
-
-    All columns are counted in one aggregate, then unpivoted; None and NaN
-    both count as missing (pandas ``isnull``).
-    """
-    fields = df.schema.fields
-    agg = df.agg(*[F.expr(f"CAST(count_if({_missing_sql(f.name, f.dataType)}) AS BIGINT) AS c{i}")
-                   for i, f in enumerate(fields)])
-    pairs = ", ".join(f"'{f.name}', c{i}" for i, f in enumerate(fields))
-    long = agg.selectExpr(f"stack({len(fields)}, {pairs}) AS (COLUMN_NAME, NULL_COUNT)")
-    return long.where("NULL_COUNT > 0").selectExpr(f"'{name}' AS TABLE_NAME", "COLUMN_NAME", "NULL_COUNT")
-
-
 def _normalised_sql(name: str, t) -> str:
     """Column text with -0.0 and NaN variants collapsed, as grouping compares them."""
     c = f"`{name}`"
@@ -73,43 +61,34 @@ def _run_sql(spark, sql: str, views: dict[str, str]) -> DataFrame:
 
 
 def duplicate_report(tables: dict[str, DataFrame]) -> DataFrame:
-    """P2 for many tables: (TABLE_NAME, ROW_COUNT, DUPLICATE_ROWS), one SQL statement.
-
-    Every table contributes two row hashes to one union, aggregated once
-    (one shuffle of 12 bytes per row for all tables).  Only hash groups with
-    more than one row are compared on full rows, table by table; with no
-    candidates AQE skips that work.  Floats are normalised (-0.0, NaN) the
-    way grouping compares them, so the hash agrees with DISTINCT.
+    """P2 for many tables: (TABLE_NAME, ROW_COUNT, DUPLICATE_ROWS).
+
+    One pass hashes every row twice and counts (table, hashes) groups in one
+    aggregate; the row counts are observed on it, and only groups of more than one row
+    are written (the candidates).  Tables with candidates are then compared
+    on full rows, restricted to the candidates by a semi join; the others are not read again.
+    Floats are normalised (-0.0, NaN) the way grouping compares them, so the
+    hash agrees with DISTINCT.
     """
     spark = next(iter(tables.values())).sparkSession
-    views = _views(tables)
-    hashed, exact, names = [], [], []
-    for n, df in tables.items():
-        cols = ", ".join(_normalised_sql(f.name, f.dataType) for f in df.schema.fields)
-        group = ", ".join(f"`{f.name}`" for f in df.schema.fields)
-        hashed.append(f"SELECT '{n}' AS TABLE_NAME, xxhash64({cols}) AS _h1, hash({cols}) AS _h2 FROM {views[n]}")
-        exact.append(
-            f"SELECT '{n}' AS TABLE_NAME, CAST(coalesce(sum(_n - 1), 0) AS BIGINT) AS DUPLICATE_ROWS FROM ("
-            f"SELECT count(1) AS _n FROM {views[n]} t LEFT SEMI JOIN "
-            f"(SELECT _h1, _h2 FROM cand WHERE TABLE_NAME = '{n}') c "
-            f"ON xxhash64({cols}) = c._h1 AND hash({cols}) = c._h2 GROUP BY {group}) q")
-        names.append(f"('{n}')")
-    u = "\n  UNION ALL "
-    sql = f"""WITH hashed AS ({u.join(hashed)}),
-groups AS (SELECT TABLE_NAME, _h1, _h2, count(1) AS _n FROM hashed GROUP BY TABLE_NAME, _h1, _h2),
-row_counts AS (SELECT TABLE_NAME, CAST(sum(_n) AS BIGINT) AS ROW_COUNT FROM groups GROUP BY TABLE_NAME),
-cand AS (SELECT * FROM groups WHERE _n > 1),
-exact AS ({u.join(exact)})
-SELECT n.TABLE_NAME, CAST(coalesce(r.ROW_COUNT, 0) AS BIGINT) AS ROW_COUNT,
-       CAST(coalesce(e.DUPLICATE_ROWS, 0) AS BIGINT) AS DUPLICATE_ROWS
-FROM (VALUES {", ".join(names)}) AS n(TABLE_NAME)
-LEFT JOIN row_counts r ON r.TABLE_NAME = n.TABLE_NAME LEFT JOIN exact e ON e.TABLE_NAME = n.TABLE_NAME"""
-    return _run_sql(spark, sql, views)
-
-
-def duplicate_rows(df: DataFrame) -> DataFrame:
-    """One row (ROW_COUNT, DUPLICATE_ROWS) — rows minus distinct rows."""
-    return duplicate_report({"t": df}).select("ROW_COUNT", "DUPLICATE_ROWS")
+    row_hash = {n: [F.expr(f"{h}({', '.join(_normalised_sql(f.name, f.dataType) for f in df.schema.fields)})").alias(a)
+                    for h, a in (("xxhash64", "_h1"), ("hash", "_h2"))] for n, df in tables.items()}
+    hashed = reduce(DataFrame.unionAll, [df.select(F.lit(n).alias("TABLE_NAME"), *row_hash[n])
+                                         for n, df in tables.items()])
+    groups = hashed.groupBy("TABLE_NAME", "_h1", "_h2").agg(F.count(F.lit(1)).alias("_n"))
+    seen = Observation()
+    cand = cut_lineage(groups.observe(seen, *[F.sum(F.when(F.col("TABLE_NAME") == n, F.col("_n"))).alias(n)
+                                              for n in tables]).where("_n > 1"))
+    rows = seen.get
+    again = {r[0] for r in cand.select("TABLE_NAME").distinct().collect()}  # at most one row per table
+    parts = [spark.createDataFrame([(n, rows[n] or 0, 0) for n in tables if n not in again],
+                                   "TABLE_NAME STRING, ROW_COUNT BIGINT, DUPLICATE_ROWS BIGINT")]
+    for n in sorted(again):
+        full = tables[n].select("*", *row_hash[n]).join(cand.where(F.col("TABLE_NAME") == n), ["_h1", "_h2"], "left_semi")
+        sizes = full.groupBy(*tables[n].columns).agg(F.count(F.lit(1)).alias("_n"))
+        parts.append(sizes.agg(F.lit(n).alias("TABLE_NAME"), F.lit(rows[n]).cast("bigint").alias("ROW_COUNT"),
+                               F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("DUPLICATE_ROWS")))
+    return reduce(DataFrame.unionAll, parts)
 
 
 def profile_nulls(tables: dict[str, DataFrame]) -> DataFrame:
@@ -129,15 +108,22 @@ def profile_nulls(tables: dict[str, DataFrame]) -> DataFrame:
     return _run_sql(spark, f"SELECT * FROM ({body}) q WHERE NULL_COUNT > 0", views)
 
 
-def profile_duplicates(tables: dict[str, DataFrame], keys: dict[str, list[str]] | None = None) -> DataFrame:
-    """Per table, rows, duplicate rows and the declared key ('None' if none)."""
-    keys = keys or {}
+def profile_duplicates(tables: dict[str, DataFrame], keys: dict[str, list[str]] | None = None,
+                       foreign_keys: list[tuple[str, str, str, str]] | None = None) -> DataFrame:
+    """Per table, rows, duplicate rows, the declared key and references ('None' if none)."""
     tables = {n: df for n, df in tables.items() if df.columns}
-    declared = F.lit("None")
-    for n, k in keys.items():
-        if k:
-            declared = F.when(F.col("TABLE_NAME") == n, F.lit(",".join(k))).otherwise(declared)
-    return duplicate_report(tables).withColumn("PRIMARY_KEYS", declared)
+    refs: dict[str, list[str]] = {}
+    for child, col, parent, pcol in foreign_keys or []:
+        refs.setdefault(child, []).append(f"{col} -> {parent}.{pcol}")
+
+    def declared(texts: dict[str, str]):
+        out = F.lit("None")
+        for n, text in texts.items():
+            out = F.when(F.col("TABLE_NAME") == n, F.lit(text)).otherwise(out)
+        return out
+    return duplicate_report(tables).withColumns({
+        "PRIMARY_KEYS": declared({n: ",".join(k) for n, k in (keys or {}).items() if k}),
+        "FOREIGN_KEYS": declared({n: ", ".join(r) for n, r in refs.items()})})
 
 
 def key_uniqueness(tables: dict[str, DataFrame], keys: dict[str, list[str]]) -> DataFrame:
@@ -147,7 +133,7 @@ def key_uniqueness(tables: dict[str, DataFrame], keys: dict[str, list[str]]) ->
         per_key = tables[n].groupBy(*k).agg(F.count(F.lit(1)).alias("_n"))
         any_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in k])
         parts.append(per_key.agg(
-            F.sum("_n").cast("bigint").alias("ROW_COUNT"),
+            F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("ROW_COUNT"),
             F.count(F.lit(1)).cast("bigint").alias("DISTINCT_KEYS"),
             F.count(F.when(F.col("_n") > 1, 1)).cast("bigint").alias("DUPLICATED_KEYS"),
             F.coalesce(F.sum(F.when(any_null, F.col("_n"))), F.lit(0)).cast("bigint").alias("NULL_KEY_ROWS"))

@@ -27,11 +27,11 @@ def subject_block_counts(cohort: DataFrame, grid: GridSpec) -> DataFrame:
 
 
 def last_unit_with_labs(cohort: DataFrame, grid: GridSpec, latest: dict[str, DataFrame]) -> DataFrame:
-    """Unit at each admission's last block, with each subject's latest tests
+    """Unit at each admission's last block (of several rows the latest admit, then the largest unit), with each subject's latest tests
     (``latest`` maps a name to a per-subject table keyed by SUBJECT_ID)."""
     r = with_block_range(cohort, C.ADMIT, C.DISCHARGE, grid)
     last = r.groupBy(C.SUBJECT_ID, C.HADM_ID).agg(
-        F.max_by(C.UNIT, F.col(_LAST)).alias(C.UNIT), F.max(_LAST).alias("_k"))
+        F.max_by(C.UNIT, F.struct(_LAST, C.ADMIT, C.UNIT)).alias(C.UNIT), F.max(_LAST).alias("_k"))
     out = last.select(C.SUBJECT_ID, C.HADM_ID, C.UNIT,
                       slot_start("_k", grid, grid.block_us).alias(C.B12))
     for df in latest.values():

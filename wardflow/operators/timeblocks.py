@@ -18,9 +18,7 @@ _FIRST, _LAST = "_first_block", "_last_block"
 
 
 def add_block_range(df: DataFrame, start: str, end: str, grid: GridSpec) -> DataFrame:
-    """Add the first/last block index of each interval (no rows dropped)."""
-    if _FIRST in df.columns:
-        return df
+    """Add the first/last block index of each interval in ``grid``, replacing earlier ones (no rows dropped)."""
     first, last = block_range_sql(start, end, grid)
     return df.withColumns({_FIRST: F.expr(first), _LAST: F.expr(last)})
 

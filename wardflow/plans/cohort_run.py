@@ -15,32 +15,30 @@ from pyspark.sql import DataFrame, SparkSession
 from wardflow.plans.events_study import EventsStudy
 from wardflow.plans.metrics import metrics_frame, write_observed
 from wardflow.plans.study import Study
-from wardflow.session import shared_dir
+from wardflow.session import delete_path, shared_dir
 from wardflow.sources.sinks import materialise
 
 _SHARED = ("ordered", "stays", "staff", "labs")
 
 
-def materialise_inputs(study: Study, spark: SparkSession) -> Study:
+def materialise_inputs(study: Study, spark: SparkSession, base: str) -> Study:
     """Write the study's shared inputs once to the shared folder and re-read them."""
-    base = shared_dir(spark, "wardflow-stage")
     for name in _SHARED:
         if hasattr(type(study), name):
             study.__dict__[name] = materialise(spark, getattr(study, name), f"{base}/{name}")
     return study
 
 
-def stages(study: Study, spark: SparkSession | None = None) -> dict[str, DataFrame]:
+def stages(study: Study, spark: SparkSession | None = None, base: str = "") -> dict[str, DataFrame]:
     """The stages the reference writes, in order, plus the observation table.
 
-    With a session, the tables later stages build on (both ratio summaries,
+    With a session and a folder, the tables later stages build on (both ratio summaries,
     the lab subset and the all-test block values) are materialised once, and
     the later stages are assembled from them.
     """
     from wardflow.operators import labs as L, observations as O
 
     keep = (lambda df, name: materialise(spark, df, f"{base}/{name}")) if spark else (lambda df, name: df)
-    base = shared_dir(spark, "wardflow-stage") if spark else None
     tests = tuple(study.tests)
     o5 = keep(study.discharge_ratio(), "o5")
     o6 = keep(study.patient_ratio(), "o6")
@@ -68,12 +66,14 @@ def run_study(study: Study, spark: SparkSession, out_dir: str | None = None, fmt
     that a single small stage would leave idle.
     """
     out_dir = out_dir or shared_dir(spark, "wardflow-output")
-    materialise_inputs(study, spark)
-    todo = stages(study, spark)
+    base = shared_dir(spark, "wardflow-stage")  # owned by this run, deleted when its output is written
+    materialise_inputs(study, spark, base)
+    todo = stages(study, spark, base)
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         futures = {name: pool.submit(write_observed, df, name, f"{out_dir}/{name}", fmt)
                    for name, df in todo.items()}
         counts = {name: f.result() for name, f in futures.items()}
+    delete_path(spark, base)
     return out_dir, metrics_frame(spark, counts)
 
 

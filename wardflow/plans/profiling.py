@@ -17,6 +17,13 @@ KEYS: dict[str, list[str]] = {
     "part": ["p_partkey"],
     "orders": ["o_orderkey"],
     "lineitem": ["l_orderkey", "l_linenumber"],
+    "events": ["event_id"],
+    "documents": ["doc_id"],
+    "embeddings": ["vec_id"],
+    "pages": ["page_id"],
+    "benchmark": ["item_id"],
+    "labels": ["doc_id"],
+    "conversations": ["conv_id", "turn"],
 }
 FOREIGN_KEYS: list[tuple[str, str, str, str]] = [
     ("nation", "n_regionkey", "region", "r_regionkey"),
@@ -40,7 +47,7 @@ class Profiling:
         return P.profile_nulls(self.tables)
 
     def duplicates(self) -> DataFrame:
-        return P.profile_duplicates(self.tables, KEYS)
+        return P.profile_duplicates(self.tables, KEYS, FOREIGN_KEYS)
 
     def key_uniqueness(self) -> DataFrame:
         return P.key_uniqueness(self.tables, KEYS)

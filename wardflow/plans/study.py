@@ -7,8 +7,6 @@ tables and for the views onto the driver's tables.
 
 from __future__ import annotations
 
-from functools import cached_property
-
 from pyspark.sql import DataFrame, functions as F
 
 from wardflow import config as C
@@ -21,19 +19,19 @@ from wardflow.operators import ratios as R, summaries as S, timeblocks as tb
 class Study:
     grid: GridSpec
     tests: tuple[tuple[str, str], ...]   # (column prefix, label pattern)
+    count_names: dict[str, str] = {}     # O15 column by prefix; else the test's name and _Count
     lab_dictionary: DataFrame | None = None
     stays: DataFrame
     staff: DataFrame
     labs: DataFrame
 
-    @cached_property
+    @property
     def cohort(self) -> DataFrame:
-        """Stays with their block range, computed once and shared by all stages."""
-        return tb.add_block_range(self.stays, C.ADMIT, C.DISCHARGE, self.grid)
+        return self.stays
 
-    @cached_property
+    @property
     def shifts(self) -> DataFrame:
-        return tb.add_block_range(self.staff, C.START, C.END, self.grid)
+        return self.staff
 
     # --- O4-O9 ---
 
@@ -75,20 +73,20 @@ class Study:
 
     def tested_counts_by_unit(self) -> DataFrame:
         return S.tested_counts_by_unit(self.last_unit_labs(),
-                                       {f"{p}_VAL": f"{p.title()}_Count" for p, _ in self.tests})
+                                       {f"{p}_VAL": self.count_names.get(p, f"{name}_Count")
+                                        for p, name in self.tests})
 
     # --- F17, F18, T4, T5 ---
 
     def subject_lookup(self, subject_id: int) -> DataFrame:
-        """one subject's last units and latest tests (the filter reaches the scans)."""
+        """one subject's last units and latest tests."""
         return self.last_unit_labs().where(F.col("SUBJECT_ID") == subject_id)
 
     def unit_labels(self, prefix: str) -> DataFrame:
-        """distinct units and non-null counts of the per-subject latest test."""
+        """each distinct unit of the per-subject latest test (null included), with rows and non-null values."""
         d = self.latest_per_subject(prefix)
-        return d.agg(F.count_distinct(f"{prefix}_UNIT").alias("DISTINCT_UNITS"),
-                     F.count(f"{prefix}_VAL").alias("N_VALUES"),
-                     F.count(f"{prefix}_UNIT").alias("N_UNITS"))
+        return d.groupBy(F.col(f"{prefix}_UNIT").alias("UNIT_LABEL")).agg(
+            F.count(F.lit(1)).alias("N_SUBJECTS"), F.count(f"{prefix}_VAL").alias("N_VALUES"))
 
     def head_rows(self, n: int = 5) -> DataFrame:
         return T.head_rows(self.observations(), ["SUBJECT_ID", "HADM_ID", "TIME_BLOCK_12HR"], n)
@@ -139,12 +137,16 @@ class Study:
     def chart_facet_hist(self) -> DataFrame:
         return V.histogram(self.observations(), f"{self._p1}_VAL", 30, by=["CURR_CAREUNIT"])
 
+    def chart_facet_density(self) -> DataFrame:
+        return V.density(self.observations(), f"{self._p1}_VAL", by=["CURR_CAREUNIT"])
+
     # --- S9-S11 ---
 
     def stage_metrics(self) -> DataFrame:
         """S11 (query form): rows of each main stage."""
         from wardflow.plans.metrics import stage_counts
-        return stage_counts({"expanded_patients": self.expanded_stays(),
+        return stage_counts({"cohort": self.stays.select("HADM_ID"), "staff_assignments": self.staff.select("CGID"),
+                             "expanded_patients": self.expanded_stays(),
                              "expanded_nurses": self.expanded_staff(),
                              "discharge_ratio": self.discharge_ratio(),
                              "patient_ratio": self.patient_ratio(),
@@ -157,6 +159,6 @@ class Study:
         spark = self.cohort.sparkSession
         df = self.discharge_ratio()
         path = shared_dir(spark, "wardflow-csv")
-        write_stage(df, path, "csv")
-        write_stage(df, path, "csv")  # a second run replaces the first (S10)
+        write_stage(self.subject_block_counts(), path, "csv")
+        write_stage(df, path, "csv")  # a second write replaces the first (S10)
         return read_stage(spark, path, df.schema, "csv")

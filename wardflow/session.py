@@ -11,19 +11,27 @@ from pyspark.sql import SparkSession
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app: str = "wardflow") -> SparkSession:
-    """Session with the settings every operator assumes (UTC, ANSI, AQE)."""
-    cpus = os.environ.get("BENCH_CPUS", "8")
-    b = (SparkSession.builder.appName(app)
-         .master(master or f"local[{cpus}]")
-         .config("spark.ui.enabled", "false")
-         .config("spark.ui.showConsoleProgress", "false")
+    """Session with the settings every operator assumes (UTC, ANSI, AQE).
+
+    Started by spark-submit without ``master``, it keeps the cluster's master,
+    memory and shuffle partitions; otherwise it is a local session.
+    """
+    b = SparkSession.builder.appName(app)
+    # spark-submit hands its settings to the JVM, which the builder must not override
+    submitted = "PYSPARK_GATEWAY_PORT" in os.environ or "--master" in os.environ.get("PYSPARK_SUBMIT_ARGS", "")
+    if master or not submitted:
+        cpus = os.environ.get("BENCH_CPUS", "8")
+        b = (b.master(master or f"local[{cpus}]").config("spark.driver.memory", "16g")
+             .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false"))
+        shuffle_partitions = shuffle_partitions or int(cpus) * 2
+    if shuffle_partitions:
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    b = (b
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.ansi.enabled", "true")
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
-         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus) * 2))
-         .config("spark.driver.memory", "16g")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -40,7 +48,7 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     base = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not sc.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="wardflow-ckpt-")
         sc.setCheckpointDir(base)
         base = sc.getCheckpointDir() or base
@@ -60,3 +68,15 @@ def cut_lineage(df):
     path = shared_dir(spark, "wardflow-cut")
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this session wrote under the shared folder."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def modified(spark: SparkSession, path: str) -> int:
+    """Time of the last change of a file or folder, as its file system reports it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(where).getModificationTime()

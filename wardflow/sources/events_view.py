@@ -98,6 +98,13 @@ def labs(t: Tables, ordered: DataFrame | None = None) -> DataFrame:
 
 # --- DuckDB oracle fragments (brute force: correlated minimum, range join) ---
 
+def grid_ctes(grid) -> str:
+    return f"""grid AS (
+  SELECT TIMESTAMP '{grid.start_sql}' + to_microseconds(i * {grid.block_us}) AS B12
+  FROM range({grid.n_blocks}) r(i)),
+subs AS (SELECT k FROM range({grid.subs_per_block}) r(k))"""
+
+
 def oracle_ctes(grid) -> str:
     return f"""
 stays AS (
@@ -119,7 +126,17 @@ labs AS (
   FROM events e JOIN stays s ON s.SUBJECT_ID = e.user_id
    AND e.ts >= s.ADMISSION_DATE AND e.ts < s.DISCHARGE_DATE
   WHERE e.event_type IN ('view', 'error')),
-grid AS (
-  SELECT TIMESTAMP '{grid.start_sql}' + to_microseconds(i * {grid.block_us}) AS B12
-  FROM range({grid.n_blocks}) r(i)),
-subs AS (SELECT k FROM range({grid.subs_per_block}) r(k))"""
+{grid_ctes(grid)}"""
+
+
+def gappy_oracle_ctes(grid) -> str:
+    """The same inputs with values missing, as in ``GappyEventsStudy`` (NaN counts as missing)."""
+    ctes = oracle_ctes(grid)
+    for name in ("stays", "staff", "labs"):
+        ctes = ctes.replace(f"{name} AS (", f"whole_{name} AS (", 1)
+    ctes = ctes.replace("JOIN stays s", "JOIN whole_stays s")
+    return ctes + """,
+stays AS (SELECT * REPLACE (CASE WHEN SUBJECT_ID % 7 <> 0 THEN ADMISSION_DATE END AS ADMISSION_DATE,
+                            CASE WHEN HADM_ID % 11 <> 0 THEN CURR_CAREUNIT END AS CURR_CAREUNIT) FROM whole_stays),
+staff AS (SELECT * REPLACE (CASE WHEN CGID % 5 <> 0 THEN STARTTIME END AS STARTTIME) FROM whole_staff),
+labs AS (SELECT * REPLACE (CASE WHEN ITEMID % 3 <> 0 THEN VALUENUM END AS VALUENUM) FROM whole_labs)"""

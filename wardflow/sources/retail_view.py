@@ -2,8 +2,9 @@
 
 subject = ``o_custkey``, admission = order, diagnosis code = the line's part
 brand (title: the brand's first part name), admit event = order with status
-'O' at ``o_orderdate`` in the customer's segment, discharge events = lines
-with status 'F' at ``l_shipdate``, tests = lines labelled by return flag,
+'O' at ``o_orderdate`` in the customer's segment (no unit at the lowest priority), discharge events = lines
+with status 'F' at ``l_shipdate``, tests = lines
+whose item number the lab dictionary names by return flag,
 staff = the line's supplier on shift from ship date for one day.
 """
 
@@ -21,7 +22,7 @@ from wardflow.sources.tables import Tables
 # Fixed values of the retail mapping.
 RETAIL_SPEC = CohortSpec(code_prefixes=("Brand#2",), code_equals=("Brand#13",),
                          month_start=datetime(2000, 6, 1), month_end=datetime(2000, 7, 1),
-                         required_lab_pattern="R", staff_label_pattern="#00000000")
+                         required_lab_pattern="R", staff_label_pattern="7")
 DAY_US = 86_400_000_000
 
 
@@ -46,7 +47,8 @@ def transfers(t: Tables) -> DataFrame:
     o = t["orders"].join(c, F.col("c_custkey") == F.col("o_custkey"), "left")
     admits = o.select(F.col("o_custkey").alias(C.SUBJECT_ID), F.col("o_orderkey").alias(C.HADM_ID),
                       F.when(F.col("o_orderstatus") == "O", "admit").otherwise("transfer").alias("EVENTTYPE"),
-                      F.col("c_mktsegment").alias(C.UNIT), F.col("o_orderdate").alias("INTIME"))
+                      F.expr("if(o_orderpriority LIKE '5%', null, c_mktsegment)").alias(C.UNIT),
+                      F.col("o_orderdate").alias("INTIME"))
     ends = _lines(t).where(F.col("l_linestatus") == "F").select(
         F.col("o_custkey").alias(C.SUBJECT_ID), F.col("l_orderkey").alias(C.HADM_ID),
         F.lit("discharge").alias("EVENTTYPE"), F.lit(None).cast("string").alias(C.UNIT),
@@ -56,9 +58,15 @@ def transfers(t: Tables) -> DataFrame:
 
 def labs(t: Tables) -> DataFrame:
     return _lines(t).select(F.col("o_custkey").alias(C.SUBJECT_ID), F.col("l_orderkey").alias(C.HADM_ID),
-                            F.col("l_linenumber").cast("bigint").alias(C.ITEMID),
+                            F.expr("cast(ascii(l_returnflag) AS bigint)").alias(C.ITEMID),
                             F.col("l_shipdate").alias(C.CHARTTIME), F.col("l_quantity").alias(C.VALUENUM),
-                            F.col("l_returnflag").alias(C.VALUEUOM), F.col("l_returnflag").alias(C.LABEL))
+                            F.col("l_linestatus").alias(C.VALUEUOM))
+
+
+def lab_dictionary(t: Tables) -> DataFrame:
+    """Test names by item: the return flag of each item number."""
+    return t["lineitem"].select(F.expr("cast(ascii(l_returnflag) AS bigint)").alias(C.ITEMID),
+                                F.col("l_returnflag").alias(C.LABEL)).distinct()
 
 
 def treatment_team(t: Tables) -> DataFrame:
@@ -72,43 +80,39 @@ def caregivers(t: Tables) -> DataFrame:
                                 F.lit(None).cast("string").alias("DESCRIPTION"))
 
 
+# --- DuckDB oracle: the cohort and the staff rows from their definition, with EXISTS and scalar lookups ---
+
 ORACLE_CTES = """
-diagnoses AS (
-  SELECT o.o_custkey AS SUBJECT_ID, l.l_orderkey AS HADM_ID, l.l_linenumber AS SEQ_NUM, p.p_brand AS ICD9_CODE
-  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey),
-icd_diagnoses AS (SELECT p_brand AS ICD9_CODE, min(p_name) AS LONG_TITLE FROM part GROUP BY p_brand),
-transfers AS (
-  SELECT o.o_custkey AS SUBJECT_ID, o.o_orderkey AS HADM_ID,
-         CASE WHEN o.o_orderstatus = 'O' THEN 'admit' ELSE 'transfer' END AS EVENTTYPE,
-         c.c_mktsegment AS CURR_CAREUNIT, o.o_orderdate AS INTIME
-  FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey
-  UNION ALL
-  SELECT o.o_custkey, l.l_orderkey, 'discharge', NULL, l.l_shipdate
-  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey WHERE l.l_linestatus = 'F'),
-rlabs AS (
-  SELECT o.o_custkey AS SUBJECT_ID, l.l_orderkey AS HADM_ID, l.l_returnflag AS LABEL
-  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
-treatment_team AS (
-  SELECT l_orderkey AS HADM_ID, l_suppkey AS CGID, l_shipdate AS STARTTIME,
-         l_shipdate + INTERVAL 1 DAY AS ENDTIME FROM lineitem),
-care_givers AS (SELECT s_suppkey AS CGID, s_name AS LABEL FROM supplier),
-discharges AS (
-  SELECT SUBJECT_ID, HADM_ID, max(INTIME) AS DISCHARGE_DATE FROM transfers
-  WHERE EVENTTYPE = 'discharge' GROUP BY SUBJECT_ID, HADM_ID),
-tested AS (SELECT DISTINCT SUBJECT_ID, HADM_ID FROM rlabs WHERE LABEL ILIKE '%R%'),
+line AS (SELECT *, o_custkey AS subject, ascii(l_returnflag) AS item FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
+june AS (
+  SELECT o_custkey AS subject, o_orderkey AS adm, date_trunc('second', o_orderdate) AS since,
+         CASE WHEN o_orderpriority LIKE '5%' THEN NULL ELSE
+           (SELECT c_mktsegment FROM customer WHERE c_custkey = o_custkey) END AS unit
+  FROM orders WHERE o_orderstatus = 'O' AND o_orderdate >= TIMESTAMP '2000-06-01' AND o_orderdate < TIMESTAMP '2000-07-01'),
+leave AS (SELECT subject AS SUBJECT_ID, l_orderkey AS HADM_ID, max(l_shipdate) AS DISCHARGE_DATE
+          FROM line WHERE l_linestatus = 'F' GROUP BY 1, 2),
+with_r AS (SELECT subject AS SUBJECT_ID, l_orderkey AS HADM_ID FROM line WHERE lower(l_returnflag) LIKE '%r%' GROUP BY 1, 2),
 cohort AS (
-  SELECT DISTINCT d.SUBJECT_ID, d.HADM_ID, d.ICD9_CODE, i.LONG_TITLE AS ICD_DESCRIPTION, t.CURR_CAREUNIT,
-    date_trunc('second', t.INTIME) AS ADMISSION_DATE, date_trunc('second', ds.DISCHARGE_DATE) AS DISCHARGE_DATE
-  FROM diagnoses d
-  LEFT JOIN icd_diagnoses i ON d.ICD9_CODE = i.ICD9_CODE
-  LEFT JOIN transfers t ON d.SUBJECT_ID = t.SUBJECT_ID AND d.HADM_ID = t.HADM_ID
-  LEFT JOIN discharges ds ON d.SUBJECT_ID = ds.SUBJECT_ID AND d.HADM_ID = ds.HADM_ID
-  JOIN tested tp ON d.SUBJECT_ID = tp.SUBJECT_ID AND d.HADM_ID = tp.HADM_ID
-  WHERE (d.ICD9_CODE ILIKE 'Brand#2%' OR d.ICD9_CODE = 'Brand#13')
-    AND t.EVENTTYPE = 'admit' AND strftime(t.INTIME, '%Y-%m') = '2000-06'),
-staff_assign AS (
-  SELECT DISTINCT t.CURR_CAREUNIT, t.HADM_ID, n.CGID, c.LABEL,
-    date_trunc('second', n.STARTTIME) AS STARTTIME, date_trunc('second', n.ENDTIME) AS ENDTIME
-  FROM transfers t LEFT JOIN treatment_team n ON t.HADM_ID = n.HADM_ID
-  LEFT JOIN care_givers c ON n.CGID = c.CGID
-  WHERE c.LABEL ILIKE '%#00000000%')"""
+  SELECT j.subject AS SUBJECT_ID, j.adm AS HADM_ID, b.brand AS ICD9_CODE,
+         (SELECT min(p_name) FROM part WHERE p_brand = b.brand) AS ICD_DESCRIPTION, j.unit AS CURR_CAREUNIT,
+         j.since AS ADMISSION_DATE,
+         (SELECT date_trunc('second', max(x.DISCHARGE_DATE)) FROM leave x WHERE x.HADM_ID = j.adm) AS DISCHARGE_DATE
+  FROM june j JOIN (
+    SELECT DISTINCT l_orderkey AS adm, p_brand AS brand FROM lineitem JOIN part ON p_partkey = l_partkey
+    WHERE lower(p_brand) LIKE 'brand#2%' OR p_brand = 'Brand#13') b ON b.adm = j.adm
+  WHERE EXISTS (SELECT 1 FROM with_r w WHERE w.HADM_ID = j.adm)),
+units AS (SELECT DISTINCT o_orderkey AS adm, CASE WHEN o_orderpriority LIKE '5%' THEN NULL ELSE c_mktsegment END AS unit
+          FROM orders LEFT JOIN customer ON c_custkey = o_custkey
+          UNION SELECT l_orderkey, NULL FROM line WHERE l_linestatus = 'F'),
+staff_rows AS (
+  SELECT DISTINCT u.unit AS CURR_CAREUNIT, u.adm AS HADM_ID, l.l_suppkey AS CGID, s.s_name AS LABEL,
+    date_trunc('second', l.l_shipdate) AS STARTTIME, date_trunc('second', l.l_shipdate + INTERVAL 1 DAY) AS ENDTIME
+  FROM lineitem l JOIN supplier s ON s.s_suppkey = l.l_suppkey JOIN units u ON u.adm = l.l_orderkey
+  WHERE s.s_name LIKE '%7%')"""
+
+# the same rows under the names that the study's stages use
+ORACLE_INPUTS = ORACLE_CTES + """,
+stays AS (SELECT SUBJECT_ID, HADM_ID, CURR_CAREUNIT, ADMISSION_DATE, DISCHARGE_DATE FROM cohort),
+staff AS (SELECT * FROM staff_rows),
+labs AS (SELECT subject AS SUBJECT_ID, l_orderkey AS HADM_ID, item AS ITEMID, l_shipdate AS CHARTTIME,
+                l_quantity AS VALUENUM, l_linestatus AS VALUEUOM, l_returnflag AS LABEL FROM line)"""
