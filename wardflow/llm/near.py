@@ -14,7 +14,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wardflow.llm.common import Scratch, documents, map_rows
+from wardflow.llm.common import Scratch, documents, map_rows, shuffle_partitions, slices
 from wardflow.llm.graph import merge_components
 
 _NO_ID = -(1 << 63)  # a null doc_id
@@ -114,21 +114,17 @@ def _shared(classes: DataFrame, side: str) -> DataFrame:
         F.collect_list(F.struct("i", "x")).alias(side))  # at most m entries
 
 
-def buckets(classes: DataFrame) -> DataFrame:
-    """(key, node, n) of every table key that several classes share.
+def table_edges(classes: DataFrame) -> DataFrame:
+    """(x, y): the smallest member x of each shared table key with every other member y.
 
     A key can only be shared if both of its tuples are, so keys are formed of
-    shared tuples alone.  Of keys with the same members one stays.
+    shared tuples alone.
     """
-    n = classes.select("node", "n")
     keys = (_shared(classes, "a").join(_shared(classes, "b"), "node")
             .select("node", F.explode("a").alias("p"), "b").select("node", "p", F.explode("b").alias("q"))
             .select("node", F.xxhash64("p.i", "p.x", "q.i", "q.x").alias("key")))
-    groups = keys.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("first"),
-                                     F.bit_xor(F.xxhash64("node")).alias("f1"),
-                                     F.sum(F.xxhash64("node", F.lit(1)).cast("decimal(20,0)")).alias("f2")).where("size > 1")
-    once = groups.groupBy("size", "first", "f1", "f2").agg(F.min("key").alias("key")).select("key")
-    return keys.join(once, "key", "left_semi").join(n, "node")
+    first = keys.groupBy("key").agg(F.min("node").alias("x"), F.max("node").alias("z")).where("x < z").select("key", "x")
+    return keys.join(first, "key").where("node <> x").select("x", F.col("node").alias("y")).distinct()
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -140,64 +136,156 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return common.where(f"100 * c >= {percent} * (total - c)").select("x", "y")
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, tensor: Tensor = Tensor()) -> DataFrame:
+def _size_class(n: str) -> str:
+    """Sets of a similarity of 0.8 or more lie in the same or in adjacent classes."""
+    return f"cast(floor(ln({n}) / ln(1.25) + 1e-9) AS int)"
+
+
+def _blocks(members: DataFrame, block: int) -> DataFrame:
+    """Deal each family out to groups that compare a block of its stragglers with a block of its members.
+
+    ``members`` has family, node, label and n; a straggler is a member outside the
+    component of the family's first member.  Blocks hold about ``block``
+    sets of one size class, and only blocks of the same or adjacent classes meet, so a
+    member is sent once per block of stragglers of like size, never once per straggler.
+    Returns g (group), ask (block of stragglers or of members), node and label.
+    """
+    m = members.withColumns({"c": F.expr(_size_class("n")), "straggler": F.expr("label <> family")})
+    sizes = (m.groupBy("family", "c").agg(F.count("*").alias("all"), F.count(F.when(F.col("straggler"), 1)).alias("q"))
+             .groupBy("family").agg(F.collect_list(F.struct("c", F.ceil(F.col("all") / block).cast("int").alias("all"),
+                                                            F.ceil(F.col("q") / block).cast("int").alias("q"))).alias("sizes"),
+                                    F.sum("q").alias("open"))  # one entry per size class
+             .where("open > 0"))
+    near = m.join(sizes, "family").withColumn("near", F.expr("filter(sizes, x -> abs(x.c - c) <= 1)")).withColumn(
+        "own", F.expr("filter(sizes, x -> x.c = c)[0]")).withColumn("h", F.expr("xxhash64(node, 3)"))
+    group = "xxhash64(family, {qc}, {qh}, {mc}, {mh})"
+    asked = near.where("straggler").select("node", "label", F.lit(True).alias("ask"), F.expr(
+        "explode(flatten(transform(near, x -> transform(sequence(0, x.all - 1), k -> "
+        + group.format(qc="c", qh="pmod(h, own.q)", mc="x.c", mh="cast(k AS bigint)") + "))))").alias("g"))
+    met = near.select("node", "label", F.lit(False).alias("ask"), F.expr(
+        "explode(flatten(transform(filter(near, x -> x.q > 0), x -> transform(sequence(0, x.q - 1), k -> "
+        + group.format(qc="x.c", qh="cast(k AS bigint)", mc="c", mh="pmod(h, own.all)") + "))))").alias("g"))
+    return asked.unionByName(met)
+
+
+def compare_block(ask: np.ndarray, nodes: list[int], labels: list[int], sets: list[np.ndarray], percent: int):
+    """Links that join the components of two blocks, as (x, y): a spanning set, not all pairs.
+
+    All intersections of the asked with the other sets come from products of 0/1 matrices over
+    shingles that at least two sets have.
+    """
+    index = {n: i for i, n in enumerate(dict.fromkeys(nodes))}
+    at = np.array([index[n] for n in nodes])
+    first = np.array([nodes.index(n) for n in index]) if len(index) < len(nodes) else np.arange(len(nodes))
+    own = [sets[i] for i in first]
+    label = np.array([labels[i] for i in first], np.int64)
+    size = np.array([len(s) for s in own])
+    which, column = np.unique(np.concatenate(own), return_inverse=True)
+    row = np.repeat(np.arange(len(own)), size)
+    count = np.bincount(column, minlength=len(which))
+    common = np.flatnonzero(count > 1)
+    renumber = np.full(len(which), -1)
+    renumber[common] = np.arange(len(common))
+    column = renumber[column]
+    row, column = row[column >= 0], column[column >= 0]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    q, m = np.unique(at[ask]), np.unique(at[~ask])
+    shared = np.zeros((len(q), len(m)), np.float32)
+    for lo in range(0, len(common), 2048):
+        a, b = np.searchsorted(column, [lo, lo + 2048])
+        dense = np.zeros((len(own), min(2048, len(common) - lo)), np.float32)
+        dense[row[a:b], column[a:b] - lo] = 1
+        shared += dense[q] @ dense[m].T
+    union = size[q][:, None] + size[m][None, :] - shared
+    qi, mi = np.nonzero((100 * shared >= percent * union) & (label[q][:, None] != label[m][None, :]))
+    names = np.array(list(index), np.int64)
+    parent: dict[int, int] = {}
+
+    def root(v):
+        while parent.setdefault(v, v) != v:
+            parent[v] = parent[parent[v]]
+            v = parent[v]
+        return v
+    out = []
+    for a, b in zip(q[qi].tolist(), m[mi].tolist()):
+        x, y = root(int(label[a])), root(int(label[b]))
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+            out.append((int(names[a]), int(names[b])))
+    return out
+
+
+def _compare(blocks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Run ``compare_block`` on every group; a partition holds whole groups, one in memory at a time."""
+    schema = pa.schema([("x", pa.int64()), ("y", pa.int64())])
+
+    def run(batches):
+        held: list[tuple] = []
+
+        def links():
+            _, ask, nodes, labels, got = zip(*held)
+            pairs = compare_block(np.array(ask), list(nodes), list(labels), list(got), percent)
+            return pa.RecordBatch.from_pydict({"x": [p[0] for p in pairs], "y": [p[1] for p in pairs]}, schema=schema)
+        for batch in slices(batches):
+            g, ask, node, label = (batch.column(i).to_pylist() for i in range(4))
+            s = batch.column(4)
+            for i in range(batch.num_rows):
+                if held and held[-1][0] != g[i]:
+                    yield links()
+                    held.clear()
+                held.append((g[i], ask[i], node[i], label[i], s[i].values.to_numpy()))
+        if held:
+            yield links()
+    rows = blocks.join(sets, "node").select("g", "ask", "node", "label", "s")
+    dealt = rows.repartition(shuffle_partitions(sets.sparkSession), "g").sortWithinPartitions("g")
+    return dealt.mapInArrow(run, "x BIGINT, y BIGINT")
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, tensor: Tensor = Tensor(),
+                    block: int = 1024) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept.
 
     Equal sets are one class, represented by its smallest doc_id; so copies
-    meet no table.  Within the buckets every pair of classes is either
-    confirmed on full sets, or already known to be in one component: rounds
-    compare each class with one member of its buckets and merge components, until the pairs
-    that are left across components are few for the bucket sizes; those are all compared.
+    meet no table.  Shared table keys join classes to families.  Every member is confirmed
+    against the family's first member on full sets; members that this leaves outside
+    its component are then compared in blocks with all members of like size, so no pair that shares a key goes
+    unconfirmed unless it is in one component already.  ``percent`` is at least 80.
     Texts without words have no link.  Rows of one doc_id are one document; null ids are one too.
     """
+    if percent < 80:
+        raise ValueError("size classes are made for similarities of 80 % and more")
     spark = docs.sparkSession
     scratch = Scratch(spark, "near")
     sig = scratch.save(signatures(docs, width, tensor), "signatures")
     by_set = sig.where("n > 0").groupBy("cid").agg(
         F.min("node").alias("node"), F.any_value("n").alias("n"), F.any_value("a").alias("a"), F.any_value("b").alias("b"))
     classes = scratch.save(by_set, "classes")
-    member = scratch.save(buckets(classes), "buckets")
-    nodes = member.select("node").distinct()
-    wanted = classes.select("node", "cid").join(nodes, "node", "left_semi")
-    texts = docs.select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("node"), "text").join(nodes, "node", "left_semi")
+    edges = scratch.save(table_edges(classes), "edges")
+    alone = edges.select(F.col("x").alias("node")).union(edges.select("y")).distinct().withColumn("label", F.col("node"))
+    alone = scratch.save(alone, "alone")
+    family = merge_components(alone, edges, scratch, "family")
+    wanted = classes.select("node", "cid").join(alone, "node", "left_semi")
+    texts = docs.select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("node"), "text").join(alone, "node", "left_semi")
     found = full_sets(texts, width).join(wanted, ["node", "cid"], "left_semi")
     sets = scratch.save(found.dropDuplicates(["node", "cid"]).select("node", "s"), "sets")
-    labels = scratch.save(classes.select("node").distinct().withColumn("label", F.col("node")), "labels")
-    tested = None
-    for turn in range(64):
-        within = member.join(labels, "node")
-        sizes = within.groupBy("key", "label").agg(F.count("*").alias("c"))
-        across = (sizes.groupBy("key").agg(F.sum("c").alias("t"), F.sum(F.col("c") * F.col("c")).alias("q"))
-                  .where("t * t > q"))
-        total, rest = across.agg(F.coalesce(F.sum("t"), F.lit(0)), F.coalesce(F.sum((F.col("t") * F.col("t") - F.col("q")) / 2), F.lit(0))).first()
-        if not total:
-            break
-        last = turn > 0 and (rest <= 8 * total or turn >= 24)
-        open_ = within.join(across.select("key"), "key", "left_semi")
-        if last:
-            other = open_.select("key", F.col("node").alias("m"), F.col("n").alias("k"), F.col("label").alias("l"))
-            met = open_.join(other, "key").where("label < l")
-        else:
-            pick = open_.groupBy("key").agg(F.min_by(F.struct("node", "n", "label"), F.xxhash64("node", F.lit(turn)) if turn else F.col("node")).alias("p"))
-            met = open_.join(pick, "key").where("label <> p.label").select(
-                "node", "n", F.col("p.node").alias("m"), F.col("p.n").alias("k"))
-        pairs = (met.where(f"100 * least(n, k) >= {percent} * greatest(n, k)")
-                 .select(F.least("node", "m").alias("x"), F.greatest("node", "m").alias("y")).distinct())
-        if tested is not None:
-            pairs = pairs.join(tested, ["x", "y"], "left_anti")
-        if not last:  # one comparison for each class and round
-            pairs = pairs.groupBy("y").agg(F.min_by("x", F.xxhash64("x", "y", F.lit(turn))).alias("x")).select("x", "y")
-        pairs = scratch.save(pairs, f"pairs-{turn}")
-        links = scratch.save(_confirm(pairs, sets, percent), f"links-{turn}")
-        labels = merge_components(labels, links, scratch, f"merge-{turn}")
-        if last:
-            break
-        tested = pairs if tested is None else tested.union(pairs)
-    owner = classes.join(labels, "node").select("cid", "label")
-    return (sig.join(owner, "cid", "left")
+    n = classes.groupBy("node").agg(F.max("n").alias("n"))
+    members = scratch.save(family.withColumnRenamed("label", "family").join(n, "node"), "members")
+    heads = members.where("node = family").select("family", F.col("n").alias("k"))
+    with_head = (members.where("node <> family").join(heads, "family")
+                 .where(f"100 * least(n, k) >= {percent} * greatest(n, k)").select(F.col("family").alias("x"), F.col("node").alias("y")))
+    links = scratch.save(_confirm(with_head, sets, percent), "head-links")
+    labels = merge_components(alone, links, scratch, "heads")
+    rest = _compare(_blocks(members.join(labels, "node"), block), sets, percent)
+    labels = merge_components(labels, scratch.save(rest, "block-links"), scratch, "blocks")
+    # classes without a family, and texts without words, keep their own first member
+    owner = classes.select("cid", F.col("node").alias("first")).join(labels.withColumnRenamed("node", "first"), "first", "left")
+    owner = owner.select("cid", F.coalesce("label", "first").alias("label"))
+    shown = sig.select("node", "n", F.when(F.col("n") > 0, F.col("cid")).alias("cid")).join(owner, "cid", "left")
+    return (shown.withColumn("label", F.coalesce("label", "node"))
             .select(F.expr(f"nullif(node, {_NO_ID + 1}L - 1L)").alias("doc_id"), F.col("n").alias("n_shingles"),
-                    F.expr(f"nullif(coalesce(label, node), {_NO_ID + 1}L - 1L)").alias("component_id"),
-                    F.expr("node = coalesce(label, node)").alias("kept")))
+                    F.expr(f"nullif(label, {_NO_ID + 1}L - 1L)").alias("component_id"),
+                    F.expr("node = label").alias("kept")))
 
 
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
