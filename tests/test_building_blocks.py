@@ -51,7 +51,7 @@ def test_episode_scan_matches_brute_force(spark):
         ts = t0 + timedelta(minutes=rnd.randint(0, 60 * 30))            # ties, many buckets
         rows.append((key, i, ts, rnd.choice([0, 1, 1, 2, 2])))         # 0 end, 1 start, 2 other
     df = spark.createDataFrame(rows, "k BIGINT, id BIGINT, ts TIMESTAMP_NTZ, kind INT")
-    got = episode_scan(df, "k", "ts", ["kind", "id"], "kind = 0", "kind = 1", bucket_us=3_600_000_000)
+    got = episode_scan(df, "k", "ts", ["kind", "id"], "kind = 0", "kind = 1", ranges=16)
     got = {r["id"]: (r["S"], r["S_open"], r["NEXT_END"]) for r in got.collect()}
     for k in {r[0] for r in rows}:
         seq = sorted((r for r in rows if r[0] == k), key=lambda r: (r[2], r[3], r[1]))
@@ -64,6 +64,26 @@ def test_episode_scan_matches_brute_force(spark):
             assert got[r[1]] == (s, s_open, nxt), r
 
 
+def test_episode_scan_splits_a_users_hour(spark, monkeypatch):
+    """One user with a third of all rows within one hour: rows per range stay bounded."""
+    from wardflow.functions import scan
+    t0 = datetime(2024, 1, 1)
+    rows = [(0, i, t0 + timedelta(seconds=i % 3600), i % 3) for i in range(2000)]
+    rows += [(1 + i % 40, 2000 + i, t0 + timedelta(minutes=i), i % 3) for i in range(4000)]
+    df = spark.createDataFrame(rows, "k BIGINT, id BIGINT, ts TIMESTAMP_NTZ, kind INT")
+    written = []
+    cut = scan.cut_lineage
+    monkeypatch.setattr(scan, "cut_lineage", lambda d: written.append(cut(d)) or written[0])
+    got = {r["id"]: (r["S"], r["S_open"]) for r in
+           scan.episode_scan(df, "k", "ts", ["kind", "id"], "kind = 0", "kind = 1", ranges=12).collect()}
+    assert max(r["count"] for r in written[0].groupBy("_bucket").count().collect()) <= 2 * len(rows) / 12
+    s = s_open = 0
+    for k, i, ts, kind in sorted((r for r in rows if r[0] == 0), key=lambda r: (r[2], r[3], r[1])):
+        s += kind == 1
+        s_open = s if kind == 0 else s_open
+        assert got[i] == (s, s_open)
+
+
 def test_exact_quantiles_match_percentile(spark):
     from wardflow.operators.chartdata import exact_quantiles
     rnd = random.Random(2)

@@ -1,23 +1,21 @@
 """Ordered scans per key, computed in two levels so a hot key is split.
 
 A plain window ``partitionBy(key).orderBy(ts)`` sends every row of a key to
-one task.  Here rows are first grouped by ``(key, time bucket)``: a window
-inside each bucket gives the local running count, and a window over the
-per-bucket totals (at most one row per bucket and key, bounded by the time
-span, not by the data) gives the count carried in from earlier buckets.
+one task.  Here the rows are dealt out by ranges of (key, ts, ...), whose
+bounds Spark takes from the data, and written with the number of their range:
+a window inside each (key, range) gives local values, and a window over the
+per-range summaries (at most one row per range and key) what is carried in.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from wardflow.functions.timegrid import bucket_of
-
-HOUR_US = 3_600_000_000
+from wardflow.session import cut_lineage
 
 
 def episode_scan(df: DataFrame, key: str, ts: str, order: list[str], is_end: str,
-                 is_start: str, bucket_us: int = HOUR_US) -> DataFrame:
+                 is_start: str, ranges: int | None = None) -> DataFrame:
     """One ordered pass per ``key`` that yields, for every row:
 
     * ``S``       — starts so far (inclusive running count),
@@ -25,19 +23,22 @@ def episode_scan(df: DataFrame, key: str, ts: str, order: list[str], is_end: str
     * ``NEXT_END`` — time of the first end event after the row in the order (NULL if none).
 
     ``order`` names the tie-break columns after ``ts``; ``is_end`` / ``is_start``
-    are SQL predicates.  It works in two levels:
-    windows inside each (key, time bucket), and windows over the per-bucket
-    summaries of a key (at most one row per bucket), joined back once.
+    are SQL predicates.  A task holds about 1/``ranges`` of all rows (default:
+    the shuffle partitions), however they spread over keys and times.  Both
+    levels read the written ranges, so ``df`` is computed once for them.
     Frames only grow from the start of the partition, so each window is a
     single linear pass.
     """
+    spark = df.sparkSession
+    ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     bk = "_bucket"
     asc = ", ".join([f"`{ts}`"] + [f"`{o}`" for o in order])
     desc = ", ".join([f"`{ts}` DESC"] + [f"`{o}` DESC" for o in order])
     part = f"PARTITION BY `{key}`, {bk}"
     grow = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
-    base = df.select("*", bucket_of(ts, bucket_us).alias(bk),
-                     F.expr(f"CAST({is_end} AS INT) AS _e"), F.expr(f"CAST({is_start} AS BIGINT) AS _s"))
+    base = cut_lineage(df.repartitionByRange(ranges, key, ts, *order).select(
+        "*", F.spark_partition_id().alias(bk), F.expr(f"CAST({is_end} AS INT) AS _e"),
+        F.expr(f"CAST({is_start} AS BIGINT) AS _s")))
     local = base.selectExpr(
         "*", f"sum(_s) OVER ({part} ORDER BY {asc} {grow}) AS _ls",
         f"min(CASE WHEN _e = 1 THEN `{ts}` END) OVER ({part} ORDER BY {desc} "

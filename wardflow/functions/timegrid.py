@@ -89,11 +89,6 @@ def add_micros(ts: str, us: str) -> Column:
     return F.expr(f"timestampadd(MICROSECOND, {us}, {_c(ts)})")
 
 
-def bucket_of(ts: str, bucket_us: int) -> Column:
-    """Fixed-width time bucket index since the Unix epoch (for splitting keys)."""
-    return F.expr(floor_idx_sql(micros_sql(ts), bucket_us))
-
-
 def truncate_to_second(ts: str) -> Column:
     """SQLite ``DATETIME()`` normalisation: drop sub-second digits, keep NTZ."""
     return F.expr(f"timestampadd(MICROSECOND, -pmod({micros_sql(ts)}, 1000000L), {_c(ts)})")

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from wardflow import config as C
-from wardflow.functions.scan import HOUR_US, episode_scan
+from wardflow.functions.scan import episode_scan
 from wardflow.functions.timegrid import add_micros
 from wardflow.sources.tables import Tables
 
@@ -39,7 +39,7 @@ def _segments(t: Tables) -> DataFrame:
                                 F.col("c_mktsegment").alias(C.UNIT))
 
 
-def ordered_events(t: Tables, bucket_us: int = HOUR_US) -> DataFrame:
+def ordered_events(t: Tables) -> DataFrame:
     """Signup, purchase and lab events with their episode quantities (``episode_scan``).
 
     At equal times purchases sort first, then signups, then labs, so a
@@ -54,7 +54,7 @@ def ordered_events(t: Tables, bucket_us: int = HOUR_US) -> DataFrame:
             .otherwise(_KIND_LAB))
     ev = ev.withColumn("_kind", kind)
     return episode_scan(ev, "user_id", "ts", ["_kind", "event_id"],
-                        f"_kind = {_KIND_END}", f"_kind = {_KIND_STAY}", bucket_us)
+                        f"_kind = {_KIND_END}", f"_kind = {_KIND_STAY}")
 
 
 def stays(t: Tables, ordered: DataFrame | None = None) -> DataFrame:
