@@ -8,7 +8,9 @@ import shutil
 import tempfile
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -43,6 +45,37 @@ def ship_package(spark: SparkSession) -> None:
     sc._wardflow_shipped = True
 
 
+_HELD: dict = {}
+
+
+def worker_cache(name, make: Callable):
+    """What a Python worker keeps between tasks: the cache of one operator at a time.
+
+    Workers outlive stages; the cache of another operator takes the place of
+    the last one's, so that memory doesn't add up over a pipeline.
+    """
+    if name not in _HELD:
+        _HELD.clear()
+        _HELD[name] = make()
+    return _HELD[name]
+
+
+def drop_worker_cache() -> None:
+    """For operators that keep nothing between tasks but need the memory."""
+    _HELD.clear()
+
+
+def word_hashes(words: list) -> np.ndarray:
+    """64-bit hashes of words (all bytes or all strings), remembered per worker."""
+    known = worker_cache("word hashes", dict)
+    if len(known) > 500_000:
+        known.clear()
+    for w in words:
+        if w not in known:
+            known[w] = xxhash.xxh3_64_intdigest(w)
+    return np.array([known[w] for w in words], np.uint64)
+
+
 class Scratch:
     """Intermediate tables of one operator call in the shared folder.
 

@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wardflow.llm.common import documents, shuffle_partitions, slices
+from wardflow.llm.common import documents, drop_worker_cache, shuffle_partitions, slices
 
 Owner = tuple[int, int, int]  # (-code points of the original, doc_id, members)
 
@@ -151,6 +151,7 @@ def _collapse(df: DataFrame, budget: int) -> DataFrame:
     only deals them out.
     """
     def run(batches):
+        drop_worker_cache()
         trie = SpillingTrie(budget)
         for rows in slices(batches):
             cols = [rows.column(n).to_pylist() for n in ("h", "body", "neg_chars", "doc_id", "members")]

@@ -14,11 +14,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wardflow.llm.common import Scratch, documents, map_rows, shuffle_partitions, slices
+from wardflow.llm.common import Scratch, documents, drop_worker_cache, map_rows, shuffle_partitions, slices, word_hashes
 from wardflow.llm.graph import merge_components
 
 _NO_ID = -(1 << 63)  # a null doc_id
-_HASHES: dict[bytes, int] = {}
 
 
 @dataclass(frozen=True)
@@ -48,12 +47,7 @@ def shingles(text: str | None, width: int) -> np.ndarray:
     words = (text or "").encode().lower().split()
     if not words:
         return np.zeros(0, np.uint64)
-    if len(_HASHES) > 500_000:
-        _HASHES.clear()
-    for w in words:
-        if w not in _HASHES:
-            _HASHES[w] = xxhash.xxh3_64_intdigest(w)
-    one = np.array([_HASHES[w] for w in words], np.uint64)
+    one = word_hashes(words)
     k = min(width, len(words))
     h = np.full(len(words) - k + 1, k, np.uint64)
     for i in range(k):
@@ -221,6 +215,7 @@ def _compare(blocks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     schema = pa.schema([("x", pa.int64()), ("y", pa.int64())])
 
     def run(batches):
+        drop_worker_cache()
         held: list[tuple] = []
 
         def links():

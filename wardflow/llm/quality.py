@@ -14,7 +14,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 
-from wardflow.llm.common import BLANKS, documents, map_rows
+from wardflow.llm.common import BLANKS, documents, drop_worker_cache, map_rows
 
 SYMBOLS = "#*$%&|<>"
 RULE_DDL = ("doc_id BIGINT, n_words BIGINT, word_chars BIGINT, n_symbols BIGINT, n_dup_lines BIGINT, "
@@ -112,6 +112,7 @@ def apply_rules(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
     names = [c.strip().split()[0] for c in RULE_DDL.split(",")]
 
     def make():
+        drop_worker_cache()
         judge = _judge(bands)
 
         def step(rows: pa.RecordBatch) -> pa.RecordBatch:
@@ -126,6 +127,7 @@ def passing(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
     at = docs.columns.index("text")
 
     def make():
+        drop_worker_cache()
         judge = _judge(bands)
         return lambda rows: rows.filter(pa.array([judge(None, t)[-1] for t in rows.column(at).to_pylist()], pa.bool_()))
     return map_rows(docs, make, docs.schema)

@@ -6,25 +6,17 @@ import re
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from wardflow.llm.common import Scratch, documents, map_rows, slices
+from wardflow.llm.common import Scratch, documents, map_rows, slices, word_hashes
 from wardflow.sources.tables import read_table
 
 _WORD = re.compile(r"\w+|[^\w\s]+")
-_HASHES: dict[str, int] = {}
 
 
 def ngram_buckets(text: str, n_buckets: int) -> np.ndarray:
     """Buckets of the words and adjacent word pairs of a lower-cased text."""
-    if len(_HASHES) > 500_000:
-        _HASHES.clear()
-    words = _WORD.findall(text.lower())
-    for w in words:
-        if w not in _HASHES:
-            _HASHES[w] = xxhash.xxh3_64_intdigest(w)
-    one = np.array([_HASHES[w] for w in words], np.uint64)
+    one = word_hashes(_WORD.findall(text.lower()))
     two = one[:-1] * np.uint64(0x9E3779B97F4A7C15) + one[1:]
     two ^= two >> np.uint64(29)
     return (np.concatenate([one, two * np.uint64(0xBF58476D1CE4E5B9)]) >> np.uint64(20)) % np.uint64(n_buckets)

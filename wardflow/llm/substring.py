@@ -14,25 +14,15 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wardflow.llm.common import Scratch, documents, map_rows, shuffle_partitions, slices
+from wardflow.llm.common import Scratch, documents, drop_worker_cache, map_rows, shuffle_partitions, slices, word_hashes
 from wardflow.llm.fm_index import FMIndex
 
 GRAM = 8  # words of an anchor
 CHUNK_ROWS = 24_000  # segments of one index
 HOT_ROWS = 20_000  # anchors with more segments are dealt window by window
-_HASHES: dict[bytes, int] = {}
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _word_hashes(words: list[bytes]) -> np.ndarray:
-    if len(_HASHES) > 500_000:
-        _HASHES.clear()
-    for w in words:
-        if w not in _HASHES:
-            _HASHES[w] = xxhash.xxh3_64_intdigest(w)
-    return np.array([_HASHES[w] for w in words], np.uint64)
-
-
 def _gram_hashes(one: np.ndarray, k: int) -> np.ndarray:
     n = len(one) - k + 1
     h = np.zeros(n, np.uint64)
@@ -45,7 +35,7 @@ def segments_of(words: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray,
     """Anchor, first window and number of windows of each run of windows with one anchor."""
     if len(words) < width:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    g = _gram_hashes(_word_hashes(words), min(GRAM, width))
+    g = _gram_hashes(word_hashes(words), min(GRAM, width))
     span = width - min(GRAM, width) + 1
     at = np.lib.stride_tricks.sliding_window_view(g, span).argmin(axis=1) + np.arange(len(g) - span + 1)
     first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
@@ -149,6 +139,7 @@ def _repeats(parts: DataFrame, width: int) -> DataFrame:
     schema = pa.schema([("doc", pa.int64()), ("th", pa.int32()), ("s", pa.int32()), ("c", pa.int32())])
 
     def run(batches):
+        drop_worker_cache()
         held: list[tuple] = []
 
         def judged():

@@ -9,6 +9,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from wardflow.llm.common import worker_cache
+
 ID = np.dtype("<u4")
 # A single space between two non-space characters always starts a new
 # pre-token of a byte-level tokenizer, so the pieces between such spaces can be
@@ -20,7 +22,6 @@ _SAFE = re.compile(r"(?<=\S) (?=\S)")
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ\n]+")
 _PRETOKEN = re.compile(r"'(?:[stmd]|re|ve|ll)| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[^\sA-Za-zÀ-ÖØ-öø-ÿ0-9]+|\s+(?!\S)|\s+")
 _JOIN = 2000
-_ENCODERS: dict[str, "PieceEncoder"] = {}
 
 
 def _is_safe(piece: str) -> bool:
@@ -34,14 +35,14 @@ class PieceEncoder:
     of special tokens inside a text are ordinary text.
     """
 
-    def __init__(self, path: str, max_pieces: int = 400_000):
+    def __init__(self, path: str, max_pieces: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
         self.max_pieces = max_pieces
-        self.cache: dict[str, bytes | None] = {}  # pieces, without their leading space
-        self.older: dict[str, bytes | None] = {}
+        self.cache: dict[str, bytes] = {}  # pieces, without their leading space
+        self.older: dict[str, bytes] = {}
         self.atoms: dict[str, bytes] = {}  # pre-tokens
         vocab = self.tok.get_vocab(with_added_tokens=True)
         # one character of a byte-level vocabulary entry stands for one byte
@@ -60,7 +61,7 @@ class PieceEncoder:
             if p in older:
                 cache[p] = older[p]
             elif not _is_safe(p):
-                cache[p] = None
+                cache[p] = b""  # cannot be encoded by itself
             elif _PLAIN.fullmatch(p):
                 plain[p] = _PRETOKEN.findall(" " + p)
             else:
@@ -105,12 +106,11 @@ class PieceEncoder:
         """A text with runs of blanks: only the safe spaces are cut."""
         pieces = _SAFE.split(text)
         out = [self._whole(pieces[0])]
-        unseen = {p for p in pieces[1:] if self.cache.get(p) is None and _is_safe(p)}
+        unseen = {p for p in pieces[1:] if not self.cache.get(p) and _is_safe(p)}
         if unseen:
             self._learn(unseen)
         for p in pieces[1:]:
-            ids = self.cache.get(p)
-            out.append(self._whole(" " + p) if ids is None else ids)
+            out.append(self.cache.get(p) or self._whole(" " + p))
         return b"".join(out)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -124,15 +124,14 @@ class PieceEncoder:
         at = np.asarray(split.offsets, np.int64) - split.offsets[0].as_py()
         coded = split.flatten().dictionary_encode()
         code = np.asarray(coded.indices).astype(np.int64)
-        words = coded.dictionary.to_pylist()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.cache) > self.max_pieces:
             self.cache, self.older = {}, self.cache
-        unseen = {w for w in words if w not in self.cache}
-        if unseen:
-            self._learn(unseen)
-        ids = [self.cache[w] for w in words]
-        unsafe = np.array([x is None for x in ids], bool)
-        entries = [x or b"" for x in ids]
+        entries = list(map(self.cache.get, words))
+        if None in entries:
+            self._learn({w for w, x in zip(words, entries) if x is None})
+            entries = [self.cache[w] if x is None else x for w, x in zip(words, entries)]
+        unsafe = np.fromiter(map(len, entries), np.int64, len(entries)) == 0
         # the first piece of a text has no space before it; a text with unsafe
         # pieces becomes one entry
         careful = np.zeros(len(texts), bool)
@@ -142,7 +141,7 @@ class PieceEncoder:
         code[at[:-1]] = len(words) + np.arange(len(texts))
         for i, (head, slow) in enumerate(zip(heads.tolist(), careful.tolist())):
             entries.append(self._careful(texts[i].as_py()) if slow else self._whole(words[head]))
-        size = np.array([len(x) for x in entries], np.int64) // ID.itemsize
+        size = np.fromiter(map(len, entries), np.int64, len(entries)) // ID.itemsize
         if careful.any():
             slow = np.repeat(careful, np.diff(at))
             slow[at[:-1]] = False
@@ -158,6 +157,4 @@ class PieceEncoder:
 
 def encoder(path: str) -> PieceEncoder:
     """One encoder per worker process and vocabulary file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = PieceEncoder(path)
-    return _ENCODERS[path]
+    return worker_cache(("encoder", path), lambda: PieceEncoder(path))
