@@ -55,7 +55,7 @@ def worker_cache(name, make: Callable):
     the last one's, so that memory doesn't add up over a pipeline.
     """
     if name not in _HELD:
-        _HELD.clear()
+        drop_worker_cache()
         _HELD[name] = make()
     return _HELD[name]
 
@@ -63,6 +63,7 @@ def worker_cache(name, make: Callable):
 def drop_worker_cache() -> None:
     """For operators that keep nothing between tasks but need the memory."""
     _HELD.clear()
+    pa.default_memory_pool().release_unused()
 
 
 def word_hashes(words: list) -> np.ndarray:

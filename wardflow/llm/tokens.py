@@ -35,7 +35,7 @@ class PieceEncoder:
     of special tokens inside a text are ordinary text.
     """
 
-    def __init__(self, path: str, max_pieces: int = 500_000):
+    def __init__(self, path: str, max_pieces: int = 200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
@@ -68,7 +68,7 @@ class PieceEncoder:
                 others.append(" " + p)
         for p, ids in zip(others, self._encode_all(others)):
             cache[p[1:]] = ids
-        if len(self.atoms) > self.max_pieces:
+        if len(self.atoms) > 2 * self.max_pieces:
             self.atoms = {}
         atoms = self.atoms
         unseen = list({a for parts in plain.values() for a in parts if a not in atoms})
@@ -150,6 +150,7 @@ class PieceEncoder:
         n = size[code]
         ends = np.cumsum(n)
         flat = np.frombuffer(b"".join(entries), ID)
+        del split, coded, words, entries
         take = np.repeat(first[code] - (ends - n), n)
         take += np.arange(len(take))
         return flat[take], np.r_[0, ends][at]
