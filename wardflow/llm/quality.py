@@ -28,11 +28,15 @@ class Bands:
 
     The points are fixed values that leave a margin around prose labelled as
     good; a document fails if its own ratio leaves the band or if more than
-    ``chunk_share`` of its chunks leave theirs.
+    ``chunk_share`` of its chunks leave theirs.  The ratio of clean prose rises
+    with length until the compressor's window (2 MB at level 3) is full, so the
+    points go beyond that; from the last one on the limits are flat.
     """
-    length: tuple[float, ...] = (32, 64, 128, 256, 512, 1024, 2048, 4096, 8192, 16384)
-    low: tuple[float, ...] = (0.3, 0.5, 0.75, 1.0, 1.15, 1.3, 1.45, 1.6, 1.65, 1.7)
-    high: tuple[float, ...] = (1.6, 1.7, 1.7, 1.8, 1.95, 2.12, 2.22, 2.36, 2.46, 2.56)
+    length: tuple[float, ...] = (32, 64, 128, 256, 512, 1024, 2048, 4096, 8192, 16384,
+                                 1 << 15, 1 << 16, 1 << 17, 1 << 18, 1 << 19, 1 << 20, 1 << 21, 1 << 22)
+    low: tuple[float, ...] = (0.3, 0.5, 0.75, 1.0, 1.15, 1.3, 1.45, 1.6, 1.65, 1.7) + (1.7,) * 8
+    high: tuple[float, ...] = (1.6, 1.7, 1.7, 1.8, 1.95, 2.12, 2.22, 2.36, 2.46, 2.56,
+                               2.68, 2.78, 2.86, 2.94, 3.04, 3.12, 3.18, 3.22)
     chunk: int = 4096
     chunk_share: float = 0.25
     level: int = 3
