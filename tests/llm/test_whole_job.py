@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import base64
+import random
+
 import duckdb
 import pytest
 
@@ -36,3 +39,16 @@ def test_long_clean_texts_stay_in_band(good, size):
 def test_longest_clean_document_is_kept():
     text = duckdb.execute(f"SELECT text FROM '{LARGER}/documents.parquet' WHERE doc_id = 634").fetchone()[0]
     assert len(text.encode()) > 130_000 and quality._judge(quality.Bands())(634, text)[-1]
+
+
+@pytest.mark.parametrize("size", [40_000, 200_000, 600_000])
+@pytest.mark.parametrize("at", [0.0, 0.37, 1.0])
+def test_block_of_noise_fails_at_any_length(good, size, at):
+    judge = quality._judge(quality.Bands())
+    raw = base64.b64encode(random.Random(4).randbytes(9300)).decode()
+    noise = " ".join(raw[i:i + 9] for i in range(0, len(raw), 9))[:12_287]
+    assert len(noise) == 12_287
+    for texts in good.values():
+        prose = "\n".join(texts)[:size]
+        cut = int(at * len(prose))
+        assert judge(0, prose[:cut] + noise + prose[cut:])[9]

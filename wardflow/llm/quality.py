@@ -8,6 +8,7 @@ depends on the length of what is compressed.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +28,11 @@ class Bands:
     """Limits of the ratio (bytes before / after) by length in bytes, linear in log length between the points.
 
     The points are fixed values that leave a margin around prose labelled as
-    good; a document fails if its own ratio leaves the band or if more than
-    ``chunk_share`` of its chunks leave theirs.  The ratio of clean prose rises
-    with length until the compressor's window (2 MB at level 3) is full, so the
-    points go beyond that; from the last one on the limits are flat.
+    good; a document fails if its own ratio leaves the band, or if more than
+    ``chunk_share`` of its chunks or ``chunk_run`` in succession leave theirs.
+    The ratio of clean prose rises with length until the compressor's window
+    (2 MB at level 3) is full, so the points go beyond that; from the last one
+    on the limits are flat.
     """
     length: tuple[float, ...] = (32, 64, 128, 256, 512, 1024, 2048, 4096, 8192, 16384,
                                  1 << 15, 1 << 16, 1 << 17, 1 << 18, 1 << 19, 1 << 20, 1 << 21, 1 << 22)
@@ -39,6 +41,7 @@ class Bands:
                                2.68, 2.78, 2.86, 2.94, 3.04, 3.12, 3.18, 3.22)
     chunk: int = 4096
     chunk_share: float = 0.25
+    chunk_run: int = 2
     level: int = 3
 
     def outside(self, n: int, ratio: float) -> bool:
@@ -98,8 +101,10 @@ def _judge(bands: Bands):
         whole = ratio(raw) if raw else 0.0
         chunks = [raw[i:i + bands.chunk] for i in range(0, len(raw), bands.chunk)]
         ratios = [ratio(c) for c in chunks]
-        out = sum(bands.outside(len(c), r) for c, r in zip(chunks, ratios))
-        band = not raw or bands.outside(len(raw), whole) or out > bands.chunk_share * len(chunks)
+        out = [bands.outside(len(c), r) for c, r in zip(chunks, ratios)]
+        run = max((len(list(g)) for bad, g in groupby(out) if bad), default=0)
+        band = (not raw or bands.outside(len(raw), whole) or sum(out) > bands.chunk_share * len(chunks)
+                or run >= bands.chunk_run)
         return (doc, n, len(text) - sum(map(text.count, BLANKS)), sum(map(text.count, SYMBOLS)),
                 len(lines) - len(set(lines)), repeated, base, whole, max(ratios, default=0.0), band,
                 not base and not band)
