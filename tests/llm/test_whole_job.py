@@ -6,9 +6,10 @@ import base64
 import random
 
 import duckdb
+import numpy as np
 import pytest
 
-from wardflow.llm import quality
+from wardflow.llm import quality, repair
 
 LARGER = "/root/testdata/sf0.1"
 
@@ -52,3 +53,30 @@ def test_block_of_noise_fails_at_any_length(good, size, at):
         prose = "\n".join(texts)[:size]
         cut = int(at * len(prose))
         assert judge(0, prose[:cut] + noise + prose[cut:])[9]
+
+
+def test_grammar_has_no_frequent_pair_left():
+    rng = np.random.default_rng(6)
+    # 120 pairs of 20 occurrences each in noise: together under 2 % of the sequence in any round
+    ids = rng.permutation(np.repeat(np.arange(300, 50_000, dtype="<u4"), 4))
+    for k in range(120):
+        at = rng.integers(0, len(ids) - 1, 20)
+        ids[at], ids[at + 1] = 2 * k, 2 * k + 1
+    terminals, rules, seq = repair.compress(ids)
+    _, count = np.unique(seq[:-1].astype(np.int64) << 32 | seq[1:], return_counts=True)
+    assert count.max() < 16 and len(rules) >= 100
+    block = repair.Block(terminals.tobytes(), rules.tobytes(),
+                         repair.expansion_lengths(len(terminals), rules).tobytes(), seq.tobytes())
+    assert (block.decode() == ids).all()
+    assert (block.decode(777, 5_000) == ids[777:5_000]).all()
+
+
+def test_range_decoding_expands_only_the_range():
+    # 2^31 ids in 31 symbols: cannot be opened by expanding the rules
+    rules = np.array([(0, 1)] + [(k, k) for k in range(2, 32)], "<u4")
+    lengths = repair.expansion_lengths(2, rules)
+    block = repair.Block(np.array([7, 9], "<u4").tobytes(), rules.tobytes(), lengths.tobytes(),
+                         np.array([32], "<u4").tobytes())
+    assert len(block) == 1 << 31
+    assert block.decode((1 << 30) - 1, (1 << 30) + 4).tolist() == [9, 7, 9, 7, 9]
+    assert block.decode((1 << 31) - 2, 1 << 31).tolist() == [7, 9]

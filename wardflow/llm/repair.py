@@ -56,12 +56,11 @@ def _pick(codes: np.ndarray, min_count: int, room: int) -> np.ndarray:
     return np.array(chosen, np.uint32)
 
 
-def compress(ids: np.ndarray, min_count: int = 16, min_gain: float = 0.02):
+def compress(ids: np.ndarray, min_count: int = 16):
     """Grammar of ``ids``: (terminals, rules[k, 2], sequence).
 
     Symbols below ``len(terminals)`` are ids, the others rules in order.  Rounds
-    go on until no pair occurs ``min_count`` times, symbols run out, or a round
-    shortens the sequence by less than ``min_gain``.
+    go on until no pair occurs ``min_count`` times or symbols run out.
     """
     present = np.zeros(int(ids.max(initial=0)) + 1, bool)
     present[ids] = True
@@ -97,8 +96,6 @@ def compress(ids: np.ndarray, min_count: int = 16, min_gain: float = 0.02):
         seq = seq[keep]
         rules.append(np.stack([chosen >> 16, chosen & 0xFFFF], 1))
         n += len(chosen)
-        if before - len(seq) < min_gain * before:
-            break
     table = np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
     return terminals.astype(ID), table.astype(ID), seq.astype(ID)
 
@@ -120,31 +117,45 @@ class Block:
         self.lengths = np.frombuffer(lengths, ID).astype(np.int64)
         self.seq = np.frombuffer(seq, ID)
         self.ends = np.cumsum(self.lengths[self.seq])
-        # expansion of every symbol, in one array, built rule by rule
-        self.at = np.r_[0, np.cumsum(self.lengths)]
-        self.flat = np.empty(self.at[-1], ID)
-        self.flat[:len(self.terminals)] = self.terminals
-        n, at, flat = len(self.terminals), self.at.tolist(), self.flat
-        for k, (a, b) in enumerate(self.rules.tolist()):
-            lo, mid = at[n + k], at[n + k] + at[a + 1] - at[a]
-            flat[lo:mid] = flat[at[a]:at[a + 1]]
-            flat[mid:at[n + k + 1]] = flat[at[b]:at[b + 1]]
 
     def __len__(self) -> int:
         return int(self.ends[-1]) if len(self.ends) else 0
 
+    def _whole(self) -> np.ndarray:
+        """All ids: the expansion of every symbol goes into one array, built rule by rule, and is copied from there."""
+        first = np.r_[0, np.cumsum(self.lengths)]
+        flat = np.empty(first[-1], ID)
+        flat[:len(self.terminals)] = self.terminals
+        at = first.tolist()
+        for k, (a, b) in enumerate(self.rules.tolist(), len(self.terminals)):
+            mid = at[k] + at[a + 1] - at[a]
+            flat[at[k]:mid] = flat[at[a]:at[a + 1]]
+            flat[mid:at[k + 1]] = flat[at[b]:at[b + 1]]
+        n = self.lengths[self.seq]
+        return flat[np.repeat(first[self.seq] - (self.ends - n), n) + np.arange(len(self))]
+
     def decode(self, start: int = 0, end: int | None = None) -> np.ndarray:
-        """Ids [start, end) of the block; only the symbols that cover them are expanded."""
+        """Ids [start, end) of the block; of the rules only what covers them is expanded."""
         end = len(self) if end is None else end
         if end <= start:
             return np.zeros(0, ID)
+        if (start, end) == (0, len(self)):
+            return self._whole()
         i, j = np.searchsorted(self.ends, [start, end - 1], side="right")
         part = self.seq[i:j + 1]
-        n = self.lengths[part]
-        base = self.ends[i] - n[0]
-        first = np.cumsum(n) - n
-        ids = self.flat[np.repeat(self.at[part] - first, n) + np.arange(n.sum())]
-        return ids[start - base:end - base]
+        skip, n, n_terminals = start - (self.ends[i] - self.lengths[part[0]]), end - start, len(self.terminals)
+        # one level of the rules at a time; what lies before or after the range is dropped unexpanded
+        while (nested := part >= n_terminals).any():
+            at = np.arange(len(part)) + np.cumsum(nested) - nested
+            below = np.empty(len(part) + np.count_nonzero(nested), ID)
+            below[at[~nested]] = part[~nested]
+            pair, at = self.rules[part[nested] - n_terminals], at[nested]
+            below[at], below[at + 1] = pair[:, 0], pair[:, 1]
+            size = self.lengths[below]
+            ends = np.cumsum(size)
+            i, j = np.searchsorted(ends, [skip, skip + n - 1], side="right")
+            part, skip = below[i:j + 1], skip - (ends[i] - size[i])
+        return self.terminals[part]
 
 
 # ---- Spark operator -------------------------------------------------------
