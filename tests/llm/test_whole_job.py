@@ -7,9 +7,12 @@ import random
 
 import duckdb
 import numpy as np
+import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from wardflow.llm import quality, repair
+from wardflow.llm.tokens import PieceEncoder
 
 LARGER = "/root/testdata/sf0.1"
 
@@ -80,3 +83,19 @@ def test_range_decoding_expands_only_the_range():
     assert len(block) == 1 << 31
     assert block.decode((1 << 30) - 1, (1 << 30) + 4).tolist() == [9, 7, 9, 7, 9]
     assert block.decode((1 << 31) - 2, 1 << 31).tolist() == [7, 9]
+
+
+def test_added_tokens_as_in_the_library():
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library, enc = Tokenizer.from_file(path), PieceEncoder(path)
+    rng = random.Random(7)
+    mark = "<|endoftext|>"
+    bits = [mark, mark, "<|endoftext|", "|>", "<", " ", "  ", "\n", "a", "the", "Ünder", "12", "'s", "日本", "\x85"]
+    texts = [f"a {mark} b", mark, mark * 3, f" {mark}", None, "", "plain text", f"x{mark}"]
+    texts += ["".join(rng.choice(bits) for _ in range(rng.randrange(30))) for _ in range(400)]
+    for some in (texts, texts[4:7], texts[:1], []):
+        ids, at = enc.encode(pa.array(some, pa.string()))
+        want = [library.encode(t or "", add_special_tokens=False).ids for t in some]
+        assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == want
+    assert enc.encode(pa.array(texts[:1]))[0].tolist() == [64, 220, 50256, 275]

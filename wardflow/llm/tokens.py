@@ -21,6 +21,7 @@ _SAFE = re.compile(r"(?<=\S) (?=\S)")
 # often than pieces do.
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ\n]+")
 _PRETOKEN = re.compile(r"'(?:[stmd]|re|ve|ll)| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[^\sA-Za-zÀ-ÖØ-öø-ÿ0-9]+|\s+(?!\S)|\s+")
+_BLANK = re.compile(r"\s")
 _JOIN = 2000
 
 
@@ -31,15 +32,22 @@ def _is_safe(piece: str) -> bool:
 class PieceEncoder:
     """Encode texts piece by piece with a bounded cache of encoded pieces.
 
-    The ids equal ``Tokenizer.encode(text, add_special_tokens=False)``; strings
-    of special tokens inside a text are ordinary text.
+    The ids equal ``Tokenizer.encode(text, add_special_tokens=False)``: where a
+    text holds the string of an added token, it is cut there and has that
+    token's id.
     """
 
     def __init__(self, path: str, max_pieces: int = 200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        added = {t.content: i for i, t in self.tok.get_added_tokens_decoder().items()}
+        if self.tok.normalizer or any(t.lstrip or t.rstrip or t.single_word or _BLANK.search(t.content)
+                                      for t in self.tok.get_added_tokens_decoder().values()):
+            raise ValueError("a normalizer, or added tokens with blanks or conditions around them")
+        self.added = added
+        longest = sorted(added, key=len, reverse=True)
+        self.marks = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if added else None
         self.max_pieces = max_pieces
         self.cache: dict[str, bytes] = {}  # pieces, without their leading space
         self.older: dict[str, bytes] = {}
@@ -116,10 +124,27 @@ class PieceEncoder:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and where each text starts (one more entry at the end).
 
-        Null counts as empty.  Equal pieces of the batch are looked up once;
-        the ids are put together by array indexing.
+        Null counts as empty.
         """
         texts = texts.cast(pa.large_string()).fill_null("")
+        if not any(pc.any(pc.match_substring(texts, t)).as_py() for t in self.added):
+            return self._encode_plain(texts)
+        cut = [self.marks.split(t) for t in texts.to_pylist()]  # every other part is an added token
+        ids, at = self._encode_plain(pa.array([p for parts in cut for p in parts[::2]], pa.large_string()))
+        n_marks = np.array([len(parts) // 2 for parts in cut])
+        first = np.cumsum(n_marks + 1) - n_marks - 1  # of each text's segments
+        before_mark = np.ones(len(at) - 1, bool)
+        before_mark[first + n_marks] = False
+        marks = np.array([self.added[p] for parts in cut for p in parts[1::2]], ID)
+        ids = np.insert(ids, at[1:][before_mark], marks)
+        return ids, np.r_[at[first] + np.cumsum(n_marks) - n_marks, len(ids)]
+
+    def _encode_plain(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """``encode`` of texts without nulls and strings of added tokens.
+
+        Equal pieces of the batch are looked up once; the ids are put together
+        by array indexing.
+        """
         split = pc.split_pattern(texts, " ")
         at = np.asarray(split.offsets, np.int64) - split.offsets[0].as_py()
         coded = split.flatten().dictionary_encode()
