@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wardflow.llm.common import Scratch, documents, ship_package
+from wardflow.llm.common import Scratch, documents, ship_package, shuffle_partitions
 from wardflow.llm.exact import keep_owners
 from wardflow.llm.near import near_duplicates
 from wardflow.llm.packing import pack_documents
@@ -19,15 +21,40 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return passing(docs)
 
 
+def by_row(docs: DataFrame, stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``stage`` on ``docs`` with ids that name one row each.
+
+    Where a doc_id is null or repeated, all rows are numbered in the order of
+    doc_id (null last) and text hash, and the numbers take the place of doc_id
+    within the stage.
+    """
+    unclear = docs.groupBy("doc_id").agg(F.count("*").alias("c")).where("c > 1 OR doc_id IS NULL")
+    if unclear.isEmpty():
+        return stage(docs)
+    spark = docs.sparkSession
+    order = [F.col("doc_id").asc_nulls_last(), F.col("h"), F.col("at")]
+    keyed = docs.select(F.struct("*").alias("own"), "doc_id", "text", F.xxhash64("text").alias("h"),
+                        F.monotonically_increasing_id().alias("at"))  # deals out equal rows, too
+    ranged = keyed.repartitionByRange(shuffle_partitions(spark), *order).sortWithinPartitions(*order)
+    # written, so that the numbers are the same whenever they are read
+    rows = Scratch(spark, "rows").save(
+        ranged.select(F.monotonically_increasing_id().alias("doc_id"), "text", "own"), "numbered")
+    return stage(rows).select("own.*")
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts (blanks aside) the longest original, then the smallest doc_id."""
+    """Of equal texts (blanks aside) one row: the longest original, then the smallest doc_id."""
     ship_package(spark)
-    return keep_owners(docs)
+    return by_row(docs, keep_owners)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by 80 % of their five-word shingles the smallest doc_id."""
+    """Of rows linked by 80 % of their five-word shingles the one of the smallest doc_id."""
     ship_package(spark)
+    return by_row(docs, _first_of_linked)
+
+
+def _first_of_linked(docs: DataFrame) -> DataFrame:
     kept = near_duplicates(docs, width=5, percent=80).where("kept").select("doc_id").distinct()
     rows = docs.select("doc_id", F.struct("*").alias("row"))
     return rows.join(kept, rows.doc_id.eqNullSafe(kept.doc_id), "left_semi").select("row.*")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import random
 
+import corpus_pipeline
 import duckdb
 import numpy as np
 import public_tokenizers
@@ -99,3 +100,39 @@ def test_added_tokens_as_in_the_library():
         want = [library.encode(t or "", add_special_tokens=False).ids for t in some]
         assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == want
     assert enc.encode(pa.array(texts[:1]))[0].tolist() == [64, 220, 50256, 275]
+
+
+def _prose(seed: int, n: int = 120) -> list[str]:
+    rng = random.Random(seed)
+    return ["".join(rng.choice("etaoinshrdlu") for _ in range(6)) for _ in range(n)]
+
+
+def _near(words: list[str]) -> list[str]:
+    return [*words[:-1], "changed"]
+
+
+def test_pipeline_judges_rows_not_ids(spark, frame, tmp_path):
+    p, q, r, s = (" ".join(_prose(i)) for i in range(4))
+    near = {i: " ".join(_near(_prose(i))) for i in range(4)}
+    rows = [(None, p), (None, p), (None, p + "\n"), (None, p.replace(" ", "\n", 1)),  # exact copies without an id
+            (None, near[0]),
+            (5, near[1]), (7, q), (7, r), (9, near[2]),  # 5 takes q of 7, but not r
+            (8, s), (8, s), (8, near[3])]
+    docs = frame([(d, t, i) for i, (d, t) in enumerate(rows)], "doc_id BIGINT, text STRING, n INT")
+    corpus_pipeline.exact_dedup(spark, docs, "").write.parquet(f"{tmp_path}/exact")
+    exact = spark.read.parquet(f"{tmp_path}/exact")
+    got = sorted((r.n for r in exact.collect()))
+    assert exact.columns == ["doc_id", "text", "n"]
+    assert len([n for n in got if n < 4]) == 1 and 2 in got  # the longest original
+    assert [n for n in got if 4 <= n < 9] == [4, 5, 6, 7, 8] and len([n for n in got if 9 <= n <= 10]) == 1 and 11 in got
+    left = [r.n for r in corpus_pipeline.near_dedup(spark, exact, "").collect()]
+    assert len(left) == len(set(left)) == 4
+    assert len({2, 4} & set(left)) == 1 and {5, 7} <= set(left) and not {6, 8} & set(left)
+    assert len({9, 10, 11} & set(left)) == 1
+
+
+def test_pipeline_rows_with_clear_ids_are_not_numbered(frame):
+    seen = []
+    docs = frame([(1, "a"), (2, "a")])
+    corpus_pipeline.by_row(docs, lambda d: seen.append(d) or d)
+    assert seen == [docs]
