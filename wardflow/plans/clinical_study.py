@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from wardflow.config import JUNE_2000, CohortSpec, GridSpec, LabSpec
 from wardflow.operators import cohort as K
 from wardflow.plans.study import Study
+from wardflow.sources.schemas import CLINICAL_DDL
+from wardflow.sources.tables import typed_times
 
 
 class ClinicalStudy(Study):
@@ -16,7 +18,7 @@ class ClinicalStudy(Study):
 
     def __init__(self, tables: dict[str, DataFrame], grid: GridSpec = JUNE_2000,
                  spec: CohortSpec = CohortSpec(), labs: LabSpec = LabSpec()):
-        self.tables = tables
+        self.tables = {n: typed_times(t, CLINICAL_DDL[n]) if n in CLINICAL_DDL else t for n, t in tables.items()}
         self.grid = grid
         self.spec = spec
         self.tests = tuple(labs.tests.items())

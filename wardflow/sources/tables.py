@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructType, TimestampNTZType
 
 from wardflow.sources.schemas import TABLE_DDL
 
@@ -12,6 +13,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLE_DDL[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def typed_times(df: DataFrame, ddl: str) -> DataFrame:
+    """``df`` with the times of ``ddl`` that it holds as text parsed; what is no time becomes NULL."""
+    times = {f.name for f in StructType.fromDDL(ddl) if isinstance(f.dataType, TimestampNTZType)}
+    text = [f.name for f in df.schema if f.name in times and isinstance(f.dataType, StringType)]
+    return df.withColumns({c: F.col(c).try_cast("timestamp_ntz") for c in text}) if text else df
+
+
 class Tables:
     """Lazy ``{name: DataFrame}`` access to one scale-factor folder."""
 
