@@ -17,6 +17,7 @@ from wardflow.llm.repair import op1_grammar_ids
 from wardflow.llm.resample import op2_importance_resampling
 from wardflow.llm.substring import op5_substring_dedup
 from wardflow.llm.urls import OP8_SQL, op8_temporal_url_lists
+from wardflow.llm.warc import OP11_SQL, op11_warc_packages
 
 
 def _query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -30,10 +31,12 @@ def _query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 QUERIES = {f.__name__: _query(f) for f in (
     op1_grammar_ids, op2_importance_resampling, op3_exact_dedup, op4_pack_documents,
     op5_substring_dedup, op6_near_dedup, op7_compression_rules, op8_temporal_url_lists, op9_byte_bpe, op10_format_chats,
+    op11_warc_packages,
 )}
 
 SQL: dict[str, str] = {
     "op3_exact_dedup": OP3_SQL,
     "op8_temporal_url_lists": OP8_SQL,
     "op10_format_chats": OP10_SQL,
+    "op11_warc_packages": OP11_SQL,
 }
