@@ -10,6 +10,7 @@ from wardflow.llm.bpe import op9_byte_bpe
 from wardflow.llm.chat import OP10_SQL, op10_format_chats
 from wardflow.llm.common import ship_package
 from wardflow.llm.exact import OP3_SQL, op3_exact_dedup
+from wardflow.llm.merkle import OP12_SQL, op12_merkle_manifest
 from wardflow.llm.near import op6_near_dedup
 from wardflow.llm.packing import op4_pack_documents
 from wardflow.llm.quality import op7_compression_rules
@@ -31,7 +32,7 @@ def _query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 QUERIES = {f.__name__: _query(f) for f in (
     op1_grammar_ids, op2_importance_resampling, op3_exact_dedup, op4_pack_documents,
     op5_substring_dedup, op6_near_dedup, op7_compression_rules, op8_temporal_url_lists, op9_byte_bpe, op10_format_chats,
-    op11_warc_packages,
+    op11_warc_packages, op12_merkle_manifest,
 )}
 
 SQL: dict[str, str] = {
@@ -39,4 +40,5 @@ SQL: dict[str, str] = {
     "op8_temporal_url_lists": OP8_SQL,
     "op10_format_chats": OP10_SQL,
     "op11_warc_packages": OP11_SQL,
+    "op12_merkle_manifest": OP12_SQL,
 }
