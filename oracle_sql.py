@@ -322,6 +322,20 @@ def _gappy_nulls() -> str:
     return f"WITH {GAPPY}\nSELECT * FROM ({' UNION ALL '.join(parts)}) q WHERE NULL_COUNT > 0"
 
 
+def _run_counts(cohort: str, staff: str, p1: str, p2: str, extra: str = "") -> str:
+    """Rows of every stage of a run, in its order; ``extra`` is a column over STAGE."""
+    stages = {"cohort": cohort, "staff_assignments": staff, "expanded_patients": "pexp", "expanded_nurses": "nexp",
+              "discharge_ratio": "o5", "patient_ratio": "o6", "labs_subset": "labsub",
+              **{f"lab_results_{p.lower()}": f"o8_{p}" for p in (p1, p2)},
+              **{f"latest_{p.lower()}": f"o9_{p}" for p in (p1, p2)}, "observations": "obs"}
+    body = " UNION ALL ".join(f"SELECT '{n}' AS STAGE, CAST(count(*) AS BIGINT) AS ROW_COUNT FROM {t}" for n, t in stages.items())
+    return f"SELECT *{extra} FROM ({body}) q"
+
+
+# the stages that a stopped run leaves complete: the first five in the run's order
+_FIRST_FIVE = "('cohort', 'staff_assignments', 'expanded_patients', 'expanded_nurses', 'discharge_ratio')"
+
+
 U, B = "CURR_CAREUNIT", "TIME_BLOCK_12HR"
 SQL: dict[str, str] = {
     "chart_scatter": _with(_o5_ctes() + "\n" + _scatter("o5", [B, U], "AVG_DISCHARGE_TO_NURSE_RATIO")),
@@ -359,17 +373,10 @@ SQL: dict[str, str] = {
     "staff_subject_ratio": _with(_o6_ctes() + "\nSELECT * FROM o6"),
     "labs_subset": _with("SELECT * FROM labsub"),
     "csv_roundtrip": _with(_o5_ctes() + "\nSELECT * FROM o5"),
-    "cohort_run_metrics": _with_all("," + OBS +
-        "\nSELECT 'expanded_patients' AS STAGE, CAST(count(*) AS BIGINT) AS ROW_COUNT FROM pexp "
-        "UNION ALL SELECT 'expanded_nurses', count(*) FROM nexp "
-        "UNION ALL SELECT 'discharge_ratio', count(*) FROM o5 "
-        "UNION ALL SELECT 'patient_ratio', count(*) FROM o6 "
-        "UNION ALL SELECT 'labs_subset', count(*) FROM labsub "
-        "UNION ALL SELECT 'lab_results_view', count(*) FROM o8_VIEW "
-        "UNION ALL SELECT 'lab_results_error', count(*) FROM o8_ERROR "
-        "UNION ALL SELECT 'latest_view', count(*) FROM o9_VIEW "
-        "UNION ALL SELECT 'latest_error', count(*) FROM o9_ERROR "
-        "UNION ALL SELECT 'observations', count(*) FROM obs"),
+    "cohort_run_metrics": _with_all("," + OBS + "\n" + _run_counts("stays", "staff", "VIEW", "ERROR")),
+    "retail_run_metrics": _retail_latest(_run_counts("cohort", "staff_rows", "RETURNED", "ACCEPTED")),
+    "resumed_run_metrics": _retail_latest(_run_counts("cohort", "staff_rows", "RETURNED", "ACCEPTED",
+                                                      f", STAGE IN {_FIRST_FIVE} AS RESUMED")),
     "stage_metrics": _with(
         _o5_ctes() + _o6_ctes() +
         "\nSELECT 'expanded_patients' AS STAGE, CAST(count(*) AS BIGINT) AS ROW_COUNT FROM pexp "

@@ -170,14 +170,14 @@ def test_profile(spark):
 
 def test_cohort_run_writes_every_stage(spark):
     from wardflow.plans.cohort_run import run_study
-    from wardflow.sources.sinks import read_stage
-    out_dir, metrics = run_study(ClinicalStudy(tables(spark)), spark)
+    from wardflow.sources.commit import read_output
+    study = ClinicalStudy(tables(spark))
+    out_dir, metrics = run_study(study, spark)
     got = {r["STAGE"]: r["ROW_COUNT"] for r in metrics.collect()}
-    assert got == {"expanded_patients": 51, "expanded_nurses": 36, "discharge_ratio": 7, "patient_ratio": 13,
+    assert got == {"cohort": study.stays.count(), "staff_assignments": study.staff.count(), "expanded_patients": 51, "expanded_nurses": 36, "discharge_ratio": 7, "patient_ratio": 13,
                    "labs_subset": 12, "lab_results_troponin": 13, "lab_results_bnp": 13,
                    "latest_troponin": 4, "latest_bnp": 4, "observations": 13}
-    back = read_stage(spark, f"{out_dir}/latest_troponin", "SUBJECT_ID BIGINT, TROPONIN_VAL DOUBLE, "
-                      "TROPONIN_UNIT STRING", "csv")
+    back = read_output(spark, out_dir, "latest_troponin")
     assert {r["SUBJECT_ID"]: r["TROPONIN_VAL"] for r in back.collect()}[1] == 0.04
 
 

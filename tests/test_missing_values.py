@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from wardflow.config import JUNE_2000, CohortSpec, GridSpec
 from wardflow.functions.match import code_filter
 from wardflow.operators import cohort as K, labs as L, profile as P, summaries as S, timeblocks as tb
-from wardflow.plans.cohort_run import run_study, stages
+from wardflow.plans.cohort_run import run_study
 from wardflow.plans.events_study import EventsStudy
-from wardflow.sources.sinks import read_stage
+from wardflow.sources.commit import read_output
 
 STAYS = ("SUBJECT_ID BIGINT, HADM_ID BIGINT, CURR_CAREUNIT STRING, ADMISSION_DATE TIMESTAMP_NTZ, "
          "DISCHARGE_DATE TIMESTAMP_NTZ")
@@ -114,7 +114,6 @@ def test_every_written_stage_has_the_right_values(spark, written, stage):
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('/root/testdata/sf0.001/{t}.parquet')")
     want = con.execute(E.oracle_sql()[STAGE_SQL[stage]]).df()
-    schema = stages(EventsStudy(spark, "/root/testdata/sf0.001"))[stage].schema
-    got = E._rounded(read_stage(spark, f"{written[0]}/{stage}", schema, "csv")).toPandas()
+    got = E._rounded(read_output(spark, written[0], stage)).toPandas()
     assert len(got) == written[1][stage]
     assert _hash(_norm(got)) == _hash(_norm(want[got.columns]))

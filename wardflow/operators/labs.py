@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from wardflow import config as C
 from wardflow.config import GridSpec
@@ -47,11 +47,15 @@ def stay_blocks(cohort: DataFrame, grid: GridSpec) -> DataFrame:
     return r.groupBy(C.SUBJECT_ID, C.HADM_ID, "_k").agg(F.max(C.ADMIT).alias(C.ADMIT))
 
 
-def _latest_labs_with_admit(cohort: DataFrame, lab_subset: DataFrame, grid: GridSpec,
-                            tests: tuple[tuple[str, str], ...]) -> DataFrame:
-    """Latest value and unit of every test per admission block, in one pass:
-    one aggregate per (stay, block) with a filtered ``max_by`` per test and
-    column, then one forward-fill window per stay (at most grid-size rows)."""
+def stay_timelines(cohort: DataFrame, lab_subset: DataFrame, grid: GridSpec,
+                   tests: tuple[tuple[str, str], ...]) -> DataFrame:
+    """One row per stay with a block: SUBJECT_ID, HADM_ID, _blocks (k, admit) and _seen.
+
+    ``_seen`` has an entry for each of the stay's blocks with tests: the last non-null value and
+    unit of every test in it, each column on its own (N5).  Both arrays have at most one entry per
+    block of the grid.  Everything is grouped and joined by (subject, admission) alone, so inputs that are
+    bucketed by these keys need no exchange.
+    """
     match = {prefix: regex_contains_ci(F.col(C.LABEL), name) for prefix, name in tests}
     any_test = F.lit(False)
     for m in match.values():
@@ -59,22 +63,46 @@ def _latest_labs_with_admit(cohort: DataFrame, lab_subset: DataFrame, grid: Grid
     order = F.struct(C.CHARTTIME, C.ITEMID, C.VALUENUM, C.VALUEUOM)
     aggs = []
     for prefix, m in match.items():
-        # last non-null value and unit per (stay, block), each column on its own
         aggs.append(F.max_by(C.VALUENUM, F.when(m & F.col(C.VALUENUM).isNotNull(), order)).alias(f"{prefix}_VAL"))
         aggs.append(F.max_by(C.VALUEUOM, F.when(m & F.col(C.VALUEUOM).isNotNull(), order)).alias(f"{prefix}_UNIT"))
+    stay = [C.SUBJECT_ID, C.HADM_ID]
     per_block = (lab_subset.where(any_test).withColumn("_k", slot_of(C.CHARTTIME, grid, grid.block_us))
-                 .groupBy(C.SUBJECT_ID, C.HADM_ID, "_k").agg(*aggs))
-    j = stay_blocks(cohort, grid).join(per_block, [C.SUBJECT_ID, C.HADM_ID, "_k"], "left")
-    w = (Window.partitionBy(C.SUBJECT_ID, C.HADM_ID).orderBy("_k")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    filled = [F.last(f"{p}_{c}", ignorenulls=True).over(w).alias(f"{p}_{c}") for p, _ in tests for c in ("VAL", "UNIT")]
-    return j.select(C.SUBJECT_ID, C.HADM_ID, slot_start("_k", grid, grid.block_us).alias(C.B12), *filled, C.ADMIT)
+                 .groupBy(*stay, "_k").agg(*aggs))
+    seen = per_block.groupBy(*stay).agg(F.collect_list(F.struct("_k", *_columns(tests))).alias("_seen"))
+    blocks = stay_blocks(cohort, grid).groupBy(*stay).agg(F.collect_list(F.struct("_k", C.ADMIT)).alias("_blocks"))
+    # a test in a block that the stay does not have is not carried on
+    return blocks.join(seen, stay, "left").withColumn("_seen", F.expr(
+        "filter(_seen, t -> array_contains(transform(_blocks, b -> b._k), t._k))"))
+
+
+def _columns(tests: tuple[tuple[str, str], ...]) -> list[str]:
+    return [f"{p}_{c}" for p, _ in tests for c in ("VAL", "UNIT")]
+
+
+def values_at(k: str, tests: tuple[tuple[str, str], ...]) -> list:
+    """Columns of every test: the last non-null entry of ``_seen`` up to block ``k`` (forward fill)."""
+    return [F.expr(f"array_max(transform(filter(_seen, t -> t._k <= {k} AND t.{c} IS NOT NULL), "
+                   f"t -> struct(t._k AS _k, t.{c} AS v))).v").alias(c) for c in _columns(tests)]
+
+
+def block_values(timelines: DataFrame, grid: GridSpec, tests: tuple[tuple[str, str], ...]) -> DataFrame:
+    """O8 with ADMISSION_DATE: a row for every block of every stay with each test's latest value and unit."""
+    rows = timelines.select(C.SUBJECT_ID, C.HADM_ID, "_seen", F.explode("_blocks").alias("_b"))
+    rows = rows.select(C.SUBJECT_ID, C.HADM_ID, "_seen", F.col("_b._k").alias("_k"), F.col(f"_b.{C.ADMIT}").alias(C.ADMIT))
+    return rows.select(C.SUBJECT_ID, C.HADM_ID, slot_start("_k", grid, grid.block_us).alias(C.B12),
+                       *values_at("_k", tests), C.ADMIT)
+
+
+def latest_labs_with_admit(cohort: DataFrame, lab_subset: DataFrame, grid: GridSpec,
+                           tests: tuple[tuple[str, str], ...]) -> DataFrame:
+    """O8 for several tests, keeping ADMISSION_DATE (input of O9)."""
+    return block_values(stay_timelines(cohort, lab_subset, grid, tests), grid, tests)
 
 
 def latest_labs(cohort: DataFrame, lab_subset: DataFrame, grid: GridSpec,
                 tests: tuple[tuple[str, str], ...]) -> DataFrame:
     """O8 for several tests at once: SUBJECT_ID, HADM_ID, TIME_BLOCK_12HR, <P>_VAL, <P>_UNIT ..."""
-    return _latest_labs_with_admit(cohort, lab_subset, grid, tests).drop(C.ADMIT)
+    return latest_labs_with_admit(cohort, lab_subset, grid, tests).drop(C.ADMIT)
 
 
 def latest_lab(cohort: DataFrame, lab_subset: DataFrame, grid: GridSpec,
@@ -98,18 +126,12 @@ def latest_per_subject_all(cohort: DataFrame, lab_subset: DataFrame, grid: GridS
     with very many stays is not sent whole to one task); ties on the admit
     time go to the larger admission id.
     """
-    return pick_latest_per_subject(_latest_labs_with_admit(cohort, lab_subset, grid, tests), tests)
+    return pick_latest_per_subject(latest_labs_with_admit(cohort, lab_subset, grid, tests), tests)
 
 
 def pick_latest_per_subject(per_block: DataFrame, tests: tuple[tuple[str, str], ...]) -> DataFrame:
     """O9 from per-block latest values that carry ADMISSION_DATE."""
-    names = [f"{p}_{c}" for p, _ in tests for c in ("VAL", "UNIT")]
+    names = _columns(tests)
     pick = F.max_by(F.struct(*names), F.struct(C.ADMIT, C.HADM_ID, C.B12)).alias("_p")
     g = per_block.groupBy(C.SUBJECT_ID).agg(pick)
     return g.select(C.SUBJECT_ID, *[F.col(f"_p.{n}").alias(n) for n in names])
-
-
-def latest_labs_with_admit(cohort: DataFrame, lab_subset: DataFrame, grid: GridSpec,
-                           tests: tuple[tuple[str, str], ...]) -> DataFrame:
-    """O8 for several tests, keeping ADMISSION_DATE (input of O9)."""
-    return _latest_labs_with_admit(cohort, lab_subset, grid, tests)

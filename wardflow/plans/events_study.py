@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from wardflow.config import EVENTS_GRID, GridSpec
 from wardflow.operators.profile import profile_nulls
 from wardflow.plans.study import Study
-from wardflow.session import delete_path, modified, shared_dir
+from wardflow import config as C
+from wardflow.session import delete_path, file_stamp, shared_dir
 from wardflow.sources import events_view as ev
+from wardflow.sources.bucketed import BucketedTable, write_bucketed
 from wardflow.sources.sinks import materialise
 from wardflow.sources.tables import Tables
 
@@ -24,7 +26,9 @@ class EventsStudy(Study):
 
     ``EventsStudy.shared`` gives the study whose inputs (ordered events, stays,
     shifts, attributed labs) are written once per session and folder; it owns
-    those tables, and ``close`` deletes them.
+    those tables, and ``close`` deletes them.  Stays and labs are bucketed by
+    (subject, admission), so the stages that join or group them by these keys
+    read them without an exchange.
     """
 
     tests = TESTS
@@ -34,6 +38,7 @@ class EventsStudy(Study):
         self.t = Tables(spark, sf_dir)
         self.grid = grid
         self.folder: str | None = None
+        self.tables: list[BucketedTable] = []
 
     @cached_property
     def ordered(self) -> DataFrame:
@@ -51,11 +56,18 @@ class EventsStudy(Study):
     def labs(self) -> DataFrame:
         return ev.labs(self.t, self.ordered)
 
+    def fingerprint(self) -> str:
+        return f"{type(self).__name__} {self._stamp(self.t.spark, self.t.sf_dir)} {self.grid} {self.tests}"
+
+    @staticmethod
+    def _stamp(spark: SparkSession, sf_dir: str) -> tuple[str, ...]:
+        return tuple(file_stamp(spark, f"{sf_dir.rstrip('/')}/{n}.parquet") for n in ("events", "customer"))
+
     @classmethod
     def shared(cls, spark: SparkSession, sf_dir: str) -> EventsStudy:
         """The session's study of one folder with its inputs written; written anew when the tables have changed."""
         held = spark.sparkContext.__dict__.setdefault("_wardflow_studies", {})
-        stamp = tuple(modified(spark, f"{sf_dir.rstrip('/')}/{n}.parquet") for n in ("events", "customer"))
+        stamp = cls._stamp(spark, sf_dir)
         old = held.get((cls, sf_dir))
         if old is None or old[0] != stamp:
             if old is not None:
@@ -66,13 +78,25 @@ class EventsStudy(Study):
     def materialise_inputs(self) -> EventsStudy:
         """Write the inputs once to a folder of this study and go on from the files."""
         self.folder = shared_dir(self.t.spark, "wardflow-inputs")
-        for name in ("ordered", "stays", "staff", "labs"):
-            self.__dict__[name] = materialise(self.t.spark, getattr(self, name), f"{self.folder}/{name}")
+        counted = {name: Observation() for name in ("stays", "staff")}
+
+        def seen(name: str) -> DataFrame:
+            return getattr(self, name).observe(counted[name], F.count(F.lit(1)).alias("rows"))
+        self.__dict__["ordered"] = materialise(self.t.spark, self.ordered, f"{self.folder}/ordered")
+        self.__dict__["staff"] = materialise(self.t.spark, seen("staff"), f"{self.folder}/staff")
+        for name, rows in (("stays", seen("stays")), ("labs", self.labs)):
+            table = write_bucketed(rows, f"{self.folder}/{name}", [C.SUBJECT_ID, C.HADM_ID])
+            self.tables.append(table)
+            self.__dict__[name] = table.read()
+        self.input_rows = {name: int(o.get["rows"]) for name, o in counted.items()}
         return self
 
     def close(self) -> None:
         """Delete the written inputs; the study computes them again when asked."""
         if self.folder:
+            for table in self.tables:
+                table.drop()
+            self.tables, self.input_rows = [], {}
             delete_path(self.t.spark, self.folder)
             self.folder = None
             for name in ("ordered", "stays", "staff", "labs"):

@@ -1,19 +1,10 @@
-"""Per-stage row counts collected while the stage is written (no second pass)."""
+"""Per-stage row counts as tables; a run collects them while it writes (``sources.commit``)."""
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
-
-from wardflow.sources.sinks import write_stage
-
-
-def write_observed(df: DataFrame, name: str, path: str, fmt: str = "parquet") -> int:
-    """Write ``df`` and return its row count gathered by ``observe`` during the write."""
-    obs = Observation(name)
-    write_stage(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, fmt)
-    return int(obs.get["rows"])
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def metrics_frame(spark: SparkSession, counts: dict[str, int]) -> DataFrame:

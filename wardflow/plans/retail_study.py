@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from wardflow.config import JUNE_2000, GridSpec
 from wardflow.operators import cohort as K
 from wardflow.plans.study import Study
+from wardflow.session import file_stamp
 from wardflow.sources import retail_view as rv
 from wardflow.sources.tables import Tables
 
@@ -27,6 +28,11 @@ class RetailStudy(Study):
         self.grid = grid
         self.lab_dictionary = rv.lab_dictionary(self.t)
 
+    def fingerprint(self) -> str:
+        tables = ("orders", "lineitem", "part", "customer", "supplier")
+        stamps = [file_stamp(self.t.spark, f"{self.t.sf_dir.rstrip('/')}/{n}.parquet") for n in tables]
+        return f"{type(self).__name__} {stamps} {self.grid} {self.tests} {self.spec}"
+
     def select_cohort(self, ordered: bool = True) -> DataFrame:
         t = self.t
         return K.select_cohort(rv.diagnoses(t), rv.icd_dictionary(t), rv.transfers(t), rv.labs(t),

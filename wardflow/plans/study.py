@@ -24,6 +24,12 @@ class Study:
     stays: DataFrame
     staff: DataFrame
     labs: DataFrame
+    input_rows: dict[str, int] = {}      # rows of the inputs that are written already
+
+    def fingerprint(self) -> str:
+        """Names the study's inputs and parameters: equal for runs that would write equal stages."""
+        frames = [df.semanticHash() for df in (self.stays, self.staff, self.labs)]
+        return f"{type(self).__name__} {frames} {self.grid} {self.tests}"
 
     @property
     def cohort(self) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -10,18 +11,20 @@ from pyspark.sql import SparkSession
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app: str = "wardflow") -> SparkSession:
+                app: str = "wardflow", driver_memory: str | None = None) -> SparkSession:
     """Session with the settings every operator assumes (UTC, ANSI, AQE).
 
     Started by spark-submit without ``master``, it keeps the cluster's master,
-    memory and shuffle partitions; otherwise it is a local session.
+    memory and shuffle partitions; otherwise it is a local session, whose one
+    JVM has ``driver_memory`` (Spark's own default if not given).
     """
     b = SparkSession.builder.appName(app)
     # spark-submit hands its settings to the JVM, which the builder must not override
     submitted = "PYSPARK_GATEWAY_PORT" in os.environ or "--master" in os.environ.get("PYSPARK_SUBMIT_ARGS", "")
     if master or not submitted:
         cpus = os.environ.get("BENCH_CPUS", "8")
-        b = (b.master(master or f"local[{cpus}]").config("spark.driver.memory", "16g")
+        b = b.config("spark.driver.memory", driver_memory) if driver_memory else b
+        b = (b.master(master or f"local[{cpus}]")
              .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false"))
         shuffle_partitions = shuffle_partitions or int(cpus) * 2
     if shuffle_partitions:
@@ -76,7 +79,17 @@ def delete_path(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def modified(spark: SparkSession, path: str) -> int:
-    """Time of the last change of a file or folder, as its file system reports it."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(where).getModificationTime()
+def file_stamp(spark: SparkSession, path: str) -> str:
+    """Paths, sizes and modification times of the files under ``path``, as its file system lists them.
+
+    Object stores report no time for a folder, so the files themselves are listed; one call a folder.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    found, folders = [], [path]
+    while folders:
+        where = hadoop(folders.pop())
+        fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+        text = spark._jvm.org.apache.commons.lang3.ArrayUtils.toString(fs.listStatus(where))
+        found.append(re.sub(r"access_time=\d+", "", text))
+        folders += re.findall(r"path=([^;]+); isDirectory=true", text)
+    return "".join(sorted(found))
