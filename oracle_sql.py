@@ -339,6 +339,15 @@ _FIRST_FIVE = "('cohort', 'staff_assignments', 'expanded_patients', 'expanded_nu
 U, B = "CURR_CAREUNIT", "TIME_BLOCK_12HR"
 SQL: dict[str, str] = {
     "chart_scatter": _with(_o5_ctes() + "\n" + _scatter("o5", [B, U], "AVG_DISCHARGE_TO_NURSE_RATIO")),
+    "chart_scatter_sample": _with_all("," + OBS + """
+SELECT TIME_BLOCK_12HR, CURR_CAREUNIT, AVG_NURSE_TO_PATIENT_RATIO AS Y FROM (
+  SELECT *, row_number() OVER (PARTITION BY CURR_CAREUNIT ORDER BY md5(CAST(SUBJECT_ID AS VARCHAR) || '|' || CAST(HADM_ID AS VARCHAR)
+      || '|' || CAST(TIME_BLOCK_12HR AS VARCHAR))) AS rn
+  FROM obs WHERE CURR_CAREUNIT IS NOT NULL AND AVG_NURSE_TO_PATIENT_RATIO IS NOT NULL) q WHERE rn <= 40"""),
+    "slice_deep": _with_all("," + OBS + """
+SELECT * EXCLUDE (rn, n) FROM (
+  SELECT *, row_number() OVER (ORDER BY SUBJECT_ID, HADM_ID, TIME_BLOCK_12HR, CURR_CAREUNIT) - 1 AS rn, count(*) OVER () AS n FROM obs) q
+WHERE rn >= floor(0.9 * n) AND rn < floor(0.9 * n) + 100"""),
     "chart_box": _with(_o6_ctes() + "\n" + _box("o6", [U], "AVG_NURSE_TO_PATIENT_RATIO")),
     "chart_bar": _with_latest(LAST_UNIT + "\n" + _stats("last_unit", [U], "VIEW_VAL")),
     "chart_line": _with_all("," + OBS + "\n" + _stats("obs", [B, U], "VIEW_VAL")),
@@ -434,6 +443,8 @@ DOUBLES: dict[str, tuple[str, ...]] = {
     "observations": _OBS,
     "head_rows": _OBS,
     "slice_rows": _RATIO5,
+    "slice_deep": _OBS,
+    "chart_scatter_sample": ("Y",),
     "last_unit_labs": ("VIEW_VAL", "ERROR_VAL"),
     "subject_lookup": ("VIEW_VAL", "ERROR_VAL"),
     "csv_roundtrip": _RATIO5,

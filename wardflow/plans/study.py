@@ -100,6 +100,10 @@ class Study:
     def slice_rows(self, start: int = 10, stop: int = 16) -> DataFrame:
         return T.slice_rows(self.discharge_ratio(), ["CURR_CAREUNIT", "TIME_BLOCK_12HR"], start, stop)
 
+    def slice_deep(self, share: float = 0.9, n: int = 100) -> DataFrame:
+        """T5 at depth: ``n`` observations from the position at ``share`` of all rows on."""
+        return T.slice_from_share(self.observations(), ["SUBJECT_ID", "HADM_ID", "TIME_BLOCK_12HR", "CURR_CAREUNIT"], share, n)
+
     # --- V1-V6 (first and second test stand in for Troponin and BNP) ---
 
     @property
@@ -114,6 +118,10 @@ class Study:
         return V.scatter_points(self.discharge_ratio(), "TIME_BLOCK_12HR", "AVG_DISCHARGE_TO_NURSE_RATIO",
                                 hue="CURR_CAREUNIT")
 
+    def chart_scatter_sample(self, per_hue: int = 40) -> DataFrame:
+        return V.scatter_points(self.observations(), "TIME_BLOCK_12HR", "AVG_NURSE_TO_PATIENT_RATIO", hue="CURR_CAREUNIT",
+                                per_hue=per_hue, sample_key=["SUBJECT_ID", "HADM_ID", "TIME_BLOCK_12HR"])
+
     def chart_box(self) -> DataFrame:
         return V.box_stats(self.patient_ratio(), "CURR_CAREUNIT", "AVG_NURSE_TO_PATIENT_RATIO",
                            hue="CURR_CAREUNIT")
