@@ -238,6 +238,66 @@ def _orphan_keys() -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+def _columns() -> list[tuple[str, str, str]]:
+    """(table, column, class of its type) of every column."""
+    from wardflow.sources.schemas import TABLE_DDL, column_names
+    kinds = {"INT": "integer", "BIGINT": "integer", "STRING": "text", "TIMESTAMP_NTZ": "time", "DOUBLE": "real"}
+    return [(t, c, kinds.get(typ, typ)) for t, ddl in TABLE_DDL.items()
+            for c, typ in zip(column_names(ddl), [x.strip().split()[1] for x in _split(ddl)])]
+
+
+def _known(c: str, kind: str) -> str:
+    return f"CASE WHEN NOT isnan({c}) THEN {c} END" if kind == "real" else c
+
+
+def _discovered_keys() -> str:
+    """Distinct counts of every column, and of every pair of a table without a key column."""
+    parts = []
+    for t in dict.fromkeys(t for t, _, _ in _columns()):
+        cols = [(c, _known(c, k)) for x, c, k in _columns() if x == t]
+        for c, v in cols:
+            parts.append(f"SELECT '{t}' AS TABLE_NAME, '{c}' AS KEY_COLUMNS, 1 AS size, count(*) AS ROW_COUNT, "
+                         f"count(DISTINCT {v}) AS d FROM {t}")
+        for i, (a, va) in enumerate(cols):
+            for b, vb in cols[i + 1:]:
+                parts.append(f"SELECT '{t}', '{a},{b}', 2, count(*), (SELECT count(*) FROM (SELECT DISTINCT {va} AS x, {vb} AS y FROM {t}) p "
+                             f"WHERE x IS NOT NULL AND y IS NOT NULL) FROM {t}")
+    return ("WITH c AS (" + " UNION ALL ".join(parts) + ") SELECT TABLE_NAME, KEY_COLUMNS, CAST(ROW_COUNT AS BIGINT) AS ROW_COUNT "
+            "FROM c WHERE ROW_COUNT > 0 AND d = ROW_COUNT AND (size = 1 OR TABLE_NAME NOT IN ("
+            "SELECT TABLE_NAME FROM c WHERE size = 1 AND ROW_COUNT > 0 AND d = ROW_COUNT))")
+
+
+def _discovered_references() -> str:
+    """Per class of types: every value with every column that holds it, joined on the value."""
+    text, parts = {"real": "CAST(CAST({0} AS DOUBLE) AS VARCHAR)"}, []
+    for t, c, k in _columns():
+        if k in ("integer", "text", "time", "real"):
+            v = _known(c, k)
+            parts.append(f"SELECT DISTINCT '{t}' AS t, '{c}' AS c, '{c.split('_', 1)[-1]}' AS stem, '{k}' AS kind, "
+                         f"{text.get(k, 'CAST({0} AS VARCHAR)').format(v)} AS v, (SELECT count(*) FROM {t}) AS size FROM {t} WHERE {v} IS NOT NULL")
+    return ("WITH cells AS (" + " UNION ALL ".join(parts) + "), "
+            "cols AS (SELECT t, c, stem, kind, size, count(*) AS d FROM cells GROUP BY ALL), "
+            "met AS (SELECT a.t AS ct, a.c AS cc, b.t AS pt, b.c AS pc, count(*) AS n FROM cells a JOIN cells b "
+            "ON a.kind = b.kind AND a.v = b.v AND NOT (a.t = b.t AND a.c = b.c) "
+            "JOIN cols p ON p.t = b.t AND p.c = b.c AND p.d = p.size GROUP BY ALL) "
+            "SELECT ct AS CHILD_TABLE, cc AS CHILD_COLUMN, pt AS PARENT_TABLE, pc AS PARENT_COLUMN, CAST(n AS BIGINT) AS N_VALUES, "
+            "CAST(p.d AS BIGINT) AS PARENT_VALUES, x.stem = p.stem AS SAME_NAME FROM met "
+            "JOIN cols x ON x.t = ct AND x.c = cc AND x.d = n JOIN cols p ON p.t = pt AND p.c = pc")
+
+
+def _catalog_report() -> str:
+    names = {}
+    for t, c, _ in _columns():
+        names.setdefault(t, []).append(c)
+    return " UNION ALL ".join(f"SELECT '{t}' AS TABLE_NAME, '{','.join(cs)}' AS COLUMNS, CAST(count(*) AS BIGINT) AS ROW_COUNT FROM {t}"
+                              for t, cs in names.items())
+
+
+def _text_times(body: str) -> str:
+    ctes = rv.text_oracle_ctes() + rv.ORACLE_INPUTS[len(rv.ORACLE_CTES):]
+    return f"WITH {_stages(ctes + ',' + ev.grid_ctes(JUNE_2000), JUNE_2000, ('R', 'A'))}\n{body}"
+
+
 def _clean(src: str, keys: list[str], y: str) -> str:
     cond = " AND ".join([f"{k} IS NOT NULL" for k in keys] + [f"{y} IS NOT NULL", f"NOT isnan({y})"])
     ks = "".join(f"{k}, " for k in keys)
@@ -368,6 +428,14 @@ WHERE rn >= floor(0.9 * n) AND rn < floor(0.9 * n) + 100"""),
     "profile_duplicates": _profile_duplicates(),
     "key_uniqueness": _key_uniqueness(),
     "orphan_keys": _orphan_keys(),
+    "discovered_keys": _discovered_keys(),
+    "discovered_references": _discovered_references(),
+    "incremental_nulls": _profile_nulls(),
+    "incremental_duplicates": f"SELECT TABLE_NAME, ROW_COUNT, DUPLICATE_ROWS FROM ({_profile_duplicates()}) q",
+    "catalog_report": _catalog_report(),
+    "text_times_cohort": _text_times("SELECT * FROM cohort"),
+    "text_times_staff": _text_times("SELECT * FROM staff_rows"),
+    "text_times_labs": _text_times("SELECT * FROM labsub"),
     "cohort_select": _retail("SELECT * FROM cohort"),
     "latest_end_per_stay": _retail("SELECT * FROM leave"),
     "required_lab_semi": _retail("SELECT * FROM with_r"),
@@ -463,6 +531,7 @@ DOUBLES: dict[str, tuple[str, ...]] = {
     "retail_event_staff_ratio": _RATIO5,
     "retail_staff_subject_ratio": _RATIO6,
     "retail_labs_subset": ("VALUENUM",),
+    "text_times_labs": ("VALUENUM",),
     "gappy_observations": _OBS,
 }
 

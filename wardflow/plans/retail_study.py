@@ -11,7 +11,8 @@ from wardflow.operators import cohort as K
 from wardflow.plans.study import Study
 from wardflow.session import file_stamp
 from wardflow.sources import retail_view as rv
-from wardflow.sources.tables import Tables
+from wardflow.sources.schemas import CLINICAL_DDL
+from wardflow.sources.tables import Tables, typed_times
 
 # Fixed values of the retail mapping: item names standing for the two tests.
 TESTS = (("RETURNED", "R"), ("ACCEPTED", "A"))
@@ -62,3 +63,31 @@ class RetailStudy(Study):
     def staff_assignments(self) -> DataFrame:
         t = self.t
         return K.staff_assignments(rv.transfers(t), rv.treatment_team(t), rv.caregivers(t), self.spec)
+
+
+class TextTimesRetailStudy(RetailStudy):
+    """The retail study over sources that keep their times as text, some of them no times.
+
+    Every input is parsed at the source: ``try_cast`` gives NULL for what is no time, and the
+    stages treat it as any missing time.
+    """
+
+    def select_cohort(self, ordered: bool = True) -> DataFrame:
+        t = self.t
+        return K.select_cohort(rv.diagnoses(t), rv.icd_dictionary(t), self._transfers(), self._labs(),
+                               self.spec, self.lab_dictionary, ordered)
+
+    def _transfers(self) -> DataFrame:
+        return typed_times(rv.as_text(rv.transfers(self.t), "INTIME"), CLINICAL_DDL["TRANSFERS"])
+
+    def _labs(self) -> DataFrame:
+        return typed_times(rv.as_text(rv.labs(self.t), "CHARTTIME"), CLINICAL_DDL["LABS"])
+
+    @cached_property
+    def labs(self) -> DataFrame:
+        return self._labs()
+
+    def staff_assignments(self) -> DataFrame:
+        t = self.t
+        team = typed_times(rv.as_text(rv.treatment_team(t), "STARTTIME", "ENDTIME"), CLINICAL_DDL["TREATMENT_TEAM"])
+        return K.staff_assignments(self._transfers(), team, rv.caregivers(t), self.spec)

@@ -10,6 +10,7 @@ staff = the line's supplier on shift from ship date for one day.
 
 from __future__ import annotations
 
+import re
 from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
@@ -80,6 +81,22 @@ def caregivers(t: Tables) -> DataFrame:
                                 F.lit(None).cast("string").alias("DESCRIPTION"))
 
 
+# How a time kept as text is spoiled, by the admission: what is no time must come out as NULL.
+BAD_TIMES = {0: "", 1: "not a time", 2: "2000-13-45 10:00:00"}
+BAD_EVERY = 13
+
+
+def text_time_sql(time: str, key: str) -> str:
+    """SQL (Spark's and DuckDB's) of a time as text; every 13th admission's is spoiled in one of three ways."""
+    cases = " ".join(f"WHEN {k} THEN '{v}'" for k, v in BAD_TIMES.items())
+    return f"CASE WHEN {key} % {BAD_EVERY} = 0 THEN CASE {key} % {len(BAD_TIMES)} {cases} END ELSE CAST({time} AS {{text}}) END"
+
+
+def as_text(df: DataFrame, *times: str) -> DataFrame:
+    """``df`` (with HADM_ID) as a source that keeps its times as text."""
+    return df.withColumns({t: F.expr(text_time_sql(t, C.HADM_ID).format(text="STRING")) for t in times})
+
+
 # --- DuckDB oracle: the cohort and the staff rows from their definition, with EXISTS and scalar lookups ---
 
 ORACLE_CTES = """
@@ -116,3 +133,15 @@ stays AS (SELECT SUBJECT_ID, HADM_ID, CURR_CAREUNIT, ADMISSION_DATE, DISCHARGE_D
 staff AS (SELECT * FROM staff_rows),
 labs AS (SELECT subject AS SUBJECT_ID, l_orderkey AS HADM_ID, item AS ITEMID, l_shipdate AS CHARTTIME,
                 l_quantity AS VALUENUM, l_linestatus AS VALUEUOM, l_returnflag AS LABEL FROM line)"""
+
+
+def text_oracle_ctes() -> str:
+    """The same definitions over orders and lines whose times are text, parsed with TRY_CAST."""
+    def parsed(time: str, key: str) -> str:
+        return f"TRY_CAST({text_time_sql(time, key).format(text='VARCHAR')} AS TIMESTAMP) AS {time}"
+    ctes = ORACLE_CTES
+    for name in ("lineitem", "orders"):
+        ctes = re.sub(rf"\b{name}\b", f"text_{name}", ctes)
+    # one day more of an unknown time is unknown, and a shift's end is a text of its own
+    return (f"text_orders AS (SELECT * REPLACE ({parsed('o_orderdate', 'o_orderkey')}) FROM orders),\n"
+            f"text_lineitem AS (SELECT * REPLACE ({parsed('l_shipdate', 'l_orderkey')}) FROM lineitem),{ctes}")

@@ -36,12 +36,16 @@ class Tables:
             return self[name]
         raise AttributeError(name)
 
-    def register_views(self) -> None:
+    def register_views(self, prefix: str = "") -> None:
         """Name every table in the session catalog."""
         for n in self.names:
-            self[n].createOrReplaceTempView(n)
+            self[n].createOrReplaceTempView(f"{prefix}{n}")
+
+    def drop_views(self, prefix: str = "") -> None:
+        for n in self.names:
+            self.spark.catalog.dropTempView(f"{prefix}{n}")
 
 
-def list_tables(spark: SparkSession) -> list[str]:
-    """Tables visible in the session catalog."""
-    return [t.name for t in spark.catalog.listTables()]
+def list_tables(spark: SparkSession, prefix: str = "") -> list[str]:
+    """Tables visible in the session catalog whose names start with ``prefix``."""
+    return [t.name for t in spark.catalog.listTables() if t.name.startswith(prefix)]
