@@ -10,8 +10,8 @@ from __future__ import annotations
 
 import os
 import pickle
-import struct
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -19,11 +19,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wardflow.llm.common import documents, drop_worker_cache, shuffle_partitions, slices
 
-Owner = tuple[int, int, int]  # (-code points of the original, doc_id, members)
+Owner = tuple[int, int, int, int]  # (-code points of the original, doc_id, members, hash of the text)
 
 
 def _merge(a: Owner, b: Owner) -> Owner:
-    return (*min(a[:2], b[:2]), a[2] + b[2])
+    return (*min(a[:2], b[:2]), a[2] + b[2], a[3])
 
 
 def _shared(a: bytes, b: bytes) -> int:
@@ -54,6 +54,7 @@ class PatriciaTrie:
     def __init__(self):
         self.root = Node(b"", {}, None)
         self.size = 0  # bytes on edges, with an allowance for each node
+        self.keys = 0
 
     def insert(self, key: bytes, owner: Owner) -> None:
         node, at = self.root, 0
@@ -62,6 +63,7 @@ class PatriciaTrie:
             if kid is None:
                 node.kids[key[at]] = Node(key[at:], {}, owner)
                 self.size += len(key) - at + 300
+                self.keys += 1
                 return
             rest = key[at:at + len(kid.edge)]
             if rest == kid.edge:
@@ -72,8 +74,17 @@ class PatriciaTrie:
             kid.edge = kid.edge[cut:]
             self.size += 300
             node, at = upper, at + cut
+        self.keys += node.owner is None
         node.owner = owner if node.owner is None else _merge(node.owner, owner)
 
+    def branching(self) -> bytes:
+        """The prefix that all keys share."""
+        node, prefix = self.root, b""
+        while node.owner is None and len(node.kids) == 1:
+            (node,) = node.kids.values()
+            prefix += node.edge
+        return prefix
+
     def items(self) -> Iterator[tuple[bytes, Owner]]:
         stack = [(self.root, b"")]
         while stack:
@@ -86,55 +97,70 @@ class PatriciaTrie:
 class SpillingTrie:
     """Owners of texts within a memory budget.
 
-    Above the budget the trie's subtrees below the root (or below the first
-    branching) are appended to one local file each and freed; at the end they are
-    read back and merged one subtree after another, a subtree again over the budget by
-    spilling one byte deeper.  The files vanish with the task.
+    Above the budget the subtrees below the first branching are appended to one local file each, named by the byte
+    that leads to them, and freed; keys that turn out not to share the prefix of that branching have a file of their own.  At the end the files
+    are read back one after another, and one that is again over the budget is split further down.  As a branching
+    parts at least two keys, this ends with any budget; a trie of one key is never spilled, so
+    the memory is the budget and the longest two texts.  The files vanish with the task.
     """
 
-    def __init__(self, budget: int, depth: int = 0):
-        self.budget, self.depth = budget, depth
+    def __init__(self, budget: int, folder: tempfile.TemporaryDirectory | None = None):
+        self.budget, self.folder = budget, folder
         self.trie = PatriciaTrie()
-        self.folder: tempfile.TemporaryDirectory | None = None
-        self.short: dict[bytes, Owner] = {}  # texts that end before the byte that names the spill file
+        self.prefix: bytes | None = None   # of the branching that names the files
+        self.files: dict[str, str] = {}
 
     def insert(self, key: bytes, owner: Owner) -> None:
         self.trie.insert(key, owner)
-        if self.trie.size > self.budget:
-            self.spill()
+        if self.trie.size > self.budget and self.trie.keys > 1:
+            self._spill()
+
+    def _name(self, key: bytes) -> str:
+        if not key.startswith(self.prefix):
+            return "other"
+        return str(key[len(self.prefix)]) if len(key) > len(self.prefix) else "end"
 
-    def spill(self) -> None:
+    def _spill(self) -> None:
         if self.folder is None:
             self.folder = tempfile.TemporaryDirectory(prefix="trie-")
-        files = {}
+        if self.prefix is None:
+            self.prefix = self.trie.branching()
+        handles = {}
         try:
             for key, owner in self.trie.items():
-                if len(key) <= self.depth:
-                    self.short[key] = owner if key not in self.short else _merge(self.short[key], owner)
-                    continue
-                b = key[self.depth]
-                if b not in files:
-                    files[b] = open(os.path.join(self.folder.name, str(b)), "ab")
-                raw = pickle.dumps((key, owner))
-                files[b].write(struct.pack("<I", len(raw)) + raw)
+                name = self._name(key)
+                if name not in self.files:
+                    self.files[name] = os.path.join(self.folder.name, uuid.uuid4().hex)
+                if name not in handles:
+                    handles[name] = open(self.files[name], "ab")
+                pickle.dump((key, owner), handles[name], pickle.HIGHEST_PROTOCOL)
         finally:
-            for f in files.values():
+            for f in handles.values():
                 f.close()
         self.trie = PatriciaTrie()
 
     def items(self) -> Iterator[tuple[bytes, Owner]]:
-        if self.folder is None:
+        if not self.files:
             yield from self.trie.items()
             return
-        self.spill()
-        yield from self.short.items()
-        for name in os.listdir(self.folder.name):
-            part = SpillingTrie(self.budget, self.depth + 1)
-            with open(os.path.join(self.folder.name, name), "rb") as f:
-                while head := f.read(4):
-                    part.insert(*pickle.loads(f.read(struct.unpack("<I", head)[0])))
-            os.remove(os.path.join(self.folder.name, name))
-            yield from part.items()
+        self._spill()
+        todo = list(self.files.values())
+        while todo:
+            path = todo.pop()
+            part = SpillingTrie(self.budget, self.folder)
+            with open(path, "rb") as f:
+                while True:
+                    try:
+                        entry = pickle.load(f)
+                    except EOFError:
+                        break
+                    part.insert(*entry)
+            os.remove(path)
+            if part.files:
+                part._spill()
+                todo += part.files.values()
+            else:
+                yield from part.trie.items()
         self.folder.cleanup()
 
 
@@ -147,8 +173,7 @@ _NO_ID = (1 << 63) - 1  # a null doc_id ranks last
 def _collapse(df: DataFrame, budget: int) -> DataFrame:
     """Insert a partition's texts into tries; one row per distinct text of the partition.
 
-    The hash of a text travels with it: the trie holds full strings, the hash
-    only deals them out.
+    The trie holds the full strings; the hash, which only deals them out, lies beside.
     """
     def run(batches):
         drop_worker_cache()
@@ -156,11 +181,11 @@ def _collapse(df: DataFrame, budget: int) -> DataFrame:
         for rows in slices(batches):
             cols = [rows.column(n).to_pylist() for n in ("h", "body", "neg_chars", "doc_id", "members")]
             for h, body, chars, doc, members in zip(*cols):
-                trie.insert(struct.pack("<q", h) + body, (chars, doc, members))
+                trie.insert(body, (chars, doc, members, h))
         out: list[tuple] = []
         size = 0
-        for key, (chars, doc, members) in trie.items():
-            out.append((len(key) - 8, struct.unpack("<q", key[:8])[0], key[8:], chars, doc, members))
+        for key, (chars, doc, members, h) in trie.items():
+            out.append((len(key), h, key, chars, doc, members))
             size += len(key)
             if size > 1 << 24:
                 yield _entries(out)
