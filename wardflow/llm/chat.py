@@ -24,6 +24,24 @@ def _unescaped(col: str) -> str:
     return rf"replace(replace({col}, r'<\|', '<|'), r'\\', r'\')"
 
 
+_RUN = 512
+
+
+def _running_sums(lengths: str) -> str:
+    """SQL of the running sums of an array: within runs of 512 entries, then over the runs' totals.
+
+    Arrays grow entry by entry only within one run and over the runs, so the work stays near-linear.
+    """
+    def sums(array: str, entry: str, name: str, value: str) -> str:
+        return (f"aggregate({array}, struct(0L AS n, cast(array() AS array<bigint>) AS {name}), "
+                f"(acc, x) -> struct(acc.n + {entry} AS n, array_append(acc.{name}, {value}) AS {name}))")
+    runs = (f"transform(array({lengths}), l -> transform(sequence(0, (size(l) - 1) div {_RUN}), "
+            f"i -> {sums(f'slice(l, int(i) * {_RUN} + 1, {_RUN})', 'x', 'ends', 'acc.n + x')}))[0]")
+    # an array is bound to a lambda's variable where a lambda uses it, so that it is computed once
+    return (f"transform(array({runs}), r -> flatten(zip_with(r, {sums('r', 'x.n', 'at', 'acc.n')}.at, "
+            f"(run, base) -> transform(run.ends, e -> e + base))))[0]")
+
+
 def format_conversations(turns: DataFrame) -> DataFrame:
     """One row per conversation of ``turns`` (conv_id, turn, role, text).
 
@@ -50,9 +68,7 @@ def format_conversations(turns: DataFrame) -> DataFrame:
         f"struct(if(k > 0, '{NEXT}', '') AS s, false AS loss), "
         f"struct(m.t AS s, b.r = 'assistant' AS loss)))), "
         f"array(struct('{END}' AS s, false AS loss)))))"))
-    ends = pieces.withColumn("ends", F.expr(
-        "aggregate(pieces, struct(0L AS n, cast(array() AS array<bigint>) AS ends), "
-        "(acc, p) -> struct(acc.n + length(p.s) AS n, array_append(acc.ends, acc.n + length(p.s)) AS ends)).ends"))
+    ends = pieces.withColumn("ends", F.expr(_running_sums("transform(pieces, p -> cast(length(p.s) AS bigint))")))
     return ends.select(
         "conv_id", F.expr("array_join(transform(pieces, p -> p.s), '')").alias("formatted"),
         F.expr("transform(filter(arrays_zip(pieces, ends), z -> z.pieces.loss), "
@@ -67,8 +83,10 @@ def read_turns(formatted: DataFrame) -> DataFrame:
         f"b -> transform(split(substring_index(b, '{TEXT}', -1), r'\\Q{NEXT}\\E', -1), "
         f"t -> struct({_unescaped(f"substr(substring_index(b, '{TEXT}', 1), {len(START) + 1})")} AS role, "
         f"{_unescaped('t')} AS text))))"))
+    # in UTF-32 a span of code points is a span of bytes, which is cut out without a scan from the start
+    cut = _unescaped("decode(substring(u, int(4 * m.start) + 1, int(4 * m.length)), 'UTF-32')")
     return parsed.withColumn("loss_text", F.expr(
-        f"array_join(transform(loss_mask, m -> {_unescaped('substr(formatted, int(m.start) + 1, int(m.length))')}), '')"))
+        f"transform(array(encode(formatted, 'UTF-32')), u -> array_join(transform(loss_mask, m -> {cut}), ''))[0]"))
 
 
 def op10_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
