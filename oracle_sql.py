@@ -454,14 +454,7 @@ WHERE rn >= floor(0.9 * n) AND rn < floor(0.9 * n) + 100"""),
     "retail_run_metrics": _retail_latest(_run_counts("cohort", "staff_rows", "RETURNED", "ACCEPTED")),
     "resumed_run_metrics": _retail_latest(_run_counts("cohort", "staff_rows", "RETURNED", "ACCEPTED",
                                                       f", STAGE IN {_FIRST_FIVE} AS RESUMED")),
-    "stage_metrics": _with(
-        _o5_ctes() + _o6_ctes() +
-        "\nSELECT 'expanded_patients' AS STAGE, CAST(count(*) AS BIGINT) AS ROW_COUNT FROM pexp "
-        "UNION ALL SELECT 'cohort', count(*) FROM stays UNION ALL SELECT 'staff_assignments', count(*) FROM staff "
-        "UNION ALL SELECT 'expanded_nurses', count(*) FROM nexp "
-        "UNION ALL SELECT 'discharge_ratio', count(*) FROM o5 "
-        "UNION ALL SELECT 'patient_ratio', count(*) FROM o6 "
-        "UNION ALL SELECT 'labs_subset', count(*) FROM labsub"),
+    "stage_metrics": _with_all("," + OBS + "\n" + _run_counts("stays", "staff", "VIEW", "ERROR")),
     "latest_lab_view": _with_latest(
         "SELECT SUBJECT_ID, HADM_ID, TIME_BLOCK_12HR, VIEW_VAL, VIEW_UNIT FROM o8_VIEW"),
     "latest_lab_error": _with_latest(

@@ -73,11 +73,13 @@ def staff_assignments(transfers: DataFrame, team: DataFrame, caregivers: DataFra
     whose label matches ``spec.staff_label_pattern``.
 
     The admission's units are made distinct before the fan-out join, so the
-    join emits each output pair once instead of once per transfer row.
+    join emits each output pair once instead of once per transfer row; only admissions with
+    matching staff get that far.
     """
     cg = caregivers.where(contains_ci(F.col(C.LABEL), spec.staff_label_pattern)).select(C.CGID, C.LABEL)
     tm = team.select(C.HADM_ID, C.CGID, C.START, C.END).join(cg, C.CGID, "inner")
-    units = transfers.where(F.col(C.HADM_ID).isNotNull()).select(C.HADM_ID, C.UNIT).distinct()
+    staffed = team.join(cg, C.CGID, "left_semi").select(C.HADM_ID).distinct()
+    units = transfers.where(F.col(C.HADM_ID).isNotNull()).join(staffed, C.HADM_ID, "left_semi").select(C.HADM_ID, C.UNIT).distinct()
     j = units.join(tm, C.HADM_ID, "inner")
     return j.select(C.UNIT, C.HADM_ID, C.CGID, C.LABEL,
                     truncate_to_second(C.START).alias(C.START),

@@ -10,7 +10,7 @@ from wardflow.config import EVENTS_GRID, GridSpec
 from wardflow.operators.profile import profile_nulls
 from wardflow.plans.study import Study
 from wardflow import config as C
-from wardflow.session import delete_path, file_stamp, shared_dir
+from wardflow.session import delete_path, file_stamp, owned_dir
 from wardflow.sources import events_view as ev
 from wardflow.sources.bucketed import BucketedTable, write_bucketed
 from wardflow.sources.sinks import materialise
@@ -77,7 +77,7 @@ class EventsStudy(Study):
 
     def materialise_inputs(self) -> EventsStudy:
         """Write the inputs once to a folder of this study and go on from the files."""
-        self.folder = shared_dir(self.t.spark, "wardflow-inputs")
+        self.folder = owned_dir(self.t.spark, "wardflow-inputs")
         counted = {name: Observation() for name in ("stays", "staff")}
 
         def seen(name: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from wardflow.operators import profile as P
 from wardflow.operators.discover import discover_keys, discover_references
 from wardflow.operators.profile_state import ProfileState, list_files
-from wardflow.session import shared_dir
+from wardflow.session import owned_dir
 from wardflow.sources.schemas import TABLE_DDL, TABLES
 from wardflow.sources.tables import Tables, list_tables
 
@@ -74,7 +74,7 @@ class Profiling:
 
     def _state(self) -> tuple[ProfileState, DataFrame]:
         """A state built from half of the files, then brought up to date with the rest."""
-        state = ProfileState(self.spark, shared_dir(self.spark, "wardflow-profile"), {n: TABLE_DDL[n] for n in self.tables})
+        state = ProfileState(self.spark, owned_dir(self.spark, "wardflow-profile"), {n: TABLE_DDL[n] for n in self.tables})
         listing = list_files(self.spark, {n: f"{self.sf_dir}/{n}.parquet" for n in self.tables})
         state.update(listing.where("file % 2 = 0"))
         state.update(listing)

@@ -157,14 +157,20 @@ class Study:
     # --- S9-S11 ---
 
     def stage_metrics(self) -> DataFrame:
-        """S11 (query form): rows of each main stage."""
+        """S11 (query form): rows of every stage, without writing any; a run counts them while it writes."""
         from wardflow.plans.metrics import stage_counts
+        tests = tuple(self.tests)
+        values = L.block_values(L.stay_timelines(self.cohort, self.lab_subset(), self.grid, tests), self.grid, tests)
+        latest = L.pick_latest_per_subject(values, tests)
         return stage_counts({"cohort": self.stays.select("HADM_ID"), "staff_assignments": self.staff.select("CGID"),
                              "expanded_patients": self.expanded_stays(),
                              "expanded_nurses": self.expanded_staff(),
                              "discharge_ratio": self.discharge_ratio(),
                              "patient_ratio": self.patient_ratio(),
-                             "labs_subset": self.lab_subset()})
+                             "labs_subset": self.lab_subset(),
+                             **{f"lab_results_{p.lower()}": values for p, _ in tests},
+                             **{f"latest_{p.lower()}": latest for p, _ in tests},
+                             "observations": self.observations()})
 
     def csv_roundtrip(self) -> DataFrame:
         """Write the discharge ratio as CSV to a fresh shared folder, twice, read it back."""

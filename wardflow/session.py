@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import re
 import tempfile
@@ -58,6 +59,28 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+_OWNED: list[str] = []
+
+
+def owned_dir(spark: SparkSession, name: str) -> str:
+    """A folder as ``shared_dir`` gives it, for what only this session reads: deleted when Python ends, if the session still runs."""
+    if not _OWNED:
+        atexit.register(_delete_owned)
+    _OWNED.append(shared_dir(spark, name))
+    return _OWNED[-1]
+
+
+def _delete_owned() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is None or spark.sparkContext._jsc is None:
+        return
+    for path in _OWNED:
+        try:
+            delete_path(spark, path)
+        except Exception:  # the session may be going down; what is left is in the folder of temporary tables
+            return
+
+
 def cut_lineage(df):
     """Cut lineage through a Parquet table written under the shared
     ``spark.checkpoint.dir`` (read back with the same schema).
@@ -68,7 +91,7 @@ def cut_lineage(df):
     unlike a local checkpoint.
     """
     spark = df.sparkSession
-    path = shared_dir(spark, "wardflow-cut")
+    path = owned_dir(spark, "wardflow-cut")
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
