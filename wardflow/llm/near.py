@@ -108,8 +108,8 @@ def _shared(classes: DataFrame, side: str) -> DataFrame:
         F.collect_list(F.struct("i", "x")).alias(side))  # at most m entries
 
 
-def table_edges(classes: DataFrame) -> DataFrame:
-    """(x, y): the smallest member x of each shared table key with every other member y.
+def table_heads(classes: DataFrame) -> DataFrame:
+    """node and heads: the smallest members of all table keys that a class shares with others.
 
     A key can only be shared if both of its tuples are, so keys are formed of
     shared tuples alone.
@@ -118,7 +118,22 @@ def table_edges(classes: DataFrame) -> DataFrame:
             .select("node", F.explode("a").alias("p"), "b").select("node", "p", F.explode("b").alias("q"))
             .select("node", F.xxhash64("p.i", "p.x", "q.i", "q.x").alias("key")))
     first = keys.groupBy("key").agg(F.min("node").alias("x"), F.max("node").alias("z")).where("x < z").select("key", "x")
-    return keys.join(first, "key").where("node <> x").select("x", F.col("node").alias("y")).distinct()
+    return keys.join(first, "key").groupBy("node").agg(F.array_sort(F.collect_set("x")).alias("heads"))  # at most m * m
+
+
+def families(heads: DataFrame, scratch: Scratch) -> DataFrame:
+    """node and label of the components that shared table keys form.
+
+    A member is tied to its smallest head alone, and that head to the member's other heads; the
+    label steps run over the heads only, whose links are few however large a family is.
+    """
+    links = (heads.where("size(heads) > 1").select(F.expr("heads[0]").alias("x"), F.explode(F.expr("slice(heads, 2, size(heads) - 1)")).alias("y"))
+             .distinct())
+    links = scratch.save(links, "head-links")
+    alone = heads.select(F.explode("heads").alias("node")).distinct().withColumn("label", F.col("node"))
+    labels = merge_components(scratch.save(alone, "table-heads"), links, scratch, "families")
+    return heads.select("node", F.expr("heads[0]").alias("head")).join(
+        labels.withColumnRenamed("node", "head"), "head").select("node", "label")
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -170,7 +185,7 @@ def compare_block(ask: np.ndarray, nodes: list[int], labels: list[int], sets: li
     """
     index = {n: i for i, n in enumerate(dict.fromkeys(nodes))}
     at = np.array([index[n] for n in nodes])
-    first = np.array([nodes.index(n) for n in index]) if len(index) < len(nodes) else np.arange(len(nodes))
+    first = np.unique(at, return_index=True)[1]
     own = [sets[i] for i in first]
     label = np.array([labels[i] for i in first], np.int64)
     size = np.array([len(s) for s in own])
@@ -256,10 +271,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, tensor:
     by_set = sig.where("n > 0").groupBy("cid").agg(
         F.min("node").alias("node"), F.any_value("n").alias("n"), F.any_value("a").alias("a"), F.any_value("b").alias("b"))
     classes = scratch.save(by_set, "classes")
-    edges = scratch.save(table_edges(classes), "edges")
-    alone = edges.select(F.col("x").alias("node")).union(edges.select("y")).distinct().withColumn("label", F.col("node"))
-    alone = scratch.save(alone, "alone")
-    family = merge_components(alone, edges, scratch, "family")
+    family = scratch.save(families(scratch.save(table_heads(classes), "heads"), scratch), "family")
+    alone = family.select("node", F.col("node").alias("label"))
     wanted = classes.select("node", "cid").join(alone, "node", "left_semi")
     texts = docs.select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("node"), "text").join(alone, "node", "left_semi")
     found = full_sets(texts, width).join(wanted, ["node", "cid"], "left_semi")
@@ -269,8 +282,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, tensor:
     heads = members.where("node = family").select("family", F.col("n").alias("k"))
     with_head = (members.where("node <> family").join(heads, "family")
                  .where(f"100 * least(n, k) >= {percent} * greatest(n, k)").select(F.col("family").alias("x"), F.col("node").alias("y")))
-    links = scratch.save(_confirm(with_head, sets, percent), "head-links")
-    labels = merge_components(alone, links, scratch, "heads")
+    confirmed = _confirm(with_head, sets, percent).select(F.col("y").alias("node"), "x")
+    # a family's first member is its smallest, so a confirmed member has its label at once
+    labels = scratch.save(alone.join(confirmed, "node", "left").select("node", F.coalesce("x", "label").alias("label")), "confirmed")
     rest = _compare(_blocks(members.join(labels, "node"), block), sets, percent)
     labels = merge_components(labels, scratch.save(rest, "block-links"), scratch, "blocks")
     # classes without a family, and texts without words, keep their own first member
