@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import os
 import shutil
 import tempfile
@@ -14,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from wardflow.session import shared_dir
+from wardflow.session import owned_dir
 from wardflow.sources.tables import read_table
 
 # Characters that separate words in every operator here: space, \t \n \v \f \r.
@@ -46,6 +47,11 @@ def ship_package(spark: SparkSession) -> None:
 
 
 _HELD: dict = {}
+try:  # only glibc keeps freed memory and can be told to return it
+    _LIBC = ctypes.CDLL("libc.so.6")
+    _LIBC.malloc_trim
+except (OSError, AttributeError):
+    _LIBC = None
 
 
 def worker_cache(name, make: Callable):
@@ -61,15 +67,17 @@ def worker_cache(name, make: Callable):
 
 
 def drop_worker_cache() -> None:
-    """For operators that keep nothing between tasks but need the memory."""
+    """For operators that keep nothing between tasks but need the memory; what is freed goes back to the system."""
     _HELD.clear()
     pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
 
 
 def word_hashes(words: list) -> np.ndarray:
     """64-bit hashes of words (all bytes or all strings), remembered per worker."""
     known = worker_cache("word hashes", dict)
-    if len(known) > 500_000:
+    if len(known) > 200_000:
         known.clear()
     for w in words:
         if w not in known:
@@ -82,12 +90,12 @@ class Scratch:
 
     ``save`` cuts lineage: the table is written under ``spark.checkpoint.dir``
     and read back, so later stages survive the loss of an executor.  ``drop``
-    deletes a table that nothing reads any more.
+    deletes a table that nothing reads any more; the others go when the session ends.
     """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
-        self.base = shared_dir(spark, f"llm-{name}")
+        self.base = owned_dir(spark, f"llm-{name}")
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.base}/{name}"

@@ -32,7 +32,9 @@ def _gram_hashes(one: np.ndarray, k: int) -> np.ndarray:
 
 
 def segments_of(words: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor, first window and number of windows of each run of windows with one anchor."""
+    """Anchor, first window and number of windows of each run of windows with one anchor; texts have fewer than 2^27 words."""
+    if len(words) >= 1 << 27:
+        raise ValueError("a text of 134,217,728 words or more: windows are numbered in 27 bits")
     if len(words) < width:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     g = _gram_hashes(word_hashes(words), min(GRAM, width))
@@ -47,6 +49,8 @@ def _segments(rows: DataFrame, width: int) -> DataFrame:
     schema = pa.schema([("key", pa.int64()), ("doc", pa.int64()), ("at", pa.int64())])
 
     def make():
+        drop_worker_cache()  # the words of an earlier stage
+
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             keys, docs, ats = [], [], []
             for doc, th, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
