@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from wardflow.llm.common import documents, shuffle_partitions, slices
 from wardflow.llm.tokens import ID, encoder
-from wardflow.session import shared_dir
+from wardflow.session import owned_dir
 
 NULL_ID = -(1 << 63)  # stands for a null doc_id in a block's list
 _BLOCK_SCHEMA = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("start", pa.int64()), ("n_ids", pa.int64()),
@@ -266,7 +266,7 @@ def op1_grammar_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ``ids_crc32`` and ``n_tokens`` are taken from the decoded ids.
     """
-    path = shared_dir(spark, "llm-grammar")
+    path = owned_dir(spark, "llm-grammar")
     write_grammar(documents(spark, sf_dir), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
 
     def run(batches):

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from wardflow.llm.common import Scratch, documents, drop_worker_cache, map_rows, slices
 from wardflow.llm.merkle import number_rows
-from wardflow.session import shared_dir
+from wardflow.session import owned_dir
 from wardflow.sources.tables import read_table
 
 # Bytes of a term are ASCII letters and digits and everything beyond ASCII; A-Z become a-z.
@@ -346,7 +346,7 @@ def search(index: DataFrame, queries: DataFrame, k: int = 50, slab_entries: int
 
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 50 best of all documents for each benchmark item."""
-    index = build_index(documents(spark, sf_dir), shared_dir(spark, "llm-signatures"))
+    index = build_index(documents(spark, sf_dir), owned_dir(spark, "llm-signatures"))
     return search(index, read_table(spark, sf_dir, "benchmark"))
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wardflow.llm.common import drop_worker_cache, shuffle_partitions, slices
 from wardflow.llm.zip_package import STORED, PackageError, RangeFile, data_start, members, read_member, store
-from wardflow.session import shared_dir
+from wardflow.session import owned_dir
 from wardflow.sources.tables import read_table
 
 ARCHIVE = re.compile(r"\.warc(\.gz)?$")
@@ -261,7 +261,7 @@ def read_packages(packages: DataFrame, run_bytes: int = 4 << 20, payloads: bool
 
 def op11_warc_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written as WARC records in ZIP packages and read back by range: one row per page."""
-    packages = write_packages(read_table(spark, sf_dir, "pages"), shared_dir(spark, "llm-warc"))
+    packages = write_packages(read_table(spark, sf_dir, "pages"), owned_dir(spark, "llm-warc"))
     return read_packages(packages, payloads=False).drop("url", "payload")
 
 
