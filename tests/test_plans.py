@@ -6,7 +6,8 @@ import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.001"
 FORBIDDEN = ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython")
-EAGER = {"cohort_run_metrics", "retail_run_metrics", "resumed_run_metrics", "csv_roundtrip", "profile_duplicates"}  # these write files while building
+EAGER = {"cohort_run_metrics", "retail_run_metrics", "resumed_run_metrics", "csv_roundtrip", "profile_duplicates",
+         "discovered_keys", "discovered_references", "incremental_nulls", "incremental_duplicates"}  # these write files while building
 
 
 def test_no_nested_loop_cartesian_or_python_in_plans(spark):
