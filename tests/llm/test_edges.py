@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
+import time
 import zlib
 from datetime import datetime
 
@@ -67,13 +69,18 @@ def test_repair_round_trip(ids):
 
 
 def test_encoder_equals_library():
-    enc = PieceEncoder(VOCAB, max_pieces=50)
     rng = random.Random(5)
-    bits = [" ", "  ", "\n", "\t", "a", "the", "Ünder", "123", "'s", "'", "!!", "é", "日本", "　", "\x85", "\x1c", "***"]
-    texts = ["".join(rng.choice(bits) for _ in range(rng.randrange(40))) for _ in range(400)] + [None, LONG]
-    ids, at = enc.encode(pa.array(texts))
-    for i, t in enumerate(texts):
-        assert ids[at[i]:at[i + 1]].tolist() == enc.tok.encode(t or "", add_special_tokens=False).ids
+    bits = [" ", "  ", "\n", "\n\n", "\t", "\r\n", "a", "the", "Ünder", "123", "0", "'s", "'", "!!", ".", ",", "(", "é", "ÿ", "×", "÷", "À",
+            "Ā", "e\u0301", "日本", "　", "\x85", "\x1c", "\0", "***", "\xa0", "ſ", "²", "\U0001f600"]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randrange(40))) for _ in range(3000)] + [None, LONG, "", "x" * 3000]
+    texts += [a + b + c for a in bits for b in bits for c in ("", " ", "a", "\n")]
+    for small in (PieceEncoder(VOCAB, max_pieces=50, max_ids=300), PieceEncoder(VOCAB, max_pieces=500)):
+        for k in range(0, len(texts), 500):  # many batches: entries are forgotten and learned again
+            part = pa.array(["before"] + texts[k:k + 500]).slice(1)
+            ids, at = small.encode(part)
+            for i, t in enumerate(part.to_pylist()):
+                assert ids[at[i]:at[i + 1]].tolist() == small.tok.encode(t or "", add_special_tokens=False).ids, repr(t)
+    assert small.encode(pa.array([], pa.string()))[1].tolist() == [0]
 
 
 def test_packing(odd, none):
@@ -107,14 +114,36 @@ def test_exact(odd, none):
     assert kept.columns == odd.columns and kept.count() == 6
 
 
-def test_trie_spills_by_subtree():
-    rng = random.Random(1)
-    whole, small = exact.SpillingTrie(1 << 40), exact.SpillingTrie(4000)
-    for i in range(3000):
-        key, owner = bytes(rng.choice(b"ab") for _ in range(rng.randrange(12))), (-rng.randrange(5), i, 1)
-        whole.insert(key, owner)
-        small.insert(key, owner)
-    assert sorted(whole.items()) == sorted(small.items()) and small.folder is not None
+@pytest.mark.parametrize("budget", [0, 400, 1000, 4000, 1 << 40])
+def test_trie_spills_by_subtree(budget):
+    """Any budget, texts above it, long common prefixes, prefixes of each other, keys off the first branching."""
+    rng = np.random.default_rng(1)
+    keys = [bytes(rng.integers(97, 100, rng.integers(0, 12)).astype(np.uint8)) for _ in range(600)]
+    keys += [b"", b"shared " * 700, b"shared " * 700 + b"x", b"shared " * 700 + b"y" * 3000, b"shared " * 350, b"zz" + bytes(5008)] * 3
+    rng.shuffle(keys)
+    trie, want = exact.SpillingTrie(budget), {}
+    for i, k in enumerate(keys):
+        owner = (-len(k) - i % 3, i, 1, hash(k))
+        trie.insert(k, owner)
+        want[k] = owner if k not in want else (*min(want[k][:2], owner[:2]), want[k][2] + 1, owner[3])
+    got = list(trie.items())
+    assert len(got) == len(want) and dict(got) == want
+    assert (trie.folder is None) == (budget == 1 << 40)
+
+
+def test_trie_with_one_text_over_the_budget():
+    trie = exact.SpillingTrie(1000)
+    for i in range(50):
+        trie.insert(b"a" * 5008, (0, i, 1, 7))
+    assert trie.folder is None and list(trie.items()) == [(b"a" * 5008, (0, 0, 50, 7))]
+
+
+def test_text_over_the_budget_in_the_operator(spark, frame):
+    long = "long text " * 3000
+    docs = [(1, long), (2, long + "!"), (3, long.replace(" ", "\n")), (4, "short"), (5, None), (6, long)]
+    got = {(r.text_sha256, r.keep_id, r.group_size) for r in exact.text_classes(frame(docs), budget=2000).collect()}
+    want = {(hashlib.sha256("".join((t or "").split()).encode()).hexdigest(), *brute.exact(docs)[d]) for d, t in docs}
+    assert got == want
 
 
 def test_substring(odd, none, frame):
@@ -254,6 +283,23 @@ def test_chat(frame):
     assert chat.format_conversations(frame([], schema)).count() == 0
 
 
+def test_long_conversations(spark):
+    """Offsets and masked texts of 40,000 turns in linear time, and a text of two million characters."""
+    turns = spark.range(40_000).selectExpr("1L AS conv_id", "id AS turn", "if(id % 2 = 0, 'user', 'assistant') AS role",
+                                           "concat('é\U0001f600 text <| ', id) AS text")
+    one = spark.createDataFrame([(2, 0, "assistant", "x\U0001f600" * 1_000_000), (2, 1, "assistant", "y")],
+                                "conv_id BIGINT, turn BIGINT, role STRING, text STRING")
+    start = time.monotonic()
+    back = {r.conv_id: r for r in chat.read_turns(chat.format_conversations(turns.union(one))).collect()}
+    assert time.monotonic() - start < 60
+    texts = [f"é\U0001f600 text <| {i}" for i in range(40_000)]
+    assert [t.text for t in back[1].turns] == texts and back[1].loss_text == "".join(texts[1::2])
+    assert [(m.start, m.length) for m in back[1].loss_mask[:2]] == [
+        (len("<|start|>user<|text|>é\U0001f600 text <\\| 0<|end|>\n<|start|>assistant<|text|>"), len("é\U0001f600 text <\\| 1")),
+        (back[1].formatted.index("text <\\| 3") - 3, len("é\U0001f600 text <\\| 3"))]
+    assert back[2].loss_text == "x\U0001f600" * 1_000_000 + "y"
+
+
 def test_resample(odd, none, frame):
     labels = frame([(6, 1), (6, 1), (4, 0), (None, 1), (7, None)], "doc_id BIGINT, quality INT")
     got = resample.resample(odd, labels, share=0.5).collect()

@@ -42,7 +42,6 @@ def test_sql(spark, con, name):
 def ids(docs):
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tok.encode_special_tokens = True
     return {d: tok.encode(t or "", add_special_tokens=False).ids for d, t in docs}
 
 
@@ -112,6 +111,43 @@ def test_op2(spark, con):
     assert auc > 0.95
 
 
+def test_op2_brute_force(spark, con, docs):
+    """Buckets, models, weights, keys and the cut, computed again from their definitions."""
+    import math
+    import re
+
+    import xxhash
+    mask, n_buckets = (1 << 64) - 1, 1 << 16
+    hashed = {}
+
+    def buckets(text):
+        one = [hashed.setdefault(w, xxhash.xxh3_64_intdigest(w)) for w in re.findall(r"\w+|[^\w\s]+", (text or "").lower())]
+        two = [(a * 0x9E3779B97F4A7C15 + b) & mask for a, b in zip(one, one[1:])]
+        two = [((x ^ (x >> 29)) * 0xBF58476D1CE4E5B9) & mask for x in two]
+        return [(x >> 20) % n_buckets for x in one + two]
+    grams = {d: buckets(t) for d, t in docs}
+    good = {r[0] for r in con.execute("SELECT doc_id FROM labels WHERE quality = 1").fetchall()}
+    raw, target = [1.0] * n_buckets, [1.0] * n_buckets
+    for d, bs in grams.items():
+        for b in bs:
+            raw[b] += 1
+            target[b] += d in good
+    shift = math.log(sum(raw) / sum(target))
+    weight = {d: sum(math.log(target[b] / raw[b]) + shift for b in bs) for d, bs in grams.items()}
+    got = QUERIES["op2_importance_resampling"](spark, SF).toPandas().set_index("doc_id")
+    # the noise is a hash of (doc_id, seed): taken from the engine, all else is recomputed
+    u = {r.doc_id: r.u for r in spark.sql(f"SELECT doc_id, (pmod(xxhash64(doc_id, 7), {1 << 52}L) + 0.5D) / {float(1 << 52)}D AS u "
+                                          f"FROM parquet.`{SF}/documents.parquet`").collect()}
+    key = {d: w - math.log(-math.log(u[d])) for d, w in weight.items()}
+    order = sorted(key, key=lambda d: (-key[d], d))
+    kept = set(order[:round(0.8 * len(order))])
+    assert len(got) == len(docs)
+    for d, bs in grams.items():
+        assert got.loc[d].n_ngrams == len(bs)
+        assert got.loc[d].log_weight == pytest.approx(weight[d], rel=1e-9, abs=1e-7)
+        assert got.loc[d].key == pytest.approx(key[d], rel=1e-9, abs=1e-7) and bool(got.loc[d].kept) == (d in kept)
+
+
 def test_op9(spark, docs):
     import base64
 
