@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -12,32 +13,61 @@ import pyarrow.compute as pc
 from wardflow.llm.common import worker_cache
 
 ID = np.dtype("<u4")
-# A single space between two non-space characters always starts a new
-# pre-token of a byte-level tokenizer, so the pieces between such spaces can be
-# encoded one by one (each with its leading space) and concatenated.
-_SAFE = re.compile(r"(?<=\S) (?=\S)")
-# Pieces of these characters fall into pre-tokens by the vocabulary's public
-# split pattern, whatever Unicode version a library has; pre-tokens repeat more
-# often than pieces do.
-_PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ\n]+")
-_PRETOKEN = re.compile(r"'(?:[stmd]|re|ve|ll)| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[^\sA-Za-zÀ-ÖØ-öø-ÿ0-9]+|\s+(?!\S)|\s+")
+# Bits of a byte's kind.  Letters, digits and marks are those whose place in the
+# vocabulary's public split pattern no Unicode version changes: ASCII, and the
+# letters of Latin-1, which are two bytes beginning with 0xC3.
+_LETTER, _DIGIT, _MARK, _QUOTE, _SPACE, _FEED = (1 << i for i in range(6))
+_KIND = np.zeros(256, np.uint8)
+_KIND[0x21:0x7F] = _MARK
+for _lo, _hi, _bit in ((0x30, 0x39, _DIGIT), (0x41, 0x5A, _LETTER), (0x61, 0x7A, _LETTER), (0x27, 0x27, _QUOTE), (0x20, 0x20, _SPACE), (0x0A, 0x0A, _FEED)):
+    _KIND[_lo:_hi + 1] = _bit
+_LATIN, _TIMES, _DIVIDED = 0xC3, 0x97, 0xB7  # the lead byte, and the two of its block that are no letters
+# Atoms that can be encoded one after another in one text.
+_SIMPLE = re.compile(r" ?[!-~À-ÖØ-öø-ÿ]+")
 _BLANK = re.compile(r"\s")
 _JOIN = 2000
+_LONGEST = 64  # characters of an atom that is remembered
 
 
-def _is_safe(piece: str) -> bool:
-    return bool(piece) and not piece[0].isspace() and not piece[-1].isspace()
+def atom_starts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Where the atoms of UTF-8 texts begin; ``starts`` are the places of the texts in ``data``.
+
+    A cut is made where the split pattern surely ends a pre-token, and never after more than one blank, so that atoms
+    encode alone as they do in the text: before a space that a plain character follows; between a
+    letter or digit and a mark (not an apostrophe); around a single line feed between plain characters.
+    """
+    kind = _KIND[data]
+    lead = data == _LATIN
+    lead[:-1] &= (data[1:] != _TIMES) & (data[1:] != _DIVIDED)
+    word_start = (kind & (_LETTER | _DIGIT)) > 0
+    word_end = word_start.copy()
+    word_start |= lead
+    word_end[1:] |= lead[:-1]
+    plain, mark = (kind & (_MARK | _QUOTE)) > 0, kind == _MARK
+    follows = np.zeros(len(data), bool)  # a plain character of the same text comes next
+    follows[:-1] = (word_start | plain)[1:]
+    ends = starts[starts > 0] - 1
+    follows[ends] = False
+    cut = (kind == _SPACE) & follows
+    cut[1:] |= (mark[1:] & word_end[:-1]) | (word_start[1:] & mark[:-1])
+    feed = (kind == _FEED) & follows
+    feed[1:] &= (word_end | plain)[:-1]
+    feed[0] = False
+    cut |= feed
+    cut[1:] |= feed[:-1]
+    cut[starts[starts < len(data)]] = True
+    return np.flatnonzero(cut)
 
 
 class PieceEncoder:
-    """Encode texts piece by piece with a bounded cache of encoded pieces.
+    """Encode texts atom by atom with a bounded cache of encoded atoms.
 
     The ids equal ``Tokenizer.encode(text, add_special_tokens=False)``: where a
     text holds the string of an added token, it is cut there and has that
     token's id.
     """
 
-    def __init__(self, path: str, max_pieces: int = 200_000):
+    def __init__(self, path: str, max_pieces: int = 600_000, max_ids: int = 1 << 22):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
@@ -48,78 +78,83 @@ class PieceEncoder:
         self.added = added
         longest = sorted(added, key=len, reverse=True)
         self.marks = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if added else None
-        self.max_pieces = max_pieces
-        self.cache: dict[str, bytes] = {}  # pieces, without their leading space
-        self.older: dict[str, bytes] = {}
-        self.atoms: dict[str, bytes] = {}  # pre-tokens
+        self.max_pieces, self.max_ids = max_pieces, max_ids
         vocab = self.tok.get_vocab(with_added_tokens=True)
         # one character of a byte-level vocabulary entry stands for one byte
         self.n_bytes = np.zeros(max(vocab.values()) + 1, np.int64)
         for entry, i in vocab.items():
             self.n_bytes[i] = len(entry)
-
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.tok.encode(text, add_special_tokens=False).ids, ID).tobytes()
-
-    def _learn(self, pieces: set[str]) -> None:
-        """Put unseen pieces into the cache, from its older generation or encoded."""
-        cache, older = self.cache, self.older
-        plain, others = {}, []
-        for p in pieces:
-            if p in older:
-                cache[p] = older[p]
-            elif not _is_safe(p):
-                cache[p] = b""  # cannot be encoded by itself
-            elif _PLAIN.fullmatch(p):
-                plain[p] = _PRETOKEN.findall(" " + p)
-            else:
-                others.append(" " + p)
-        for p, ids in zip(others, self._encode_all(others)):
-            cache[p[1:]] = ids
-        if len(self.atoms) > 2 * self.max_pieces:
-            self.atoms = {}
-        atoms = self.atoms
-        unseen = list({a for parts in plain.values() for a in parts if a not in atoms})
-        atoms.update(zip(unseen, self._encode_all(unseen)))
-        for p, parts in plain.items():
-            cache[p] = b"".join([atoms[a] for a in parts])
-
-    def _encode_all(self, pieces: list[str]) -> list[bytes]:
-        """Encode pieces in few calls, one after another in a text; the ids are cut at their ends.
-
-        Pieces that start with a space follow each other directly; each of the
-        others (without blanks) follows a line feed, whose id is dropped.
+        self._reset()
+
+    def _reset(self) -> None:
+        self.cache: dict[str, int] = {}         # atom: its entry
+        self.flat = np.zeros(0, ID)             # ids of all entries, one after another
+        self.ends = np.zeros(1, np.int64)       # of entry k: ends[k]:ends[k + 1]
+        self.uses = np.zeros(0, np.int32)       # batches that an entry was found in
+
+    def _forget(self) -> None:
+        """Keep the entries of more than one batch if they are few; else start anew."""
+        kept = {a: k for a, k in self.cache.items() if self.uses[k] > 1}
+        old = np.fromiter(kept.values(), np.int64, len(kept))
+        flat, ends = self._ids(old)
+        self._reset()
+        if 2 * len(kept) < self.max_pieces and 2 * len(flat) < self.max_ids:
+            self.cache = dict(zip(kept, range(len(kept))))
+            self.flat, self.ends, self.uses = flat, np.r_[0, ends], np.zeros(len(kept), np.int32)
+
+    def _ids(self, entry: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of entries, one after another, and where each ends."""
+        first = self.ends[entry]
+        n = self.ends[entry + 1] - first
+        ends = np.cumsum(n)
+        take = np.repeat(first - (ends - n), n)
+        take += np.arange(len(take))
+        return self.flat[take], ends
+
+    def _whole(self, text: str) -> np.ndarray:
+        # the batch call leaves out the places of tokens in the text
+        return np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, ID)
+
+    def _learn(self, atoms: list[str]) -> np.ndarray:
+        """Encode atoms and keep them; returns their entries."""
+        flat, size = self._encode_all(atoms)
+        first = len(self.ends) - 1
+        self.flat = np.concatenate([self.flat, flat])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(size)])
+        self.uses = np.concatenate([self.uses, np.zeros(len(atoms), np.int32)])
+        self.cache.update((a, k) for k, a in enumerate(atoms, first) if len(a) <= _LONGEST)
+        return np.arange(first, first + len(atoms))
+
+    def _encode_all(self, atoms: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all atoms one after another, and how many each has.
+
+        Few library calls: simple atoms that start with a space follow each other directly in a text;
+        each of the others follows a line feed, whose id is dropped.  The ids are cut at the atoms' ends.
         """
-        spaced = [p for p in pieces if p[0] == " "]
-        bare = [p for p in pieces if p[0] != " " and not p.isspace()]
-        out: dict[str, bytes] = {p: self._whole(p) for p in pieces if p.isspace()}
-        for lead, group in (("", spaced), ("\n", bare)):
+        groups: dict[str, list[int]] = {"": [], "\n": []}
+        ids: list[np.ndarray] = [None] * len(atoms)
+        for i, a in enumerate(atoms):
+            if _SIMPLE.fullmatch(a):
+                groups["" if a[0] == " " else "\n"].append(i)
+            else:
+                ids[i] = self._whole(a)
+        for lead, group in groups.items():
             skip = len(self._whole(lead))
             for k in range(0, len(group), _JOIN):
                 part = group[k:k + _JOIN]
-                text = lead + lead.join(part)
-                ids = np.array(self.tok.encode(text, add_special_tokens=False).ids, ID)
-                ends = np.cumsum(self.n_bytes[ids])
-                cuts = np.cumsum([len(lead) + len(p.encode()) for p in part])
+                words = [atoms[i] for i in part]
+                got = self._whole(lead + lead.join(words))
+                ends = np.cumsum(self.n_bytes[got])
+                cuts = np.cumsum([len(lead) + len(w.encode()) for w in words])
                 at = np.searchsorted(ends, cuts)
-                if not np.array_equal(ends[at], cuts):  # a token across a piece end: encode singly
-                    out.update((p, self._whole(p)) for p in part)
+                if not np.array_equal(ends[at], cuts):  # a token across an atom's end: encode singly
+                    for i in part:
+                        ids[i] = self._whole(atoms[i])
                     continue
-                raw, at = ids.tobytes(), (at + 1) * ID.itemsize
-                for p, a, b in zip(part, np.r_[0, at[:-1]].tolist(), at.tolist()):
-                    out[p] = raw[a + skip:b]
-        return [out[p] for p in pieces]
-
-    def _careful(self, text: str) -> bytes:
-        """A text with runs of blanks: only the safe spaces are cut."""
-        pieces = _SAFE.split(text)
-        out = [self._whole(pieces[0])]
-        unseen = {p for p in pieces[1:] if not self.cache.get(p) and _is_safe(p)}
-        if unseen:
-            self._learn(unseen)
-        for p in pieces[1:]:
-            out.append(self.cache.get(p) or self._whole(" " + p))
-        return b"".join(out)
+                at = (at + 1).tolist()
+                for i, a, b in zip(part, [0, *at[:-1]], at):
+                    ids[i] = got[a + skip:b]
+        return np.concatenate(ids) if ids else np.zeros(0, ID), np.fromiter(map(len, ids), np.int64, len(ids))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and where each text starts (one more entry at the end).
@@ -139,46 +174,32 @@ class PieceEncoder:
         ids = np.insert(ids, at[1:][before_mark], marks)
         return ids, np.r_[at[first] + np.cumsum(n_marks) - n_marks, len(ids)]
 
-    def _encode_plain(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    def _encode_plain(self, texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
         """``encode`` of texts without nulls and strings of added tokens.
 
-        Equal pieces of the batch are looked up once; the ids are put together
-        by array indexing.
+        Equal atoms of the batch are looked up once; the ids are put together by array indexing.
         """
-        split = pc.split_pattern(texts, " ")
-        at = np.asarray(split.offsets, np.int64) - split.offsets[0].as_py()
-        coded = split.flatten().dictionary_encode()
-        code = np.asarray(coded.indices).astype(np.int64)
-        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        if len(self.cache) > self.max_pieces:
-            self.cache, self.older = {}, self.cache
-        entries = list(map(self.cache.get, words))
-        if None in entries:
-            self._learn({w for w, x in zip(words, entries) if x is None})
-            entries = [self.cache[w] if x is None else x for w, x in zip(words, entries)]
-        unsafe = np.fromiter(map(len, entries), np.int64, len(entries)) == 0
-        # the first piece of a text has no space before it; a text with unsafe
-        # pieces becomes one entry
-        careful = np.zeros(len(texts), bool)
-        if unsafe.any():
-            careful = np.add.reduceat(unsafe[code], at[:-1]) > 0 if len(texts) else careful
-        heads = code[at[:-1]].copy()
-        code[at[:-1]] = len(words) + np.arange(len(texts))
-        for i, (head, slow) in enumerate(zip(heads.tolist(), careful.tolist())):
-            entries.append(self._careful(texts[i].as_py()) if slow else self._whole(words[head]))
-        size = np.fromiter(map(len, entries), np.int64, len(entries)) // ID.itemsize
-        if careful.any():
-            slow = np.repeat(careful, np.diff(at))
-            slow[at[:-1]] = False
-            size, code = np.r_[size, 0], np.where(slow, len(size), code)
-        first = np.cumsum(size) - size
-        n = size[code]
-        ends = np.cumsum(n)
-        flat = np.frombuffer(b"".join(entries), ID)
-        del split, coded, words, entries
-        take = np.repeat(first[code] - (ends - n), n)
-        take += np.arange(len(take))
-        return flat[take], np.r_[0, ends][at]
+        _, offsets, data = texts.buffers()
+        offsets = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+        data = np.frombuffer(data or b"", np.uint8)[offsets[0]:offsets[-1]]
+        offsets = offsets - offsets[0]
+        if not len(data):
+            return np.zeros(0, ID), np.zeros(len(texts) + 1, np.int64)
+        starts = atom_starts(data, offsets[:-1])
+        bounds = np.r_[starts, len(data)]
+        atoms = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(bounds), pa.py_buffer(data))
+        coded = atoms.dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        if len(self.cache) > self.max_pieces or len(self.flat) > self.max_ids:
+            self._forget()
+        entry = np.fromiter(map(self.cache.get, words, repeat(-1)), np.int64, len(words))
+        unseen = np.flatnonzero(entry < 0)
+        if len(unseen):
+            entry[unseen] = self._learn([words[i] for i in unseen.tolist()])
+        del words
+        self.uses[entry] += 1
+        ids, ends = self._ids(entry[np.asarray(coded.indices)])
+        return ids, np.r_[0, ends][np.searchsorted(bounds, offsets)]
 
 
 def encoder(path: str) -> PieceEncoder:
