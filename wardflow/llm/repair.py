@@ -60,7 +60,8 @@ def compress(ids: np.ndarray, min_count: int = 16):
     """Grammar of ``ids``: (terminals, rules[k, 2], sequence).
 
     Symbols below ``len(terminals)`` are ids, the others rules in order.  Rounds
-    go on until no pair occurs ``min_count`` times or symbols run out.
+    go on until no pair occurs ``min_count`` times or symbols run out.  A block of 65,536 different ids or
+    more (a larger vocabulary than the one used here) has no symbols for rules and stays as it is.
     """
     present = np.zeros(int(ids.max(initial=0)) + 1, bool)
     present[ids] = True
@@ -75,19 +76,23 @@ def compress(ids: np.ndarray, min_count: int = 16):
         chosen = _pick(codes, min_count, MAX_SYMBOLS - n)
         if not len(chosen):
             break
-        left, right = np.zeros(n, bool), np.zeros(n, bool)
-        left[chosen >> 16], right[chosen & 0xFFFF] = True, True
-        at = np.flatnonzero(left[seq[:-1]] & right[seq[1:]])
+        side = np.zeros(n, np.uint8)  # bit 0: left of a chosen pair, bit 1: right of one
+        side[chosen >> 16] |= 1
+        side[chosen & 0xFFFF] |= 2
+        here = side[seq]
+        at = np.flatnonzero(here[:-1] & (here[1:] >> 1) & 1)
         order = np.argsort(chosen)
         ranked = chosen[order]
         k = np.minimum(np.searchsorted(ranked, codes[at]), len(ranked) - 1)
         hit = ranked[k] == codes[at]
         at, k = at[hit], k[hit]
-        twin = seq[at] == seq[at + 1]
-        if twin.any():  # runs of one symbol: pairs from the start of each run
-            same = np.r_[False, seq[1:] == seq[:-1]]
-            start = np.maximum.accumulate(np.where(same, 0, np.arange(len(seq))))
-            ok = ~twin | ((at - start[at]) % 2 == 0)
+        twin = np.flatnonzero(seq[at] == seq[at + 1])
+        if len(twin):  # runs of one symbol: pairs from the start of each run, which are hits one after another
+            p = at[twin]
+            first = np.r_[True, p[1:] != p[:-1] + 1]
+            start = p[np.maximum.accumulate(np.where(first, np.arange(len(p)), 0))]
+            ok = np.ones(len(at), bool)
+            ok[twin] = (p - start) % 2 == 0
             at, k = at[ok], k[ok]
         before = len(seq)
         seq[at] = n + order[k]
