@@ -109,7 +109,8 @@ def resample(docs: DataFrame, labels: DataFrame, share: float, n_buckets: int =
     spark = docs.sparkSession
     scratch = Scratch(spark, "resample")
     good = labels.where("quality = 1").select("doc_id").distinct().withColumn("target", F.lit(True))
-    marked = docs.select("doc_id", "text").join(good, "doc_id", "left")
+    # one plan at every size: labels grow with the documents and are never broadcast
+    marked = docs.select("doc_id", "text").join(good.hint("merge"), "doc_id", "left")
     ratios = fit_log_ratios(marked, n_buckets)
     scored = scratch.save(score(docs, ratios).withColumn("key", F.col("log_weight") + gumbel(seed)), "scored")
     cut = kth_largest(scored, round(share * scored.count()))
