@@ -31,6 +31,33 @@ def test_discovered_keys(tables):
     assert got == {("person", "p_id"), ("person", "p_x"), ("visit", "v_id,v_no"), ("odd", "o_id")}
 
 
+def test_only_near_unique_columns_and_unrefuted_pairs_are_counted_whole(spark, monkeypatch):
+    import wardflow.operators.discover as D
+    # a,b names every row; a,c repeats often; b,d repeats in one pair of rows only; low has two values
+    rows = [(i // 4, i % 4 + 4 * (i % 3), i % 2, i + (i == 7) * 12, i % 2) for i in range(12_000)]
+    rows[19] = (rows[19][0], rows[7][1], rows[19][2], rows[7][3], rows[19][4])
+    rows[0] = (rows[0][0], rows[0][1], 0, rows[1][3], 0)  # d alone repeats too
+    t = spark.createDataFrame(rows, "a BIGINT, b INT, c INT, d BIGINT, low INT")
+    cells, whole = [], []
+    counted, made = D._counted_pairs, D.Cells
+    monkeypatch.setattr(D, "SHARES", (64, 8))
+    monkeypatch.setattr(D, "Cells", lambda tables: cells.append({n: df.columns for n, df in tables.items()}) or made(tables))
+    monkeypatch.setattr(D, "_counted_pairs", lambda n, df, pairs, r: whole.extend(pairs) or counted(n, df, pairs, r))
+    got = {r.KEY_COLUMNS for r in discover_keys({"t": t}).collect()}
+    brute = {f"{x},{y}" for i, x in enumerate("abcd") for y in "abcd"[i + 1:] if len({(r["abcd".index(x)], r["abcd".index(y)]) for r in rows}) == len(rows)}
+    assert got - {"a,low", "b,low", "c,low", "d,low"} == brute and "a,b" in got and "b,d" not in got
+    assert cells == [{"t": ["d"]}]
+    assert ("a", "b") in whole and ("a", "c") not in whole and ("a", "low") not in whole
+
+
+def test_no_key_and_no_rows(spark):
+    t = spark.createDataFrame([(1, 1), (1, 1)], "a INT, b INT")
+    for tables in ({"t": t}, {"t": t.limit(0)}, {"t": t, "none": spark.createDataFrame([(None,)], "z INT")}):
+        assert discover_keys(tables).collect() == []
+    assert [tuple(r) for r in discover_keys({"one": t.limit(1)}).collect()] in (
+        [("one", "a", 1), ("one", "b", 1)], [("one", "b", 1), ("one", "a", 1)])
+
+
 def test_column_profile(tables):
     got = {(r.TABLE_NAME, r.COLUMN_NAME): (r.ROW_COUNT, r.NULL_COUNT, r.DISTINCT_VALUES, r.IS_KEY) for r in Cells(tables).profile().collect()}
     assert got["visit", "v_x"] == (18, 1, 17, False) and got["odd", "o_nan"] == (2, 1, 1, False)

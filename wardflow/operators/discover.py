@@ -1,12 +1,13 @@
 """P5 / P6 without declared keys (S4, S5): which columns identify a row, and which refer to them.
 
-One pass turns every table into cells (column, value); cells are counted once, and
-everything follows from the counts: a column whose values are all different is a key, and a
-column whose every value also occurs in a key column refers to it.
+Tables become cells (column, value), which are counted: a column whose values are all
+different is a key, and a column whose every value also occurs in a key column refers to it.
+References need the cells of every column, keys only those of columns that are near unique.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 from itertools import combinations
 
@@ -99,43 +100,99 @@ class Cells:
 def discover_keys(tables: dict[str, DataFrame]) -> DataFrame:
     """Every minimal key of one or two columns: TABLE_NAME, KEY_COLUMNS, ROW_COUNT.
 
-    Pairs are tried only for tables without a single key column, and only pairs without missing
-    values whose distinct counts could name every row.  A sketch of bounded size for each pair, in one pass, drops those far from
-    unique; the others are counted exactly.  An empty table has no key.
+    One pass counts rows and missing values and sketches each column's distinct values.  The cells of columns that
+    are near unique by the sketch are counted exactly.  Pairs are tried only for tables without a single key column,
+    and only pairs without missing values whose distinct counts could name every row.  An empty table has no key.
     """
-    cells = Cells(tables)
-    profile = cut_lineage(cells.profile().drop("col", "class"))
-    columns: dict[str, list] = {}
-    for r in profile.collect():  # one row per column
-        columns.setdefault(r.TABLE_NAME, []).append(r)
-    single = profile.where("IS_KEY").select("TABLE_NAME", F.col("COLUMN_NAME").alias("KEY_COLUMNS"), "ROW_COUNT")
-    parts = [single]
-    for name, df in cells.tables.items():
-        rows = columns[name]
-        if not rows[0].ROW_COUNT or any(r.IS_KEY for r in rows):
+    tables = {n: df for n, df in tables.items() if df.columns}
+    seen = _sketches(tables)
+    likely = {n: [c for c in df.columns if _near_unique(seen[n, c].values, seen[n, c].rows)] for n, df in tables.items()}
+    parts, keyed = [], set()
+    if any(likely.values()):
+        single = cut_lineage(Cells({n: tables[n].select(*cs) for n, cs in likely.items() if cs}).profile().where("IS_KEY"))
+        keyed = {r.TABLE_NAME for r in single.select("TABLE_NAME").distinct().collect()}  # at most one row per table
+        parts.append(single.select("TABLE_NAME", F.col("COLUMN_NAME").alias("KEY_COLUMNS"), "ROW_COUNT"))
+    for name, df in tables.items():
+        rows = seen[name, df.columns[0]].rows
+        if not rows or name in keyed:
             continue
-        distinct = {r.COLUMN_NAME: r.DISTINCT_VALUES for r in rows if not r.NULL_COUNT}
-        order = [c for c in df.columns if c in distinct]
-        pairs = [p for p in combinations(order, 2) if distinct[p[0]] * distinct[p[1]] >= rows[0].ROW_COUNT]
-        parts += _unique_pairs(name, df, pairs, rows[0].ROW_COUNT)
-    return reduce(DataFrame.unionByName, parts)
+        most = {c: 1.25 * seen[name, c].values + 8 for c in df.columns if not seen[name, c].missing}  # well above the sketch's error
+        pairs = [p for p in combinations(most, 2) if most[p[0]] * most[p[1]] >= rows]
+        parts += _unique_pairs(name, df, pairs, most, rows)
+    spark = next(iter(tables.values())).sparkSession
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], "TABLE_NAME STRING, KEY_COLUMNS STRING, ROW_COUNT BIGINT")
+
+
+@dataclass(frozen=True)
+class _Sketch:
+    rows: int
+    missing: int
+    values: int  # distinct values, to a few percent
+
+
+def _sketches(tables: dict[str, DataFrame]) -> dict[tuple[str, str], _Sketch]:
+    """Rows, missing values and about how many distinct values every column has: one aggregate per table."""
+    parts = []
+    for n, df in tables.items():
+        aggs = []
+        for f in df.schema.fields:
+            v = _value_sql(f.name, f.dataType)
+            named = F.expr(f"if({v} IS NULL, NULL, {_hashes(value_class(f.dataType), [v])[0]})")
+            aggs.append(F.struct(F.count(named).alias("known"), F.approx_count_distinct(named, 0.02).alias("about")))
+        parts.append(df.agg(F.count(F.lit(1)).alias("n_rows"), F.array(*aggs).alias("cols")).select(F.lit(n).alias("t"), "n_rows", "cols"))
+    return {(r.t, c): _Sketch(r.n_rows, r.n_rows - x.known, x.about) for r in reduce(DataFrame.unionAll, parts).collect()  # a row per table
+            for c, x in zip(tables[r.t].columns, r.cols)}
+
+
+def _near_unique(values: int, rows: int) -> bool:
+    """Whether a column of about so many values may name every row; a sketch of few values can miss some."""
+    return rows > 0 and (rows <= 1000 or values >= 0.8 * rows)
+
+
+SHARES = (4096, 64)  # one value in so many, in the rounds that look for repeated pairs
 
 
-def _unique_pairs(name: str, df: DataFrame, pairs: list[tuple[str, str]], rows: int) -> list[DataFrame]:
+def _pair_cells(df: DataFrame, pairs: list[tuple[str, str]], kept: list[str] | None = None) -> DataFrame:
+    """(p, h1, h2) of every pair (by number) in every row, or only in the rows that meet the pair's condition."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    hashed = {p: _hashes("pair", [_value_sql(c, types[c]) for c in p]) for p in pairs}
+    cells = []
+    for i, p in enumerate(pairs):
+        h1, h2 = _hashes("pair", [_value_sql(c, types[c]) for c in p])
+        cell = f"named_struct('p', {i}, 'h1', {h1}, 'h2', {h2})"
+        cells.append(f"if({kept[i]}, {cell}, NULL)" if kept else cell)
+    rows = df.where(" OR ".join(sorted(set(kept)))) if kept else df
+    return rows.select(F.explode(F.expr(f"array({', '.join(cells)})")).alias("e")).where("e IS NOT NULL").select("e.p", "e.h1", "e.h2")
+
+
+def _unrefuted(df: DataFrame, pairs: list[tuple[str, str]], values: dict[str, float], share: int) -> list[tuple[str, str]]:
+    """The pairs without two equal rows among those where the pair's more selective column has one of 1/``share`` of its values.
+
+    Equal pairs share that value, so they are seen together: what is dropped was seen to repeat.
+    """
+    types = {f.name: f.dataType for f in df.schema.fields}
+    leads = [max(p, key=values.get) for p in pairs]
+    kept = [f"xxhash64({_value_sql(c, types[c])}) % {share} = 0" for c in leads]
+    repeated = _pair_cells(df, pairs, kept).groupBy("p", "h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    gone = {r.p for r in repeated.select("p").distinct().collect()}  # at most one row per pair
+    return [p for i, p in enumerate(pairs) if i not in gone]
+
+
+def _unique_pairs(name: str, df: DataFrame, pairs: list[tuple[str, str]], values: dict[str, float], rows: int) -> list[DataFrame]:
+    """Those of ``pairs`` that differ in every row: all rows are counted for every pair that no round saw repeat."""
+    for share in SHARES:
+        if pairs and rows >= 100 * share:
+            pairs = _unrefuted(df, pairs, values, share)
     if not pairs:
         return []
-    seen = df.agg(*[F.approx_count_distinct(F.expr(hashed[p][0]), 0.02).alias(f"p{i}") for i, p in enumerate(pairs)]).first()
-    likely = [p for i, p in enumerate(pairs) if seen[f"p{i}"] >= 0.8 * rows]
-    if not likely:
-        return []
-    structs = ", ".join(f"named_struct('p', {i}, 'h', struct({', '.join(hashed[p])}))" for i, p in enumerate(likely))
-    counts = (df.select(F.explode(F.expr(f"array({structs})")).alias("e")).groupBy("e.p", "e.h").agg(F.count(F.lit(1)).alias("n"))
+    return [_counted_pairs(name, df, pairs, rows)]
+
+
+def _counted_pairs(name: str, df: DataFrame, pairs: list[tuple[str, str]], rows: int) -> DataFrame:
+    counts = (_pair_cells(df, pairs).groupBy("p", "h1", "h2").agg(F.count(F.lit(1)).alias("n"))
               .groupBy("p").agg(F.max("n").alias("most")).where("most = 1"))
-    names = df.sparkSession.createDataFrame([(i, name, ",".join(p), rows) for i, p in enumerate(likely)],
+    names = df.sparkSession.createDataFrame([(i, name, ",".join(p), rows) for i, p in enumerate(pairs)],
                                             "p INT, TABLE_NAME STRING, KEY_COLUMNS STRING, ROW_COUNT BIGINT")
-    return [names.join(counts.select("p"), "p", "left_semi").drop("p")]
+    return names.join(counts.select("p"), "p", "left_semi").drop("p")
 
 
 def _stem(column: str) -> str:
