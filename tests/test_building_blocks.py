@@ -121,3 +121,31 @@ def test_csv_stage_keeps_microseconds(spark):
     path = shared_dir(spark, "csv-test")
     write_stage(df, path, "csv")
     assert read_stage(spark, path, df.schema, "csv").collect() == df.collect()
+
+
+def test_frequent_test_is_dealt_to_many_tasks(spark):
+    """The dictionary join spreads the rows of one item; rows, nulls and several names of an item stay as a plain join has them."""
+    from wardflow.operators.cohort import tested_admissions
+    from wardflow.operators.labs import label_labs, subset_labs
+    labs = spark.createDataFrame([(i % 50, i, 7 if i % 100 else (None if i % 200 else 8), datetime(2000, 6, 2, i % 24), float(i), "u") for i in range(4000)],
+                                 "SUBJECT_ID BIGINT, HADM_ID BIGINT, ITEMID BIGINT, CHARTTIME TIMESTAMP_NTZ, VALUENUM DOUBLE, VALUEUOM STRING")
+    names = spark.createDataFrame([(7, "Troponin I"), (7, "NTproBNP"), (9, "BNP"), (None, "BNP"), (8, "Sodium")], "ITEMID BIGINT, LABEL STRING")
+    plain = labs.join(names, "ITEMID")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = label_labs(labs, names)
+        sizes = [len(p) for p in got.rdd.glom().collect()]
+        assert max(sizes) < sum(sizes) / 2, sizes
+        assert got.columns == plain.columns and sorted(map(str, got.collect())) == sorted(map(str, plain.collect()))
+        cohort = spark.createDataFrame([(i % 50, i, c, datetime(2000, 6, 2), datetime(2000, 6, 2, 12)) for i in range(0, 4000, 3) for c in ("a", "b")],
+                                       "SUBJECT_ID BIGINT, HADM_ID BIGINT, ICD9_CODE STRING, ADMISSION_DATE TIMESTAMP_NTZ, DISCHARGE_DATE TIMESTAMP_NTZ")
+        subset = subset_labs(cohort, labs, dictionary=names)
+        same = subset_labs(cohort, plain)  # rows that carry their label
+        assert subset.columns == same.columns and subset.count() == sum(4 for i in range(0, 4000, 3) if i % 100 and i % 24 < 12)
+        assert sorted(map(str, subset.collect())) == sorted(map(str, same.collect()))
+        assert tested_admissions(labs, "bnp", names).count() == sum(1 for i in range(4000) if i % 100)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

@@ -21,7 +21,7 @@ def latest_discharge(transfers: DataFrame, spec: CohortSpec = CohortSpec()) -> D
 
 def tested_admissions(labs: DataFrame, pattern: str, dictionary: DataFrame | None = None) -> DataFrame:
     """Distinct admissions with at least one test whose label matches."""
-    lab = label_labs(labs, dictionary)
+    lab = label_labs(labs.select(C.SUBJECT_ID, C.HADM_ID, C.LABEL if dictionary is None else C.ITEMID), dictionary)
     return lab.where(contains_ci(F.col(C.LABEL), pattern)).select(C.SUBJECT_ID, C.HADM_ID).distinct()
 
 

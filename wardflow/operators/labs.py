@@ -13,11 +13,20 @@ from wardflow.operators.timeblocks import _FIRST, _LAST, with_block_range
 LAB_COLUMNS = [C.SUBJECT_ID, C.HADM_ID, C.ITEMID, C.CHARTTIME, C.VALUENUM, C.VALUEUOM, C.LABEL]
 
 
+SPREAD = 64  # parts that the rows of one test are dealt to
+
+
 def label_labs(labs: DataFrame, dictionary: DataFrame | None = None) -> DataFrame:
-    """Attach LABEL from the lab dictionary (J5) unless the rows carry one."""
+    """Attach LABEL from the lab dictionary (J5) unless the rows carry one.
+
+    Tests are few and some are most of the rows: the rows of a test are dealt to ``SPREAD`` parts
+    by a hash of the row, and the dictionary has an entry for each part.
+    """
     if dictionary is None:
         return labs
-    return labs.join(dictionary.select(C.ITEMID, C.LABEL), C.ITEMID, "inner")
+    names = dictionary.select(C.ITEMID, C.LABEL).withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    dealt = labs.withColumn("_part", F.pmod(F.xxhash64(*labs.columns), F.lit(SPREAD)).cast("int"))
+    return dealt.join(names, [C.ITEMID, "_part"], "inner").drop("_part")
 
 
 def subset_labs(cohort: DataFrame, labs: DataFrame, patterns=("Troponin", "BNP"),
@@ -26,18 +35,18 @@ def subset_labs(cohort: DataFrame, labs: DataFrame, patterns=("Troponin", "BNP")
     of a cohort row (cohort rows stay duplicated per code, as in the reference).
 
     The equi-join on (subject, admission) replaces the reference's chunked
-    ``IN`` lists; Spark may add a runtime bloom filter on the large side.
+    ``IN`` lists; Spark may add a runtime bloom filter on the large side.  Only the cohort's tests meet the dictionary.
     A NaN value is a missing one, as in pandas: it leaves here as NULL.
     """
-    lab = label_labs(labs, dictionary)
     cond = F.lit(False)
     for p in patterns:
         cond = cond | contains_ci(F.col(C.LABEL), p)
-    lab = lab.where(cond).select(*LAB_COLUMNS).withColumn(
-        C.VALUENUM, F.when(~F.isnan(C.VALUENUM), F.col(C.VALUENUM)))
     stays = cohort.select(C.SUBJECT_ID, C.HADM_ID, C.ADMIT, C.DISCHARGE)
+    lab = labs.select(*[c for c in LAB_COLUMNS if dictionary is None or c != C.LABEL])
     j = lab.join(stays, [C.SUBJECT_ID, C.HADM_ID], "inner")
-    return j.where((F.col(C.CHARTTIME) >= F.col(C.ADMIT)) & (F.col(C.CHARTTIME) < F.col(C.DISCHARGE)))
+    j = j.where((F.col(C.CHARTTIME) >= F.col(C.ADMIT)) & (F.col(C.CHARTTIME) < F.col(C.DISCHARGE)))
+    return label_labs(j, dictionary).where(cond).select(*LAB_COLUMNS, C.ADMIT, C.DISCHARGE).withColumn(
+        C.VALUENUM, F.when(~F.isnan(C.VALUENUM), F.col(C.VALUENUM)))
 
 
 def stay_blocks(cohort: DataFrame, grid: GridSpec) -> DataFrame:
