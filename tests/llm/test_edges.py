@@ -318,3 +318,36 @@ def test_kth_largest(spark):
 
 def test_crc_is_of_the_ids():
     assert zlib.crc32(np.array([1], "<u4").tobytes()) == zlib.crc32(b"\x01\0\0\0")
+
+
+def test_windows_of_many_texts_at_once():
+    """Segments of a group of texts are those of each text, and their anchors are the first smallest word-grams."""
+    from wardflow.llm.substring import GRAM, _gram_hashes, segments_of
+    from wardflow.llm.common import word_hashes
+    rnd = random.Random(3)
+    texts = [[rnd.choice([b"a", b"b", b"c d"[:1], b"long"]) for _ in range(n)] for n in (0, 19, 20, 21, 300, 5, 64, 0, 20)]
+    got = list(zip(*(x.tolist() for x in segments_of(texts, 20))))
+    want = []
+    for i, words in enumerate(texts):
+        g = _gram_hashes(word_hashes(words), GRAM).tolist() if len(words) >= 20 else []
+        at = [min(range(s, s + 20 - GRAM + 1), key=lambda j: (g[j], j)) for s in range(len(words) - 19)]
+        firsts = [s for s in range(len(at)) if not s or at[s] != at[s - 1]]
+        for s, e in zip(firsts, [*firsts[1:], len(at)]):
+            want.append((np.uint64(g[at[s]]).astype(np.int64).item(), i, s, e - s))
+    assert got == want
+    assert all(len(x) == 0 for x in segments_of([], 20)) and all(len(x) == 0 for x in segments_of([[], [b"a"] * 19], 20))
+
+
+def test_suffixes_are_sorted_in_few_passes(monkeypatch):
+    from wardflow.llm.fm_index import suffix_array
+    rng = np.random.default_rng(1)
+    argsort, calls = np.argsort, []
+    monkeypatch.setattr(np, "argsort", lambda *a, **k: calls.append(1) or argsort(*a, **k))
+    for n, sigma, length in ((0, 3, 20), (1, 3, 20), (2, 3, 1), (500, 3, 20), (400, 2, 5), (3000, 2000, 20), (50, 2, 64)):
+        text = rng.integers(0, sigma, n)
+        text[n // 2:] = text[:n - n // 2]
+        calls.clear()
+        order = suffix_array(text, length).tolist()
+        assert sorted(order) == list(range(n)) and len(calls) <= 3
+        first = [text[i:i + length].tolist() for i in order]
+        assert first == sorted(first)

@@ -11,12 +11,12 @@ class BitVector:
     def __init__(self, bits: np.ndarray):
         packed = np.packbits(np.r_[bits, np.zeros(-len(bits) % 64 + 64, bool)], bitorder="little").view(np.uint64)
         self.words = packed
-        self.before = np.r_[0, np.cumsum(np.bitwise_count(packed), dtype=np.int64)[:-1]].astype(np.uint32)
+        self.before = np.r_[0, np.cumsum(np.bitwise_count(packed), dtype=np.int64)[:-1]]
         self.ones = int(bits.sum())
 
     def rank(self, i: np.ndarray) -> np.ndarray:
         w = i >> 6
-        mask = (np.uint64(1) << (i & 63).astype(np.uint64)) - np.uint64(1)
+        mask = (np.uint64(1) << (i & 63).view(np.uint64)) - np.uint64(1)
         return self.before[w] + np.bitwise_count(self.words[w] & mask)
 
 
@@ -37,30 +37,39 @@ class WaveletMatrix:
         """Occurrences of ``symbol`` before position i, relative to its first row in the matrix."""
         for k, (v, zeros) in enumerate(self.levels):
             one = (symbol >> (self.depth - 1 - k)) & 1
-            r = v.rank(i).astype(np.int64)
+            r = v.rank(i)
             i = np.where(one, zeros + r, i - r)
         return i
 
 
 def suffix_array(text: np.ndarray, length: int) -> np.ndarray:
-    """Order of the suffixes by their first ``length`` symbols or more, ties by position (prefix doubling)."""
+    """Order of the suffixes by their first ``length`` symbols or more, ties by position.
+
+    Prefix multiplying: as many ranks of following parts as fit 63 bits make one key, 0 standing for the end.
+    """
     n = len(text)
-    rank = text.astype(np.int64)
+    if n < 2 or length < 2:
+        return np.argsort(text, kind="stable")
+    rank = text.astype(np.int64) + 1
     k = 1
-    while True:
-        order = np.argsort(rank, kind="stable")
-        if k >= length or n < 2:
-            return order
-        after = np.full(n, -1, np.int64)
-        after[:n - k] = rank[k:]
-        key = rank * (int(rank.max()) + 2) + after + 1
+    while k < length:
+        bits = max(1, int(rank.max()).bit_length())
+        parts = min(max(2, 63 // bits), -(-length // k))
+        if bits * parts > 63:
+            raise ValueError("too many symbols for an index")
+        key = rank.copy()
+        for j in range(1, parts):
+            key <<= bits
+            if j * k < n:
+                key[:n - j * k] |= rank[j * k:]
         order = np.argsort(key, kind="stable")
         step = np.r_[0, np.cumsum(np.diff(key[order]) > 0)]
-        rank = np.empty(n, np.int64)
-        rank[order] = step
-        k *= 2
+        k *= parts
         if step[-1] == n - 1:
             return order
+        rank = np.empty(n, np.int64)
+        rank[order] = step + 1
+    return order
 
 
 class FMIndex:

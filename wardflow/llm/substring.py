@@ -9,6 +9,9 @@ earlier position in its suffix interval is a repeat.
 
 from __future__ import annotations
 
+from collections import defaultdict
+from itertools import chain, count
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -20,6 +23,7 @@ from wardflow.llm.fm_index import FMIndex
 GRAM = 8  # words of an anchor
 CHUNK_ROWS = 24_000  # segments of one index
 HOT_ROWS = 20_000  # anchors with more segments are dealt window by window
+GROUP_WORDS = 100_000  # words whose windows are found together
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -31,17 +35,36 @@ def _gram_hashes(one: np.ndarray, k: int) -> np.ndarray:
     return (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
 
 
-def segments_of(words: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor, first window and number of windows of each run of windows with one anchor; texts have fewer than 2^27 words."""
-    if len(words) >= 1 << 27:
+def _first_minima(g: np.ndarray, span: int) -> np.ndarray:
+    """Where the first of the smallest values of each window of ``span`` values is."""
+    low, at, wide = g, np.arange(len(g)), 1
+    while wide < span:
+        by = min(wide, span - wide)  # two windows that overlap or touch make a wider one
+        right = low[by:] < low[:-by]
+        at = np.where(right, at[by:], at[:-by])
+        low = np.minimum(low[by:], low[:-by])
+        wide += by
+    return at
+
+
+def segments_of(texts: list[list[bytes]], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Anchor, text (by number), first window and number of windows of each run of a text's windows with one anchor."""
+    sizes = np.array([len(words) for words in texts], np.int64)
+    if sizes.max(initial=0) >= 1 << 27:
         raise ValueError("a text of 134,217,728 words or more: windows are numbered in 27 bits")
-    if len(words) < width:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    g = _gram_hashes(word_hashes(words), min(GRAM, width))
-    span = width - min(GRAM, width) + 1
-    at = np.lib.stride_tricks.sliding_window_view(g, span).argmin(axis=1) + np.arange(len(g) - span + 1)
+    none = (np.zeros(0, np.int64),) * 4
+    if sizes.max(initial=0) < width:
+        return none
+    gram = min(GRAM, width)
+    g = _gram_hashes(word_hashes(list(chain.from_iterable(texts))), gram)
+    at = _first_minima(g, width - gram + 1)
+    ends = np.cumsum(sizes)
+    owner = np.repeat(np.arange(len(texts)), sizes)[:len(at)]
+    start = np.flatnonzero(np.arange(len(at)) + width <= ends[owner])  # windows that lie in one text
+    at, owner = at[start], owner[start]
     first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-    return g[at[first]].view(np.int64), first, np.diff(np.r_[first, len(at)])
+    text = owner[first]
+    return g[at[first]].view(np.int64), text, start[first] - (ends - sizes)[text], np.diff(np.r_[first, len(at)])
 
 
 def _segments(rows: DataFrame, width: int) -> DataFrame:
@@ -52,12 +75,24 @@ def _segments(rows: DataFrame, width: int) -> DataFrame:
         drop_worker_cache()  # the words of an earlier stage
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            keys, docs, ats = [], [], []
-            for doc, th, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                key, s, c = segments_of((text or "").encode().split(), width)
-                keys.append(key)
-                docs.append(np.full(len(key), doc, np.int64))
-                ats.append((th << 32) | (s << 5) | c)
+            docs, hashes = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(2))
+            out = [(np.zeros(0, np.int64),) * 3]
+            held: list[list[bytes]] = []
+            begin = words = 0
+
+            def judge():
+                key, text, s, c = segments_of(held, width)
+                text += begin
+                out.append((key, docs[text], (hashes[text] << 32) | (s << 5) | c))
+            for i, text in enumerate(batch.column(2).to_pylist()):
+                held.append((text or "").encode().split())
+                words += len(held[-1])
+                if words >= GROUP_WORDS:
+                    judge()
+                    held, begin, words = [], i + 1, 0
+            if held:
+                judge()
+            keys, docs, ats = zip(*out)
             return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, docs, ats)], schema=schema)
         return step
     return map_rows(rows, make, "key BIGINT, doc BIGINT, at BIGINT")
@@ -78,23 +113,30 @@ def _with_words(rows: DataFrame, width: int) -> DataFrame:
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             best: dict[tuple[int, bytes], tuple] = {}
             out = []
-            for doc, th, text, shared in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            segs = batch.column(3)
+            flat = [segs.flatten().field(i).to_numpy(zero_copy_only=False) for i in range(3)]
+            keys, hots = flat[0].tolist(), flat[2].tolist()
+            firsts, counts = ((flat[1] & 0xFFFFFFFF) >> 5).tolist(), (flat[1] & 31).tolist()
+            ends = np.cumsum(segs.value_lengths().to_numpy(zero_copy_only=False)).tolist()
+            for doc, th, text, begin, end in zip(*(batch.column(i).to_pylist() for i in range(3)), [0, *ends], ends):
                 words = (text or "").encode().split()
-                for seg in shared:
-                    s, c = (seg["at"] & 0xFFFFFFFF) >> 5, seg["at"] & 31
-                    if seg["hot"]:
+                for j in range(begin, end):
+                    s, c, hot = firsts[j], counts[j], hots[j]
+                    if hot:
                         todo = [(i, 1) for i in range(s, s + c)]
                     else:
                         todo = [(s, c)]
                     for i, n in todo:
                         body = b" ".join(words[i:i + n + width - 1])
-                        key = xxhash.xxh3_64_intdigest(body) - (1 << 63) if seg["hot"] else seg["key"]
+                        key = xxhash.xxh3_64_intdigest(body) - (1 << 63) if hot else keys[j]
                         row = (doc, th, i, n)
                         lead = best.setdefault((key, body), row)
+                        if lead is row:
+                            continue
                         if row < lead:
                             best[key, body] = row
-                            row = lead
-                        if row[:3] != best[key, body][:3]:
+                            row, lead = lead, row
+                        if row[:3] != lead[:3]:
                             out.append((key, *row, None))
             out += [(key, *row, body) for (key, body), row in best.items()]
             cols = list(zip(*out)) or [[]] * 6
@@ -110,31 +152,38 @@ def judge_chunk(rows: list[tuple[int, int, int, int, int, bytes]], width: int) -
     The rest are the index and the queries.
     """
     out = []
-    leaders: dict[tuple[int, bytes], tuple[int, int, int, int]] = {}
-    for key, doc, th, s, c, body in sorted(rows):
-        lead = leaders.setdefault((key, body), (doc, th, s, c))
-        if lead[:3] != (doc, th, s):
-            out.append((doc, th, s, c))
-    ordered = sorted((pos, body) for (_, body), pos in leaders.items())
-    number: dict[bytes, int] = {}
+    leaders: dict[bytes, tuple[int, int, int, int]] = {}  # equal words have the same key
+    for _, doc, th, s, c, body in rows:
+        pos = (doc, th, s, c)
+        lead = leaders.setdefault(body, pos)
+        if lead is not pos:
+            if pos < lead:
+                leaders[body] = pos
+                pos, lead = lead, pos
+            if lead[:3] != pos[:3]:
+                out.append(pos)
+    ordered = sorted((pos, body) for body, pos in leaders.items())
+    number: dict[bytes, int] = defaultdict(count(1).__next__)
     text: list[int] = []
-    starts, owner = [], []
-    for k, (pos, body) in enumerate(ordered):
-        at = len(text)
-        text += [number.setdefault(w, len(number) + 1) for w in body.split(b" ")]
+    ends = []
+    for _, body in ordered:
+        text.extend(map(number.__getitem__, body.split(b" ")))
         text.append(0)
-        starts.append(np.arange(at, at + pos[3]))
-        owner.append(np.full(pos[3], k))
+        ends.append(len(text))
     if not ordered:
         return out
-    symbols, at, own = np.array(text, np.int64), np.concatenate(starts), np.concatenate(owner)
+    symbols = np.array(text, np.int64)
+    windows = np.array([pos[3] for pos, _ in ordered])
+    own = np.repeat(np.arange(len(ordered)), windows)
+    first_of, first_at = np.cumsum(windows) - windows, np.r_[0, ends[:-1]]
+    nth = np.arange(len(own)) - first_of[own]
+    at = first_at[own] + nth
     index = FMIndex(symbols, len(number) + 1, width)
     _, full, lo, hi = index.matching_windows(symbols, at, width)
     repeat = full[index.first_positions(lo, hi) < at[full]]
-    first_of = np.array([s[0] for s in starts])
-    for i in repeat.tolist():
-        (doc, th, s, _), k = ordered[own[i]][0], own[i]
-        out.append((doc, th, s + int(at[i] - first_of[k]), 1))
+    for k, i in zip(own[repeat].tolist(), nth[repeat].tolist()):
+        doc, th, s, _ = ordered[k][0]
+        out.append((doc, th, s + i, 1))
     return out
 
 
