@@ -168,6 +168,32 @@ def test_substring_deals_frequent_anchors_by_window(frame, monkeypatch):
     assert {r.row.doc_id: r.n_removed for r in got} == {d: x[1] for d, x in want.items()}
 
 
+def test_substring_leaves_only_the_repeats_on_disk(spark, frame):
+    """What the steps shuffled, and the words of segments, are gone before the texts are shuffled for the result."""
+    from glob import glob
+    from wardflow.session import _OWNED
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        names = [f.getName() for f in spark._jvm.java.util.ArrayList(
+            spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(manager.getAllFiles()))]
+        return {n for n in names if n.startswith("shuffle_")}
+    docs = [(d, f"a{d} b{d} c{d} " + " ".join(f"p{i}" for i in range(30)) + f" d{d}") for d in range(40)]
+    rows = frame(docs)
+    before, cleanup = shuffled(), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None)
+    out = substring.remove_repeats(rows)
+    until = time.time() + 10
+    while shuffled() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not shuffled() - before
+    base = _OWNED[-1].removeprefix("file:")
+    assert [p.removeprefix(base) for p in glob(f"{base}/*")] == ["/repeats"]
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) == cleanup
+    want = brute.substring(docs, 20)
+    for _ in range(2):  # the result can be read again
+        assert {r.row.doc_id: r.n_removed for r in out.collect()} == {d: x[1] for d, x in want.items()}
+
+
 def test_fm_index_counts_and_first_positions():
     rng = np.random.default_rng(4)
     text = np.r_[rng.integers(1, 4, 500), 0]

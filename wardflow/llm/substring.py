@@ -238,7 +238,9 @@ def repeated_spans(docs: DataFrame, width: int = 20) -> DataFrame:
     scratch.drop("shared")
     found = _repeats(parts.where("words IS NOT NULL"), width)
     later = parts.where("words IS NULL").select("doc", "th", "s", "c")
-    return found.union(later).groupBy("doc", "th").agg(
+    repeats = scratch.save(found.union(later), "repeats")  # no words of segments lie on disk while texts are shuffled again
+    scratch.drop("parts")
+    return repeats.groupBy("doc", "th").agg(
         F.collect_list(F.struct("s", F.expr(f"s + c + {width - 1}").alias("e"))).alias("spans"))
 
 
