@@ -194,6 +194,11 @@ def test_substring_leaves_only_the_repeats_on_disk(spark, frame):
         assert {r.row.doc_id: r.n_removed for r in out.collect()} == {d: x[1] for d, x in want.items()}
 
 
+def test_substring_chunk_of_one_segment():
+    words = b" ".join(b"w%d" % (i % 4) for i in range(24))
+    assert substring.judge_chunk([(1, 5, 0, 2, 5, words)], 20) == [(5, 0, 6, 1)]
+
+
 def test_fm_index_counts_and_first_positions():
     rng = np.random.default_rng(4)
     text = np.r_[rng.integers(1, 4, 500), 0]

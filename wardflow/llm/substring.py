@@ -175,7 +175,7 @@ def judge_chunk(rows: list[tuple[int, int, int, int, int, bytes]], width: int) -
     symbols = np.array(text, np.int64)
     windows = np.array([pos[3] for pos, _ in ordered])
     own = np.repeat(np.arange(len(ordered)), windows)
-    first_of, first_at = np.cumsum(windows) - windows, np.r_[0, ends[:-1]]
+    first_of, first_at = np.cumsum(windows) - windows, np.array([0, *ends[:-1]], np.int64)
     nth = np.arange(len(own)) - first_of[own]
     at = first_at[own] + nth
     index = FMIndex(symbols, len(number) + 1, width)
