@@ -25,10 +25,11 @@ _BLOCK_SCHEMA = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("start"
                            *[(c, pa.binary()) for c in ("doc_ids", "doc_lengths", "terminals", "rules", "lengths",
                                                         "sequence")]])
 MAX_SYMBOLS = 1 << 16  # symbols fit 16 bits, a pair fits 32
+_SPREAD = np.uint32(2654435761)  # odd: the upper bits of its product with a pair depend on the whole pair
 
 
-def _pick(codes: np.ndarray, min_count: int, room: int) -> np.ndarray:
-    """Frequent pairs that cannot overlap each other, most frequent first.
+def _pick(codes: np.ndarray, min_count: int, room: int) -> tuple[np.ndarray, np.ndarray]:
+    """Frequent pairs that cannot overlap each other, most frequent first, and all frequent pairs.
 
     A symbol is used only on the left or only on the right side of this
     round's pairs, so no two chosen occurrences share a position.
@@ -53,7 +54,28 @@ def _pick(codes: np.ndarray, min_count: int, room: int) -> np.ndarray:
                 continue
             side[a], side[b] = 1, 2
         chosen.append(code)
-    return np.array(chosen, np.uint32)
+    return np.array(chosen, np.uint32), pairs
+
+
+def _slots(codes: np.ndarray) -> np.ndarray:
+    """A 16-bit number for each pair; different pairs may share one."""
+    return codes * _SPREAD >> np.uint32(16)
+
+
+def _find(codes: np.ndarray, chosen: np.ndarray, often: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which codes may be frequent pairs (all of ``often`` and few others, equal codes alike), where ``chosen``
+    pairs are among the codes, and which ones."""
+    table = np.full(MAX_SYMBOLS, -2, np.int32)
+    table[_slots(often)] = -1
+    table[_slots(chosen)] = np.arange(len(chosen))
+    slot = table[_slots(codes)]
+    hit = np.flatnonzero(slot >= 0)
+    k, found = slot[hit], codes[hit]
+    other = np.flatnonzero(chosen[k] != found)  # no chosen pair, or one that shares its slot
+    order = np.argsort(chosen)
+    k[other] = order[np.searchsorted(chosen, found[other], sorter=order).clip(max=len(chosen) - 1)]
+    other = other[chosen[k[other]] != found[other]]
+    return slot > -2, np.delete(hit, other), np.delete(k, other)
 
 
 def compress(ids: np.ndarray, min_count: int = 16):
@@ -62,47 +84,57 @@ def compress(ids: np.ndarray, min_count: int = 16):
     Symbols below ``len(terminals)`` are ids, the others rules in order.  Rounds
     go on until no pair occurs ``min_count`` times or symbols run out.  A block of 65,536 different ids or
     more (a larger vocabulary than the one used here) has no symbols for rules and stays as it is.
+
+    A round looks only at places whose pair may be frequent.  Pairs of old symbols only get rarer, so a pair
+    once below ``min_count`` stays there; new pairs stand beside the round's new symbols.  The count of a
+    frequent pair is thus of all its places.
     """
     present = np.zeros(int(ids.max(initial=0)) + 1, bool)
+    ids = ids.astype(np.intp)
     present[ids] = True
     terminals = np.flatnonzero(present) if len(ids) else np.zeros(0, ID)
     seq = (np.cumsum(present, dtype=np.uint32) - np.uint32(1))[ids]
     if len(terminals) >= MAX_SYMBOLS:
         return terminals.astype(ID), np.zeros((0, 2), ID), seq.astype(ID)
     rules: list[np.ndarray] = []
-    n = len(terminals)
-    while len(seq) > min_count and n < MAX_SYMBOLS:
-        codes = (seq[:-1] << np.uint32(16)) | seq[1:]
-        chosen = _pick(codes, min_count, MAX_SYMBOLS - n)
+    n, size = len(terminals), len(seq)
+    # symbols stay at their places; the neighbours that are left are linked, ``size`` stands for none
+    after, before = np.arange(1, size + 2), np.arange(-1, size)
+    left, look = np.ones(size, bool), np.empty(size + 1, bool)
+    here = np.arange(max(size - 1, 0))
+    codes = (seq[:-1] << np.uint32(16)) | seq[1:]
+    while n < MAX_SYMBOLS:
+        chosen, often = _pick(codes, min_count, MAX_SYMBOLS - n)
         if not len(chosen):
             break
-        side = np.zeros(n, np.uint8)  # bit 0: left of a chosen pair, bit 1: right of one
-        side[chosen >> 16] |= 1
-        side[chosen & 0xFFFF] |= 2
-        here = side[seq]
-        at = np.flatnonzero(here[:-1] & (here[1:] >> 1) & 1)
-        order = np.argsort(chosen)
-        ranked = chosen[order]
-        k = np.minimum(np.searchsorted(ranked, codes[at]), len(ranked) - 1)
-        hit = ranked[k] == codes[at]
-        at, k = at[hit], k[hit]
-        twin = np.flatnonzero(seq[at] == seq[at + 1])
+        may, hit, k = _find(codes, chosen, often)
+        at = here[hit]
+        twin = np.flatnonzero((chosen >> 16 == chosen & 0xFFFF)[k])
         if len(twin):  # runs of one symbol: pairs from the start of each run, which are hits one after another
             p = at[twin]
-            first = np.r_[True, p[1:] != p[:-1] + 1]
-            start = p[np.maximum.accumulate(np.where(first, np.arange(len(p)), 0))]
+            first = np.r_[True, p[1:] != after[p[:-1]]]
+            nth = np.arange(len(p))
             ok = np.ones(len(at), bool)
-            ok[twin] = (p - start) % 2 == 0
+            ok[twin] = (nth - np.maximum.accumulate(np.where(first, nth, 0))) % 2 == 0
             at, k = at[ok], k[ok]
-        before = len(seq)
-        seq[at] = n + order[k]
-        keep = np.ones(before, bool)
-        keep[at + 1] = False
-        seq = seq[keep]
+        gone = after[at]
+        seq[at] = n + k
+        after[at] = after[gone]
+        before[after[at]] = at
+        left[gone] = False
         rules.append(np.stack([chosen >> 16, chosen & 0xFFFF], 1))
         n += len(chosen)
+        look[:] = False
+        look[here] = may
+        look[at] = True
+        look[before[at]] = True  # of the first place: the last entry, which is no place
+        look[gone] = False
+        here = np.flatnonzero(look[:size])
+        if len(here) and after[here[-1]] == size:
+            here = here[:-1]
+        codes = (seq[here] << np.uint32(16)) | seq[after[here]]
     table = np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
-    return terminals.astype(ID), table.astype(ID), seq.astype(ID)
+    return terminals.astype(ID), table.astype(ID), seq[left].astype(ID)
 
 
 def expansion_lengths(n_terminals: int, rules: np.ndarray) -> np.ndarray:
@@ -127,17 +159,17 @@ class Block:
         return int(self.ends[-1]) if len(self.ends) else 0
 
     def _whole(self) -> np.ndarray:
-        """All ids: the expansion of every symbol goes into one array, built rule by rule, and is copied from there."""
-        first = np.r_[0, np.cumsum(self.lengths)]
-        flat = np.empty(first[-1], ID)
-        flat[:len(self.terminals)] = self.terminals
-        at = first.tolist()
-        for k, (a, b) in enumerate(self.rules.tolist(), len(self.terminals)):
-            mid = at[k] + at[a + 1] - at[a]
-            flat[at[k]:mid] = flat[at[a]:at[a + 1]]
-            flat[mid:at[k + 1]] = flat[at[b]:at[b + 1]]
+        """All ids: the expansions of all symbols go into one array, rule by rule, and are copied from there."""
+        parts = [t.to_bytes(ID.itemsize, "little") for t in self.terminals.tolist()]
+        for a, b in self.rules.tolist():
+            parts.append(parts[a] + parts[b])
+        flat = np.frombuffer(b"".join(parts), ID)
         n = self.lengths[self.seq]
-        return flat[np.repeat(first[self.seq] - (self.ends - n), n) + np.arange(len(self))]
+        first = (np.cumsum(self.lengths) - self.lengths)[self.seq]
+        # steps from one id's place to the next one's: 1 within a symbol
+        take = np.ones(len(self), np.int64)
+        take[self.ends - n] = first - np.r_[0, (first + n - 1)[:-1]]
+        return flat[np.cumsum(take, out=take)]
 
     def decode(self, start: int = 0, end: int | None = None) -> np.ndarray:
         """Ids [start, end) of the block; of the rules only what covers them is expanded."""
